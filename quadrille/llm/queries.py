@@ -7,9 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules, substring_dedup, url_filter
+from . import byte_bpe, mixing, quality_rules, sharding, substring_dedup, token_store, url_filter
+
+#: Places of the tokenizer files; parameters of the operators.
+WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,6 +31,27 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove_repeats(spark.read.parquet(f"{sf}/documents.parquet"), with_text=False)
 
 
+def op4_token_store(spark: SparkSession, sf: str) -> DataFrame:
+    store = token_store.write_store(spark.read.parquet(f"{sf}/documents.parquet"), WORD_BPE, end_id=1)
+    return token_store.read_store(store).withColumnRenamed("doc", "doc_id")
+
+
+def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    rows = sharding.shard(spark.read.parquet(f"{sf}/documents.parquet"), shards=16)
+    law = {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    return rows.withColumns(law).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = mixing.mix(spark.read.parquet(f"{sf}/documents.parquet"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return byte_bpe.encode_documents(docs, BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
+
+
 OP1_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, url, html,
@@ -130,6 +156,33 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(doc_id::VARCHAR) AS key
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM d GROUP BY source),
+ordered AS (
+  SELECT *, row_number() OVER w AS n, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER before, 0)::DOUBLE AS left_over,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS rate
+  FROM s WINDOW w AS (ORDER BY 2 * source_size / weight, source NULLS LAST),
+    before AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT left_over, rate FROM ordered WHERE weight * left_over / rate <= 2 * source_size ORDER BY n LIMIT 1),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN weight * level.left_over / level.rate > 2 * source_size THEN (2 * source_size)::DOUBLE ELSE weight * level.left_over / level.rate END AS target
+  FROM ordered, level),
+placed AS (
+  SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT - size AS pos
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - pos)) END::BIGINT AS taken
+FROM placed
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -139,4 +192,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filters": OP1_SQL,
         "op2_quality_rules": OP2_SQL,
         "op3_substring_dedup": OP3_SQL,
+        "op6_mixing": OP6_SQL,
     }
