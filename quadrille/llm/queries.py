@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_rules, sharding, substring_dedup, token_store, url_filter
+from . import byte_bpe, mixing, quality_rules, sharding, simhash, substring_dedup, token_store, url_filter
 
 #: Places of the tokenizer files; parameters of the operators.
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,6 +47,11 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    rows = simhash.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"))
+    return rows.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return byte_bpe.encode_documents(docs, BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
