@@ -209,12 +209,16 @@ def _coder(rank_file: str, pattern: str) -> ByteBPE:
     return ByteBPE(rank_file, pattern)
 
 
+#: Columns of the result; a carried column of such a name gives way.
+OUT = ("n_tokens", "ids_sha256", "decoded_sha256", "token_ids")
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", keep: list[str] | None = None, with_ids: bool = True) -> DataFrame:
     """The columns ``keep`` with ``n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``token_ids`` (binary).
 
     ``decoded_sha256`` is of the bytes that the ids decode to, for a check against the text.
     """
-    carried = docs.columns if keep is None else keep
+    carried = [c for c in (docs.columns if keep is None else keep) if c not in OUT]
     source = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)]).alias("row"), F.col(text).cast("string").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,10 @@ from .common import materialise, prefix_sums, word_count
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 
 
+#: Columns of the result; a carried column of such a name gives way.
+OUT = ("size", "source_size", "target", "taken", "whole", "tie")
+
+
 def random_key(id_col: str, seed: int = 0) -> Column:
     """Hash-random and the same in every run."""
     key = F.col(id_col).cast("string")
@@ -77,7 +81,7 @@ def mix(
 
     ``taken`` counts the words the mix takes, repeats included; ``whole`` is the number of full passes over the source.
     """
-    carried = [id_col] if keep is None else keep
+    carried = [c for c in ([id_col] if keep is None else keep) if c not in OUT]
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)])
     sized = docs.select(
         row.alias("row"),
@@ -108,15 +112,23 @@ def mix(
         "target",
         (passes * F.col("size") + part).cast("long").alias("taken"),
         passes.alias("whole"),
+        "tie",
     )
 
 
-def copies_taken(rows: DataFrame, text: str = "text") -> DataFrame:
-    """One row for each time the mix takes a document; ``text`` ends with the last word taken."""
-    part = F.col("taken") - F.col("whole") * F.col("size")
-    each = F.array_repeat(F.col("size"), F.col("whole").cast("int"))
-    each = F.when(part > 0, F.concat(each, F.array(part))).otherwise(each)
-    out = rows.where("taken > 0").withColumn("__words", F.explode(each))
+def copies_taken(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, one for each time the ``plan`` that :func:`mix` made of them takes the document.
+
+    A document taken in part ends with the last word taken.  Rows equal in id and text share evenly what the plan
+    takes of them.  The text is moved once, by the join; it takes no part in the ordering.
+    """
+    total = plan.groupBy(F.col(id_col).alias("__id"), F.col("tie").alias("__tie")).agg(F.max("size").alias("__size"), F.floor(F.sum("taken") / F.count("*")).alias("__taken"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.xxhash64(text).eqNullSafe(F.col("__tie"))
+    rows = docs.join(total.where("__taken > 0"), same)
+    whole = F.floor(F.col("__taken") / F.col("__size"))
+    each = F.array_repeat(F.col("__size"), whole.cast("int"))
+    part = F.col("__taken") - whole * F.col("__size")
+    rows = rows.withColumn("__words", F.explode(F.when(part > 0, F.concat(each, F.array(part))).otherwise(each)))
     words = F.split(F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     cut = F.array_join(F.slice(words, 1, F.col("__words").cast("int")), " ")
-    return out.withColumn(text, F.when(F.col("__words") == F.col("size"), F.col(text)).otherwise(cut))
+    return rows.withColumn(text, F.when(F.col("__words") == F.col("__size"), F.col(text)).otherwise(cut)).select(*docs.columns)

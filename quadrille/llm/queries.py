@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_rules, sharding, simhash, substring_dedup, token_store, url_filter
+from . import byte_bpe, embedding_graph, importance, mixing, quality_rules, sharding, simhash, substring_dedup, token_store, url_filter
 
 #: Places of the tokenizer files; parameters of the operators.
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -52,11 +52,19 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op8_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return byte_bpe.encode_documents(docs, BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
 
 
+def op10_embedding_graph(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_graph.link_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, url, html,

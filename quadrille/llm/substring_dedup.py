@@ -296,13 +296,17 @@ def _finish(with_text: bool):
     return run
 
 
+#: Columns of the result; a carried column of such a name gives way.
+OUT = ("n_words", "n_removed", "kept_sha256", "kept_text")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", with_text: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Return the columns ``keep`` (the id, by default) with ``n_words, n_removed, kept_sha256`` and ``kept_text``.
 
     ``kept_text`` is the text as it was where nothing goes, else the kept words joined by single spaces.
     """
     spark = docs.sparkSession
-    carried = [id_col] if keep is None else keep
+    carried = [c for c in ([id_col] if keep is None else keep) if c not in OUT]
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)])
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), body.alias("body"), row.alias("row"))
