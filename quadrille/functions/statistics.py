@@ -73,8 +73,8 @@ def cv_pct(x: Column) -> Column:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Every double column rounded; for sinks and comparisons."""
-    return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
+    """Every double column rounded, without negative zeros; for sinks and comparisons."""
+    return df.select(*[(F.round(c, digits) + 0.0).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
 # --- Student's t, for tables of a few rows ----------------------------------------------------------------------------

@@ -123,7 +123,7 @@ def reliability(long: DataFrame, pairs: DataFrame) -> DataFrame:
     true = F.greatest(F.pow("sd_value", F.lit(2.0)) - F.pow("err", F.lit(2.0)), F.lit(0.0))
     out = out.withColumn("var_true", true)
     share = F.try_divide(F.col("var_true"), F.pow("sd_value", F.lit(2.0)))
-    out = out.withColumns({"snr": F.try_divide(F.sqrt("var_true"), F.col("err")), "lambda": share, "attenuation_pct": 100 * (1 - share)})
+    out = out.withColumns({"snr": F.try_divide(F.sqrt("var_true"), F.col("err")), "reliability": share, "attenuation_pct": 100 * (1 - share)})
     return out.withColumn("verdict", F.when(F.col("attenuation_pct") > 25, "strong").when(F.col("attenuation_pct") > 10, "moderate").otherwise("slight"))
 
 
