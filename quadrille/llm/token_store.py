@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import materialise, text_bytes, text_slices
 
 CHUNK, BLOCK, NULL_ID = 8, 512, -(1 << 63)
-#: Bytes of text behind one segment, and words whose ids are remembered.
-SEGMENT_BYTES, WORDS = 8 << 20, 300_000
+#: Bytes of text behind one segment, words and stems whose ids are remembered, and stems encoded behind one another.
+SEGMENT_BYTES, WORDS, STEMS, GROUP = 8 << 20, 300_000, 400_000, 50
+#: Marks that the tokenizer's pattern parts from letters and digits before them.
+TAIL = b".,!?;:*#$%&"
 
 
 def write_segment(ids: np.ndarray, doc_ids: np.ndarray, offsets: np.ndarray) -> bytes:
@@ -121,19 +123,42 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.words: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
+
+    def _learn(self, stems: list[bytes]) -> None:
+        """Encode new stems, many behind one another; a token belongs to the stem that its place lies in."""
+        plain = []
+        for w in stems:
+            if b"<|" in w:  # may hold a special token: by itself
+                self.stems[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                plain.append(w)
+        groups = [plain[a : a + GROUP] for a in range(0, len(plain), GROUP)]
+        texts = [b" ".join(g).decode() for g in groups]
+        for group, text, e in zip(groups, texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            ids, places = np.array(e.ids, "<u4").tobytes(), np.array([a for a, _ in e.offsets], np.int64)
+            ends = np.cumsum(np.fromiter(map(len, text.split(" ")), np.int64, len(group)) + 1)
+            cuts = (4 * np.searchsorted(places, ends)).tolist()
+            self.stems.update(zip(group, (ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         if len(self.words) > WORDS:
             self.words.clear()
-        known, end = self.words, np.array([end_id], "<u4").tobytes()
+        if len(self.stems) > STEMS:
+            self.stems = {b"": b""}
+        end = np.array([end_id], "<u4").tobytes()
         # the tokenizer lower-cases; doing so before, for plain letters, makes more words equal
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = list({w for ws in split for w in ws if w not in known})
-        for a in range(0, len(new), 50_000):
-            part = new[a : a + 50_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) + end for ws in split]
+        parted = []
+        for w in set().union(*split).difference(self.words):
+            stem = w.rstrip(TAIL)
+            # marks behind a letter or digit are cut off by the tokenizer too
+            parted.append((w, stem, w[len(stem) :]) if stem[-1:].isalnum() and b"<|" not in w else (w, w, b""))
+        self._learn(list({s for p in parted for s in p[1:]}.difference(self.stems)))
+        stems = self.stems
+        self.words.update((w, stems[s] + stems[t]) for w, s, t in parted)
+        get = self.words.__getitem__
+        return [b"".join(map(get, ws)) + end for ws in split]
 
 
 @lru_cache(maxsize=2)
