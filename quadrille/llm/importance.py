@@ -29,6 +29,8 @@ from .common import materialise, mix64, prefix_sums, text_bytes, text_slices
 #: Buckets of n-grams, and the count that both models have beforehand in every bucket, which draws the ratio of rare
 #: n-grams towards one.
 BUCKETS, PRIOR = 1 << 16, 2.0
+#: Most labelled documents that the target model is fitted to (eight bytes each go to every executor).
+TARGETS = 100_000
 #: Most n-grams that count in full; a longer document's weight is that of as many n-grams at its mean.
 FULL = 400
 
@@ -66,10 +68,14 @@ def targets(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def models(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str = "text") -> np.ndarray:
-    """Log ratio of the target's to the raw text's share, for every bucket."""
-    chosen = target.where("target").select("doc")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("body"))
-    marked = rows.join(chosen.withColumn("hit", F.lit(True)), "doc", "left").select("body", F.coalesce("hit", F.lit(False)).alias("hit"))
+    """Log ratio of the target's to the raw text's share, for every bucket.
+
+    The raw model counts all documents.  The target model counts at most ``TARGETS`` labelled ones, the first by a
+    hash of their id; their ids are sent to the tasks, so no text is shuffled.
+    """
+    chosen = target.where("target").select("doc").orderBy(F.xxhash64("doc"), "doc").limit(TARGETS)
+    ids = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r["doc"] for r in chosen.collect()], np.int64)))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).cast("string").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -77,12 +83,12 @@ def models(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str
             for part in text_slices(batch, "body"):
                 buckets, n = grams(text_bytes(part["body"]))
                 raw += np.bincount(buckets, minlength=BUCKETS)
-                hit = np.repeat(np.asarray(part["hit"].to_numpy(zero_copy_only=False), bool), n)
+                hit = np.repeat(np.isin(np.asarray(part["doc"].to_numpy(), np.int64), ids.value), n)
                 good += np.bincount(buckets[hit], minlength=BUCKETS)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], names=["bucket", "raw", "good"])
 
-    counted = marked.mapInArrow(run, "bucket long, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
+    counted = rows.mapInArrow(run, "bucket long, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
     counts = np.zeros((2, BUCKETS))
     for r in counted.collect():  # at most BUCKETS rows
         counts[:, r["bucket"]] = r["raw"], r["good"]
