@@ -4,7 +4,7 @@ Vectors of one label are cut into overlapping cluster shards: a cell that is too
 fitted to a bounded sample of it, and a vector joins every child whose centroid is not much farther than its nearest,
 its home.  Each shard builds a flat graph (nearest neighbours, pruned so that a kept neighbour is not close to one kept
 before); a vector's adjacency lists from all its shards are united.  Then every vector is searched for from its home
-shard's medoids: a greedy search for the region, then expansion over all nodes in range.  Pairs found are verified by
+shard's medoids and its own lists: a greedy search for the region, then expansion over all nodes in range.  Pairs found are verified by
 their cosine in double precision.
 
 Equal vectors are one node with a count, so copies never form pairs.  A cell that does not come apart, because most of
@@ -216,6 +216,7 @@ def _search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.n
     sim, expanded = np.full((q, n), -np.inf), np.zeros((q, n), bool)
     target = x[queries]
     sim[:, entries] = target @ x[entries].T
+    sim[np.arange(q), queries] = 1.0  # a query is a node of the graph: its own lists are a way in beside the medoids
 
     def expand(chosen: np.ndarray) -> None:
         expanded[chosen] = True
@@ -358,6 +359,8 @@ def link_vectors(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_id
 def audit(rows: DataFrame, result: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> tuple[int, int]:
     """Links reported and links there are, for ids divisible by 100 against all rows, compared in blocks by SQL."""
     base = rows.select(F.col(id_col).alias("id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vec")).where(F.col("label").isNotNull() & usable(F.col("vec")))
+    most = F.array_max(F.transform("vec", F.abs))  # keeps squares of very large or small components in range
+    base = base.select("id", "label", F.transform("vec", lambda x: x / most).alias("vec"))
     size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     unit = base.select("id", "label", F.transform("vec", lambda x: x / size).alias("vec"))
     asked = unit.where("id % 100 = 0").select(F.col("id").alias("q"), "label", F.col("vec").alias("qv"))
