@@ -56,6 +56,14 @@ def query(sql: str | None, floats: str = "", exact: bool = False) -> Callable[[Q
     return register
 
 
+def whole(name: str, condition: str, f: Query) -> None:
+    """Register ``name_all``: the query ``name`` without the ``condition`` by which its SQL leaves rows out."""
+    if condition not in ORACLES[name]:
+        raise ValueError(f"{name} has no condition {condition}")
+    QUERIES[f"{name}_all"] = lambda spark, sf: rounded(off_ties(f(spark, sf)))
+    ORACLES[f"{name}_all"] = ORACLES[name].replace(condition, "")
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes} -- select\n{body}"
 
@@ -295,7 +303,8 @@ def scene_diagnosis(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- coverage ---------------------------------------------------------------------------------------------------------
 
-#: The area's series of one sensor, which leaves gaps.
+#: A sample of the scenes of one sensor.  The queries ``_all`` below take every scene.
+SAMPLE = " WHERE sensor = 'Landsat7' AND scene % 37 = 0"
 THIN = SQL_STATS + """, thin AS (SELECT * FROM scene_stats WHERE sensor = 'Landsat7' AND scene % 37 = 0),
 city AS (SELECT ano, mes, avg(ndvi_media) AS ndvi_media, avg(lst_c_media) AS lst_c_media FROM thin GROUP BY ALL),
 calendar AS (
@@ -308,9 +317,16 @@ symbols AS (SELECT *, CASE status WHEN 'NDVI + LST' THEN 'O' WHEN 'NDVI only' TH
 """
 
 
+def _months_of(scenes: DataFrame) -> DataFrame:
+    return V.calendar(scenes.groupBy("ano", "mes").agg(F.avg("ndvi_media").alias("ndvi_media"), F.avg("lst_c_media").alias("lst_c_media")), SETTINGS)
+
+
 def _calendar(spark: SparkSession, sf: str) -> DataFrame:
-    thin = D.scene_stats(spark, sf).where("sensor = 'Landsat7' and scene % 37 = 0")
-    return V.calendar(thin.groupBy("ano", "mes").agg(F.avg("ndvi_media").alias("ndvi_media"), F.avg("lst_c_media").alias("lst_c_media")), SETTINGS)
+    return _months_of(D.scene_stats(spark, sf).where("sensor = 'Landsat7' and scene % 37 = 0"))
+
+
+def _whole_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return _months_of(D.scene_stats(spark, sf))
 
 
 @query(_with(THIN, "SELECT * FROM symbols"), "ndvi_media lst_c_media")
@@ -341,6 +357,12 @@ def coverage_wide(spark: SparkSession, sf: str) -> DataFrame:
     return V.wide(_calendar(spark, sf))
 
 
+whole("coverage_calendar", SAMPLE, _whole_calendar)
+whole("coverage_annual", SAMPLE, lambda spark, sf: V.by_year(_whole_calendar(spark, sf)))
+whole("coverage_overall", SAMPLE, lambda spark, sf: V.overall(_whole_calendar(spark, sf)))
+whole("coverage_wide", SAMPLE, lambda spark, sf: V.wide(_whole_calendar(spark, sf)))
+
+
 # --- zone series ------------------------------------------------------------------------------------------------------
 
 
@@ -495,6 +517,9 @@ def sensor_month_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return G.shared_months(D.scene_stats(spark, sf).where("scene % 50 = 0"))
 
 
+whole("sensor_month_inventory", " AND scene % 50 = 0", lambda spark, sf: G.shared_months(D.scene_stats(spark, sf)))
+
+
 @query(_with(PAIRS, "SELECT * REPLACE (gap_days::INT AS gap_days) FROM pairs"), "value_a value_b anomaly_a anomaly_b diff_abs mean_ab diff_pct diff_anom")
 def scene_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf)

@@ -11,11 +11,14 @@ from quadrille.config import KELVIN, PROFILES, Settings
 from quadrille.functions import pixels as P
 from quadrille.functions import scene as S
 from quadrille.functions import statistics as T
+from quadrille.operators import coverage as V
 from quadrille.operators import inventory as I
 from quadrille.operators import quality as Q
 from quadrille.operators import raster as X
 from quadrille.operators import series as R
 from quadrille.operators import spatial as Z
+from quadrille.plans import catalogue
+from quadrille.plans import proxies as D
 from quadrille.sources import files, geotiff, metadata, sinks, vector
 
 SET = Settings(year_start=2015, year_end=2016)
@@ -287,3 +290,18 @@ def test_stream(spark, tmp_path):
     q.stop()
     got = spark.sql("select * from months").collect()
     assert len(got) == 1 and got[0].lst_c == 17.5 and got[0].n == 4
+
+
+def test_calendar_shows_gaps(spark):
+    city = spark.createDataFrame([(2015, 1, 0.5, 20.0), (2015, 2, 0.5, None), (2015, 3, None, 20.0)], "ano int, mes int, ndvi_media double, lst_c_media double")
+    got = {(r.ano, r.mes): r.symbol for r in V.calendar(city, SET).collect()}
+    assert len(got) == 24
+    assert [got[2015, m] for m in (1, 2, 3, 4)] == ["O", "n", "l", "."]
+
+
+def test_whole_coverage_takes_every_scene(spark, sf):
+    """Months and scenes of the queries on all rows are those of the scene table, no sample of it."""
+    seen = D.scene_stats(spark, sf).where("ndvi_media is not null or lst_c_media is not null")
+    assert catalogue.QUERIES["coverage_overall_all"](spark, sf).first().n_any == seen.select("ano", "mes").distinct().count()
+    shared = seen.groupBy("ano", "mes").count().where("count >= 2").agg(F.sum("count")).first()[0]
+    assert catalogue.QUERIES["sensor_month_inventory_all"](spark, sf).agg(F.sum("n_scenes")).first()[0] == shared
