@@ -667,6 +667,26 @@ def raster_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return X.resample(cells, P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 0.5, 200, 200), "nearest")
 
 
+def _tiles(spark: SparkSession, sf: str, value: str) -> DataFrame:
+    """Every part is a cell: 10,000 keys fill a tile of 100 x 100 cells, which is a scene."""
+    k = F.col("p_partkey")
+    at = {"scene": F.floor(k / 10000), "row": F.floor(k % 10000 / 100), "col": k % 100}
+    return D.table(spark, sf, "part").select(*[c.cast("int").alias(n) for n, c in at.items()], F.col(value).cast("double").alias("value"))
+
+
+_TILES = "SELECT (p_partkey // 10000)::INT AS scene, (p_partkey % 10000 // 100)::INT AS row, (p_partkey % 100)::INT AS col, {}::DOUBLE AS value FROM part"
+
+
+@query(f"WITH v AS ({_TILES.format('p_retailprice')}) -- select\nSELECT scene, (row // 2)::INT AS row, (col // 2)::INT AS col, avg(value) AS value FROM v GROUP BY ALL", "value")
+def raster_bilinear_all(spark: SparkSession, sf: str) -> DataFrame:
+    return X.resample(_tiles(spark, sf, "p_retailprice"), P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 2.0, 50, 50))
+
+
+@query(f"WITH v AS ({_TILES.format('p_size')}) -- select\nSELECT scene, row * 2 + i::INT AS row, col * 2 + j::INT AS col, value FROM v, range(2) a(i), range(2) b(j)", "value")
+def raster_nearest_all(spark: SparkSession, sf: str) -> DataFrame:
+    return X.resample(_tiles(spark, sf, "p_size"), P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 0.5, 200, 200), "nearest")
+
+
 # --- figures ----------------------------------------------------------------------------------------------------------
 
 

@@ -305,3 +305,11 @@ def test_whole_coverage_takes_every_scene(spark, sf):
     assert catalogue.QUERIES["coverage_overall_all"](spark, sf).first().n_any == seen.select("ano", "mes").distinct().count()
     shared = seen.groupBy("ano", "mes").count().where("count >= 2").agg(F.sum("count")).first()[0]
     assert catalogue.QUERIES["sensor_month_inventory_all"](spark, sf).agg(F.sum("n_scenes")).first()[0] == shared
+
+
+def test_whole_raster_takes_every_part(spark, tmp_path):
+    rows = [(k, float(k), k % 50) for k in (0, 1, 9999, 10000, 10101, 20000, 123456)]
+    spark.createDataFrame(rows, "p_partkey long, p_retailprice double, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = catalogue.QUERIES["raster_bilinear_all"](spark, str(tmp_path)).collect()
+    assert {(r.scene, r.row, r.col): round(r.value, 3) for r in got} == {(0, 0, 0): 0.5, (0, 49, 49): 9999, (1, 0, 0): 10050.5, (2, 0, 0): 20000, (12, 17, 28): 123456}
+    assert catalogue.QUERIES["raster_nearest_all"](spark, str(tmp_path)).count() == 4 * len(rows)
