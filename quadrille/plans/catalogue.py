@@ -446,6 +446,19 @@ def surface_air_offset(spark: SparkSession, sf: str) -> DataFrame:
     return K.offset_summary(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS))
 
 
+#: A sample of the orders.  The queries ``_all`` have a station of all orders.
+SEVENTH = " WHERE o_orderkey % 7 = 0"
+
+
+def _whole_matched(spark: SparkSession, sf: str) -> DataFrame:
+    return K.matched(D.monthly(spark, sf), D.station(spark, sf, "true"), SETTINGS)
+
+
+whole("climate_correlation", SEVENTH, lambda spark, sf: K.correlation(_whole_matched(spark, sf)))
+whole("climate_by_zone", SEVENTH, lambda spark, sf: K.correlation(K.matched(D.zone_monthly(spark, sf), D.station(spark, sf, "true"), SETTINGS), ["zone_id"], least=SETTINGS.zone_months))
+whole("surface_air_offset", SEVENTH, lambda spark, sf: K.offset_summary(_whole_matched(spark, sf)))
+
+
 # --- ranking ----------------------------------------------------------------------------------------------------------
 
 RANKS = SQL_MONTHLY + """, placed AS (
@@ -701,6 +714,9 @@ def histogram_offset(spark: SparkSession, sf: str) -> DataFrame:
     return U.histogram(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS), "offset")
 
 
+whole("histogram_offset", SEVENTH, lambda spark, sf: U.histogram(_whole_matched(spark, sf), "offset"))
+
+
 @query(_with(SQL, """SELECT floor((a - greatest(0.15e0 * (b - a), 0.1e0)) / 0.1e0) * 0.1e0 AS low, ceil((b + greatest(0.15e0 * (b - a), 0.1e0)) / 0.1e0) * 0.1e0 AS high
   FROM (SELECT quantile_cont(lst_c, 0.02) AS a, quantile_cont(lst_c, 0.98) AS b FROM products)"""), "low high")
 def auto_limits(spark: SparkSession, sf: str) -> DataFrame:

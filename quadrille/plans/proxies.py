@@ -99,9 +99,9 @@ def zone_monthly(spark: SparkSession, sf: str) -> DataFrame:
     return R.monthly(zone_scene_stats(spark, sf), SETTINGS, zones(spark, sf), ("zone_id",))
 
 
-def station(spark: SparkSession, sf: str) -> DataFrame:
-    """A monthly temperature series."""
-    o = table(spark, sf, "orders").where("o_orderkey % 7 = 0")
+def station(spark: SparkSession, sf: str, part: str = "o_orderkey % 7 = 0") -> DataFrame:
+    """A monthly temperature series of a part of the orders; ``true`` takes all of them."""
+    o = table(spark, sf, "orders").where(part)
     temp = 15 + 10 * F.avg((F.col("o_custkey") % 100).cast("double")) / 50.0
     return o.groupBy(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes")).agg(temp.alias("temp"))
 

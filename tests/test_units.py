@@ -11,6 +11,7 @@ from quadrille.config import KELVIN, PROFILES, Settings
 from quadrille.functions import pixels as P
 from quadrille.functions import scene as S
 from quadrille.functions import statistics as T
+from quadrille.operators import climate as K
 from quadrille.operators import coverage as V
 from quadrille.operators import inventory as I
 from quadrille.operators import quality as Q
@@ -313,3 +314,12 @@ def test_whole_raster_takes_every_part(spark, tmp_path):
     got = catalogue.QUERIES["raster_bilinear_all"](spark, str(tmp_path)).collect()
     assert {(r.scene, r.row, r.col): round(r.value, 3) for r in got} == {(0, 0, 0): 0.5, (0, 49, 49): 9999, (1, 0, 0): 10050.5, (2, 0, 0): 20000, (12, 17, 28): 123456}
     assert catalogue.QUERIES["raster_nearest_all"](spark, str(tmp_path)).count() == 4 * len(rows)
+
+
+def test_whole_station_takes_every_order(spark, tmp_path):
+    """Of seven orders of a month all count; a month without orders matches none."""
+    spark.createDataFrame([(k, 10 * k) for k in range(1, 8)], "o_orderkey long, o_custkey long").withColumn("o_orderdate", F.expr("date'2015-01-09'")).write.parquet(f"{tmp_path}/orders.parquet")
+    station = D.station(spark, str(tmp_path), "true")
+    assert [tuple(r) for r in station.collect()] == [(2015, 1, 15 + 10 * 40 / 50)]
+    months = spark.createDataFrame([(2015, 1, 30.0), (2015, 2, 30.0)], "ano int, mes int, lst_c_media double")
+    assert [(r.mes, r.offset) for r in K.matched(months, station, SET).collect()] == [(1, 7.0)]
