@@ -20,7 +20,7 @@ Any length of text is read whole.  An empty table gives an empty result.  Other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -98,17 +98,17 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > len(h)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, fp)``: the id and the fingerprint as a signed long."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("body"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``(doc, fp)``: the id and the fingerprint as a signed long; then the columns of longs in ``keep``."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("body"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "body"):
                 fp = np.array([fingerprint(t) for t in text_bytes(part["body"])], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part["doc"], pa.array(fp)], names=["doc", "fp"])
+                yield pa.RecordBatch.from_arrays([part["doc"], pa.array(fp), *(part[c] for c in keep)], names=["doc", "fp", *keep])
 
-    return source.mapInArrow(run, "doc long, fp long")
+    return source.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc", "fp", *keep)))
 
 
 def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +163,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return prints.join(named, "fp").select(F.col("doc").alias(id_col), "fp", "component_id")
 
 
+def representatives(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Return the number ``row`` (a long, another one for every row) of one row of each component.
+
+    It is the row of smallest id; a null id comes after all others, and equal ids go by a hash of the text.
+    """
+    hashed = docs.withColumn("hash", F.xxhash64(text))
+    best = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "hash", row)
+    nodes = materialise(fingerprints(hashed, id_col, text, ["hash", row]).groupBy("fp").agg(F.min(best).alias("best")), "nodes")
+    classes = materialise(connected_components(links(nodes.select("fp"))), "classes")
+    named = nodes.join(classes, nodes["fp"] == classes["node"], "left")
+    return named.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best")).select(f"best.{row}")
+
+
 def hex_fingerprint(fp: str = "fp"):
     """Sixteen lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

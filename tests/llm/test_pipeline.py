@@ -95,3 +95,17 @@ def test_stages_keep_the_columns(spark, sf):
     hostile = spark.createDataFrame([(1, None, None, None, None), (None, "a b", "en", None, 3), (1, "", None, "x", 0)], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, hostile, sf).count() >= 0
+
+
+def test_one_row_of_a_group_stays(spark, sf):
+    """Null and repeated ids: no unique text is lost, no copy stays."""
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcde")
+    rows = [(1, a), (1, a), (2, a), (None, a), (1, b), (2, e), (None, c), (None, d), (None, d), (5, d[:0]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in rows], schema)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), sf).collect())
+    assert got == Counter([(1, a), (1, b), (2, e), (None, c), (None, d), (5, "")])
+    copies = docs.where("text is not null and text <> ''")
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        copies = stage(spark, copies, sf)
+    assert Counter((r.doc_id, r.text) for r in copies.collect()) == Counter([(1, a), (1, b), (2, e), (None, c), (None, d)])
