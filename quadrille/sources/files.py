@@ -73,29 +73,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose header tells the separator; with ``;`` numbers carry decimal commas.  ``NA`` and blanks are null."""
     semicolon = ";" in header(spark, path)
     df = spark.read.options(header=True, sep=";" if semicolon else ",", nullValue="NA").csv(path)
-    sample = df.limit(1000).collect()  # types are judged by the head, values that do not fit become null
+    texts = [F.regexp_replace(F.col(f"`{c}`"), ",", ".") if semicolon else F.col(f"`{c}`") for c in df.columns]
+    counts = []  # values that are there, and how many of them are no whole numbers and no numbers: judged by all rows
+    for i, t in enumerate(texts):
+        there = F.trim(t) != ""
+        suffixed = t.rlike(r"[0-9.][dDfF]\s*$")  # a cast takes 1d and 1f for numbers
+        counts += [F.count_if(there).alias(f"n{i}"), F.count_if(there & t.try_cast("long").isNull()).alias(f"l{i}"), F.count_if(there & (t.try_cast("double").isNull() | suffixed)).alias(f"d{i}")]
+    seen = df.agg(*counts).first() if counts else None
     out = []
-    for c in df.columns:
-        values = [r[c] for r in sample if r[c] not in (None, "")]
-        plain = [v.replace(",", ".") if semicolon else v for v in values]
-        text = F.regexp_replace(F.col(f"`{c}`"), ",", ".") if semicolon else F.col(f"`{c}`")
-        if values and all(_is(int, v) for v in plain):
-            out.append(text.try_cast("long").alias(c))
-        elif values and all(_is(float, v) for v in plain):
-            out.append(text.try_cast("double").alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
+    for i, (c, t) in enumerate(zip(df.columns, texts, strict=True)):
+        kind = None if not seen[f"n{i}"] else "long" if not seen[f"l{i}"] else "double" if not seen[f"d{i}"] else None
+        out.append(t.try_cast(kind).alias(c) if kind else F.col(f"`{c}`"))
     return df.select(*out)
 
 
-def _is(kind: type, v: str) -> bool:
-    try:
-        kind(v)
-    except ValueError:
-        return False
-    return True
-
-
 def numeric(df: DataFrame) -> DataFrame:
     """All columns as numbers, decimal commas too; what is none becomes null."""
     return df.select(*[F.regexp_replace(F.col(c).cast("string"), ",", ".").try_cast("double").alias(c) for c in df.columns])

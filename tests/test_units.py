@@ -323,3 +323,13 @@ def test_whole_station_takes_every_order(spark, tmp_path):
     assert [tuple(r) for r in station.collect()] == [(2015, 1, 15 + 10 * 40 / 50)]
     months = spark.createDataFrame([(2015, 1, 30.0), (2015, 2, 30.0)], "ano int, mes int, lst_c_media double")
     assert [(r.mes, r.offset) for r in K.matched(months, station, SET).collect()] == [(1, 7.0)]
+
+
+@pytest.mark.parametrize("sep,point", [(",", "."), (";", ",")])
+def test_types_are_judged_by_all_rows(spark, tmp_path, sep, point):
+    last = sep.join(["1", f"25{point}3", "later", f"2{point}5e1", "", "3f"])
+    (tmp_path / "t.csv").write_text("\n".join([sep.join("abcdef"), *[sep.join(["7", "1", "2", "NA", "", "4"])] * 1500, last]))
+    df = files.read_table(spark, str(tmp_path / "t.csv"))
+    assert [t for _, t in df.dtypes] == ["bigint", "double", "string", "double", "string", "string"]
+    assert tuple(df.where("c = 'later'").first()) == (1, 25.3, "later", 25.0, None, "3f")
+    assert df.where("b = 1 and c = '2' and d is null").count() == 1500
