@@ -18,6 +18,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -26,16 +27,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_bytes, text_slices
+from .common import materialise, text_slices
 
 CHUNK, BLOCK, NULL_ID = 8, 512, -(1 << 63)
-#: Bytes of text behind one segment, words and stems whose ids are remembered, and stems encoded behind one another.
-SEGMENT_BYTES, WORDS, STEMS, GROUP = 8 << 20, 300_000, 400_000, 50
-#: Marks that the tokenizer's pattern parts from letters and digits before them.
-TAIL = b".,!?;:*#$%&"
+#: Bytes of text behind one segment, pieces whose ids are remembered, and pieces encoded behind one another.
+SEGMENT_BYTES, PIECES, GROUP = 8 << 20, 700_000, 400
+#: How a special token of the file begins.
+SPECIAL = b"<|"
 
 
 def write_segment(ids: np.ndarray, doc_ids: np.ndarray, offsets: np.ndarray) -> bytes:
@@ -111,10 +113,31 @@ class Segment:
         return self.slice(int(self.offsets[k]), int(self.offsets[k + 1]))
 
 
+# The rules of a tokenizer file under which :func:`pieces` cuts a text where they do.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def parts_words(rules: dict) -> bool:
+    """Whether pieces may be encoded one by one under a tokenizer file's rules."""
+    normalizer, steps = rules.get("normalizer") or {}, (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = steps[0] if steps else {}
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+        and (split["pattern"], split["behavior"], split["invert"]) == ({"Regex": PARTED}, "Removed", True)
+        and not steps[1]["add_prefix_space"]
+        and not steps[1]["use_regex"]
+        and all(t["content"].encode().startswith(SPECIAL) for t in rules.get("added_tokens", []))
+    )
+
+
 class WordEncoder:
-    """Encodes with a tokenizer file; a text's words, split at white space, are encoded each by itself.
+    """Encodes with a tokenizer file.
 
-    The tokenizer's own rules never join characters across white space, so the ids are those of the whole text.
+    Where the file's rules never join characters across white space and some other places, the distinct pieces of a
+    slice of texts are encoded once each and the ids of its texts gathered from them; these are the ids of the whole
+    texts.  Under other rules every text is encoded whole.
     """
 
     def __init__(self, file: str):
@@ -122,43 +145,94 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {b"": b""}
-
-    def _learn(self, stems: list[bytes]) -> None:
-        """Encode new stems, many behind one another; a token belongs to the stem that its place lies in."""
-        plain = []
-        for w in stems:
-            if b"<|" in w:  # may hold a special token: by itself
-                self.stems[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                plain.append(w)
+        with open(file, encoding="utf-8") as f:
+            self.by_words = parts_words(json.load(f))
+        self.pieces: dict[bytes, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode new pieces, many behind one another; a token belongs to the piece that its place lies in."""
+        special = [w for w in new if SPECIAL in w]  # may hold a special token: each by itself
+        self.pieces.update(zip(special, self._whole([w.decode() for w in special]), strict=True))
+        plain = [w for w in new if SPECIAL not in w] if special else new
         groups = [plain[a : a + GROUP] for a in range(0, len(plain), GROUP)]
         texts = [b" ".join(g).decode() for g in groups]
         for group, text, e in zip(groups, texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
             ids, places = np.array(e.ids, "<u4").tobytes(), np.array([a for a, _ in e.offsets], np.int64)
             ends = np.cumsum(np.fromiter(map(len, text.split(" ")), np.int64, len(group)) + 1)
             cuts = (4 * np.searchsorted(places, ends)).tolist()
-            self.stems.update(zip(group, (ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
-
-    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        if len(self.words) > WORDS:
-            self.words.clear()
-        if len(self.stems) > STEMS:
-            self.stems = {b"": b""}
+            self.pieces.update(zip(group, (ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+
+    def _known(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece."""
+        if len(self.pieces) > PIECES:
+            self.pieces = {}
+        found = list(map(self.pieces.get, pieces))
+        new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if not new:
+            return found
+        self._learn(new)
+        return list(map(self.pieces.__getitem__, pieces))
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), each closed by ``end_id``, in a row; and where each text's ids start."""
+        texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
         end = np.array([end_id], "<u4").tobytes()
-        # the tokenizer lower-cases; doing so before, for plain letters, makes more words equal
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        parted = []
-        for w in set().union(*split).difference(self.words):
-            stem = w.rstrip(TAIL)
-            # marks behind a letter or digit are cut off by the tokenizer too
-            parted.append((w, stem, w[len(stem) :]) if stem[-1:].isalnum() and b"<|" not in w else (w, w, b""))
-        self._learn(list({s for p in parted for s in p[1:]}.difference(self.stems)))
-        stems = self.stems
-        self.words.update((w, stems[s] + stems[t]) for w, s, t in parted)
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) + end for ws in split]
+        if not self.by_words:
+            bodies = [x + end for x in self._whole([t.decode() for t in texts.to_pylist()])]
+            lengths = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+            return np.frombuffer(b"".join(bodies), "<u4"), np.concatenate([[0], np.cumsum(lengths)])
+        words, ends = pieces(texts)
+        words = words.dictionary_encode()
+        bodies = [*self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist()), end]
+        ids, size = np.frombuffer(b"".join(bodies), "<u4"), np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+        # the end id stands behind each text's last piece
+        index = np.insert(np.asarray(words.indices.to_numpy(zero_copy_only=False), np.int64), ends, len(bodies) - 1)
+        start, length = np.cumsum(size) - size, size[index]
+        to = np.cumsum(length)
+        out = ids[np.repeat(start[index] - (to - length), length) + np.arange(int(to[-1]) if len(to) else 0)]
+        return out, np.concatenate([[0], to[ends + np.arange(len(ends))]])
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Per byte: the lower-case byte, and 1 letter, 2 digit, 3 mark, 4 white space, 0 others; of plain characters only."""
+    low, kind = np.arange(256, dtype=np.uint8), np.zeros(256, np.uint8)
+    low[65:91] += 32
+    kind[33:127] = 3
+    kind[48:58], kind[97:123], kind[65:91], kind[ord("'")] = 2, 1, 1, 0
+    kind[9:14] = kind[32] = 4
+    return low, kind
+
+
+LOW, KIND = _classes()
+
+
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All texts cut at white space and between plain letters, single digits and marks, where the pattern cuts too; and
+    how many pieces there are up to each text's end.  Plain letters are lower-cased, as the tokenizer does.
+
+    A text that may hold a special token is cut at white space only, and left as it is.
+    """
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    body, kind = LOW[raw], KIND[raw]
+    inside, last = kind != 4, np.concatenate([[4], kind[:-1]]).astype(np.uint8) if len(kind) else kind
+    cut = (last == 4) | (last > 0) & (kind > 0) & ((last != kind) | (kind == 2))
+    whole = raw.tobytes()
+    at = whole.find(SPECIAL)
+    while at >= 0:
+        k = int(np.searchsorted(bounds, at, side="right")) - 1
+        a, b = int(bounds[k]), int(bounds[k + 1])
+        body[a:b], cut[a:b] = raw[a:b], last[a:b] == 4
+        at = whole.find(SPECIAL, b)
+    cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    starts = np.flatnonzero(cut & inside)
+    offsets = np.append(np.cumsum(inside)[starts] - 1, int(inside.sum())).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body[inside])])
+    return words, np.searchsorted(starts, bounds[1:])
 
 
 @lru_cache(maxsize=2)
@@ -167,25 +241,25 @@ def _encoder(file: str) -> WordEncoder:
 
 
 def write_store(docs: DataFrame, file: str, end_id: int = 1, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and write segments; returns the table ``(part, segment, n_ids, body)`` as read back from the store."""
+    """Encode and write segments; returns ``(part, segment, before, n_ids, body)`` as read back from the store.
+
+    ``before`` counts the ids of the part's earlier segments.
+    """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(text).cast("string").alias("body"), F.xxhash64(text).alias("tie"))
     dealt = rows.repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie")
     dealt = dealt.select("doc", "body", F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = _encoder(file), 0
+        encoder, number, before = _encoder(file), 0, 0
         for batch in batches:
             for piece in text_slices(batch, "body", SEGMENT_BYTES):
-                ids = encoder.encode(text_bytes(piece["body"]), end_id)
-                lengths = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(lengths)])
-                body = write_segment(np.frombuffer(b"".join(ids), "<u4"), np.asarray(piece["doc"].to_numpy(), np.int64), offsets)
-                yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array([piece["part"][0].as_py()], pa.int32()), "segment": pa.array([number], pa.int32()), "n_ids": pa.array([int(offsets[-1])], pa.int64()), "body": pa.array([body], pa.binary())}
-                )
-                number += 1
+                ids, offsets = encoder.encode(piece["body"], end_id)
+                body = write_segment(ids, np.asarray(piece["doc"].to_numpy(), np.int64), offsets)
+                values = [piece["part"][:1], pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([body], pa.binary())]
+                yield pa.RecordBatch.from_arrays(values, names=["part", "segment", "before", "n_ids", "body"])
+                number, before = number + 1, before + len(ids)
 
-    return materialise(dealt.mapInArrow(run, "part int, segment int, n_ids long, body binary"), "tokens")
+    return materialise(dealt.mapInArrow(run, "part int, segment int, before long, n_ids long, body binary"), "tokens")
 
 
 def read_store(store: DataFrame) -> DataFrame:
@@ -198,18 +272,15 @@ def read_store(store: DataFrame) -> DataFrame:
     for r in totals:
         starts[r["part"]] = sofar
         sofar += r["n"]
-    # a part's segments are few; their running sum needs their sizes only
-    sizes = store.select("part", "segment", "n_ids").groupBy("part").agg(F.array_sort(F.collect_list(F.struct("segment", "n_ids"))).alias("sizes"))
-    before = F.aggregate(F.filter("sizes", lambda s: s["segment"] < F.col("segment")), F.lit(0).cast("long"), lambda a, s: a + s["n_ids"])
-    placed = store.join(sizes, "part").select((F.element_at(F.lit(starts), F.col("part") + 1) + before).alias("first"), "body")
+    placed = store.select((F.element_at(F.lit(starts), F.col("part") + 1) + F.col("before")).alias("first"), "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, body in zip(batch["first"].to_pylist(), batch["body"], strict=True):
                 s = Segment(body.as_py())
-                crc = [zlib.crc32(s.document(k).tobytes()) for k in range(len(s.doc_ids))]
-                yield pa.RecordBatch.from_pydict(
-                    {"doc": pa.array([None if i == NULL_ID else int(i) for i in s.doc_ids], pa.int64()), "start": pa.array(first + s.offsets[:-1]), "n_tokens": pa.array(np.diff(s.offsets)), "ids_crc32": pa.array(crc, pa.int64())}
-                )
+                ids, cuts = memoryview(s.slice(0, s.n)).cast("B"), (4 * s.offsets).tolist()
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+                doc = pa.array(s.doc_ids, mask=s.doc_ids == NULL_ID)
+                yield pa.RecordBatch.from_arrays([doc, pa.array(first + s.offsets[:-1]), pa.array(np.diff(s.offsets)), pa.array(crc, pa.int64())], names=["doc", "start", "n_tokens", "ids_crc32"])
 
     return placed.mapInArrow(run, "doc long, start long, n_tokens long, ids_crc32 long")

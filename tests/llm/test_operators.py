@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -214,8 +215,17 @@ def test_token_store(spark, docs, rows, empty):
     assert sorted(map(repr, [(r.doc, r.start, r.n_tokens, r.ids_crc32) for r in got])) == sorted(map(repr, want))
     assert token_store.read_store(token_store.write_store(empty, WORD_FILE)).count() == 0
     hard = ["x<|endoftext|>y <|ENDOFTEXT|>", "İß ΣΣ é é ́a", "it's 'S 12.5,!? a.,'s", "\x85\xa0x　y", "€. €,, a€."]
-    for t, b in zip(hard, token_store.WordEncoder(WORD_FILE).encode([t.encode() for t in hard], 1), strict=True):
-        assert np.frombuffer(b, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+    rng, letters = random.Random(4), "ab é.,'s1#$\n\t\u3000İ<|>ß-\u0301Σ"
+    hard += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + ["", " ", "  a  "]
+    for by_words in (True, False):
+        coder = token_store.WordEncoder(WORD_FILE)
+        assert coder.by_words
+        coder.by_words = by_words
+        ids, starts = coder.encode(pa.array([*hard, None]), 1)
+        for t, a, b in zip([*hard, ""], starts, starts[1:], strict=False):
+            assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+    assert token_store.WordEncoder(WORD_FILE).encode(pa.array([], pa.string()), 1)[1].tolist() == [0]
+    assert not token_store.parts_words({"normalizer": None, "pre_tokenizer": {"pretokenizers": []}})
 
 
 @pytest.mark.parametrize("top", [200, 60_000, 1 << 31])
