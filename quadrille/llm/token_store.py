@@ -35,7 +35,7 @@ from .common import materialise, text_slices
 
 CHUNK, BLOCK, NULL_ID = 8, 512, -(1 << 63)
 #: Bytes of text behind one segment, pieces whose ids are remembered, and pieces encoded behind one another.
-SEGMENT_BYTES, PIECES, GROUP = 8 << 20, 700_000, 400
+SEGMENT_BYTES, PIECES, GROUP = 4 << 20, 400_000, 400
 #: How a special token of the file begins.
 SPECIAL = b"<|"
 
