@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,6 +53,27 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: A key is heavy where it holds more than this share of all rows, so there are fewer heavy keys than its inverse.
+HEAVY = 1 / 1000
+
+
+def heavy_join(rows: DataFrame, named: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``named``, a written table of one row a key that says in ``count`` how many rows have it.
+
+    Rows of a heavy key are dealt over as many parts as it fills, and its row of ``named`` is repeated for each part.
+    Heavy keys are fewer than 1 / ``HEAVY``, so they are broadcast.  ``rows`` is to be a written table too: the part is
+    the row's number, which then is the same whenever a task runs again.
+    """
+    total = named.agg(F.sum(count)).first()[0] or 0
+    limit = max(1, math.ceil(total * HEAVY))
+    parts = F.ceil(F.col(count) / limit).cast("int")
+    heavy = F.broadcast(named.where(F.col(count) > limit).select(*keys, parts.alias("__parts")))
+    dealt = rows.withColumn("__row", F.monotonically_increasing_id()).join(heavy, keys, "left")
+    dealt = dealt.withColumn("__part", F.coalesce(F.pmod("__row", "__parts"), F.lit(0)).cast("int")).drop("__row", "__parts")
+    spread = named.withColumn("__part", F.explode(F.when(F.col(count) > limit, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))))
+    return dealt.join(spread, [*keys, "__part"], how).drop("__part")
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text; a null text is an empty one."""
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()

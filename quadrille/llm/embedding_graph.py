@@ -1,15 +1,18 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
 Vectors of one label are cut into overlapping cluster shards: a cell that is too large is split around centroids
-fitted to a bounded sample of it, and a vector joins every child whose centroid is not much farther than its nearest,
-its home.  Each shard builds a flat graph (nearest neighbours, pruned so that a kept neighbour is not close to one kept
-before); a vector's adjacency lists from all its shards are united.  Then every vector is searched for from its home
-shard's medoids and its own lists: a greedy search for the region, then expansion over all nodes in range.  Pairs found are verified by
-their cosine in double precision.
-
-Equal vectors are one node with a count, so copies never form pairs.  A cell that does not come apart, because most of
-its vectors are nearly the same, is compared exactly in blocks of bounded size.  Tasks return a count for each vector
-and a spanning set of links, not all pairs.
+fitted to a bounded sample of it.  The nearest centroid is a vector's home; it also joins every child whose border it
+lies no farther from than two linked vectors can lie apart.  So whatever links with a vector is a member of its home,
+at every level.  Each shard builds a flat graph (nearest neighbours, pruned so that a kept neighbour is not close to
+one kept before); a vector's adjacency lists from all its shards are united.  Then every vector is searched for from
+its home shard's medoids and its own lists: a greedy search for the region, then expansion over all nodes in range.
+Pairs found are verified by their cosine in double precision.  A pair whose ends have different homes belongs to that
+home whose name comes first, so it is counted in one task, at both ends.
+
+Equal vectors are one node with a count, so copies never form pairs.  A cell that does not come apart holds vectors
+that are nearly the same.  Those within half the linking distance of its centroid all link with each other, which is
+counted by arithmetic; the others are compared with all, exactly, in blocks of bounded size.  Tasks return a count for
+each vector and a spanning set of links, not all pairs.
 
 The graph is approximate in what it finds, never in what it reports; ``audit`` measures recall against brute force for
 every id divisible by 100.
@@ -29,13 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import heavy_join, materialise
 from .components import connected_components
 
 #: Largest shard and mean size aimed at; most children of one split; sampled vectors a child; vectors a task assigns.
 SHARD, AIM, FAN, SAMPLE, DEAL = 3000, 1000, 32, 64, 20_000
-#: A vector joins children whose centroid is at most so much farther (in chord length) than the nearest.
-MARGIN = 0.12
 #: Candidates and degree of the graph, the pruning factor, and the beam of the greedy search.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.2, 12
 #: Expansion also passes through nodes this much below the threshold.
@@ -73,42 +74,45 @@ def _fit(key: tuple, table: pa.Table) -> pa.Table:
         for j in range(k):
             if (near == j).any():
                 m = x[near == j].mean(axis=0)
-                c[j] = m / max(np.sqrt((m * m).sum()), 1e-12)
+                if (size := np.sqrt((m * m).sum())) > 1e-6:
+                    c[j] = m / size
     return pa.table({"cell": [key[0].as_py()], "vec": pa.array([c.ravel().tolist()], pa.list_(pa.float64()))})
 
 
-def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by cell, each cell's centroids first."""
-    cell, centroids = None, None
-    for batch in batches:
-        names = batch["cell"].to_pylist()
-        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            part = batch.slice(a, b - a)
-            while part.num_rows and part["id"][0].as_py() is None:
-                cell, flat = names[a], np.asarray(part["vec"][0].values.to_numpy(), np.float64)
-                dim = int(part["dim"][0].as_py())
-                centroids, part = flat.reshape(-1, dim), part.slice(1)
-            if not part.num_rows:
-                continue
-            assert cell == names[a]
-            x = _unit(part["vec"])
-            d = np.sqrt(np.maximum(0, 2 - 2 * (x @ centroids.T)))
-            least = d.argmin(axis=1)
-            row, child = np.nonzero(d <= d[np.arange(len(d)), least][:, None] + MARGIN)
-            home = np.asarray(part["home"].to_numpy(zero_copy_only=False), bool)[row] & (least[row] == child)
-            taken = part.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{cell}.{j}" for j in child.tolist()]), taken["id"], pa.array(home), taken["n"], taken["vec"]], names=["cell", "id", "home", "n", "vec"]
-            )
-
-
-MEMBER = "cell string, id long, home boolean, n long, vec array<double>"
-
-
-def shards(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _assign(reach: float):
+    """Children of rows that come sorted by cell and salt, each such group led by a row with the cell's centroids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, centroids, gap = None, None, None
+        for batch in batches:
+            heads = np.flatnonzero(np.asarray(batch["id"].is_null().to_numpy(zero_copy_only=False), bool)).tolist()
+            for a, b in zip([None, *heads], [*heads, batch.num_rows], strict=True):
+                if a is not None:
+                    cell, flat = batch["cell"][a].as_py(), np.asarray(batch["vec"][a].values.to_numpy(), np.float64)
+                    centroids = flat.reshape(-1, int(batch["dim"][a].as_py()))
+                    gap = np.sqrt(np.maximum(0, ((centroids[:, None] - centroids) ** 2).sum(axis=2)))
+                part = batch.slice(0 if a is None else a + 1, b - (0 if a is None else a + 1))
+                if not part.num_rows:
+                    continue
+                dot = _unit(part["vec"]) @ centroids.T
+                near = dot.argmax(axis=1)
+                # the distance to the plane midway between the nearest centroid and another
+                row, child = np.nonzero(dot[np.arange(len(dot)), near][:, None] - dot <= reach * gap[near] + 1e-9)
+                home = np.asarray(part["home"].to_numpy(zero_copy_only=False), bool)[row] & (near[row] == child)
+                taken = part.take(pa.array(row))
+                off = np.sqrt(np.maximum(0, 2 - 2 * dot[row, child]))
+                yield pa.RecordBatch.from_arrays([pa.array([f"{cell}.{j}" for j in child.tolist()]), taken["id"], pa.array(home), taken["n"], taken["vec"], pa.array(off)], names=["cell", "id", "home", "n", "vec", "off"])
+
+    return run
+
+
+#: ``off`` is the chord from the cell's centroid.
+MEMBER = "cell string, id long, home boolean, n long, vec array<double>, off double"
+
+
+def shards(nodes: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     """Members of shards, and members of cells that did not come apart; nodes are ``id, label, n, vec``."""
-    members = nodes.select(F.concat_ws(":", "label", F.size("vec")).alias("cell"), "id", F.lit(True).alias("home"), "n", "vec")
+    members = nodes.select(F.concat_ws(":", "label", F.size("vec")).alias("cell"), "id", F.lit(True).alias("home"), "n", "vec", F.lit(None).cast("double").alias("off"))
     done, dense = [], []
     while True:
         sizes = members.groupBy("cell").agg(F.count("*").alias("size"))
@@ -137,7 +141,7 @@ def shards(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         heads = centroids.select("cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("home"), F.lit(None).cast("long").alias("n"), "vec", dim)
         rows = large.select("cell", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), "id", "home", "n", "vec", dim)
         dealt = heads.unionByName(rows).repartition("cell", "salt").sortWithinPartitions("cell", "salt", F.col("id").asc_nulls_first())
-        members = materialise(dealt.select("cell", "id", "home", "n", "vec", "dim").mapInArrow(_assign, MEMBER), "members")
+        members = materialise(dealt.select("cell", "id", "home", "n", "vec", "dim").mapInArrow(_assign(reach), MEMBER), "members")
     whole = done[0]
     for x in done[1:]:
         whole = whole.unionByName(x)
@@ -170,8 +174,9 @@ def _prune(x: np.ndarray, part: np.ndarray, near: np.ndarray) -> np.ndarray:
 
 
 def _build(key: tuple, table: pa.Table) -> pa.Table:
-    """Adjacency lists of a shard."""
+    """Adjacency lists of a shard, and the shard's name for those whose home it is."""
     ids, x = np.asarray(table["id"].to_numpy()), _unit(table["vec"])
+    owner = [key[0].as_py() if h else None for h in table["home"].to_pylist()]
     n = len(ids)
     lists: list[list[int]] = []
     for a in range(0, n, 256):
@@ -186,7 +191,7 @@ def _build(key: tuple, table: pa.Table) -> pa.Table:
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, 1), axis=1), 1)
         kept = _prune(x, part, near)
         lists += [ids[r[r >= 0]].tolist() for r in kept]
-    return pa.table({"id": pa.array(ids), "near": pa.array(lists, pa.list_(pa.int64()))})
+    return pa.table({"id": pa.array(ids), "near": pa.array(lists, pa.list_(pa.int64())), "owner": pa.array(owner, pa.string())})
 
 
 def _entries(graph: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -250,108 +255,129 @@ def _search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.n
 FOUND = "a long, b long, links long"
 
 
-def _found(ids: np.ndarray, n: np.ndarray, counts: dict[int, int], pairs: tuple[np.ndarray, np.ndarray]) -> pa.Table:
-    """Counts as rows ``(id, null, count)``, links as spanning rows ``(id, smallest of its local class, null)``."""
-    u, v = pairs
-    name = np.arange(len(ids))
-    order = np.argsort(ids, kind="stable")
-    rank = np.empty(len(ids), np.int64)
-    rank[order] = np.arange(len(ids))
-    name = rank.copy()
-    while len(u):
-        low = name.copy()
-        np.minimum.at(low, u, name[v])
-        np.minimum.at(low, v, name[u])
-        low = np.minimum(low, low[order[low]])
-        if (low == name).all():
-            break
-        name = low
-    moved = np.flatnonzero(name != rank)
-    a = [*counts, *ids[moved].tolist()]
-    b = [None] * len(counts) + ids[order[name[moved]]].tolist()
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array([*counts.values(), *[None] * len(moved)], pa.int64())})
+def _merge(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Roots after the links ``(u, v)``; a root is the smallest index of its class."""
+    while True:
+        a, b = root[u], root[v]
+        if (a == b).all():
+            return root
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _found(ids: np.ndarray, links: np.ndarray, root: np.ndarray) -> pa.Table:
+    """Counts as rows ``(id, null, count)``, classes as rows ``(id, smallest of its class, null)``; ids are sorted."""
+    some, moved = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(ids)))
+    a = pa.array(np.concatenate([ids[some], ids[moved]]))
+    b = pa.array(np.concatenate([ids[some], ids[root[moved]]]), mask=np.arange(len(a)) < len(some))
+    return pa.table({"a": a, "b": b, "links": pa.array(np.concatenate([links[some], moved]), mask=np.arange(len(a)) >= len(some))})
 
 
 def _search_shard(threshold: float):
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        table, cell = table.sort_by("id"), key[0].as_py()
         ids, x = np.asarray(table["id"].to_numpy()), _unit(table["vec"])
         n, home = np.asarray(table["n"].to_numpy()), np.asarray(table["home"].to_numpy(), bool)
-        at = {int(i): k for k, i in enumerate(ids)}
-        lists = [[at[j] for j in near if j in at] for near in table["near"].to_pylist()]
-        back: list[list[int]] = [[] for _ in ids]  # links are walked both ways
-        for i, near in enumerate(lists):
-            for j in near:
-                back[j].append(i)
-        lists = [sorted({*a, *b[:DEGREE]}) for a, b in zip(lists, back, strict=True)]
-        graph = np.full((len(ids), max(1, max(map(len, lists)))), -1, np.int64)
-        for i, near in enumerate(lists):
-            graph[i, : len(near)] = near
+        ours = home | np.array([o > cell for o in table["owner"].to_pylist()], bool)  # pairs with these are counted here
+        size = len(ids)
+        near = table["near"].combine_chunks()
+        of = np.repeat(np.arange(size), np.asarray(near.value_lengths().to_numpy(zero_copy_only=False), np.int64))
+        to = np.asarray(near.flatten().to_numpy(zero_copy_only=False), np.int64)
+        at = np.minimum(np.searchsorted(ids, to), size - 1)
+        of, to = of[ids[at] == to], at[ids[at] == to]  # lists from other shards also name nodes that are not here
+        edge = np.unique(np.concatenate([of * size + to, to * size + of]))  # walked both ways
+        of, to = edge // size, edge % size
+        degree = np.bincount(of, minlength=size)
+        graph = np.full((size, max(1, int(degree.max()))), -1, np.int64)
+        graph[of, np.arange(len(of)) - (np.cumsum(degree) - degree)[of]] = to
         entries = _entries(graph, x)
-        counts, us, vs = {}, [], []
+        codes = [np.zeros(0, np.int64)]
         queries = np.flatnonzero(home)
         for s in range(0, len(queries), 256):
             part = queries[s : s + 256]
-            sim = _search(x, graph, entries, part, threshold)
-            row, node = np.nonzero(sim >= threshold)
-            other = node != part[row]
-            row, node = row[other], node[other]
-            links = np.bincount(row, weights=n[node], minlength=len(part)).astype(np.int64) + n[part] - 1
-            counts |= dict(zip(ids[part].tolist(), links.tolist(), strict=True))
-            us.append(part[row])
-            vs.append(node)
-        pairs = (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
-        return _found(ids, n, counts, pairs)
+            row, node = np.nonzero((_search(x, graph, entries, part, threshold) >= threshold) & ours)
+            u, v = np.minimum(part[row], node), np.maximum(part[row], node)
+            codes.append(np.unique((u * size + v)[u < v]))
+        pair = np.unique(np.concatenate(codes))  # a pair of this home is often found from both ends
+        u, v = pair // size, pair % size
+        links = np.where(home, n - 1, 0) + np.bincount(u, n[v], size).astype(np.int64) + np.bincount(v, n[u], size).astype(np.int64)
+        return _found(ids, links, _merge(np.arange(size), u, v))
 
     return run
 
 
 def _compare_blocks(threshold: float):
+    """Counts between two blocks, or within one whose rows come as ``both``."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids, x = np.asarray(table["id"].to_numpy()), _unit(table["vec"])
-        n, home = np.asarray(table["n"].to_numpy()), np.asarray(table["home"].to_numpy(), bool)
-        asks, told = np.asarray(table["asks"].to_numpy(), bool), np.asarray(table["told"].to_numpy(), bool)
-        queries, data = np.flatnonzero(asks & home), np.flatnonzero(told)
-        counts, us, vs = {}, [], []
-        for s in range(0, len(queries), 256):
-            part = queries[s : s + 256]
-            hit = x[part] @ x[data].T >= threshold
-            hit &= part[:, None] != data
-            own = np.isin(part, data)  # a vector's copies are counted once, in its own block
-            links = (hit * n[data]).sum(axis=1) + np.where(own, n[part] - 1, 0)
-            counts |= dict(zip(ids[part].tolist(), links.astype(np.int64).tolist(), strict=True))
+        table = table.sort_by("id")
+        ids, x, n = np.asarray(table["id"].to_numpy()), _unit(table["vec"]), np.asarray(table["n"].to_numpy())
+        home, side = np.asarray(table["home"].to_numpy(), bool), np.array(table["side"].to_pylist())
+        left, right = np.flatnonzero(side != "right"), np.flatnonzero(side != "left")
+        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for s in range(0, len(left), 256):
+            part = left[s : s + 256]
+            hit = (x[part] @ x[right].T >= threshold) & (home[part][:, None] | home[right])
+            hit &= (side[part] != "both")[:, None] | (part[:, None] < right)
+            links[part] += hit @ n[right]
+            links[right] += n[part] @ hit
             row, column = np.nonzero(hit)
-            us.append(part[row])
-            vs.append(data[column])
-        pairs = (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
-        return _found(ids, n, counts, pairs)
+            root = _merge(root, part[row], right[column])
+        return _found(ids, links, root)
 
     return run
 
 
+def _dense(members: DataFrame, threshold: float, reach: float) -> DataFrame:
+    """What :func:`_search_shard` returns, for cells that do not come apart; members have an ``owner``.
+
+    Members within half the reach of the centroid, the core, all link with each other: their counts are sums over the
+    cell.  The rest is cut into blocks, which are compared with each other and with those of the core.
+    """
+    members = materialise(members.where(F.col("home") | (F.col("owner") > F.col("cell"))).withColumn("core", F.col("off") <= reach / 2 - 1e-6), "dense")
+    w = lambda c: F.coalesce(F.sum(F.when(F.col("core") & c, F.col("n"))), F.lit(0))
+    count = lambda c: F.ceil(F.count_if(c) / BLOCK).cast("int")
+    cells = members.groupBy("cell").agg(w(F.col("home")).alias("own"), w(~F.col("home")).alias("others"), F.min(F.when(F.col("core"), F.col("id"))).alias("first"), count(~F.col("core")).alias("loose"), count(F.col("core")).alias("tight"), F.count("*").alias("rows"))
+    rows = heavy_join(members, materialise(cells, "cells"), ["cell"], "rows")
+    core = rows.where("core")
+    links = F.when(F.col("home"), F.col("own") + F.col("others") - 1).otherwise(F.col("own"))
+    out = core.select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), links.alias("links"))
+    out = out.unionByName(core.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"), F.lit(None).cast("long").alias("links")))
+    loose = rows.where("not core").withColumn("block", F.pmod(F.xxhash64("id"), F.col("loose")).cast("int"))
+    out = out.unionByName(loose.where("home and n > 1").select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), (F.col("n") - 1).alias("links")))
+    side = F.when(F.col("i") == F.col("j"), "both").when(F.col("i") == F.col("block"), "left").otherwise("right")
+    place = ["cell", "kind", "i", "j", "id", "home", "n", "vec"]
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    pairs = loose.withColumn("other", upto("loose")).withColumns({"kind": F.lit(0), "i": F.least("block", "other"), "j": F.greatest("block", "other")}).select(*place, side.alias("side"))
+    to_core = loose.where("tight > 0").withColumns({"kind": F.lit(1), "i": F.col("block"), "j": upto("tight")}).select(*place, F.lit("left").alias("side"))
+    tight = core.where("loose > 0").withColumns({"kind": F.lit(1), "i": upto("loose"), "j": F.pmod(F.xxhash64("id"), F.col("tight")).cast("int")}).select(*place, F.lit("right").alias("side"))
+    blocks = pairs.unionByName(to_core).unionByName(tight)
+    return out.unionByName(blocks.groupBy("cell", "kind", "i", "j").applyInArrow(_compare_blocks(threshold), FOUND))
+
+
 def link_vectors(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Return ``id_col, n_links, component_id, kept`` for every row."""
+    reach = math.sqrt(2 - 2 * threshold)
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vec"))
     base = base.withColumn("usable", F.col("label").isNotNull() & usable(F.col("vec")))
     base = materialise(base.withColumns({"v1": F.xxhash64("label", "vec"), "v2": F.xxhash64(F.lit(1), "vec", "label")}), "vectors")
     same = ["v1", "v2"]
     nodes = base.where("usable").groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vec").alias("vec"))
     nodes = materialise(nodes.where("id is not null"), "nodes")
-    members, dense = shards(nodes.select("id", "label", "n", "vec"))
-    graph = members.groupBy("cell").applyInArrow(_build, "id long, near array<long>")
-    graph = graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    found = members.join(graph, "id").select("cell", "id", "home", "n", "vec", "near").groupBy("cell").applyInArrow(_search_shard(threshold), FOUND)
-    blocks = dense.groupBy("cell").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    asked = dense.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asks = asked.withColumn("other", each).select("cell", F.col("block").alias("i"), F.col("other").alias("j"), "id", "home", "n", "vec", F.lit(True).alias("asks"), (F.col("block") == F.col("other")).alias("told"))
-    told = asked.withColumn("other", each).where("block <> other").select("cell", F.col("other").alias("i"), F.col("block").alias("j"), "id", "home", "n", "vec", F.lit(False).alias("asks"), F.lit(True).alias("told"))
-    crowd = asks.unionByName(told).groupBy("cell", "i", "j").applyInArrow(_compare_blocks(threshold), FOUND)
-    found = materialise(found.unionByName(crowd), "found")
+    members, dense = shards(nodes.select("id", "label", "n", "vec"), reach)
+    lists = members.groupBy("cell").applyInArrow(_build, "id long, near array<long>, owner string")
+    lists = lists.unionByName(dense.where("home").select("id", F.array().cast("array<long>").alias("near"), F.col("cell").alias("owner")))
+    graph = materialise(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("owner").alias("owner")), "graph")
+    found = members.join(graph, "id").select("cell", "id", "home", "n", "vec", "near", "owner").groupBy("cell").applyInArrow(_search_shard(threshold), FOUND)
+    found = found.unionByName(_dense(dense.join(graph.select("id", "owner"), "id"), threshold, reach))
+    found = materialise(found, "found")
     counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("n_links"))
     classes = materialise(connected_components(found.where("b is not null").select(F.col("a").alias("u"), F.col("b").alias("v"))), "classes")
-    named = nodes.select(*same, "id").join(counts, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select(*same, "n_links", F.coalesce("component", "id").alias("component"))
-    out = base.join(named.withColumn("usable", F.lit(True)), [*same, "usable"], "left")
+    named = nodes.select(*same, "id", "n").join(counts, "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
+    named = materialise(named.select(*same, "n", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component")), "named")
+    out = heavy_join(base.where("usable"), named, same, "n", "left").select("id", "n_links", "component")
+    out = out.unionByName(base.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component")))
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
 

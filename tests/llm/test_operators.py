@@ -489,16 +489,24 @@ def vectors(rng):
         n += 1
     rows += [(n + k, rows[0][1], "a") for k in range(40)]
     n += 40
+    for v in rng.normal(size=(700, 3)):  # an even spread, cut by many borders
+        rows.append((n, v.tolist(), "c"))
+        n += 1
+    center = rng.normal(size=16)
+    for k in range(300):  # a crowd that does not come apart, in part farther than half the reach from its middle
+        rows.append((n, (center / np.linalg.norm(center) + rng.normal(size=16) * (0.01 if k % 2 else 0.033)).tolist(), "d"))
+        n += 1
     odd = [([0.0] * 16, "a"), (None, "a"), ([None] + [1.0] * 15, "a"), ([math.nan] + [1.0] * 15, "a"), ([math.inf] + [1.0] * 15, "a"), (rows[0][1], None), ([1.0, 2.0], "a"), ([1.0, 2.0], "a"), ([], "a"), ([1e200] * 16, "b"), ([1e-200] * 16, "b")]
     rows += [(n + k, v, x) for k, (v, x) in enumerate(odd)]
     return rows
 
 
-@pytest.mark.parametrize("shard,block", [(3000, 3000), (150, 100)])
-def test_embedding_graph(spark, monkeypatch, shard, block):
+@pytest.mark.parametrize("shard,block,deal", [(3000, 3000, 20_000), (120, 60, 50)])
+def test_embedding_graph(spark, monkeypatch, shard, block, deal):
     monkeypatch.setattr(embedding_graph, "SHARD", shard)
     monkeypatch.setattr(embedding_graph, "AIM", shard // 3)
     monkeypatch.setattr(embedding_graph, "BLOCK", block)
+    monkeypatch.setattr(embedding_graph, "DEAL", deal)
     rows = vectors(np.random.default_rng(3))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
     out = embedding_graph.link_vectors(clashing(df))
@@ -524,10 +532,10 @@ def test_embedding_graph(spark, monkeypatch, shard, block):
                 links[j] += 1
                 p, q = find(i), find(j)
                 root[max(p, q)] = min(p, q)
-    assert all(got[i].n_links <= links[i] for i in got)
-    assert sum(r.n_links for r in got.values()) >= 0.97 * sum(links.values())
+    assert all(got[i].n_links <= links[i] for i in got) and sum(r.n_links for r in got.values()) % 2 == 0
+    assert sum(r.n_links for r in got.values()) >= 0.999 * sum(links.values())
     wrong = sum(got[i].component_id != find(i) for i in got)
-    assert wrong <= 0.02 * len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+    assert wrong <= 0.002 * len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in got if i not in unit)
     told, there = embedding_graph.audit(df, out)
     assert there and told >= 0.9 * there
