@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,15 +19,20 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 _LOCAL: dict[str, str] = {}
+#: Folders that :func:`materialise` has written in this process and not yet deleted.
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset (a single machine, as in tests) one local folder is made for the session.
+    Where it is unset on a single machine, as in tests, one local folder is made for the session; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         app = spark.sparkContext.applicationId
         base = _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="quadrille-"))
     return base.rstrip("/")
@@ -39,32 +45,41 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what :func:`materialise` wrote for ``df``; call it only when nothing reads ``df`` any more."""
-    spark = df.sparkSession
+def written() -> int:
+    """A mark for :func:`discard`."""
+    return len(_WRITTEN)
+
+
+def discard(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
+    """Delete what :func:`materialise` wrote since ``mark``, save the tables ``keep``, which it returned.
+
+    Call it only when nothing but ``keep`` is read any more: when a result that was made of the rest has been written.
+    """
+    names = {f.rsplit("/", 2)[-2] for df in keep for f in df.inputFiles()}
+    gone = [path for path in _WRITTEN[mark:] if path.rsplit("/", 1)[-1] not in names]
+    _WRITTEN[mark:] = [path for path in _WRITTEN[mark:] if path not in gone]
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    roots = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for root in roots:
-        if root.startswith(shared_dir(spark)) or shared_dir(spark).split(":", 1)[-1].lstrip("/") in root:
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(conf).delete(path, True)
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 #: A key is heavy where it holds more than this share of all rows, so there are fewer heavy keys than its inverse.
 HEAVY = 1 / 1000
 
 
-def heavy_join(rows: DataFrame, named: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+def heavy_join(rows: DataFrame, named: DataFrame, keys: list[str], count: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """``rows`` joined with ``named``, a written table of one row a key that says in ``count`` how many rows have it.
 
     Rows of a heavy key are dealt over as many parts as it fills, and its row of ``named`` is repeated for each part.
     Heavy keys are fewer than 1 / ``HEAVY``, so they are broadcast.  ``rows`` is to be a written table too: the part is
     the row's number, which then is the same whenever a task runs again.
     """
-    total = named.agg(F.sum(count)).first()[0] or 0
+    total = total or named.agg(F.sum(count)).first()[0] or 0
     limit = max(1, math.ceil(total * HEAVY))
     parts = F.ceil(F.col(count) / limit).cast("int")
     heavy = F.broadcast(named.where(F.col(count) > limit).select(*keys, parts.alias("__parts")))

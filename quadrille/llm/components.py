@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise
+from .common import discard, heavy_join, materialise, written
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -18,17 +18,22 @@ def _digest(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least(edges: DataFrame) -> DataFrame:
+    """Of every node: its smallest neighbour and how many it has."""
+    return materialise(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    starred = heavy_join(both.where("v > u"), _least(both), ["u"], "n", total=2 * n)
+    return materialise(starred.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "edges")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
+    """Edges run from a larger to a smaller node."""
+    least = _least(edges)
+    moved = heavy_join(edges, least, ["u"], "n", total=n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return materialise(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -36,18 +41,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     ``u`` and ``v`` may be of any one type with an order.  Self-links and repeated links change nothing, links with
     a null end are left out, and an empty table gives an empty result.  A hub with very many links is aggregated
-    before the shuffle, and its join is split by adaptive execution.
+    before the shuffle, and its links are dealt in parts where they meet their smallest.
     """
+    spark, mark = edges.sparkSession, written()
     clean = edges.select("u", "v").where("u is not null and v is not null and u <> v")
     current = materialise(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     now = _digest(current)
     for _ in range(max_rounds):
         if not now[0]:
             break
-        following = materialise(_small_star(_large_star(current)), "edges")
-        was, now = now, _digest(following)
-        discard(current)
-        current = following
+        current = _small_star(_large_star(current, now[0]), now[0])
+        was, now = now, _digest(current)
+        discard(spark, mark, current)
         if was == now:
             break
     else:
