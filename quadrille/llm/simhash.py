@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_bytes, text_slices
+from .common import discard, heavy_join, materialise, text_bytes, text_slices, written
 from .components import connected_components
 
 SHINGLE, SEED, DISTANCE, CROWD = 3, 42, 2, 64
@@ -128,7 +128,11 @@ def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """Edges ``(u, v)`` between distinct fingerprints ``fp`` whose components are those of all links within two bits."""
+    """Edges ``(u, v)`` between distinct fingerprints ``fp`` whose components are those of all links within two bits.
+
+    They come as a written table; what they were made of is deleted.
+    """
+    spark, mark = fps.sparkSession, written()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,8 +142,8 @@ def links(fps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[row])], names=["key", "fp"])
 
     keyed = materialise(fps.mapInArrow(run, "key long, fp long"), "keys")
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialise(keyed.join(counts, "key"), "shared")
+    counts = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    shared = materialise(heavy_join(keyed, counts, ["key"], "n"), "shared")
     few = shared.where(F.col("n") <= CROWD).select("key", "fp")
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE
     pairs = few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), "key").where(F.col("u") < F.col("v")).where(near).select("u", "v")
@@ -148,19 +152,21 @@ def links(fps: DataFrame) -> DataFrame:
     named = materialise(crowd.select("fp", points.alias("point")), "points")
     least = named.groupBy("point").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = named.join(least, "point").where("fp <> v").select(F.col("fp").alias("u"), "v")
-    return pairs.unionByName(stars).distinct()
+    found = materialise(pairs.unionByName(stars).distinct(), "links")
+    discard(spark, mark, found)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Return ``id_col, fp, component_id`` for every row; a component is named by its smallest id."""
     prints = materialise(fingerprints(docs, id_col, text), "prints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("least")), "nodes")
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("n")), "nodes")
     classes = materialise(connected_components(links(nodes.select("fp"))), "classes")
     joined = nodes.join(classes, nodes["fp"] == classes["node"]).select("fp", "component", "least")
     roots = joined.groupBy("component").agg(F.min("least").alias("root"))
     linked = joined.select("fp", "component").join(roots, "component").select("fp", "root")
-    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "least").alias("component_id"))
-    return prints.join(named, "fp").select(F.col("doc").alias(id_col), "fp", "component_id")
+    named = materialise(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("root", "least").alias("component_id")), "named")
+    return heavy_join(prints, named, ["fp"], "n").select(F.col("doc").alias(id_col), "fp", "component_id")
 
 
 def representatives(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
