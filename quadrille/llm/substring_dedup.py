@@ -8,7 +8,7 @@ bits, and the earliest place of each hash is found.
 
 Shape of the job, which holds for any size and any skew:
 
-1. documents are dealt into batches of bounded text by a hash of the row;
+1. documents are dealt into batches of bounded text by a hash of the row (rows alike in all columns stay together);
 2. a batch sends the distinct anchor hashes it has, not their occurrences, to slices of the hash space; a slice
    answers with those seen in two batches.  A passage that every document holds is thus one entry a batch;
 3. a batch extends its repeated anchors to windows and sends the earliest place of each window; a slice answers with
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, text_bytes
+from .common import heavy_join, materialise, mix64, text_bytes
 
 WINDOW, ANCHOR, PERIOD = 20, 8, 13
 #: A perfect difference set modulo 13; every residue is a difference of two of them.
@@ -53,7 +53,7 @@ class _Memo(dict):
     """Hashes of words; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 18:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -316,10 +316,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     batches = max(2 * cores, math.ceil(size / BATCH_BYTES))
     slices = max(cores, math.ceil(size / 6 * len(COVER) / PERIOD * 5 / SLICE_BYTES))
     rows = rows.withColumn("t1", F.xxhash64("body"))
-    rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc", "t1"), F.lit(batches)).cast("int"))
+    told = [f"row.c{i}" for i, c in enumerate(carried) if "map<" not in docs.schema[c].dataType.simpleString()]
+    rows = rows.withColumn("batch", F.pmod(F.xxhash64("doc", "t1", *told), F.lit(batches)).cast("int"))
     keys = materialise(rows.select("batch", "doc", "t1", F.xxhash64("body", F.lit(1)).alias("t2")), "texts")
-    least = keys.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least")
-    copies = materialise(keys.join(least.drop("most"), ["t1", "t2"]).where("doc > least").select("batch", "doc", "t1"), "copies")
+    least = keys.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n")).where("most > least")
+    copies = heavy_join(keys, materialise(least, "least"), ["t1", "t2"], "n").where("doc > least")
+    copies = materialise(copies.select("batch", "doc", "t1"), "copies")
     dealt = rows.select("batch", "doc", "t1", "body")
 
     def noted(notes: DataFrame):
