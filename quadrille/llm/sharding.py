@@ -21,7 +21,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, prefix_sums
+from .common import heavy_join, materialise, prefix_sums
 
 #: Prefix sums fetched for the whole line at first, and for all open stretches in each later round.
 POINTS = 4096
@@ -134,8 +134,8 @@ def shard(
     number = F.lit(0)
     for c in cuts:
         number = number + (F.col("before") >= c).cast("int")
-    named = placed.select("t1", "t2", "first", number.alias("shard"))
-    rows = rows.join(named, ["t1", "t2"])
+    named = materialise(placed.select("t1", "t2", "first", "n", number.alias("shard")), "named")
+    rows = heavy_join(rows, named, ["t1", "t2"], "n").drop("n")
     order = [F.col("shard"), F.col("first"), F.col("t1"), F.col("t2"), F.col("id")]
     counted = materialise(prefix_sums(rows.withColumn("one", F.lit(1).cast("long")), order, "one", "at"), "slots")
     starts = {r["shard"]: r["at"] for r in counted.groupBy("shard").agg(F.min("at").alias("at")).collect()}
