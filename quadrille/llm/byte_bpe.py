@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import mix64, text_bytes, text_slices
 
 #: Longest piece in a matrix, most cells of one matrix, most remembered words.
-LONG, CELLS, WORDS = 256, 1 << 21, 400_000
+LONG, CELLS, WORDS = 256, 1 << 21, 250_000
 NONE = np.int64(1 << 40)
 
 
