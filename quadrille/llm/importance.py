@@ -1,9 +1,11 @@
 """Quality classifier by importance resampling.
 
 Two generative models of hashed word n-grams (single words and pairs) are counted: one of the target, the labelled
-documents of good quality that are not toxic, and one of all raw text.  A document's weight is the log ratio of the
-two models over its n-grams; Gumbel noise is added and the documents of largest sums are kept, which samples without
-replacement in proportion to the weights.
+documents of good quality that are not toxic, and one of all raw text.  A document's log ratio is that of the two
+models summed over all its n-grams.  Its weight is the same ratio brought to one length, ``LENGTH`` n-grams, for short
+and long texts alike: the sum's spread grows with the length, and with it whatever the models do not know of a text.
+``length=None`` weighs by the plain sum.  Gumbel noise is added and the documents of largest sums are kept, which
+samples without replacement in proportion to the weights.
 
 Both models are counts over all documents in ``BUCKETS`` buckets, the only thing that reaches the driver.  The number
 kept is a share of all documents: by default that of documents of good quality among the labelled ones.
@@ -31,13 +33,13 @@ from .common import materialise, mix64, prefix_sums, text_bytes, text_slices
 BUCKETS, PRIOR = 1 << 16, 2.0
 #: Most labelled documents that the target model is fitted to (eight bytes each go to every executor).
 TARGETS = 100_000
-#: Most n-grams that count in full; a longer document's weight is that of as many n-grams at its mean.
-FULL = 400
+#: N-grams of the length to which weights are brought.
+LENGTH = 400
 
 
 class _Memo(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 18:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -98,17 +100,16 @@ def models(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str
     return np.log(counts[1] + PRIOR) - np.log(expected + PRIOR)
 
 
-def weights(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
-    """Log weight of each text: the sum over its n-grams, in which no document counts for more than ``FULL``."""
+def log_ratios(texts: list[bytes], ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text: the sum over all its n-grams, and how many these are."""
     buckets, n = grams(texts)
     ends = np.cumsum(n)
     sums = np.concatenate([[0.0], np.cumsum(ratio[buckets])])
-    total = sums[ends] - sums[ends - n]
-    return total * np.minimum(1.0, FULL / np.maximum(n, 1))
+    return sums[ends] - sums[ends - n], n
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Return ``id_col, log_weight, score, rank, kept`` for every row; the ``share`` of largest scores is kept."""
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0, length: int | None = LENGTH, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Return ``id_col, log_ratio, log_weight, score, rank, kept`` for every row; the ``share`` of largest scores is kept."""
     target = materialise(targets(labels, id_col), "targets")
     ratio = models(docs, target, id_col, text)
     if share is None:
@@ -120,11 +121,12 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "body"):
-                yield pa.RecordBatch.from_arrays([part["doc"], pa.array(weights(text_bytes(part["body"]), shared.value))], names=["doc", "log_weight"])
+                total, n = log_ratios(text_bytes(part["body"]), shared.value)
+                yield pa.RecordBatch.from_arrays([part["doc"], pa.array(total), pa.array(total * length / np.maximum(n, 1) if length else total)], names=["doc", "log_ratio", "log_weight"])
 
     unit = (F.shiftrightunsigned(F.xxhash64("doc", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
-    scored = rows.mapInArrow(run, "doc long, log_weight double").withColumn("score", F.col("log_weight") - F.log(-F.log(unit)))
+    scored = rows.mapInArrow(run, "doc long, log_ratio double, log_weight double").withColumn("score", F.col("log_weight") - F.log(-F.log(unit)))
     scored = materialise(scored.withColumn("one", F.lit(1).cast("long")), "scores")
     keep = round(share * scored.count())
     ranked = prefix_sums(scored, [-F.col("score"), F.col("doc")], "one", "rank")
-    return ranked.select(F.col("doc").alias(id_col), "log_weight", "score", "rank", (F.col("rank") < keep).alias("kept"))
+    return ranked.select(F.col("doc").alias(id_col), "log_ratio", "log_weight", "score", "rank", (F.col("rank") < keep).alias("kept"))

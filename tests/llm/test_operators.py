@@ -404,27 +404,47 @@ def test_golay():
 # --- 8 ----------------------------------------------------------------------------------------------------------------
 
 
+def scrambled(x):
+    m = (1 << 64) - 1
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+    return x ^ x >> 31
+
+
+def brute_grams(text):
+    """Buckets of single words and of pairs."""
+    h = [xxhash.xxh3_64_intdigest(w) for w in text.lower().split()]
+    return [scrambled(a) % 65536 for a in h] + [scrambled((a * 0x9E3779B97F4A7C15 + b) % (1 << 64)) % 65536 for a, b in zip(h, h[1:], strict=False)]
+
+
 def test_importance(spark, sf, docs, empty):
+    """Models, ratios, noise and the cut, all by plain Python."""
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     got = importance.resample(d, labels).collect()
     n = len(got)
     assert sorted(r.rank for r in got) == list(range(n)) == list(range(d.count()))
-    by_rank = sorted(got, key=lambda r: r.rank)
-    assert all(a.score >= b.score for a, b in zip(by_rank, by_rank[1:], strict=False))
-    share = labels.where("quality = 1").count() / labels.count()
-    assert sum(r.kept for r in got) == round(share * n) and all(r.kept == (r.rank < round(share * n)) for r in got)
     texts = {r.doc_id: r.text.encode() for r in d.collect()}
     good = {r.doc_id for r in labels.where("quality = 1 and toxic = 0").collect()}
-    raw, target = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    raw, target = Counter(), Counter()
     for i, t in texts.items():
-        b, _ = importance.grams([t])
-        raw += np.bincount(b, minlength=importance.BUCKETS)
-        target += np.bincount(b, minlength=importance.BUCKETS) * (i in good)
-    ratio = np.log(target + importance.PRIOR) - np.log(raw * target.sum() / raw.sum() + importance.PRIOR)
+        raw.update(brute_grams(t))
+        target.update(brute_grams(t) if i in good else [])
+    rate = sum(target.values()) / sum(raw.values())
+    score = {}
     for r in got:
-        b, _ = importance.grams([texts[r.doc_id]])
-        w = ratio[b].sum() * min(1, importance.FULL / max(1, len(b)))
-        assert abs(w - r.log_weight) < 1e-6 * max(1, abs(w))
+        grams = brute_grams(texts[r.doc_id])
+        ratio = sum(math.log((target[b] + 2) / (raw[b] * rate + 2)) for b in grams)
+        assert abs(ratio - r.log_ratio) < 1e-6 * max(1, abs(ratio))
+        h = xxhash.xxh64_intdigest((0).to_bytes(4, "little"), xxhash.xxh64_intdigest(r.doc_id.to_bytes(8, "little"), 42))
+        noise = -math.log(-math.log(((h >> 11) + 0.5) / (1 << 53)))
+        score[r.doc_id] = 400 * ratio / max(1, len(grams)) + noise
+        assert abs(score[r.doc_id] - r.score) < 1e-6 * max(1, abs(r.score))
+    by_rank = [r.doc_id for r in sorted(got, key=lambda r: r.rank)]
+    assert all(score[a] >= score[b] - 1e-9 for a, b in zip(by_rank, by_rank[1:], strict=False))
+    share = labels.where("quality = 1").count() / labels.count()
+    assert all(r.kept == (r.rank < round(share * n)) for r in got)
+    plain = importance.resample(d, labels, length=None).collect()
+    assert all(r.log_weight == r.log_ratio for r in plain)
     assert importance.resample(empty, labels).count() == 0
     odd = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, None), (None, 1, 0), (3, None, 1)], "doc_id long, quality int, toxic int")
     assert {r.doc: r.target for r in importance.targets(odd).collect()} == {1: False, 2: True}
