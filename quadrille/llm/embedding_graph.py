@@ -2,8 +2,11 @@
 
 Vectors of one label are cut into overlapping cluster shards: a cell that is too large is split around centroids
 fitted to a bounded sample of it.  The nearest centroid is a vector's home; it also joins every child whose border it
-lies no farther from than two linked vectors can lie apart.  So whatever links with a vector is a member of its home,
-at every level.  Each shard builds a flat graph (nearest neighbours, pruned so that a kept neighbour is not close to
+lies near.  The strip along a border is as wide as two linked vectors can lie apart, so whatever links with a vector is
+a member of its home.  Where that would put the sample's vectors in more than ``OVERLAP`` children on the mean, the
+strip is narrowed step by step (``STRIPS``), as long as no more than a share ``LOST`` of the links between the sample's
+vectors gets lost: vectors of many independent components allow it, as a link's short way hardly points at a border.
+Each shard builds a flat graph (nearest neighbours, pruned so that a kept neighbour is not close to
 one kept before); a vector's adjacency lists from all its shards are united.  Then every vector is searched for from
 its home shard's medoids and its own lists: a greedy search for the region, then expansion over all nodes in range.
 Pairs found are verified by their cosine in double precision.  A pair whose ends have different homes belongs to that
@@ -37,6 +40,8 @@ from .components import connected_components
 
 #: Largest shard and mean size aimed at; most children of one split; sampled vectors a child; vectors a task assigns.
 SHARD, AIM, FAN, SAMPLE, DEAL = 3000, 1000, 32, 64, 20_000
+#: Factors of a strip's full width, the memberships a vector should have on the mean, and the links it may cost.
+STRIPS, OVERLAP, LOST = (1.0, 0.75, 0.5, 0.35, 0.25, 0.15), 2.25, 0.001
 #: Candidates and degree of the graph, the pruning factor, and the beam of the greedy search.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.2, 12
 #: Expansion also passes through nodes this much below the threshold.
@@ -60,8 +65,35 @@ def _unit(column: pa.ChunkedArray) -> np.ndarray:
 # --- shards -----------------------------------------------------------------------------------------------------------
 
 
-def _fit(key: tuple, table: pa.Table) -> pa.Table:
-    """Centroids of a sample: a few rounds of k-means from spread-out starts."""
+def _outside(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centroid of each row, and how far the row lies from the border to each other centroid."""
+    dot = x @ centroids.T
+    near = dot.argmax(axis=1)
+    gap = np.sqrt(np.maximum(0, ((centroids[:, None] - centroids) ** 2).sum(axis=2)))[near]
+    # the plane midway between two centroids of length one passes through the origin
+    return near, (dot[np.arange(len(dot)), near][:, None] - dot) / np.maximum(gap, 1e-9)
+
+
+def _fit(reach: float):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        c, x = _centroids(table)
+        near, far = _outside(x, c)
+        a, b = np.nonzero(x @ x.T >= 1 - reach * reach / 2)
+        across = far[b, near[a]]  # how far each link's end lies outside the other's home
+        strip = reach
+        for f in STRIPS:
+            if np.count_nonzero(across > reach * f) > LOST * len(a):
+                break
+            strip = reach * f
+            if np.count_nonzero(far <= strip) <= OVERLAP * len(x):
+                break
+        return pa.table({"cell": [key[0].as_py()], "vec": pa.array([c.ravel().tolist()], pa.list_(pa.float64())), "strip": [strip]})
+
+    return run
+
+
+def _centroids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of a sample, by a few rounds of k-means from spread-out starts; and the sample."""
     x = _unit(table["vec"])
     k = min(len(x), int(table["children"][0].as_py()))
     start, far = [0], np.full(len(x), np.inf)
@@ -76,34 +108,28 @@ def _fit(key: tuple, table: pa.Table) -> pa.Table:
                 m = x[near == j].mean(axis=0)
                 if (size := np.sqrt((m * m).sum())) > 1e-6:
                     c[j] = m / size
-    return pa.table({"cell": [key[0].as_py()], "vec": pa.array([c.ravel().tolist()], pa.list_(pa.float64()))})
+    return c, x
 
 
-def _assign(reach: float):
+def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Children of rows that come sorted by cell and salt, each such group led by a row with the cell's centroids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, centroids, gap = None, None, None
-        for batch in batches:
-            heads = np.flatnonzero(np.asarray(batch["id"].is_null().to_numpy(zero_copy_only=False), bool)).tolist()
-            for a, b in zip([None, *heads], [*heads, batch.num_rows], strict=True):
-                if a is not None:
-                    cell, flat = batch["cell"][a].as_py(), np.asarray(batch["vec"][a].values.to_numpy(), np.float64)
-                    centroids = flat.reshape(-1, int(batch["dim"][a].as_py()))
-                    gap = np.sqrt(np.maximum(0, ((centroids[:, None] - centroids) ** 2).sum(axis=2)))
-                part = batch.slice(0 if a is None else a + 1, b - (0 if a is None else a + 1))
-                if not part.num_rows:
-                    continue
-                dot = _unit(part["vec"]) @ centroids.T
-                near = dot.argmax(axis=1)
-                # the distance to the plane midway between the nearest centroid and another
-                row, child = np.nonzero(dot[np.arange(len(dot)), near][:, None] - dot <= reach * gap[near] + 1e-9)
-                home = np.asarray(part["home"].to_numpy(zero_copy_only=False), bool)[row] & (near[row] == child)
-                taken = part.take(pa.array(row))
-                off = np.sqrt(np.maximum(0, 2 - 2 * dot[row, child]))
-                yield pa.RecordBatch.from_arrays([pa.array([f"{cell}.{j}" for j in child.tolist()]), taken["id"], pa.array(home), taken["n"], taken["vec"], pa.array(off)], names=["cell", "id", "home", "n", "vec", "off"])
-
-    return run
+    cell, centroids, strip = None, None, 0.0
+    for batch in batches:
+        heads = np.flatnonzero(np.asarray(batch["id"].is_null().to_numpy(zero_copy_only=False), bool)).tolist()
+        for a, b in zip([None, *heads], [*heads, batch.num_rows], strict=True):
+            if a is not None:
+                cell, strip, flat = batch["cell"][a].as_py(), batch["strip"][a].as_py(), np.asarray(batch["vec"][a].values.to_numpy(), np.float64)
+                centroids = flat.reshape(-1, int(batch["dim"][a].as_py()))
+            part = batch.slice(0 if a is None else a + 1, b - (0 if a is None else a + 1))
+            if not part.num_rows:
+                continue
+            x = _unit(part["vec"])
+            near, far = _outside(x, centroids)
+            row, child = np.nonzero(far <= strip + 1e-9)
+            home = np.asarray(part["home"].to_numpy(zero_copy_only=False), bool)[row] & (near[row] == child)
+            taken = part.take(pa.array(row))
+            off = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("nd,nd->n", x[row], centroids[child])))
+            yield pa.RecordBatch.from_arrays([pa.array([f"{cell}.{j}" for j in child.tolist()]), taken["id"], pa.array(home), taken["n"], taken["vec"], pa.array(off)], names=["cell", "id", "home", "n", "vec", "off"])
 
 
 #: ``off`` is the chord from the cell's centroid.
@@ -134,14 +160,14 @@ def shards(nodes: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
         split = split.withColumn("salts", F.ceil(F.col("size") / DEAL).cast("int"))
         chance = F.pmod(F.xxhash64("id", "cell"), F.lit(1 << 30)) / float(1 << 30) < F.col("children") * SAMPLE / F.col("size")
         large = members.join(split.select("cell", "size", "children", "salts"), "cell")
-        centroids = large.where(chance).select("cell", "children", "vec").groupBy("cell").applyInArrow(_fit, "cell string, vec array<double>")
+        centroids = large.where(chance).select("cell", "children", "vec").groupBy("cell").applyInArrow(_fit(reach), "cell string, vec array<double>, strip double")
         centroids = materialise(centroids, "centroids").join(split.select("cell", "salts"), "cell")
         dim = F.split_part("cell", F.lit(":"), F.lit(-1))
         dim = F.split_part(dim, F.lit("."), F.lit(1)).cast("int").alias("dim")
-        heads = centroids.select("cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("home"), F.lit(None).cast("long").alias("n"), "vec", dim)
-        rows = large.select("cell", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), "id", "home", "n", "vec", dim)
+        heads = centroids.select("cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("home"), F.lit(None).cast("long").alias("n"), "vec", dim, "strip")
+        rows = large.select("cell", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), "id", "home", "n", "vec", dim, F.lit(None).cast("double").alias("strip"))
         dealt = heads.unionByName(rows).repartition("cell", "salt").sortWithinPartitions("cell", "salt", F.col("id").asc_nulls_first())
-        members = materialise(dealt.select("cell", "id", "home", "n", "vec", "dim").mapInArrow(_assign(reach), MEMBER), "members")
+        members = materialise(dealt.select("cell", "id", "home", "n", "vec", "dim", "strip").mapInArrow(_assign, MEMBER), "members")
     whole = done[0]
     for x in done[1:]:
         whole = whole.unionByName(x)
