@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: What :func:`on_grid` takes for a hair.
+HAIR = 3.3e-10
+
+
 def clean(x: Column) -> Column:
     """NaN counts as missing."""
     return F.when(~F.isnan(x), x)
@@ -21,11 +25,21 @@ def weighted_mean(x: Column, w: Column) -> Column:
     return F.try_divide(F.sum(F.when(ok, x * w)), F.sum(F.when(ok, w)))
 
 
-def summary(x: Column, name: str) -> list[Column]:
-    """Mean, median, least, largest, sample deviation and count."""
+def middle(x: str, by: Sequence[str]) -> Column:
+    """The value where it is one of the one or two in the middle of its group: their mean is the group's median.
+
+    Places come from a sort, which may spill, and not from a map of the group's values in memory.
+    """
+    group = Window.partitionBy(*by)
+    place, n = F.row_number().over(group.orderBy(F.col(x).asc_nulls_last())), F.count(x).over(group)
+    return F.when((2 * place).between(n, n + 2), F.col(x))
+
+
+def summary(x: Column, middle_: Column, name: str) -> list[Column]:
+    """Mean, median (from :func:`middle`), least, largest, sample deviation and count."""
     return [
         F.avg(x).alias(f"{name}_media"),
-        F.median(x).alias(f"{name}_mediana"),
+        F.avg(middle_).alias(f"{name}_mediana"),
         F.min(x).alias(f"{name}_min"),
         F.max(x).alias(f"{name}_max"),
         F.stddev_samp(x).alias(f"{name}_dp"),
@@ -72,8 +86,17 @@ def cv_pct(x: Column) -> Column:
     return F.try_divide(100 * F.stddev_samp(x), F.avg(x))
 
 
+def on_grid(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Every double column rounded half up, where a value a hair below a tie counts as the tie.
+
+    For comparing rows of two engines by equality: sums taken in another order differ in their last bits, and means of
+    a few digital numbers often are ties.
+    """
+    return rounded(df.select(*[(F.col(c) + HAIR).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]), digits)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Every double column rounded, without negative zeros; for sinks and comparisons."""
+    """Every double column rounded, without negative zeros; for sinks."""
     return df.select(*[(F.round(c, digits) + 0.0).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 

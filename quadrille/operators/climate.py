@@ -20,6 +20,13 @@ def matched(months: DataFrame, station: DataFrame, settings: Settings, value: st
     return joined.withColumn("offset", F.col(value) - F.col(temperature))
 
 
+def enough_months(pairs: DataFrame, least: int = 10) -> DataFrame:
+    """The pairs, or an error where both series share too few months for a correlation of the whole area."""
+    if (n := pairs.limit(least).count()) < least:
+        raise ValueError(f"{n} months have both series, fewer than {least}: do they cover the same years?")
+    return pairs
+
+
 def correlation(pairs: DataFrame, by: Sequence[str] = (), value: str = "lst_c_media", temperature: str = "temp", least: int = 2) -> DataFrame:
     """Pearson, Spearman, and the line of ``value`` on ``temperature``, for groups of at least ``least`` months."""
     keyed = pairs if by else pairs.withColumn("__all", F.lit(1))

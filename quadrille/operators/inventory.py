@@ -29,7 +29,7 @@ def audit(decoded: DataFrame, settings: Settings, scene_id: str = "scene_id") ->
 
 
 def inventory(scenes: DataFrame, settings: Settings, scene_id: str = "scene_id") -> DataFrame:
-    """Scenes that pass every filter.  The filters are plain predicates, so they reach the scan."""
+    """Scenes that pass every filter.  The filters judge parts of the name, so they run behind the scan, before any join."""
     return audit(decode(scenes, scene_id), settings, scene_id).where("outcome = 'kept'").drop("outcome")
 
 

@@ -8,14 +8,16 @@ from pyspark.sql.window import Window
 
 from ..config import Settings
 from ..functions.statistics import average_rank, pearson
+from .series import good_months
 
 
 def monthly_ranks(zone_months: DataFrame, value: str, settings: Settings, zone: str = "zone_id") -> DataFrame:
-    """Rank (coolest 1, ties at their mean), its place from 0 to 1, group, and distance from the unweighted city mean.
+    """Of good months: rank (coolest 1, ties at their mean), its place from 0 to 1, group, and distance from the
+    unweighted city mean.
 
     The partition is a month: as many rows as zones.
     """
-    rows = zone_months.where(F.col(value).isNotNull()).select(zone, "ano", "mes", F.col(value).alias("value"))
+    rows = good_months(zone_months, value, settings).select(zone, "ano", "mes", F.col(value).alias("value"))
     month = Window.partitionBy("ano", "mes")
     rows = rows.withColumns({"rank": average_rank("value", ["ano", "mes"]), "n_zones": F.count("*").over(month), "city_mean": F.avg("value").over(month)})
     n = settings.top_n

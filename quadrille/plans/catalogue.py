@@ -1,6 +1,7 @@
 """All queries over the driver's tables, and the SQL that another engine checks them with.
 
-Doubles are rounded to six digits on both sides: parallel sums differ in their last bits.
+``QUERIES`` give values as they are.  ``compared`` and ``compared_sql`` bring a query's doubles, and those of its SQL,
+to six digits for a comparison by equality.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scene as S
-from ..functions.statistics import rounded
+from ..functions.statistics import HAIR, on_grid
 from ..operators import agreement as G
 from ..operators import climate as K
 from ..operators import coverage as V
@@ -29,43 +30,33 @@ from .proxies import SETTINGS, SQL, SQL_MONTHLY, SQL_STATS, annual_sql
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Doubles of a query that are sums or means; the others come from one and the same arithmetic on both sides.
+FLOATS: dict[str, list[str]] = {}
 
 
-#: Added before rounding, as means of a few band numbers lie on ties, where last bits decide.
-OFF_TIES = "3.3e-10"
-
-
-def off_ties(df: DataFrame) -> DataFrame:
-    return df.select(*[(F.col(c) + float(OFF_TIES)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-
-def query(sql: str | None, floats: str = "", exact: bool = False) -> Callable[[Query], Query]:
-    """Register a function under its name; ``floats`` names the doubles of the SQL that are to be rounded.
-
-    ``exact`` is for single values by one and the same arithmetic, which are compared as they are.
-    """
+def query(sql: str | None, floats: str = "") -> Callable[[Query], Query]:
+    """Register a function under its name, with its SQL and the names of its summed doubles."""
 
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f if exact else lambda spark, sf: rounded(off_ties(f(spark, sf)))
+        QUERIES[f.__name__], FLOATS[f.__name__] = f, floats.split()
         if sql is not None:
-            head, mark, body = sql.rpartition("-- select")
-            replace = ", ".join(f"round({c} + {OFF_TIES}, 6) + 0e0 AS {c}" for c in floats.split())
-            ORACLES[f.__name__] = f"{head}SELECT * REPLACE ({replace}) FROM ({body})" if floats else head + body
+            ORACLES[f.__name__] = sql
         return f
 
     return register
 
 
-def whole(name: str, condition: str, f: Query) -> None:
-    """Register ``name_all``: the query ``name`` without the ``condition`` by which its SQL leaves rows out."""
-    if condition not in ORACLES[name]:
-        raise ValueError(f"{name} has no condition {condition}")
-    QUERIES[f"{name}_all"] = lambda spark, sf: rounded(off_ties(f(spark, sf)))
-    ORACLES[f"{name}_all"] = ORACLES[name].replace(condition, "")
+def compared(name: str) -> Query:
+    return (lambda spark, sf: on_grid(QUERIES[name](spark, sf))) if FLOATS[name] else QUERIES[name]
+
+
+def compared_sql(name: str) -> str:
+    replace = ", ".join(f"round({c} + {HAIR}, 6) + 0e0 AS {c}" for c in FLOATS[name])
+    return f"SELECT * REPLACE ({replace}) FROM ({ORACLES[name]})" if replace else ORACLES[name]
 
 
 def _with(ctes: str, body: str) -> str:
-    return f"WITH {ctes} -- select\n{body}"
+    return f"WITH {ctes}\n{body}"
 
 
 SIX_FLOATS = " ".join(f"{v}_{x}" for v in ("ndvi", "lst_c") for x in ("media", "mediana", "min", "max", "dp"))
@@ -95,15 +86,14 @@ _MTL_DUCK = MTL.replace("'GROUP", "E'GROUP").replace("|| '\\n", "|| E'\\n").repl
 
 @query(f"""WITH t AS (SELECT o_orderkey AS scene, {_MTL_DUCK} AS mtl FROM orders),
 s AS (SELECT scene, try_cast(nullif(regexp_extract(regexp_extract(mtl, '(?ms)^\\s*GROUP\\s*=\\s*LEVEL2_SURFACE_REFLECTANCE_PARAMETERS\\s*$(.*?)^\\s*END_GROUP', 1), '(?m)^\\s*REFLECTANCE_MULT_BAND_4\\s*=\\s*(.*?)\\s*$', 1), '') AS DOUBLE) AS v,
-  try_cast(regexp_extract(mtl, 'CLOUD_COVER = (\\d+)', 1) AS DOUBLE) AS cloud_cover FROM t) -- select
+  try_cast(regexp_extract(mtl, 'CLOUD_COVER = (\\d+)', 1) AS DOUBLE) AS cloud_cover FROM t)
 SELECT scene, coalesce(v, 2.75e-5) AS sr_scale, abs(coalesce(v, 2.75e-5) - 2.75e-5) > 1e-8 AS sr_scale_differs, 3.41802e-3 AS st_scale, cloud_cover FROM s""", "sr_scale st_scale cloud_cover")
 def mtl_text_parse(spark: SparkSession, sf: str) -> DataFrame:
     texts = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("scene"), F.expr(_MTL_SPARK).alias("mtl_text"))
     return M.factors(texts, mtl_json=None).select("scene", "sr_scale", "sr_scale_differs", "st_scale", "cloud_cover")
 
 
-@query("""-- select
-SELECT event_id, coalesce(CASE WHEN event_id % 4 > 0 THEN (json_extract(props, '$.k')::DOUBLE) / 1e6 END, 2.75e-5) AS sr_scale, event_id % 4 > 1 AS has_sun,
+@query("""SELECT event_id, coalesce(CASE WHEN event_id % 4 > 0 THEN (json_extract(props, '$.k')::DOUBLE) / 1e6 END, 2.75e-5) AS sr_scale, event_id % 4 > 1 AS has_sun,
   CASE WHEN event_id % 4 > 1 THEN json_extract(props, '$.k')::DOUBLE END AS sun_elevation FROM events""", "sr_scale sun_elevation")
 def mtl_json_parse(spark: SparkSession, sf: str) -> DataFrame:
     e = D.table(spark, sf, "events")
@@ -135,7 +125,7 @@ def qa_scene_valid_fraction(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("rejected", F.col("pct") < 100 * SETTINGS.min_scene_valid)
 
 
-@query(_with(SQL, "SELECT scene, cell, line, sr_red, sr_nir FROM products"), exact=True)
+@query(_with(SQL, "SELECT scene, cell, line, sr_red, sr_nir FROM products"))
 def calibrate_reflectance(spark: SparkSession, sf: str) -> DataFrame:
     return D.products(spark, sf).select("scene", "cell", "line", "sr_red", "sr_nir")
 
@@ -160,7 +150,7 @@ def scene_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_with(SQL_STATS, "SELECT * FROM zone_scene_stats"), SIX_FLOATS + " cloud_cover sun_elevation")
 def zone_scene_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return D.zone_scene_stats(spark, sf)
+    return R.complete_zones(D.zone_scene_stats(spark, sf), D.zones(spark, sf))
 
 
 SKY = " cloud_cover_med sun_elev_med"
@@ -195,8 +185,7 @@ def _composite(by: str, v: str) -> str:
 
 
 def _weighted_pixels(spark: SparkSession, sf: str) -> DataFrame:
-    weights = D.scene_stats(spark, sf).select("scene", "ndvi_n")
-    return D.products(spark, sf).join(weights, "scene")
+    return R.with_scene_weight(D.products(spark, sf))
 
 
 @query(_composite("ano, mes, cell", "ndvi"), "ndvi")
@@ -303,10 +292,8 @@ def scene_diagnosis(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- coverage ---------------------------------------------------------------------------------------------------------
 
-#: A sample of the scenes of one sensor.  The queries ``_all`` below take every scene.
-SAMPLE = " WHERE sensor = 'Landsat7' AND scene % 37 = 0"
-THIN = SQL_STATS + """, thin AS (SELECT * FROM scene_stats WHERE sensor = 'Landsat7' AND scene % 37 = 0),
-city AS (SELECT ano, mes, avg(ndvi_media) AS ndvi_media, avg(lst_c_media) AS lst_c_media FROM thin GROUP BY ALL),
+COVERAGE = SQL_STATS + """,
+city AS (SELECT ano, mes, avg(ndvi_media) AS ndvi_media, avg(lst_c_media) AS lst_c_media FROM scene_stats GROUP BY ALL),
 calendar AS (
   SELECT *, ndvi_media IS NOT NULL AS has_ndvi, lst_c_media IS NOT NULL AS has_lst, (ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7) AS flagged,
     CASE WHEN ((ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7)) AND (ndvi_media IS NOT NULL OR lst_c_media IS NOT NULL) THEN 'Flagged: low quality'
@@ -317,19 +304,12 @@ symbols AS (SELECT *, CASE status WHEN 'NDVI + LST' THEN 'O' WHEN 'NDVI only' TH
 """
 
 
-def _months_of(scenes: DataFrame) -> DataFrame:
-    return V.calendar(scenes.groupBy("ano", "mes").agg(F.avg("ndvi_media").alias("ndvi_media"), F.avg("lst_c_media").alias("lst_c_media")), SETTINGS)
-
-
 def _calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return _months_of(D.scene_stats(spark, sf).where("sensor = 'Landsat7' and scene % 37 = 0"))
-
-
-def _whole_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return _months_of(D.scene_stats(spark, sf))
+    means = [F.avg(c).alias(c) for c in ("ndvi_media", "lst_c_media")]
+    return V.calendar(D.scene_stats(spark, sf).groupBy("ano", "mes").agg(*means), SETTINGS)
 
 
-@query(_with(THIN, "SELECT * FROM symbols"), "ndvi_media lst_c_media")
+@query(_with(COVERAGE, "SELECT * FROM symbols"), "ndvi_media lst_c_media")
 def coverage_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return _calendar(spark, sf)
 
@@ -341,63 +321,76 @@ def coverage_zones(spark: SparkSession, sf: str) -> DataFrame:
     return V.zone_coverage(D.zone_monthly(spark, sf), SETTINGS)
 
 
-@query(_with(THIN, """SELECT ano, count_if(has_ndvi AND has_lst) AS n_complete, count_if(has_ndvi <> has_lst) AS n_partial, count_if(NOT has_ndvi AND NOT has_lst) AS n_empty,
+@query(_with(COVERAGE, """SELECT ano, count_if(has_ndvi AND has_lst) AS n_complete, count_if(has_ndvi <> has_lst) AS n_partial, count_if(NOT has_ndvi AND NOT has_lst) AS n_empty,
   count_if(status = 'Flagged: low quality') AS n_flagged, count(DISTINCT CASE WHEN has_ndvi OR has_lst THEN season END) AS n_seasons FROM symbols GROUP BY ano"""))
 def coverage_annual(spark: SparkSession, sf: str) -> DataFrame:
     return V.by_year(_calendar(spark, sf))
 
 
-@query(_with(THIN, "SELECT count(*) AS n_months, count_if(has_ndvi OR has_lst) AS n_any, count_if(status = 'Flagged: low quality') AS n_flagged, round(100e0 * count_if(has_ndvi OR has_lst) / count(*), 1) AS pct_any FROM symbols"))
+@query(_with(COVERAGE, "SELECT count(*) AS n_months, count_if(has_ndvi OR has_lst) AS n_any, count_if(status = 'Flagged: low quality') AS n_flagged, round(100e0 * count_if(has_ndvi OR has_lst) / count(*), 1) AS pct_any FROM symbols"))
 def coverage_overall(spark: SparkSession, sf: str) -> DataFrame:
     return V.overall(_calendar(spark, sf))
 
 
-@query(_with(THIN, "SELECT ano, " + ", ".join(f"max(CASE WHEN mes = {m} THEN symbol END) AS m{m:02d}" for m in range(1, 13)) + " FROM symbols GROUP BY ano"))
+@query(_with(COVERAGE, "SELECT ano, " + ", ".join(f"max(CASE WHEN mes = {m} THEN symbol END) AS m{m:02d}" for m in range(1, 13)) + " FROM symbols GROUP BY ano"))
 def coverage_wide(spark: SparkSession, sf: str) -> DataFrame:
     return V.wide(_calendar(spark, sf))
 
 
-whole("coverage_calendar", SAMPLE, _whole_calendar)
-whole("coverage_annual", SAMPLE, lambda spark, sf: V.by_year(_whole_calendar(spark, sf)))
-whole("coverage_overall", SAMPLE, lambda spark, sf: V.overall(_whole_calendar(spark, sf)))
-whole("coverage_wide", SAMPLE, lambda spark, sf: V.wide(_whole_calendar(spark, sf)))
-
-
 # --- zone series ------------------------------------------------------------------------------------------------------
 
 
 @query(_with(SQL_MONTHLY, """SELECT zone_id, count(v) AS n_months, avg(v) AS mean, median(v) AS median, stddev_samp(v) AS sd, min(v) AS min, max(v) AS max, max(v) - min(v) AS range,
   100 * stddev_samp(v) / avg(v) AS cv_pct, CASE WHEN count(v) >= 24 THEN regr_slope(v, ano + (mes - 1) / 12e0) END AS trend
-  FROM (SELECT *, lst_c_media AS v FROM zone_monthly WHERE lst_c_media IS NOT NULL) GROUP BY zone_id"""), "mean median sd min max range cv_pct trend")
+  FROM (SELECT *, lst_c_media AS v FROM good_months WHERE lst_c_media IS NOT NULL) GROUP BY zone_id"""), "mean median sd min max range cv_pct trend")
 def zone_longrun_stats(spark: SparkSession, sf: str) -> DataFrame:
     return R.long_run(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id"], SETTINGS)
 
 
+@query(_with(SQL_MONTHLY, """SELECT zone_id, count(v) AS n_months, avg(v) AS mean, median(v) AS median, stddev_samp(v) AS sd, min(v) AS min, max(v) AS max, max(v) - min(v) AS range,
+  CASE WHEN count(v) >= 24 THEN regr_slope(v, ano + (mes - 1) / 12e0) END AS trend
+  FROM (SELECT *, ndvi_media AS v FROM good_months WHERE ndvi_media IS NOT NULL) GROUP BY zone_id"""), "mean median sd min max range trend")
+def zone_longrun_ndvi(spark: SparkSession, sf: str) -> DataFrame:
+    """No coefficient of variation: NDVI comes near zero."""
+    return R.long_run(D.zone_monthly(spark, sf), "ndvi_media", ["zone_id"], SETTINGS).drop("cv_pct")
+
+
+@query(_with(SQL_MONTHLY, f"SELECT ano, avg(lst_media_anual) AS lst_media_anual, count(lst_media_anual) AS n_zones FROM ({annual_sql('zone_monthly', 'zone_id, ano')}) GROUP BY ano"), "lst_media_anual")
+def zone_annual_area_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return R.area_mean(R.annual(D.zone_monthly(spark, sf), ("zone_id",)), "lst_media_anual")
+
+
+@query(_with(SQL, "SELECT min(ano) AS year_start, max(ano) AS year_end FROM scenes"))
+def study_period(spark: SparkSession, sf: str) -> DataFrame:
+    span = R.study_period(D.scenes(spark, sf), SETTINGS, "year")
+    return spark.createDataFrame([(span.year_start, span.year_end)], "year_start int, year_end int")
+
+
 def _means(by: str) -> str:
-    return _with(SQL_MONTHLY, f"SELECT {by}, avg(lst_c_media) AS mean, count(lst_c_media) AS n FROM zone_monthly WHERE lst_c_media IS NOT NULL GROUP BY {by}")
+    return _with(SQL_MONTHLY, f"SELECT {by}, avg(lst_c_media) AS mean, count(lst_c_media) AS n FROM good_months WHERE lst_c_media IS NOT NULL GROUP BY {by}")
 
 
 @query(_means("zone_id, mes"), "mean")
 def zone_climatology(spark: SparkSession, sf: str) -> DataFrame:
-    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id", "mes"])
+    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id", "mes"], SETTINGS)
 
 
 @query(_means("zone_id, ano"), "mean")
 def zone_annual_means(spark: SparkSession, sf: str) -> DataFrame:
-    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id", "ano"])
+    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id", "ano"], SETTINGS)
 
 
 @query(_means("data_ref"), "mean")
 def city_mean_series(spark: SparkSession, sf: str) -> DataFrame:
-    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["data_ref"])
+    return R.means_by(D.zone_monthly(spark, sf), "lst_c_media", ["data_ref"], SETTINGS)
 
 
-@query(_with(SQL_MONTHLY, "SELECT zone_id, ano, mes, lst_c_media, avg(lst_c_media) OVER w AS zone_mean, median(lst_c_media) OVER w AS zone_median FROM zone_monthly WINDOW w AS (PARTITION BY zone_id)"), "lst_c_media zone_mean zone_median")
+@query(_with(SQL_MONTHLY, "SELECT zone_id, ano, mes, lst_c_media, avg(lst_c_media) OVER w AS zone_mean, median(lst_c_media) OVER w AS zone_median FROM good_months WHERE lst_c_media IS NOT NULL WINDOW w AS (PARTITION BY zone_id)"), "lst_c_media zone_mean zone_median")
 def zone_departures(spark: SparkSession, sf: str) -> DataFrame:
-    return R.with_long_run(D.zone_monthly(spark, sf).select("zone_id", "ano", "mes", "lst_c_media"), "lst_c_media", ["zone_id"])
+    return R.with_long_run(D.zone_monthly(spark, sf).select("zone_id", "ano", "mes", "lst_c_media"), "lst_c_media", ["zone_id"], SETTINGS)
 
 
-@query(_with(SQL_MONTHLY + ", stats AS (SELECT zone_id, avg(lst_c_media) AS mean, stddev_samp(lst_c_media) AS sd FROM zone_monthly GROUP BY zone_id)", """
+@query(_with(SQL_MONTHLY + ", stats AS (SELECT zone_id, avg(lst_c_media) AS mean, stddev_samp(lst_c_media) AS sd FROM good_months WHERE lst_c_media IS NOT NULL GROUP BY zone_id)", """
   SELECT measure, "end", zone_id, value FROM (
     SELECT 'mean' AS measure, 'top' AS "end", zone_id, mean AS value, row_number() OVER (ORDER BY mean DESC NULLS LAST, zone_id) AS n FROM stats UNION ALL
     SELECT 'mean', 'bottom', zone_id, mean, row_number() OVER (ORDER BY mean NULLS LAST, zone_id) FROM stats UNION ALL
@@ -407,14 +400,14 @@ def zone_extremes_topk(spark: SparkSession, sf: str) -> DataFrame:
     return R.extremes(R.long_run(D.zone_monthly(spark, sf), "lst_c_media", ["zone_id"], SETTINGS), 5, ["mean", "sd"], "zone_id")
 
 
-@query(_with(SQL_MONTHLY, "SELECT zone_id, arg_max(data_ref, lst_c_media) AS hottest_month, arg_min(data_ref, lst_c_media) AS coolest_month FROM zone_monthly GROUP BY zone_id"))
+@query(_with(SQL_MONTHLY, "SELECT zone_id, arg_max(data_ref, lst_c_media) AS hottest_month, arg_min(data_ref, lst_c_media) AS coolest_month FROM good_months WHERE lst_c_media IS NOT NULL GROUP BY zone_id"))
 def zone_extreme_months(spark: SparkSession, sf: str) -> DataFrame:
-    return D.zone_monthly(spark, sf).groupBy("zone_id").agg(F.max_by("data_ref", "lst_c_media").alias("hottest_month"), F.min_by("data_ref", "lst_c_media").alias("coolest_month"))
+    return R.extreme_months(D.zone_monthly(spark, sf), "lst_c_media", "zone_id", SETTINGS)
 
 
 # --- climate ----------------------------------------------------------------------------------------------------------
 
-CLIMATE = SQL_MONTHLY + """, station AS (SELECT year(o_orderdate)::INT AS ano, month(o_orderdate)::INT AS mes, 15 + 10 * avg((o_custkey % 100)::DOUBLE) / 50e0 AS temp FROM orders WHERE o_orderkey % 7 = 0 GROUP BY ALL),
+CLIMATE = SQL_MONTHLY + """, station AS (SELECT year(o_orderdate)::INT AS ano, month(o_orderdate)::INT AS mes, 15 + 10 * avg((o_custkey % 100)::DOUBLE) / 50e0 AS temp FROM orders GROUP BY ALL),
 good AS (SELECT 0 AS g, zone_id, ano, mes, lst_c_media AS y, temp AS x FROM zone_monthly JOIN station USING (ano, mes) WHERE lst_c_media IS NOT NULL AND NOT ((ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7))),
 whole AS (SELECT 0 AS g, ano, mes, lst_c_media AS y, temp AS x FROM monthly JOIN station USING (ano, mes) WHERE lst_c_media IS NOT NULL AND NOT ((ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7)))
 """
@@ -433,7 +426,7 @@ FIT = "pearson spearman slope intercept r2 mean_offset"
 
 @query(_with(CLIMATE, f"SELECT * EXCLUDE (g) FROM ({_fit('whole', 'g', 2)})"), FIT)
 def climate_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    return K.correlation(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS))
+    return K.correlation(K.enough_months(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS)))
 
 
 @query(_with(CLIMATE, _fit("good", "zone_id", 12)), FIT)
@@ -446,24 +439,11 @@ def surface_air_offset(spark: SparkSession, sf: str) -> DataFrame:
     return K.offset_summary(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS))
 
 
-#: A sample of the orders.  The queries ``_all`` have a station of all orders.
-SEVENTH = " WHERE o_orderkey % 7 = 0"
-
-
-def _whole_matched(spark: SparkSession, sf: str) -> DataFrame:
-    return K.matched(D.monthly(spark, sf), D.station(spark, sf, "true"), SETTINGS)
-
-
-whole("climate_correlation", SEVENTH, lambda spark, sf: K.correlation(_whole_matched(spark, sf)))
-whole("climate_by_zone", SEVENTH, lambda spark, sf: K.correlation(K.matched(D.zone_monthly(spark, sf), D.station(spark, sf, "true"), SETTINGS), ["zone_id"], least=SETTINGS.zone_months))
-whole("surface_air_offset", SEVENTH, lambda spark, sf: K.offset_summary(_whole_matched(spark, sf)))
-
-
 # --- ranking ----------------------------------------------------------------------------------------------------------
 
 RANKS = SQL_MONTHLY + """, placed AS (
   SELECT zone_id, ano, mes, lst_c_media AS value, rank() OVER (PARTITION BY ano, mes ORDER BY lst_c_media) + (count(*) OVER (PARTITION BY ano, mes, lst_c_media) - 1) / 2e0 AS rank,
-    count(*) OVER (PARTITION BY ano, mes) AS n_zones, avg(lst_c_media) OVER (PARTITION BY ano, mes) AS city_mean FROM zone_monthly WHERE lst_c_media IS NOT NULL),
+    count(*) OVER (PARTITION BY ano, mes) AS n_zones, avg(lst_c_media) OVER (PARTITION BY ano, mes) AS city_mean FROM good_months WHERE lst_c_media IS NOT NULL),
 ranked AS (
   SELECT *, (rank - 1) / nullif(n_zones - 1, 0)::DOUBLE AS rank_norm, CASE WHEN rank <= 5 THEN 'coolest' WHEN rank > n_zones - 5 THEN 'warmest' ELSE 'middle' END AS "group", value - city_mean AS delta FROM placed),
 persistent AS (
@@ -525,12 +505,9 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_with(SQL_STATS, """SELECT *, CASE WHEN n_sensors > 1 THEN 'Between instruments' ELSE 'Same instrument' END AS kind FROM (
   SELECT ano, mes, count(*) AS n_scenes, count(DISTINCT sensor) AS n_sensors, string_agg(DISTINCT sensor, ', ' ORDER BY sensor) AS sensors, string_agg(acq_date::VARCHAR, ', ' ORDER BY acq_date) AS dates,
-    date_diff('day', min(acq_date), max(acq_date))::INT AS span_days FROM scene_stats WHERE (ndvi_media IS NOT NULL OR lst_c_media IS NOT NULL) AND scene % 50 = 0 GROUP BY ALL) WHERE n_scenes >= 2"""))
+    date_diff('day', min(acq_date), max(acq_date))::INT AS span_days FROM scene_stats WHERE ndvi_media IS NOT NULL OR lst_c_media IS NOT NULL GROUP BY ALL) WHERE n_scenes >= 2"""))
 def sensor_month_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return G.shared_months(D.scene_stats(spark, sf).where("scene % 50 = 0"))
-
-
-whole("sensor_month_inventory", " AND scene % 50 = 0", lambda spark, sf: G.shared_months(D.scene_stats(spark, sf)))
+    return G.shared_months(D.scene_stats(spark, sf))
 
 
 @query(_with(PAIRS, "SELECT * REPLACE (gap_days::INT AS gap_days) FROM pairs"), "value_a value_b anomaly_a anomaly_b diff_abs mean_ab diff_pct diff_anom")
@@ -539,74 +516,114 @@ def scene_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pair_summary(by: str) -> str:
-    return _with(PAIRS, f"""SELECT *, 100 * (1 - mad_anom / mad) AS reduction FROM (SELECT {by}, count(*) AS n, count(DISTINCT ano * 100 + mes) AS n_months, median(gap_days)::DOUBLE AS median_gap, avg(diff_abs) AS mean_diff,
-  avg(abs(diff_abs)) AS mad, stddev_samp(diff_abs) AS sd_diff, quantile_cont(abs(diff_abs), 0.95) AS p95, avg(abs(diff_pct)) AS mad_pct, avg(abs(diff_anom)) AS mad_anom FROM pairs GROUP BY ALL)""")
+    return f"""SELECT *, 100 * (1 - mad_anom / mad) AS reduction FROM (SELECT {by}, count(*) AS n, count(DISTINCT ano * 100 + mes) AS n_months, median(gap_days)::DOUBLE AS median_gap, avg(diff_abs) AS mean_diff,
+  avg(abs(diff_abs)) AS mad, stddev_samp(diff_abs) AS sd_diff, quantile_cont(abs(diff_abs), 0.95) AS p95, avg(abs(diff_pct)) AS mad_pct, avg(abs(diff_anom)) AS mad_anom FROM pairs GROUP BY ALL)"""
 
 
+KIND = ["variable", "comparison"]
 SUMMARY = "median_gap mean_diff mad sd_diff p95 mad_pct mad_anom reduction"
 
 
-@query(_pair_summary("variable, comparison"), SUMMARY)
+@query(_with(PAIRS, _pair_summary("variable, comparison")), SUMMARY)
 def pair_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return G.pair_summary(_pairs(spark, sf), ["variable", "comparison"])
+    return G.pair_summary(_pairs(spark, sf), KIND)
 
 
-@query(_pair_summary("variable, pair"), SUMMARY)
+@query(_with(PAIRS, _pair_summary("variable, pair, comparison")), SUMMARY)
 def pair_by_label(spark: SparkSession, sf: str) -> DataFrame:
-    return G.pair_summary(_pairs(spark, sf), ["variable", "pair"])
+    return G.pair_summary(_pairs(spark, sf), ["variable", "pair", "comparison"])
+
+
+def _place(c: str) -> str:
+    by = "variable, scene_a, scene_b"
+    return f"rank() OVER (PARTITION BY {by} ORDER BY {c}) + (count(*) OVER (PARTITION BY {by}, {c}) - 1) / 2e0 AS r_{c}"
+
 
+def _measures_sql(c: str, end: str) -> str:
+    a, b = f"{c}_a", f"{c}_b"
+    return f"""corr({a}, {b}) AS pearson{end}, corr(r_{a}, r_{b}) AS spearman{end}, 2 * covar_samp({a}, {b}) / (var_samp({a}) + var_samp({b}) + pow(avg({a}) - avg({b}), 2)) AS ccc{end},
+    sign(covar_samp({a}, {b})) * stddev_samp({b}) / stddev_samp({a}) AS sma{end}"""
 
-METRICS = PAIRS + """, ranked AS (
-  SELECT *, rank() OVER (PARTITION BY variable, scene_a, scene_b ORDER BY value_a) + (count(*) OVER (PARTITION BY variable, scene_a, scene_b, value_a) - 1) / 2e0 AS ra,
-    rank() OVER (PARTITION BY variable, scene_a, scene_b ORDER BY value_b) + (count(*) OVER (PARTITION BY variable, scene_a, scene_b, value_b) - 1) / 2e0 AS rb FROM pairs),
+
+METRICS = PAIRS + f""", ranked AS (SELECT *, {', '.join(_place(c) for c in ('value_a', 'value_b', 'anomaly_a', 'anomaly_b'))} FROM pairs),
 metrics AS (
-  SELECT variable, comparison, pair, scene_a, scene_b, count(*) AS n_zones, any_value(gap_days)::INT AS gap_days, corr(value_a, value_b) AS pearson, corr(ra, rb) AS spearman,
-    2 * covar_samp(value_a, value_b) / (var_samp(value_a) + var_samp(value_b) + pow(avg(value_a) - avg(value_b), 2)) AS ccc, sign(covar_samp(value_a, value_b)) * stddev_samp(value_b) / stddev_samp(value_a) AS sma,
-    corr(anomaly_a, anomaly_b) AS pearson_anom, 2 * covar_samp(anomaly_a, anomaly_b) / (var_samp(anomaly_a) + var_samp(anomaly_b) + pow(avg(anomaly_a) - avg(anomaly_b), 2)) AS ccc_anom,
-    avg(value_a) AS mean_a, avg(value_b) AS mean_b FROM ranked GROUP BY ALL HAVING count(*) >= 10)
+  SELECT variable, comparison, pair, ano, mes, scene_a, scene_b, count(*) AS n_zones, any_value(gap_days)::INT AS gap_days, {_measures_sql('value', '')}, {_measures_sql('anomaly', '_anom')},
+    avg(value_a) AS mean_a, avg(value_b) AS mean_b, avg(diff_abs) AS mean_diff, avg(diff_anom) AS mean_diff_anom, avg(abs(diff_abs)) AS mad FROM ranked GROUP BY ALL HAVING count(*) >= 10)
 """
+EIGHT = [f"{c}{end}" for end in ("", "_anom") for c in G.MEASURES]
 
 
-@query(_with(METRICS, "SELECT * FROM metrics"), "pearson spearman ccc sma pearson_anom ccc_anom mean_a mean_b")
+@query(_with(METRICS, "SELECT * FROM metrics"), " ".join(EIGHT) + " mean_a mean_b mean_diff mean_diff_anom mad")
 def pair_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return G.pair_metrics(_pairs(spark, sf), SETTINGS)
 
 
-_Q = ", ".join(f"median({c}) AS {c}_median, quantile_cont({c}, 0.25) AS {c}_q25, quantile_cont({c}, 0.75) AS {c}_q75" for c in ("pearson", "spearman", "ccc", "sma"))
+_QUARTILES = ", ".join(f"median({c}) AS {c}_median, quantile_cont({c}, 0.25) AS {c}_q25, quantile_cont({c}, 0.75) AS {c}_q75" for c in EIGHT)
+CONCORD = f"SELECT variable, comparison, count(*) AS n_pairs, median(n_zones)::DOUBLE AS zones_median, {_QUARTILES} FROM metrics GROUP BY ALL"
 
 
-@query(_with(METRICS, f"SELECT variable, comparison, count(*) AS n_pairs, {_Q} FROM metrics GROUP BY ALL"), " ".join(f"{c}_{q}" for c in ("pearson", "spearman", "ccc", "sma") for q in ("median", "q25", "q75")))
+@query(_with(METRICS, CONCORD), " ".join(f"{c}_{q}" for c in EIGHT for q in ("median", "q25", "q75")))
 def pair_concordance(spark: SparkSession, sf: str) -> DataFrame:
     return G.concordance_summary(G.pair_metrics(_pairs(spark, sf), SETTINGS))
 
 
-@query(_with(PAIRS, """SELECT *, sqrt(var_true) / err AS snr, var_true / pow(sd_value, 2) AS reliability, 100 * (1 - var_true / pow(sd_value, 2)) AS attenuation_pct,
-  CASE WHEN 100 * (1 - var_true / pow(sd_value, 2)) > 25 THEN 'strong' WHEN 100 * (1 - var_true / pow(sd_value, 2)) > 10 THEN 'moderate' ELSE 'slight' END AS verdict
-  FROM (SELECT *, greatest(pow(sd_value, 2) - pow(err, 2), 0) AS var_true FROM (SELECT variable, stddev_samp(value) AS sd_value, stddev_samp(anomaly) AS sd_anomaly FROM seen GROUP BY variable)
-    LEFT JOIN (SELECT variable, stddev_samp(diff_abs) / sqrt(2e0) AS err, stddev_samp(diff_anom) / sqrt(2e0) AS err_anom FROM pairs GROUP BY variable) USING (variable))"""), "sd_value sd_anomaly err err_anom var_true snr reliability attenuation_pct")
+RELIABLE = """SELECT *, CASE WHEN attenuation_pct > 25 THEN 'strong' WHEN attenuation_pct > 10 THEN 'moderate' WHEN attenuation_pct IS NOT NULL THEN 'slight' END AS verdict
+  FROM (SELECT *, sqrt(var_true) / sd_err AS snr, sqrt(var_true_anom) / sd_err_anom AS snr_anom, var_true / pow(sd_signal, 2) AS lambda, var_true_anom / pow(sd_signal_anom, 2) AS lambda_anom, 100 * (1 - var_true_anom / pow(sd_signal_anom, 2)) AS attenuation_pct
+    FROM (SELECT *, greatest(pow(sd_signal, 2) - pow(sd_err, 2), 0) AS var_true, greatest(pow(sd_signal_anom, 2) - pow(sd_err_anom, 2), 0) AS var_true_anom
+      FROM (SELECT variable, comparison, count(*) AS n, stddev_samp(diff_abs) / sqrt(2e0) AS sd_err, stddev_samp(diff_anom) / sqrt(2e0) AS sd_err_anom FROM pairs GROUP BY ALL)
+      LEFT JOIN (SELECT variable, stddev_samp(value) AS sd_signal, stddev_samp(anomaly) AS sd_signal_anom FROM seen GROUP BY variable) USING (variable)))"""
+
+
+@query(_with(PAIRS, RELIABLE), "sd_err sd_err_anom sd_signal sd_signal_anom var_true var_true_anom snr snr_anom lambda lambda_anom attenuation_pct")
 def pair_reliability(spark: SparkSession, sf: str) -> DataFrame:
     return G.reliability(_long(spark, sf), _pairs(spark, sf))
 
 
-@query(_with(PAIRS, "SELECT *, bias - 1.96e0 * sd AS lower, bias + 1.96e0 * sd AS upper FROM (SELECT variable, comparison, count(*) AS n, avg(diff_abs) AS bias, stddev_samp(diff_abs) AS sd FROM pairs GROUP BY ALL)"), "bias sd lower upper")
+LIMITS = f"SELECT variable, comparison, n, mean_diff AS bias, mean_diff - 1.96e0 * sd_diff AS lower, mean_diff + 1.96e0 * sd_diff AS upper, p95 FROM ({_pair_summary('variable, comparison')})"
+
+
+@query(_with(PAIRS, LIMITS), "bias lower upper p95")
 def limits_of_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    return G.limits(_pairs(spark, sf))
+    return G.limits(G.pair_summary(_pairs(spark, sf), KIND))
+
+
+GAPS = """SELECT variable, comparison, count(*) AS n, min(gap) AS min_gap, max(gap) AS max_gap, median(gap) AS median_gap, CASE WHEN count(*) > 5 AND stddev_samp(gap) > 0 THEN regr_slope(d, gap) END AS slope, CASE WHEN stddev_samp(rx) > 0 AND stddev_samp(ry) > 0 THEN corr(rx, ry) END AS spearman
+  FROM (SELECT *, rank() OVER (PARTITION BY variable, comparison ORDER BY gap) + (count(*) OVER (PARTITION BY variable, comparison, gap) - 1) / 2e0 AS rx, rank() OVER (PARTITION BY variable, comparison ORDER BY d) + (count(*) OVER (PARTITION BY variable, comparison, d) - 1) / 2e0 AS ry
+    FROM (SELECT variable, comparison, gap_days::DOUBLE AS gap, abs(diff_abs) AS d FROM pairs)) GROUP BY variable, comparison"""
 
 
-@query(_with(PAIRS, """SELECT variable, count(*) AS n, min(gap) AS min_gap, max(gap) AS max_gap, median(gap) AS median_gap, CASE WHEN count(*) > 5 THEN regr_slope(d, gap) END AS slope, corr(rx, ry) AS spearman
-  FROM (SELECT *, rank() OVER (PARTITION BY variable ORDER BY gap) + (count(*) OVER (PARTITION BY variable, gap) - 1) / 2e0 AS rx, rank() OVER (PARTITION BY variable ORDER BY d) + (count(*) OVER (PARTITION BY variable, d) - 1) / 2e0 AS ry
-    FROM (SELECT variable, gap_days::DOUBLE AS gap, abs(diff_abs) AS d FROM pairs)) GROUP BY variable"""), "min_gap max_gap median_gap slope spearman")
+@query(_with(PAIRS, GAPS), "min_gap max_gap median_gap slope spearman")
 def gap_dependence(spark: SparkSession, sf: str) -> DataFrame:
     return G.gap_dependence(_pairs(spark, sf))
 
 
-@query(_with(PAIRS, """SELECT *, bias / nullif(se, 0) AS t FROM (SELECT *, sd / sqrt(n_pairs::DOUBLE) AS se FROM (SELECT variable, pair, count(*) AS n_pairs, avg(m) AS bias, stddev_samp(m) AS sd FROM (
-  SELECT variable, pair, scene_a, scene_b, avg(CASE WHEN right(sensor_a, 1) <= right(sensor_b, 1) THEN diff_abs ELSE -diff_abs END) AS m FROM pairs WHERE comparison = 'Between instruments' GROUP BY ALL) GROUP BY ALL))"""), "bias sd se t")
+@query(_with(METRICS, f"""SELECT * FROM ({LIMITS}) LEFT JOIN (SELECT * EXCLUDE (n) FROM ({GAPS})) g USING (variable, comparison)
+  LEFT JOIN (SELECT variable, comparison, sd_signal_anom, sd_err_anom, snr_anom, lambda_anom, attenuation_pct FROM ({RELIABLE})) USING (variable, comparison)
+  LEFT JOIN (SELECT variable, comparison, n_pairs, spearman_anom_median, ccc_anom_median, sma_anom_median, spearman_median, ccc_median FROM ({CONCORD})) USING (variable, comparison)"""),
+       "bias lower upper p95 min_gap max_gap median_gap slope spearman sd_signal_anom sd_err_anom snr_anom lambda_anom attenuation_pct spearman_anom_median ccc_anom_median sma_anom_median spearman_median ccc_median")
+def sensor_validation(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _pairs(spark, sf)
+    concord = G.concordance_summary(G.pair_metrics(pairs, SETTINGS))
+    return G.validation(G.pair_summary(pairs, KIND), G.gap_dependence(pairs), G.reliability(_long(spark, sf), pairs), concord)
+
+
+@query(_with(METRICS, f"""SELECT variable, reduction, reduction > 50 AS anomalies_help, same.mad < 0.8 * b.mad AS instrument_effect, rho, CASE WHEN rho > 0.8 THEN 'strong' WHEN rho > 0.5 THEN 'moderate' WHEN rho IS NOT NULL THEN 'weak' END AS rank_agreement,
+  sma, CASE WHEN abs(sma - 1) < 0.15 THEN 'same scale' WHEN sma IS NOT NULL THEN 'other scale' END AS scale
+  FROM (SELECT * FROM ({_pair_summary('variable, comparison')}) WHERE comparison LIKE 'Between%') b LEFT JOIN (SELECT variable, mad FROM ({_pair_summary('variable, comparison')}) WHERE comparison LIKE 'Same%') same USING (variable)
+  LEFT JOIN (SELECT variable, median(spearman_anom) AS rho, median(sma_anom) AS sma FROM metrics WHERE comparison LIKE 'Between%' GROUP BY variable) USING (variable)"""), "reduction rho sma")
+def sensor_interpretation(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _pairs(spark, sf)
+    return G.interpretation(G.pair_summary(pairs, KIND), G.concordance_summary(G.pair_metrics(pairs, SETTINGS)))
+
+
+@query(_with(PAIRS, """SELECT *, bias / nullif(se, 0) AS t FROM (SELECT *, sd / sqrt(n_pairs::DOUBLE) AS se FROM (SELECT variable, direction, count(*) AS n_pairs, avg(m) AS bias, stddev_samp(m) AS sd, avg(m_anom) AS bias_anom FROM (
+  SELECT variable, direction, scene_a, scene_b, avg(CASE WHEN older_a THEN diff_abs ELSE -diff_abs END) AS m, avg(CASE WHEN older_a THEN diff_anom ELSE -diff_anom END) AS m_anom
+  FROM (SELECT *, replace(CASE WHEN older_a THEN sensor_b || ' - ' || sensor_a ELSE sensor_a || ' - ' || sensor_b END, 'Landsat', 'L') AS direction FROM (SELECT *, right(sensor_a, 1) <= right(sensor_b, 1) AS older_a FROM pairs WHERE comparison = 'Between instruments')) GROUP BY ALL) GROUP BY ALL))"""), "bias sd bias_anom se t")
 def directional_bias(spark: SparkSession, sf: str) -> DataFrame:
     return G.directional(_pairs(spark, sf))
 
 
-@query(None)
+@query(None, "bias sd bias_anom se t p_value ci_low ci_high")
 def directional_bias_intervals(spark: SparkSession, sf: str) -> DataFrame:
     return G.with_p_values(G.directional(_pairs(spark, sf)))
 
@@ -634,18 +651,18 @@ _CELLS = "SELECT (l_suppkey * 7 % 100)::INT AS row, (l_partkey % 100)::INT AS co
 _HIT = "col + 0.5 >= x0 AND col + 0.5 < x1 AND 100 - (row + 0.5) >= y0 AND 100 - (row + 0.5) < y1"
 
 
-@query(f"WITH z AS ({_RECT}), c AS ({_CELLS}) -- select\nSELECT zone_id, count(*) AS n, sum(l_quantity)::DOUBLE AS quantity FROM c JOIN z ON {_HIT} GROUP BY zone_id", "quantity")
+@query(f"WITH z AS ({_RECT}), c AS ({_CELLS})\nSELECT zone_id, count(*) AS n, sum(l_quantity)::DOUBLE AS quantity FROM c JOIN z ON {_HIT} GROUP BY zone_id", "quantity")
 def zone_pixel_join(spark: SparkSession, sf: str) -> DataFrame:
     hits = P.in_zones(_cells(spark, sf), P.spans(_rectangles(spark, sf), GRID))
     return hits.groupBy("zone_id").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 
-@query(f"WITH z AS ({_RECT}), c AS ({_CELLS}) -- select\nSELECT row, count(*) AS n FROM c WHERE EXISTS (SELECT 1 FROM z WHERE {_HIT}) GROUP BY row")
+@query(f"WITH z AS ({_RECT}), c AS ({_CELLS})\nSELECT row, count(*) AS n FROM c WHERE EXISTS (SELECT 1 FROM z WHERE {_HIT}) GROUP BY row")
 def zone_pixel_mask(spark: SparkSession, sf: str) -> DataFrame:
     return P.clip(_cells(spark, sf), P.spans(_rectangles(spark, sf), GRID)).groupBy("row").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH z AS ({_RECT}), s AS (SELECT c_custkey, (c_custkey % 90)::DOUBLE AS xmin, (c_custkey % 70)::DOUBLE AS ymin, (c_custkey % 90 + 25)::DOUBLE AS xmax, (c_custkey % 70 + 30)::DOUBLE AS ymax FROM customer) -- select
+@query(f"""WITH z AS ({_RECT}), s AS (SELECT c_custkey, (c_custkey % 90)::DOUBLE AS xmin, (c_custkey % 70)::DOUBLE AS ymin, (c_custkey % 90 + 25)::DOUBLE AS xmax, (c_custkey % 70 + 30)::DOUBLE AS ymax FROM customer)
 SELECT c_custkey, sum(greatest(0, least(x1, xmax) - greatest(x0, xmin)) * greatest(0, least(y1, ymax) - greatest(y0, ymin))) / sum((x1 - x0) * (y1 - y0)) AS overlap FROM s, z GROUP BY c_custkey""", "overlap")
 def footprint_overlap(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
@@ -654,32 +671,17 @@ def footprint_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return P.footprint_overlap(scenes, _rectangles(spark, sf)).select("c_custkey", "overlap")
 
 
-@query(f"WITH z AS ({_RECT}) -- select\nSELECT zone_id, (x1 - x0) * (y1 - y0) AS area FROM z", "area")
+@query(f"WITH z AS ({_RECT})\nSELECT zone_id, (x1 - x0) * (y1 - y0) AS area FROM z", "area")
 def polygon_area(spark: SparkSession, sf: str) -> DataFrame:
     area = F.aggregate(F.transform("rings", P.ring_area), F.lit(0.0), lambda a, x: a + x)
     return _rectangles(spark, sf).select("zone_id", area.alias("area"))
 
 
-@query(f"WITH z AS ({_RECT}) -- select\nSELECT zone_id, 0 AS ring, v::INT AS vertex, CASE WHEN v IN (0, 3) THEN x0 ELSE x1 END AS x, CASE WHEN v IN (0, 1) THEN y0 ELSE y1 END AS y FROM z, range(4) r(v)", "x y")
+@query(f"WITH z AS ({_RECT})\nSELECT zone_id, 0 AS ring, v::INT AS vertex, CASE WHEN v IN (0, 3) THEN x0 ELSE x1 END AS x, CASE WHEN v IN (0, 1) THEN y0 ELSE y1 END AS y FROM z, range(4) r(v)", "x y")
 def polygon_vertices(spark: SparkSession, sf: str) -> DataFrame:
     return P.vertices(_rectangles(spark, sf))
 
 
-@query("""WITH v AS (SELECT (p_partkey // 100)::INT AS row, (p_partkey % 100)::INT AS col, p_retailprice AS value FROM part WHERE p_partkey < 10000) -- select
-SELECT 0 AS scene, (row // 2)::INT AS row, (col // 2)::INT AS col, avg(value) AS value FROM v GROUP BY ALL""", "value")
-def raster_bilinear(spark: SparkSession, sf: str) -> DataFrame:
-    """Half the resolution: a target's centre lies between four cells of equal weight."""
-    cells = D.table(spark, sf, "part").where("p_partkey < 10000").select(F.lit(0).alias("scene"), F.floor(F.col("p_partkey") / 100).cast("int").alias("row"), (F.col("p_partkey") % 100).cast("int").alias("col"), F.col("p_retailprice").alias("value"))
-    return X.resample(cells, P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 2.0, 50, 50))
-
-
-@query("""WITH v AS (SELECT (p_partkey // 100)::INT AS row, (p_partkey % 100)::INT AS col, p_size::DOUBLE AS value FROM part WHERE p_partkey < 10000) -- select
-SELECT 0 AS scene, row * 2 + i::INT AS row, col * 2 + j::INT AS col, value FROM v, range(2) a(i), range(2) b(j)""", "value")
-def raster_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    cells = D.table(spark, sf, "part").where("p_partkey < 10000").select(F.lit(0).alias("scene"), F.floor(F.col("p_partkey") / 100).cast("int").alias("row"), (F.col("p_partkey") % 100).cast("int").alias("col"), F.col("p_size").cast("double").alias("value"))
-    return X.resample(cells, P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 0.5, 200, 200), "nearest")
-
-
 def _tiles(spark: SparkSession, sf: str, value: str) -> DataFrame:
     """Every part is a cell: 10,000 keys fill a tile of 100 x 100 cells, which is a scene."""
     k = F.col("p_partkey")
@@ -690,13 +692,14 @@ def _tiles(spark: SparkSession, sf: str, value: str) -> DataFrame:
 _TILES = "SELECT (p_partkey // 10000)::INT AS scene, (p_partkey % 10000 // 100)::INT AS row, (p_partkey % 100)::INT AS col, {}::DOUBLE AS value FROM part"
 
 
-@query(f"WITH v AS ({_TILES.format('p_retailprice')}) -- select\nSELECT scene, (row // 2)::INT AS row, (col // 2)::INT AS col, avg(value) AS value FROM v GROUP BY ALL", "value")
-def raster_bilinear_all(spark: SparkSession, sf: str) -> DataFrame:
+@query(f"WITH v AS ({_TILES.format('p_retailprice')})\nSELECT scene, (row // 2)::INT AS row, (col // 2)::INT AS col, avg(value) AS value FROM v GROUP BY ALL", "value")
+def raster_bilinear(spark: SparkSession, sf: str) -> DataFrame:
+    """Half the resolution: a target's centre lies between four cells of equal weight."""
     return X.resample(_tiles(spark, sf, "p_retailprice"), P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 2.0, 50, 50))
 
 
-@query(f"WITH v AS ({_TILES.format('p_size')}) -- select\nSELECT scene, row * 2 + i::INT AS row, col * 2 + j::INT AS col, value FROM v, range(2) a(i), range(2) b(j)", "value")
-def raster_nearest_all(spark: SparkSession, sf: str) -> DataFrame:
+@query(f"WITH v AS ({_TILES.format('p_size')})\nSELECT scene, row * 2 + i::INT AS row, col * 2 + j::INT AS col, value FROM v, range(2) a(i), range(2) b(j)", "value")
+def raster_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return X.resample(_tiles(spark, sf, "p_size"), P.Grid(0.0, 100.0, 1.0, 100, 100), P.Grid(0.0, 100.0, 0.5, 200, 200), "nearest")
 
 
@@ -714,9 +717,6 @@ def histogram_offset(spark: SparkSession, sf: str) -> DataFrame:
     return U.histogram(K.matched(D.monthly(spark, sf), D.station(spark, sf), SETTINGS), "offset")
 
 
-whole("histogram_offset", SEVENTH, lambda spark, sf: U.histogram(_whole_matched(spark, sf), "offset"))
-
-
 @query(_with(SQL, """SELECT floor((a - greatest(0.15e0 * (b - a), 0.1e0)) / 0.1e0) * 0.1e0 AS low, ceil((b + greatest(0.15e0 * (b - a), 0.1e0)) / 0.1e0) * 0.1e0 AS high
   FROM (SELECT quantile_cont(lst_c, 0.02) AS a, quantile_cont(lst_c, 0.98) AS b FROM products)"""), "low high")
 def auto_limits(spark: SparkSession, sf: str) -> DataFrame:

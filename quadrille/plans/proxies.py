@@ -84,7 +84,8 @@ def scene_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zone_scene_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return R.scene_stats(products(spark, sf), ("zone_id", *SCENE_KEYS))
+    """Zones that have pixels in a scene; :func:`series.complete_zones` adds the others."""
+    return R.scene_stats(products(spark, sf), ("scene", "zone_id", *SCENE_KEYS[1:]))
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,11 +100,10 @@ def zone_monthly(spark: SparkSession, sf: str) -> DataFrame:
     return R.monthly(zone_scene_stats(spark, sf), SETTINGS, zones(spark, sf), ("zone_id",))
 
 
-def station(spark: SparkSession, sf: str, part: str = "o_orderkey % 7 = 0") -> DataFrame:
-    """A monthly temperature series of a part of the orders; ``true`` takes all of them."""
-    o = table(spark, sf, "orders").where(part)
+def station(spark: SparkSession, sf: str) -> DataFrame:
+    """A monthly temperature series of all orders."""
     temp = 15 + 10 * F.avg((F.col("o_custkey") % 100).cast("double")) / 50.0
-    return o.groupBy(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes")).agg(temp.alias("temp"))
+    return table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes")).agg(temp.alias("temp"))
 
 
 def campaign(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +111,7 @@ def campaign(spark: SparkSession, sf: str) -> DataFrame:
     p = products(spark, sf).withColumn("half", F.when(F.dayofmonth("acq_date") <= 15, 1).otherwise(16))
     p = p.withColumn("acq_date", F.make_date("ano", "mes", "half"))
     p = p.withColumn("scene", F.concat_ws("_", "sensor", F.col("acq_date").cast("string")))
-    return R.scene_stats(p, ("zone_id", "scene", "sensor", "acq_date", "ano", "mes"))
+    return R.scene_stats(p, ("scene", "zone_id", "sensor", "acq_date", "ano", "mes"))
 
 
 #: The same projection as common table expressions of another engine.
@@ -162,7 +162,16 @@ SIX = ", ".join(
     f"avg({v}) AS {v}_media, median({v}) AS {v}_mediana, min({v}) AS {v}_min, max({v}) AS {v}_max, stddev_samp({v}) AS {v}_dp, count({v}) AS {v}_n" for v in ("ndvi", "lst_c")
 )
 KEYS = "scene, sensor, acq_date, ano, mes, cloud_cover, sun_elevation"
-SQL_STATS = SQL + f", scene_stats AS (SELECT {KEYS}, {SIX} FROM products GROUP BY ALL), zone_scene_stats AS (SELECT zone_id, {KEYS}, {SIX} FROM products GROUP BY ALL)"
+#: Every zone is part of every scene that has pixels, with counts of 0 where it has none itself.
+SQL_STATS = SQL + f""", scene_stats AS (SELECT {KEYS}, {SIX} FROM products GROUP BY ALL),
+zone_scene_stats AS (
+  SELECT zone_id, s.*, r.* EXCLUDE (scene, zone_id) REPLACE (coalesce(r.ndvi_n, 0) AS ndvi_n, coalesce(r.lst_c_n, 0) AS lst_c_n)
+  FROM (SELECT n_nationkey AS zone_id FROM nation) z CROSS JOIN (SELECT {KEYS} FROM scene_stats) s
+  LEFT JOIN (SELECT scene, zone_id, {SIX} FROM products GROUP BY ALL) r USING (scene, zone_id))"""
+
+
+def _mix(source: str, keys: str) -> str:
+    return f"SELECT {keys}, sum(k)::BIGINT AS n_cenas, string_agg(code || 'x' || k, ', ' ORDER BY code) AS sensores_usados FROM (SELECT {keys}, replace(sensor, 'Landsat', 'L') AS code, count(*) AS k FROM {source} GROUP BY ALL) GROUP BY ALL"
 
 
 def _rolled(source: str, keys: str) -> str:
@@ -171,22 +180,22 @@ def _rolled(source: str, keys: str) -> str:
         mean = lambda x, v=v: f"sum(CASE WHEN {v}_n > 0 THEN {v}_{x} * {v}_n END) / sum(CASE WHEN {v}_n > 0 AND {v}_{x} IS NOT NULL THEN {v}_n END)"
         parts.append(f"{mean('media')} AS {v}_media, {mean('mediana')} AS {v}_mediana, min({v}_min) AS {v}_min, max({v}_max) AS {v}_max, {mean('dp')} AS {v}_dp, sum({v}_n)::BIGINT AS {v}_n")
     sky = "sum(CASE WHEN ndvi_n > 0 THEN cloud_cover * ndvi_n END) / sum(CASE WHEN ndvi_n > 0 THEN ndvi_n END) AS cloud_cover_med, sum(CASE WHEN ndvi_n > 0 THEN sun_elevation * ndvi_n END) / sum(CASE WHEN ndvi_n > 0 THEN ndvi_n END) AS sun_elev_med"
-    mix = f"SELECT {keys}, string_agg(code || 'x' || k, ', ' ORDER BY code) AS sensores_usados FROM (SELECT {keys}, replace(sensor, 'Landsat', 'L') AS code, count(*) AS k FROM {source} GROUP BY ALL) GROUP BY ALL"
-    return f"SELECT * FROM (SELECT {keys}, count(*) AS n_cenas, {', '.join(parts)}, {sky} FROM {source} GROUP BY ALL) JOIN ({mix}) USING ({keys})"
+    return f"SELECT {keys}, {', '.join(parts)}, {sky} FROM {source} GROUP BY ALL"
 
 
 MONTHS = "SELECT y::INT AS ano, m::INT AS mes FROM range(1995, 2002) a(y), range(1, 13) b(m)"
 DATED = "make_date(ano, mes, 15) AS data_ref, strftime(make_date(ano, mes, 15), '%B') AS mes_nome"
 SQL_MONTHLY = SQL_STATS + f""",
-monthly AS (SELECT *, {DATED} FROM ({MONTHS}) LEFT JOIN ({_rolled('scene_stats', 'ano, mes')}) USING (ano, mes)),
+monthly AS (SELECT *, {DATED} FROM ({MONTHS}) LEFT JOIN ({_rolled('scene_stats', 'ano, mes')}) USING (ano, mes) LEFT JOIN ({_mix('scene_stats', 'ano, mes')}) USING (ano, mes)),
 zone_monthly AS (SELECT *, {DATED} FROM (SELECT n_nationkey AS zone_id, g.* FROM nation, ({MONTHS}) g)
-  LEFT JOIN ({_rolled('zone_scene_stats', 'zone_id, ano, mes')}) USING (zone_id, ano, mes))
+  LEFT JOIN ({_rolled('zone_scene_stats', 'zone_id, ano, mes')}) USING (zone_id, ano, mes) LEFT JOIN ({_mix('zone_scene_stats', 'zone_id, ano, mes')}) USING (zone_id, ano, mes)),
+good_months AS (SELECT * FROM zone_monthly WHERE NOT ((ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7)))
 """
 
 
 def annual_sql(source: str, keys: str) -> str:
     parts = [
-        f"sum(CASE WHEN {v}_n > 0 THEN {v}_media * {v}_n END) / sum(CASE WHEN {v}_n > 0 AND {v}_media IS NOT NULL THEN {v}_n END) AS {s}_media_anual, min({v}_min) AS {s}_min_anual, max({v}_max) AS {s}_max_anual, sum({v}_n)::BIGINT AS {v}_n_total"
+        f"sum(CASE WHEN {v}_n > 0 THEN {v}_media * {v}_n END) / sum(CASE WHEN {v}_n > 0 AND {v}_media IS NOT NULL THEN {v}_n END) AS {s}_media_anual, min({v}_min) AS {s}_min_anual, max({v}_max) AS {s}_max_anual, coalesce(sum({v}_n), 0)::BIGINT AS {v}_n_total"
         for v, s in (("ndvi", "ndvi"), ("lst_c", "lst"))
     ]
     part = f"SELECT {keys}, unnest(string_split(sensores_usados, ', ')) AS p FROM {source}"

@@ -44,6 +44,23 @@ def same_rows(spark_rows, columns, cursor) -> None:
     assert mine == theirs
 
 
+def close_rows(spark_rows, columns, cursor) -> None:
+    """Rows of both engines, unrounded: numbers to 1e-9 of their size, all else equal."""
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == sorted(columns)
+    order = [names.index(c) for c in columns]
+
+    def arranged(rows):
+        plain = [[canonical(v) if not isinstance(v, float) else v for v in r] for r in rows]
+        return sorted(plain, key=lambda r: [repr(v) if not isinstance(v, float) else f"{v + 1e-7:.5g}" for v in sorted(r, key=lambda v: isinstance(v, float))])
+
+    mine, theirs = arranged([[r[c] for c in columns] for r in spark_rows]), arranged([[r[i] for i in order] for r in cursor.fetchall()])
+    assert len(mine) == len(theirs)
+    for a, b in zip(mine, theirs, strict=True):
+        for x, y, c in zip(a, b, columns, strict=True):
+            assert abs(x - y) <= 1e-9 * max(1, abs(x)) if isinstance(x, float) and isinstance(y, float) else x == y, (c, a, b)
+
+
 @pytest.fixture(scope="session")
 def duck(sf):
     import glob
