@@ -37,15 +37,16 @@ def bit_breakdown(pixels: DataFrame, settings: Settings, qa: str = "qa") -> Data
     return out.withColumn("pct", F.try_divide(100.0 * F.col("n"), F.nullif(F.col("total"), F.lit(0)))).drop("total")
 
 
-def scene_measures(products: DataFrame, by: Sequence[str], settings: Settings, in_area: Column | None = None) -> DataFrame:
-    """Everything that rules and report need of a scene, in one pass."""
+def scene_measures(products: DataFrame, by: Sequence[str], settings: Settings, in_area: Column | None = None, in_box: Column | None = None) -> DataFrame:
+    """Everything that rules and report need of a scene, in one pass; ``n_area`` counts the cells of the area's box."""
     area = F.lit(True) if in_area is None else in_area
+    box = area if in_box is None else in_box
     beyond = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     kept_dn = ~F.coalesce(F.col("below_sentinel"), F.lit(False))
     return products.groupBy(*by).agg(
         F.count("*").alias("n_total_cena"),
         F.count_if("clear").alias("n_clear"),
-        F.count_if(area).alias("n_area"),
+        F.count_if(box).alias("n_area"),
         F.count(F.when(area, F.col("ndvi"))).alias("ndvi_n"),
         F.count(F.when(area, F.col("lst_c"))).alias("lst_n"),
         F.min("ndvi_raw").alias("ndvi_raw_min"),

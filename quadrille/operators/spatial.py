@@ -1,6 +1,8 @@
 """Polygons on a grid of cells: membership by cell centre, areas and footprints.
 
 A polygon is ``zone_id, zone_name, rings``: rings are arrays of ``struct<x, y>``; holes follow by the even-odd rule.
+Where polygons overlap, their union counts once: it is cut into trapezoids between neighbouring heights at which
+anything changes, which holds for holes, overlaps and rings that cross themselves.
 """
 
 from __future__ import annotations
@@ -13,8 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Spans up to this number are broadcast (three integers each); more are joined by a shuffle on the row.
+#: Spans up to this number are broadcast (four integers each); more are joined by a shuffle.
 BROADCAST_SPANS = 1_000_000
+#: Columns of a block: cells and runs meet by row and block, so no row of a wide grid is one key.
+BLOCK = 256
+#: Most vertices of an area that is dissolved: its edges go to every task, 40 bytes each.
+MAX_VERTICES = 200_000
 
 
 @dataclass(frozen=True)
@@ -66,16 +72,24 @@ def spans(zones: DataFrame, grid: Grid) -> DataFrame:
     return zones.select("zone_id", "rings").mapInPandas(run, f"zone_id {zones.schema['zone_id'].dataType.simpleString()}, row int, col_from int, col_to int")
 
 
+def _blocked(spans_: DataFrame) -> DataFrame:
+    blocks = F.explode(F.sequence(F.floor(F.col("col_from") / BLOCK), F.floor(F.col("col_to") / BLOCK)))
+    return spans_.withColumnRenamed("row", "__row").withColumn("__block", blocks)
+
+
+def _hit(row: str, col: str) -> Column:
+    return (F.col(row) == F.col("__row")) & (F.floor(F.col(col) / BLOCK) == F.col("__block")) & F.col(col).between(F.col("col_from"), F.col("col_to"))
+
+
 def in_zones(cells: DataFrame, spans_: DataFrame, row: str = "row", col: str = "col") -> DataFrame:
     """A row for each cell and zone that holds it; overlapping zones give several.
 
-    The join is on the row, with the run as a residual condition.
+    The join is on the row and a block of columns, with the run as a residual condition.
     """
-    side = spans_.select(F.col("zone_id"), F.col("row").alias("__row"), "col_from", "col_to")
+    side = _blocked(spans_.select("zone_id", "row", "col_from", "col_to"))
     if spans_.count() <= BROADCAST_SPANS:
         side = F.broadcast(side)
-    hit = (F.col(row) == F.col("__row")) & F.col(col).between(F.col("col_from"), F.col("col_to"))
-    return cells.join(side, hit).drop("__row", "col_from", "col_to")
+    return cells.join(side, _hit(row, col)).drop("__row", "__block", "col_from", "col_to")
 
 
 def clip(cells: DataFrame, spans_: DataFrame, row: str = "row", col: str = "col") -> DataFrame:
@@ -84,57 +98,159 @@ def clip(cells: DataFrame, spans_: DataFrame, row: str = "row", col: str = "col"
     if box[0] is None:
         return cells.where("false")
     near = cells.where(F.col(row).between(box[0], box[1]) & F.col(col).between(box[2], box[3]))
-    side = spans_.select(F.col("row").alias("__row"), "col_from", "col_to")
-    return near.join(side, (F.col(row) == F.col("__row")) & F.col(col).between(F.col("col_from"), F.col("col_to")), "left_semi")
-
-
-def ring_area(ring: Column) -> Column:
-    """Unsigned area by the shoelace sum."""
-    n = F.size(ring)
-    term = lambda p, i: p["x"] * F.element_at(ring, (i + 1) % n + 1)["y"] - F.element_at(ring, (i + 1) % n + 1)["x"] * p["y"]
-    return F.abs(F.aggregate(F.transform(ring, term), F.lit(0.0), lambda a, x: a + x)) / 2
-
-
-def clip_area(ring: np.ndarray, xmin: float, ymin: float, xmax: float, ymax: float) -> float:
-    """Area of a ring within a rectangle: one half-plane after the other."""
-    points = [tuple(p) for p in ring]
-    for axis, bound, sign in ((0, xmin, 1), (0, xmax, -1), (1, ymin, 1), (1, ymax, -1)):
-        kept = []
-        for p, q in zip(points, points[1:] + points[:1], strict=True):
-            a, b = sign * (p[axis] - bound), sign * (q[axis] - bound)
-            if a >= 0:
-                kept.append(p)
-            if (a >= 0) != (b >= 0):
-                t = a / (a - b)
-                kept.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-        points = kept
-        if not points:
-            return 0.0
-    x, y = np.array(points).T
-    return float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2)
+    return near.join(_blocked(spans_.select("row", "col_from", "col_to")), _hit(row, col), "left_semi")
+
+
+def _edges(polygons: list[list[np.ndarray]]) -> np.ndarray:
+    """Rows ``x, y, x, y, polygon`` with the lower end first; level edges bound nothing."""
+    out = [np.column_stack([r, np.roll(r, -1, axis=0), np.full(len(r), float(k))]) for k, rings in enumerate(polygons) for r in rings if len(r) > 2]
+    e = np.concatenate(out) if out else np.zeros((0, 5))
+    e = e[e[:, 1] != e[:, 3]]
+    down = e[:, 1] > e[:, 3]
+    e[down] = e[down][:, [2, 3, 0, 1, 4]]
+    return e
+
+
+def _crossings(some: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Heights at which the edges ``some`` cross edges of ``e``."""
+    found = []
+    for x0, y0, x1, y1, _ in some:
+        near = e[(e[:, 1] < y1) & (e[:, 3] > y0)]
+        dx, dy = near[:, 2] - near[:, 0], near[:, 3] - near[:, 1]
+        turn = (x1 - x0) * dy - (y1 - y0) * dx
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((near[:, 0] - x0) * dy - (near[:, 1] - y0) * dx) / turn
+            y = y0 + t * (y1 - y0)
+        ok = (turn != 0) & (t > 0) & (t < 1) & (y > near[:, 1]) & (y < near[:, 3])
+        found.append(y[ok])
+    return np.unique(np.concatenate(found)) if found else np.zeros(0)
+
+
+def _slabs(low: np.ndarray, high: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Trapezoids ``y0, y1, left0, left1, right0, right1`` of the union between each pair of neighbouring heights."""
+    out = []
+    for y0, y1 in zip(low.tolist(), high.tolist(), strict=True):
+        act = e[(e[:, 1] <= y0) & (e[:, 3] >= y1)]
+        at = lambda y, act=act: act[:, 0] + (y - act[:, 1]) * (act[:, 2] - act[:, 0]) / (act[:, 3] - act[:, 1])
+        order = np.argsort(at((y0 + y1) / 2), kind="stable")
+        below, above, who = at(y0)[order], at(y1)[order], act[order, 4].astype(int).tolist()
+        inside: set[int] = set()
+        for k, p in enumerate(who):
+            if not inside:
+                first = k
+            inside ^= {p}
+            if not inside:
+                out.append((y0, y1, below[first], above[first], below[k], above[k]))
+    return np.array(out, float).reshape(-1, 6)
+
+
+def trapezoids(polygons: list[list[np.ndarray]]) -> np.ndarray:
+    """The union of polygons, each by the even-odd rule, in trapezoids."""
+    e = _edges(polygons)
+    y = np.unique(np.concatenate([e[:, 1], e[:, 3], _crossings(e, e)]))
+    return _slabs(y[:-1], y[1:], e) if len(y) else np.zeros((0, 6))
+
+
+def _upto(low: np.ndarray, high: np.ndarray, bound: float) -> np.ndarray:
+    """The mean of ``min(x, bound)`` as ``x`` runs evenly from ``low`` to ``high``."""
+    primitive = lambda z: np.where(z > bound, bound * z - bound * bound / 2, z * z / 2)
+    wide = np.abs(high - low) > 1e-9 * np.maximum(1, np.abs(low))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(wide, (primitive(high) - primitive(low)) / (high - low), np.minimum((low + high) / 2, bound))
+
+
+def area_within(t: np.ndarray, xmin: float = -np.inf, ymin: float = -np.inf, xmax: float = np.inf, ymax: float = np.inf) -> float:
+    """Area of trapezoids inside a rectangle."""
+    y0, y1 = np.maximum(t[:, 0], ymin), np.minimum(t[:, 1], ymax)
+    t, y0, y1 = t[y1 > y0], y0[y1 > y0], y1[y1 > y0]
+    if not len(t):
+        return 0.0
+    low, high = max(xmin, t[:, 2:].min()), min(xmax, t[:, 2:].max())
+    if high <= low:
+        return 0.0
+    at = lambda k, y: t[:, k] + (y - t[:, 0]) * (t[:, k + 1] - t[:, k]) / (t[:, 1] - t[:, 0]) - low  # noqa: E731  shifted: bounds near zero lose no digits
+    kept = [_upto(a, b, high - low) - _upto(a, b, 0.0) for a, b in ((at(k, y0), at(k, y1)) for k in (2, 4))]
+    return float(((kept[1] - kept[0]) * (y1 - y0)).sum())
+
+
+def areas(zones: DataFrame) -> DataFrame:
+    """``zone_id, area``: holes do not count."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"zone_id": f["zone_id"], "area": [area_within(trapezoids([_rings(r)])) for r in f["rings"]]})
+
+    return zones.select("zone_id", "rings").mapInPandas(run, f"zone_id {zones.schema['zone_id'].dataType.simpleString()}, area double")
+
+
+TRAPEZOID = "y0 double, y1 double, left0 double, left1 double, right0 double, right1 double"
+
+
+def dissolve(zones: DataFrame) -> DataFrame:
+    """The union of all zones as trapezoids.
+
+    Its edges go to every task, so their number is bounded (``MAX_VERTICES``, an error beyond); tasks then find where
+    edges cross, and cut the trapezoids of their heights.
+    """
+    spark = zones.sparkSession
+    size = zones.agg(F.sum(F.aggregate(F.transform("rings", F.size), F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    if size > MAX_VERTICES:
+        raise ValueError(f"the area has {size} vertices, more than {MAX_VERTICES}: simplify it first")
+    e = _edges([_rings(r["rings"]) for r in zones.select("rings").collect()])
+    parts = max(1, min(64, len(e) // 500))
+
+    def cross(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for k in f["id"]:
+                yield pd.DataFrame({"y": _crossings(e[k::parts], e)})
+
+    crossed = [r["y"] for r in spark.range(0, parts, 1, parts).mapInPandas(cross, "y double").distinct().collect()]
+    y = np.unique(np.concatenate([e[:, 1], e[:, 3], crossed]))
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for k in f["id"]:
+                yield pd.DataFrame(_slabs(y[:-1][k::parts], y[1:][k::parts], e), columns=["y0", "y1", "left0", "left1", "right0", "right1"])
+
+    return spark.range(0, parts, 1, parts).mapInPandas(cut, TRAPEZOID)
 
 
 def footprint_overlap(scenes: DataFrame, zones: DataFrame) -> DataFrame:
-    """Adds ``overlap``: the share of the zones' area inside the scene's extent ``xmin, ymin, xmax, ymax``.
+    """Adds ``overlap``: the share of the dissolved area inside the scene's extent ``xmin, ymin, xmax, ymax``.
 
-    Zones of one study area are few and are sent along, once their vertices have been counted.
+    The area's trapezoids, which its bounded number of vertices bounds, go to every task.
     """
-    rows = zones.select("rings").limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("dissolve the zones first: more than 100,000 polygons")
-    rings = [r for z in rows for r in _rings(z["rings"])]
-    total = sum(clip_area(r, -1e300, -1e300, 1e300, 1e300) for r in rings)
+    t = np.array([tuple(r) for r in dissolve(zones).collect()], float).reshape(-1, 6)
+    total = area_within(t)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             boxes = zip(f["xmin"], f["ymin"], f["xmax"], f["ymax"], strict=True)
-            f["overlap"] = [sum(clip_area(r, *b) for r in rings) / total if total else None for b in boxes]
+            f["overlap"] = [area_within(t, *b) / total if total else None for b in boxes]
             yield f
 
     schema = ", ".join(f"`{c}` {t}" for c, t in scenes.dtypes) + ", overlap double"
     return scenes.mapInPandas(run, schema)
 
 
+def transform(zones: DataFrame, source: str, target: str) -> DataFrame:
+    """The zones in another coordinate system; vertices move, edges stay straight."""
+    if source == target:
+        return zones
+    from . import raster
+
+    def moved(p: Column) -> Column:
+        x, y = raster.project(p["x"], p["y"], source, target)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return zones.withColumn("rings", F.transform("rings", lambda ring: F.transform(ring, moved)))
+
+
+def with_values(zones: DataFrame, values: DataFrame, key: str = "zone_name") -> DataFrame:
+    """Zones with their values for a map; a zone without values stays."""
+    return zones.join(values, key, "left")
+
+
 def rectangle(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     return F.array(F.array(p(xmin, ymin), p(xmax, ymin), p(xmax, ymax), p(xmin, ymax)))
@@ -151,7 +267,10 @@ def duplicate_names(zones: DataFrame) -> DataFrame:
 
 
 #: Names by which a column of zone names is known, in order of preference.
-NAME_COLUMNS = ("zone_name", "name", "nome", "NM_BAIRRO", "NM_MUN", "NM_DIST", "NAME", "NOME")
+NAME_COLUMNS = (
+    "NOME", "Nome", "nome", "NAME", "Name", "name", "NM_BAIRRO", "nm_bairro", "BAIRRO", "bairro", "NM_MUN", "NM_MUNICIP", "MUNICIPIO", "municipio",
+    "NAME_1", "NAME_2", "NAME_3", "district", "DISTRICT", "zone", "ZONE",
+)
 
 
 def name_column(df: DataFrame, wanted: str | None = None) -> str:

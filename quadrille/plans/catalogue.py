@@ -633,14 +633,19 @@ def directional_bias_intervals(spark: SparkSession, sf: str) -> DataFrame:
 GRID = P.Grid(0.0, 100.0, 1.0, 100, 100)
 
 
-def _rectangles(spark: SparkSession, sf: str) -> DataFrame:
-    """A rectangle for each nation; neighbours overlap by a cell."""
+def _rectangles(spark: SparkSession, sf: str, hole: bool = False) -> DataFrame:
+    """A rectangle for each nation; neighbours overlap by a cell.  With ``hole``, 6 x 6 of it are left out."""
     k = F.col("n_nationkey")
     x, y = (k % 5 * 20).cast("double"), (F.floor(k / 5) * 20).cast("double")
-    return D.table(spark, sf, "nation").select(k.alias("zone_id"), P.rectangle(x, y, x + 21, y + 19.25).alias("rings"))
+    rings = P.rectangle(x, y, x + 21, y + 19.25)
+    rings = F.concat(rings, P.rectangle(x + 5, y + 5, x + 11, y + 11)) if hole else rings
+    return D.table(spark, sf, "nation").select(k.alias("zone_id"), rings.alias("rings"))
 
 
 _RECT = "SELECT n_nationkey AS zone_id, (n_nationkey % 5 * 20)::DOUBLE AS x0, (n_nationkey // 5 * 20)::DOUBLE AS y0, (n_nationkey % 5 * 20)::DOUBLE + 21 AS x1, (n_nationkey // 5 * 20)::DOUBLE + 19.25 AS y1 FROM nation"
+#: The union in pieces of 1 x 0.25, of which every rectangle and hole is made.
+_PIECES = f"""WITH z AS ({_RECT}), q AS (SELECT i + 0.5 AS x, j * 0.25 + 0.125 AS y FROM range(0, 130) a(i), range(0, 480) b(j)
+  WHERE EXISTS (SELECT 1 FROM z WHERE i + 0.5 BETWEEN x0 AND x1 AND j * 0.25 + 0.125 BETWEEN y0 AND y1 AND NOT (i + 0.5 BETWEEN x0 + 5 AND x0 + 11 AND j * 0.25 + 0.125 BETWEEN y0 + 5 AND y0 + 11)))"""
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -662,19 +667,35 @@ def zone_pixel_mask(spark: SparkSession, sf: str) -> DataFrame:
     return P.clip(_cells(spark, sf), P.spans(_rectangles(spark, sf), GRID)).groupBy("row").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH z AS ({_RECT}), s AS (SELECT c_custkey, (c_custkey % 90)::DOUBLE AS xmin, (c_custkey % 70)::DOUBLE AS ymin, (c_custkey % 90 + 25)::DOUBLE AS xmax, (c_custkey % 70 + 30)::DOUBLE AS ymax FROM customer)
-SELECT c_custkey, sum(greatest(0, least(x1, xmax) - greatest(x0, xmin)) * greatest(0, least(y1, ymax) - greatest(y0, ymin))) / sum((x1 - x0) * (y1 - y0)) AS overlap FROM s, z GROUP BY c_custkey""", "overlap")
+@query(f"""{_PIECES}, s AS (SELECT c_custkey, c_custkey % 90 AS xmin, c_custkey % 70 AS ymin, c_custkey % 90 + 25 AS xmax, c_custkey % 70 + 30 AS ymax FROM customer),
+  b AS (SELECT xmin, ymin, xmax, ymax, count(q.x) / (SELECT count(*) FROM q)::DOUBLE AS overlap FROM (SELECT DISTINCT xmin, ymin, xmax, ymax FROM s) LEFT JOIN q ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax GROUP BY ALL)
+  SELECT c_custkey, overlap, overlap > 0.1 AS enough FROM s JOIN b USING (xmin, ymin, xmax, ymax)""", "overlap")
 def footprint_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of an area with holes and overlaps, and the filter of the run."""
     k = F.col("c_custkey")
     box = {"xmin": k % 90, "ymin": k % 70, "xmax": k % 90 + 25, "ymax": k % 70 + 30}
     scenes = D.table(spark, sf, "customer").select(k, *[c.cast("double").alias(n) for n, c in box.items()])
-    return P.footprint_overlap(scenes, _rectangles(spark, sf)).select("c_custkey", "overlap")
+    out = P.footprint_overlap(scenes, _rectangles(spark, sf, hole=True))
+    return out.select("c_custkey", "overlap", (F.col("overlap") > SETTINGS.min_overlap).alias("enough"))
 
 
-@query(f"WITH z AS ({_RECT})\nSELECT zone_id, (x1 - x0) * (y1 - y0) AS area FROM z", "area")
+@query(f"{_PIECES} SELECT count(*) * 0.25e0 AS area FROM q", "area")
+def dissolved_area(spark: SparkSession, sf: str) -> DataFrame:
+    t = P.dissolve(_rectangles(spark, sf, hole=True))
+    width = lambda e: F.col(f"right{e}") - F.col(f"left{e}")
+    return t.agg(F.sum((F.col("y1") - F.col("y0")) * (width(0) + width(1)) / 2).alias("area"))
+
+
+@query(f"WITH z AS ({_RECT})\nSELECT zone_id, (x1 - x0) * (y1 - y0) - 36 AS area FROM z", "area")
 def polygon_area(spark: SparkSession, sf: str) -> DataFrame:
-    area = F.aggregate(F.transform("rings", P.ring_area), F.lit(0.0), lambda a, x: a + x)
-    return _rectangles(spark, sf).select("zone_id", area.alias("area"))
+    return P.areas(_rectangles(spark, sf, hole=True))
+
+
+@query(f"WITH z AS ({_RECT}), s AS (SELECT s_nationkey AS zone_id, count(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY ALL)\nSELECT z.zone_id, n FROM z LEFT JOIN s USING (zone_id)")
+def choropleth_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Zones of a map with a value each, or none."""
+    values = D.table(spark, sf, "supplier").where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("zone_id")).agg(F.count("*").alias("n"))
+    return P.with_values(_rectangles(spark, sf), values, "zone_id").select("zone_id", "n")
 
 
 @query(f"WITH z AS ({_RECT})\nSELECT zone_id, 0 AS ring, v::INT AS vertex, CASE WHEN v IN (0, 3) THEN x0 ELSE x1 END AS x, CASE WHEN v IN (0, 1) THEN y0 ELSE y1 END AS y FROM z, range(4) r(v)", "x y")

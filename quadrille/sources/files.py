@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +31,26 @@ ALIASES = {
 }
 
 
+LOG = logging.getLogger("quadrille")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, in whatever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def scene_files(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
     """``group, scene_dir, scene_id, path`` of every file in the scene folders below ``folders``.
 
-    Only paths are projected, so file contents are not read.
+    Only paths are projected, so file contents are not read.  A folder that is not there is skipped with a warning;
+    without any there is an error.
     """
     out = None
     for folder in folders:
+        if not exists(spark, folder):
+            LOG.warning("no folder %s", folder)
+            continue
         listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
         part = listing.select(F.lit(folder.rstrip("/").rsplit("/", 1)[-1]).alias("group"), F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("scene_dir"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("scene_id"), "path")
         out = part if out is None else out.unionByName(part)
@@ -125,6 +139,57 @@ def find_table(headers: dict[str, Sequence[str]], required: Sequence[Sequence[st
     return None
 
 
+def tables_below(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Headers of all CSV files below a folder of results, by path; their contents are not read."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
+    out = {}
+    for path in sorted(r["path"] for r in listing.select("path").collect()):
+        first = header(spark, path)
+        out[path] = [c.strip().strip('"') for c in first.split(";" if ";" in first else ",")]
+    return out
+
+
+def _loaded(spark: SparkSession, folder: str, required: Sequence[Sequence[str]], prefer: str, forbid: Sequence[str]) -> DataFrame:
+    path = find_table(tables_below(spark, folder), required, prefer, forbid)
+    if path is None:
+        raise ValueError(f"no table below {folder} has columns {[g[0] for g in required]}")
+    return normalise(read_table(spark, path))
+
+
+#: Groups of names of which a monthly table must have one each.
+MONTHLY = (ALIASES["year"], ALIASES["month"], ALIASES["lst_mean"], ALIASES["ndvi_mean"])
+
+
+def load_city(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly table of the area: the one without zones."""
+    return _loaded(spark, folder, MONTHLY, "monthly", ALIASES["zone_name"])
+
+
+def load_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly table of the zones, numbered by name if it has no ids."""
+    return with_zone_ids(_loaded(spark, folder, (*MONTHLY, ALIASES["zone_name"]), "zone", ()))
+
+
+def read_excel(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
+    """A spreadsheet of a few thousand rows, read on the driver; needs a library that reads the format."""
+    import io
+
+    import pandas as pd
+
+    body = spark.read.format("binaryFile").load(path).select("content").first()["content"]
+    try:
+        frame = pd.read_excel(io.BytesIO(bytes(body)), sheet_name=sheet, dtype=str)
+    except ImportError as e:
+        raise ImportError("spreadsheets need openpyxl; save the table as CSV instead") from e
+    return spark.createDataFrame(frame.astype(object).where(frame.notna(), None), ", ".join(f"`{c}` string" for c in frame.columns))
+
+
+def raster_suffix(name: str, scene_ids: Iterable[str]) -> str | None:
+    """What a raster's file name has behind the longest scene id that it begins with."""
+    found = max((i for i in scene_ids if name.startswith(i)), key=len, default=None)
+    return None if found is None else name[len(found) :]
+
+
 def find_results(candidates: Iterable[str], exists) -> str | None:
     """The first folder that has tables, in a sub-folder of either usual name or in itself."""
     for folder in candidates:

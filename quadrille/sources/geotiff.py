@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 # Fixed values of the format: field sizes and types, and the tags used.
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 16: 8}
 CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
-WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, ROWS, STRIP_BYTES, PREDICTOR, TILE_W, TILE_H, TILES, TILE_BYTES, FORMAT, SCALE, TIE = (
-    256, 257, 258, 259, 273, 278, 279, 317, 322, 323, 324, 325, 339, 33550, 33922,
+WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, STRIP_BYTES, PREDICTOR, TILE_W, TILE_H, TILES, TILE_BYTES, FORMAT, SCALE, TIE, KEYS, NODATA = (
+    256, 257, 258, 259, 273, 277, 278, 279, 317, 322, 323, 324, 325, 339, 33550, 33922, 34735, 42113,
 )
+PROJECTED, GEOGRAPHIC = 3072, 2048
 
 
 def lzw_decode(data: bytes) -> bytes:
@@ -83,8 +84,8 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
-    """The first band and ``(left, top, cell size)``: strips or tiles, plain, LZW or deflate, predictors 1 and 2."""
+def tags_of(body: bytes) -> tuple[str, dict[int, tuple]]:
+    """Byte order and tags of the first image."""
     order = {b"II": "<", b"MM": ">"}[body[:2]]
     magic, at = struct.unpack_from(order + "HI", body, 2)
     if magic != 42:
@@ -93,11 +94,31 @@ def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
     (count,) = struct.unpack_from(order + "H", body, at)
     for i in range(count):
         tag, kind, n = struct.unpack_from(order + "HHI", body, at + 2 + 12 * i)
-        if kind not in CODES:
+        if kind not in CODES and kind != 2:
             continue
         size = SIZES[kind] * n
         where = at + 10 + 12 * i if size <= 4 else struct.unpack_from(order + "I", body, at + 10 + 12 * i)[0]
-        tags[tag] = struct.unpack_from(f"{order}{n}{CODES[kind]}", body, where)
+        tags[tag] = (body[where : where + n].rstrip(b"\0 "),) if kind == 2 else struct.unpack_from(f"{order}{n}{CODES[kind]}", body, where)
+    return order, tags
+
+
+def place(body: bytes) -> tuple[int, int, float, float, float, str | None]:
+    """``rows, cols, left, top, size, crs`` from the tags alone."""
+    _, tags = tags_of(body)
+    size, tie, keys = tags.get(SCALE, (1.0,))[0], tags.get(TIE, (0.0,) * 6), tags.get(KEYS, ())
+    codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
+    code = codes.get(PROJECTED, codes.get(GEOGRAPHIC))
+    return tags[HEIGHT][0], tags[WIDTH][0], tie[3] - tie[0] * size, tie[4] + tie[1] * size, size, f"EPSG:{code}" if code else None
+
+
+def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
+    """The band and ``(left, top, cell size)``: strips or tiles, plain, LZW or deflate, predictors 1 and 2.
+
+    Cells of the file's no-data value become NaN, and the band a double.  Other layouts are an error, never misread.
+    """
+    order, tags = tags_of(body)
+    if (samples := tags.get(SAMPLES, (1,))[0]) != 1 or tags.get(PREDICTOR, (1,))[0] not in (1, 2):
+        raise ValueError(f"{samples} samples a cell, predictor {tags.get(PREDICTOR, (1,))[0]}")
     width, height, bits = tags[WIDTH][0], tags[HEIGHT][0], tags[BITS][0]
     kind = {1: "u", 2: "i", 3: "f"}[tags.get(FORMAT, (1,))[0]]
     dtype = np.dtype(f"{order}{kind}{bits // 8}")
@@ -122,12 +143,12 @@ def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
             block = np.cumsum(block, axis=1, dtype=out.dtype)
         h, w = min(rows, height - top), min(bw, width - left)
         out[top : top + h, left : left + w] = block[:h, :w]
-    size = tags.get(SCALE, (1.0,))[0]
-    tie = tags.get(TIE, (0.0,) * 6)
-    return out, (tie[3] - tie[0] * size, tie[4] + tie[1] * size, size)
+    if NODATA in tags:
+        out = np.where(out == float(tags[NODATA][0]), np.nan, out.astype(float))
+    return out, place(body)[2:5]
 
 
-def encode(band: np.ndarray, left: float, top: float, size: float, compress: bool = True) -> bytes:
+def encode(band: np.ndarray, left: float, top: float, size: float, compress: bool = True, epsg: int | None = None) -> bytes:
     """One band, little-endian, a strip of 64 rows at a time."""
     band = np.ascontiguousarray(band, band.dtype.newbyteorder("<"))
     height, width = band.shape
@@ -139,6 +160,8 @@ def encode(band: np.ndarray, left: float, top: float, size: float, compress: boo
         (WIDTH, 4, (width,)), (HEIGHT, 4, (height,)), (BITS, 3, (band.dtype.itemsize * 8,)), (COMPRESSION, 3, (5 if compress else 1,)), (262, 3, (1,)),
         (STRIPS, 4, (0,) * n), (277, 3, (1,)), (ROWS, 4, (64,)), (STRIP_BYTES, 4, tuple(map(len, strips))), (FORMAT, 3, (kind,)), (SCALE, 12, (size, size, 0.0)), (TIE, 12, (0.0, 0.0, 0.0, left, top, 0.0)),
     ]
+    if epsg:  # a projected system, cells as areas
+        fields.append((KEYS, 3, (1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, PROJECTED, 0, 1, epsg)))
     extra = 8 + 2 + 12 * len(fields) + 4
     blobs, places = [], []
     for _, kind_, values in fields:
@@ -181,6 +204,23 @@ def read_bands(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return files.mapInPandas(_long, PIXELS)
 
 
+def places(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path, rows, cols, left, top, size, crs`` of files; one that cannot be read has nulls."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for path, body in zip(f["path"], f["content"], strict=True):
+                try:
+                    rows.append((path, *place(bytes(body))))
+                except Exception:  # read_bands gives the error
+                    rows.append((path, *[None] * 6))
+            yield pd.DataFrame(rows, columns=["path", "rows", "cols", "left", "top", "size", "crs"])
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInPandas(run, "path string, rows int, cols int, left double, top double, size double, crs string")
+
+
 def scene_pixels(bands: DataFrame, pixels: DataFrame) -> DataFrame:
     """Bands side by side: ``scene_id, row, col, x, y, qa, dn_red, dn_nir, dn_st`` by one aggregation over cells."""
     roles = {"file_qa": "qa", "file_red": "dn_red", "file_nir": "dn_nir", "file_lst": "dn_st"}

@@ -53,15 +53,16 @@ def parse_json(text: Column) -> dict[str, Column]:
 
 
 def factors(df: DataFrame, mtl_text: str | None = "mtl_text", mtl_json: str | None = "mtl_json") -> DataFrame:
-    """Adds the factors and attributes: from the text, else the JSON, else the constants; and which differ from these.
+    """Adds the factors and attributes, and which factors differ from the constants.
 
-    ``mtl_ok`` tells whether there was any metadata.
+    One source is taken whole: the text if there is one, else the JSON if it can be read; what it lacks is a constant.
+    ``mtl_source`` names it, and is null without any; ``mtl_ok`` tells whether there was one.
     """
-    have = [c for c in (mtl_text, mtl_json) if c]
-    sources = ([parse_text(F.col(mtl_text))] if mtl_text else []) + ([parse_json(F.col(mtl_json))] if mtl_json else [])
-    out = df.withColumn("mtl_ok", F.coalesce(*have).isNotNull() if have else F.lit(False))
-    for name in TEXT_KEYS:
-        found = [s[name] for s in sources]
-        constant = [F.lit(CONSTANTS[name])] if name in CONSTANTS else [F.lit(None).cast("double")]
-        out = out.withColumn(name, F.coalesce(*found, *constant))
+    sources = {"txt": (F.col(mtl_text).isNotNull(), parse_text(F.col(mtl_text)))} if mtl_text else {}
+    sources |= {"json": (F.get_json_object(mtl_json, "$").isNotNull(), parse_json(F.col(mtl_json)))} if mtl_json else {}
+    out = df.withColumn("mtl_source", F.coalesce(F.lit(None).cast("string"), *[F.when(there, F.lit(name)) for name, (there, _) in sources.items()]))
+    out = out.withColumn("mtl_ok", F.col("mtl_source").isNotNull())
+    for column in TEXT_KEYS:
+        found = [F.when(F.col("mtl_source") == name, values[column]) for name, (_, values) in sources.items()]
+        out = out.withColumn(column, F.coalesce(*found, F.lit(CONSTANTS.get(column)).cast("double")))
     return out.withColumns({f"{n}_differs": deviates(F.col(n), c) for n, c in CONSTANTS.items()})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sqlite3
 import struct
 import tempfile
@@ -17,7 +18,7 @@ def _bytes(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def read_geojson(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, name: str | None) -> DataFrame:
     """Polygons and multipolygons; coordinates beyond x and y are left out."""
     schema = "crs string, features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
     f = spark.read.schema(schema).option("multiLine", True).json(path).select(F.posexplode("features").alias("i", "f"))
@@ -26,7 +27,7 @@ def read_geojson(spark: SparkSession, path: str, name: str) -> DataFrame:
     one = F.from_json(shape, "array<array<array<double>>>")
     rings = F.when(F.col("f.geometry.type") == "MultiPolygon", F.flatten(many)).otherwise(one)
     points = F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
-    return f.select((F.col("i") + 1).cast("int").alias("zone_id"), F.col("f.properties")[name].alias("zone_name"), points.alias("rings"), F.col("f.properties").alias("properties"))
+    return f.select((F.col("i") + 1).cast("int").alias("zone_id"), (F.col("f.properties")[name] if name else F.lit(None).cast("string")).alias("zone_name"), points.alias("rings"), F.col("f.properties").alias("properties"))
 
 
 def wkb_rings(b: bytes, at: int = 0) -> tuple[list[list[tuple[float, float]]], int]:
@@ -55,7 +56,7 @@ def _frame(spark: SparkSession, rows: list) -> DataFrame:
     return spark.createDataFrame([(i, n, [[{"x": x, "y": y} for x, y in r] for r in rings], p) for i, (n, rings, p) in enumerate(rows, 1)], ZONES)
 
 
-def read_geopackage(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_geopackage(spark: SparkSession, path: str, name: str | None) -> DataFrame:
     body = _bytes(spark, path)
     with tempfile.NamedTemporaryFile(suffix=".gpkg") as f:  # read on the driver alone
         f.write(body)
@@ -71,11 +72,11 @@ def read_geopackage(spark: SparkSession, path: str, name: str) -> DataFrame:
                 row = dict(zip(names, values, strict=True))
                 blob = row.pop(column)
                 envelope = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}[blob[3] >> 1 & 7]
-                rows.append((str(row[name]), wkb_rings(blob, 8 + envelope)[0], {k: str(v) for k, v in row.items()}))
+                rows.append((str(row[name]) if name else None, wkb_rings(blob, 8 + envelope)[0], {k: str(v) for k, v in row.items()}))
     return _frame(spark, rows)
 
 
-def read_shapefile(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_shapefile(spark: SparkSession, path: str, name: str | None) -> DataFrame:
     """``path`` is the ``.shp``; its ``.dbf`` and ``.prj`` lie beside it."""
     shp, dbf = _bytes(spark, path), _bytes(spark, path[:-4] + ".dbf")
     if not _bytes(spark, path[:-4] + ".prj").strip():
@@ -104,5 +105,45 @@ def read_shapefile(spark: SparkSession, path: str, name: str) -> DataFrame:
         for field, length in fields:
             values[field] = dbf[at : at + length].decode("utf-8", "replace").strip()
             at += length
-        rows.append((values[name], shapes[i], values))
+        rows.append((values[name] if name else None, shapes[i], values))
     return _frame(spark, rows)
+
+
+def layer_crs(spark: SparkSession, path: str) -> str:
+    """The layer's coordinate system as ``AUTHORITY:code``; a layer without one is an error, as it cannot be guessed."""
+    code = None
+    if path.endswith(".gpkg"):
+        with tempfile.NamedTemporaryFile(suffix=".gpkg") as f:
+            f.write(_bytes(spark, path))
+            f.flush()
+            with sqlite3.connect(f.name) as db:
+                (code,) = db.execute("select srs_id from gpkg_geometry_columns").fetchone()
+    elif path.endswith(".shp"):
+        found = re.findall(r'(?:AUTHORITY|ID)\["(\w+)",\s*"?(\d+)"?\]\]?', _bytes(spark, path[:-4] + ".prj").decode("utf-8", "replace"))
+        return ":".join(found[-1]) if found else _refuse(path)
+    else:  # without a member of its own, a GeoJSON layer is in degrees
+        crs = spark.read.schema("crs struct<properties: struct<name: string>>").option("multiLine", True).json(path).first()["crs"]
+        name = crs["properties"]["name"] if crs and crs["properties"] else None
+        return "EPSG:4326" if not name or name.endswith("CRS84") else f"EPSG:{re.findall(r'[0-9]+', name)[-1]}"
+    return f"EPSG:{code}" if code and code > 0 else _refuse(path)
+
+
+def _refuse(path: str) -> str:
+    raise ValueError(f"{path} has no coordinate system")
+
+
+def read_layer(spark: SparkSession, path: str, name: str | None = None, crs: str | None = None) -> DataFrame:
+    """Zones of a layer by its kind, named by ``name`` or a usual column, in ``crs`` if one is asked for."""
+    reader = read_geopackage if path.endswith(".gpkg") else read_shapefile if path.endswith(".shp") else read_geojson
+    from ..operators import spatial
+
+    source = layer_crs(spark, path)
+    zones = reader(spark, path, name)
+    if name is None:
+        first = zones.first()
+        columns = list(first["properties"]) if first else []
+        if not columns:
+            raise ValueError("no column names the zones")
+        chosen = next((c for c in spatial.NAME_COLUMNS if c in columns), columns[0])
+        zones = zones.withColumn("zone_name", F.col("properties")[chosen])
+    return spatial.transform(zones, source, crs) if crs else zones

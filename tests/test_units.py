@@ -171,9 +171,48 @@ def test_span_join_against_brute_force(spark):
 
 
 def test_footprint(spark):
-    zones = spark.createDataFrame([(1, [SQUARE[0]])], "zone_id int, rings array<array<struct<x: double, y: double>>>")
-    boxes = spark.createDataFrame([(-1.0, -1.0, 9.0, 9.0), (2.0, 0.0, 9.0, 9.0), (5.0, 5.0, 6.0, 6.0)], "xmin double, ymin double, xmax double, ymax double")
-    assert [r.overlap for r in Z.footprint_overlap(boxes, zones).collect()] == [1.0, 0.5, 0.0]
+    """A hole is no area, and an overlap counts once."""
+    schema = "zone_id int, rings array<array<struct<x: double, y: double>>>"
+    boxes = spark.createDataFrame([(-1.0, -1.0, 9.0, 9.0), (2.0, 0.0, 9.0, 9.0), (1.0, 1.0, 3.0, 3.0), (5.0, 5.0, 6.0, 6.0)], "xmin double, ymin double, xmax double, ymax double")
+    holed = spark.createDataFrame([(1, SQUARE), (2, [SQUARE[0]])], schema)
+    assert [r.area for r in Z.areas(holed).orderBy("zone_id").collect()] == [12.0, 16.0]
+    assert [r.overlap for r in Z.footprint_overlap(boxes, holed.where("zone_id = 1")).collect()] == [1.0, 0.5, 0.0, 0.0]
+    assert [r.overlap for r in Z.footprint_overlap(boxes, holed).collect()] == [1.0, 0.5, 0.25, 0.0]
+    rng = np.random.default_rng(0)
+    polygons = [[rng.uniform(0, 10, (7, 2))] for _ in range(4)] + [[rng.uniform(0, 10, (5, 2)), rng.uniform(2, 8, (4, 2))]]
+    p = rng.uniform(0, 10, (100_000, 2))
+
+    def inside(rings):
+        hit = np.zeros(len(p), bool)
+        for ring in rings:
+            for a, b in zip(ring, np.roll(ring, -1, axis=0), strict=True):
+                hit ^= ((a[1] > p[:, 1]) != (b[1] > p[:, 1])) & (p[:, 0] < a[0] + (p[:, 1] - a[1]) * (b[0] - a[0]) / (b[1] - a[1]))
+        return hit
+
+    covered, box = np.any([inside(r) for r in polygons], axis=0), (2.3, 1.1, 6.7, 8.4)
+    t = Z.trapezoids(polygons)
+    within = (p[:, 0] > box[0]) & (p[:, 0] < box[2]) & (p[:, 1] > box[1]) & (p[:, 1] < box[3])
+    assert abs(Z.area_within(t) - 100 * covered.mean()) < 0.5 and abs(Z.area_within(t, *box) - 100 * (covered & within).mean()) < 0.5
+
+
+def test_equal_area(spark):
+    """Areas of a degree cell agree between systems, and points come back."""
+    df = spark.createDataFrame([(-55.0, -12.0, "ESRI:102033"), (-100.0, 40.0, "EPSG:5070"), (20.0, 47.0, "EPSG:3035")], "lon double, lat double, crs string")
+    for r in df.collect():
+        one = df.where(F.col("crs") == r.crs)
+        lon, lat = X.to_lonlat(*X.from_lonlat(F.col("lon"), F.col("lat"), r.crs), r.crs)
+        back = one.select(lon.alias("a"), lat.alias("b")).first()
+        assert abs(back.a - r.lon) < 1e-7 and abs(back.b - r.lat) < 1e-7
+        ring = F.array(*[F.struct(F.lit(r.lon + a).alias("x"), F.lit(r.lat + b).alias("y")) for a, b in ((0, 0), (0.01, 0), (0.01, 0.01), (0, 0.01))])
+        zone = one.select(F.lit(1).alias("zone_id"), F.array(ring).alias("rings"))
+        area = Z.areas(Z.transform(zone, "EPSG:4326", r.crs)).first().area
+        e2, phi = X.FLAT * (2 - X.FLAT), math.radians(r.lat + 0.005)
+        true = X.A**2 * (1 - e2) * math.cos(phi) / (1 - e2 * math.sin(phi) ** 2) ** 2 * math.radians(0.01) ** 2
+        assert abs(area / true - 1) < 1e-6
+    # Snyder's worked example of the ellipsoidal Albers on another ellipsoid is matched by area; the origin is exact.
+    x, y = X.from_lonlat(F.lit(10.0), F.lit(52.0), "EPSG:3035")
+    at = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    assert abs(at.x - 4321000) < 1e-6 and abs(at.y - 3210000) < 1e-6
 
 
 def test_reprojection_round_trip(spark):
@@ -198,13 +237,14 @@ def test_resample_skips_missing(spark):
 
 
 def test_metadata(spark):
+    """One source whole: what the text lacks is a constant, not the JSON's value."""
     text = "GROUP = LANDSAT_METADATA_FILE\n  GROUP = LEVEL1_RADIOMETRIC_RESCALING\n    REFLECTANCE_MULT_BAND_4 = 9.9999E-05\n  END_GROUP = LEVEL1_RADIOMETRIC_RESCALING\n  GROUP = LEVEL2_SURFACE_REFLECTANCE_PARAMETERS\n    REFLECTANCE_MULT_BAND_4 = 3e-05\n    REFLECTANCE_ADD_BAND_4 = junk\n  END_GROUP = LEVEL2_SURFACE_REFLECTANCE_PARAMETERS\nEND_GROUP = LANDSAT_METADATA_FILE\n"
     js = '{"LANDSAT_METADATA_FILE": {"LEVEL2_SURFACE_TEMPERATURE_PARAMETERS": {"TEMPERATURE_MULT_BAND_ST_B10": "0.0035"}}}'
-    df = spark.createDataFrame([(1, text, js), (2, None, None), (3, None, js)], "i int, mtl_text string, mtl_json string")
-    a, b, c = metadata.factors(df).orderBy("i").collect()
-    assert (a.sr_scale, a.sr_offset, a.st_scale, a.sr_scale_differs, a.mtl_ok) == (3e-05, -0.2, 0.0035, True, True)
-    assert (b.sr_scale, b.st_offset, b.mtl_ok, b.sr_scale_differs) == (2.75e-05, 149.0, False, False)
-    assert (c.sr_scale, c.st_scale) == (2.75e-05, 0.0035)
+    df = spark.createDataFrame([(1, text, js), (2, None, None), (3, None, js), (4, None, "{broken")], "i int, mtl_text string, mtl_json string")
+    a, b, c, d = metadata.factors(df).orderBy("i").collect()
+    assert (a.sr_scale, a.sr_offset, a.st_scale, a.sr_scale_differs, a.mtl_source) == (3e-05, -0.2, 0.00341802, True, "txt")
+    assert (b.sr_scale, b.st_offset, b.mtl_ok, b.sr_scale_differs, b.mtl_source) == (2.75e-05, 149.0, False, False, None)
+    assert (c.sr_scale, c.st_scale, c.mtl_source) == (2.75e-05, 0.0035, "json") and not d.mtl_ok
 
 
 @pytest.mark.parametrize("dtype", ["uint16", "float32"])
@@ -300,29 +340,115 @@ def test_calendar_shows_gaps(spark):
     assert [got[2015, m] for m in (1, 2, 3, 4)] == ["O", "n", "l", "."]
 
 
-def test_whole_coverage_takes_every_scene(spark, sf):
-    """Months and scenes of the queries on all rows are those of the scene table, no sample of it."""
+def test_coverage_takes_every_scene(spark, sf):
+    """Months and scenes of the queries are those of the scene table, no sample of it."""
     seen = D.scene_stats(spark, sf).where("ndvi_media is not null or lst_c_media is not null")
-    assert catalogue.QUERIES["coverage_overall_all"](spark, sf).first().n_any == seen.select("ano", "mes").distinct().count()
+    assert catalogue.QUERIES["coverage_overall"](spark, sf).first().n_any == seen.select("ano", "mes").distinct().count()
     shared = seen.groupBy("ano", "mes").count().where("count >= 2").agg(F.sum("count")).first()[0]
-    assert catalogue.QUERIES["sensor_month_inventory_all"](spark, sf).agg(F.sum("n_scenes")).first()[0] == shared
+    assert catalogue.QUERIES["sensor_month_inventory"](spark, sf).agg(F.sum("n_scenes")).first()[0] == shared
 
 
-def test_whole_raster_takes_every_part(spark, tmp_path):
+def test_raster_takes_every_part(spark, tmp_path):
     rows = [(k, float(k), k % 50) for k in (0, 1, 9999, 10000, 10101, 20000, 123456)]
     spark.createDataFrame(rows, "p_partkey long, p_retailprice double, p_size int").write.parquet(f"{tmp_path}/part.parquet")
-    got = catalogue.QUERIES["raster_bilinear_all"](spark, str(tmp_path)).collect()
+    got = catalogue.QUERIES["raster_bilinear"](spark, str(tmp_path)).collect()
     assert {(r.scene, r.row, r.col): round(r.value, 3) for r in got} == {(0, 0, 0): 0.5, (0, 49, 49): 9999, (1, 0, 0): 10050.5, (2, 0, 0): 20000, (12, 17, 28): 123456}
-    assert catalogue.QUERIES["raster_nearest_all"](spark, str(tmp_path)).count() == 4 * len(rows)
+    assert catalogue.QUERIES["raster_nearest"](spark, str(tmp_path)).count() == 4 * len(rows)
 
 
-def test_whole_station_takes_every_order(spark, tmp_path):
+def test_station_takes_every_order(spark, tmp_path):
     """Of seven orders of a month all count; a month without orders matches none."""
     spark.createDataFrame([(k, 10 * k) for k in range(1, 8)], "o_orderkey long, o_custkey long").withColumn("o_orderdate", F.expr("date'2015-01-09'")).write.parquet(f"{tmp_path}/orders.parquet")
-    station = D.station(spark, str(tmp_path), "true")
+    station = D.station(spark, str(tmp_path))
     assert [tuple(r) for r in station.collect()] == [(2015, 1, 15 + 10 * 40 / 50)]
     months = spark.createDataFrame([(2015, 1, 30.0), (2015, 2, 30.0)], "ano int, mes int, lst_c_media double")
-    assert [(r.mes, r.offset) for r in K.matched(months, station, SET).collect()] == [(1, 7.0)]
+    pairs = K.matched(months, station, SET)
+    assert [(r.mes, r.offset) for r in pairs.collect()] == [(1, 7.0)]
+    with pytest.raises(ValueError, match="fewer than 10"):
+        K.enough_months(pairs)
+
+
+def test_every_zone_in_every_scene(spark):
+    """A zone without pixels has a count of 0; the month counts all its scenes for every zone."""
+    px = spark.createDataFrame([("a", 1, 0.5, 20.0), ("a", 1, 0.7, None), ("b", 2, 0.1, 30.0)], "scene string, zone_id int, ndvi double, lst_c double")
+    px = px.withColumns({"sensor": F.when(F.col("scene") == "a", "Landsat7").otherwise("Landsat8"), "ano": F.lit(2015), "mes": F.lit(5)})
+    zones = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "zone_id int, zone_name string")
+    stats = R.scene_stats(px, ["scene", "zone_id", "sensor", "ano", "mes"])
+    full = {(r.scene, r.zone_id): (r.ndvi_n, r.ndvi_media, r.ndvi_mediana, r.sensor) for r in R.complete_zones(stats, zones).collect()}
+    assert len(full) == 6 and full["a", 1][0] == 2 and full["a", 3] == (0, None, None, "Landsat7") and full["b", 1] == (0, None, None, "Landsat8")
+    assert abs(full["a", 1][2] - 0.6) < 1e-12
+    for source in (stats, R.complete_zones(stats, zones)):
+        may = {r.zone_id: r for r in R.monthly(source, SET, zones, ("zone_id",)).where("ano = 2015 and mes = 5").collect()}
+        assert [(may[z].n_cenas, may[z].sensores_usados, may[z].ndvi_n, may[z].lst_c_n) for z in (1, 2, 3)] == [(2, "L7x1, L8x1", 2, 1), (2, "L7x1, L8x1", 1, 1), (2, "L7x1, L8x1", 0, 0)]
+
+
+def test_whole_run(spark, tmp_path):
+    """Made-up scenes, from files to tables: the counts, files and recomputed values that a run must give."""
+    from quadrille.plans import run, validation
+    from quadrille.sources import synthetic
+
+    landsat, layer = synthetic.write(str(tmp_path), cells=60)
+    settings = Settings(year_start=2015, year_end=2016, crs="EPSG:31983", lst_min=5.0, lst_max=70.0, pair_zones=3, top_n=1)
+    out = str(tmp_path / "out")
+    assert run.process(spark, [landsat, str(tmp_path / "none")], layer, out, settings, pixel_tables=True) == {"listed": 13, "tried": 13, "used": 12}
+    read = lambda name: files.read_table(spark, f"{out}/tables/{name}")
+    months, zones, scenes = read("monthly/ndvi_lst_monthly"), read("spatial/zones/ndvi_lst_per_zone_monthly"), read("scenes/ndvi_lst_per_scene")
+    assert months.count() == 24 and months.where("ndvi_media is null").count() == 16 and zones.count() == 96
+    listed = spark.read.parquet(f"{out}/_work/inventory")  # second-level factors, not the decoys
+    assert [tuple(r) for r in listed.select("sr_scale", "st_scale", "mtl_source", "complete").distinct().collect()] == [(2.75e-05, 0.00341802, "txt", True)]
+    assert read("scenes/scene_inventory").count() == 13
+    assert len(list((tmp_path / "out/rasters/lst").iterdir())) == 12 and read("anomalies/summary_by_sensor").count() == 2
+    means = {r.mes: r.m for r in scenes.groupBy("mes").agg(F.avg("lst_c_media").alias("m")).collect()}
+    assert means[2] > means[8] and scenes.agg(F.min("lst_c_min")).first()[0] >= 5
+    want = zones.where("ano = 2015 and mes = 5 and zone_name = 'Centro'").first()
+    total = n = 0
+    for scene in [r.scene_id for r in scenes.where("ano = 2015 and mes = 5").collect()]:
+        band, (left, top, size) = geotiff.decode((tmp_path / f"out/rasters/lst/{scene}_LST_Celsius.tif").read_bytes())
+        rows, cols = np.indices(band.shape)
+        x, y = left + (cols + 0.5) * size, top - (rows + 0.5) * size
+        x0, y0 = synthetic.LEFT + synthetic.MARGIN, synthetic.TOP - synthetic.WIDTH + synthetic.MARGIN
+        value = band[(x >= x0) & (x < x0 + 3000) & (y >= y0) & (y < y0 + 3000)]
+        value = value[~np.isnan(value)]
+        total, n = total + value.astype(float).sum(), n + len(value)
+    assert n == want.lst_c_n and abs(total / n - want.lst_c_media) < 1e-5 and want.n_cenas == 2 and want.sensores_usados == "L7x1, L8x1"
+    assert (tmp_path / "out/tables/spatial/pixels/lst_c_annual").exists()
+
+    climate = spark.createDataFrame([(y, m, 20.0 + 5 * math.cos(m - 2)) for y in (2015, 2016) for m in range(1, 13)], "ano int, mes int, temp double")
+    with pytest.raises(ValueError, match="fewer than 10"):
+        validation.tables(spark, f"{out}/tables", settings, climate)
+    per_zone = spark.read.parquet(f"{out}/_work/zone_scene_stats").withColumnsRenamed({"scene_id": "scene", "data_aq": "acq_date"})
+    made = validation.write(spark, f"{out}/tables", str(tmp_path / "v"), settings, zone_scenes=per_zone)
+    assert len(made) == 21 and files.read_table(spark, str(tmp_path / "v/coverage/by_month")).count() == 24
+    assert files.read_table(spark, str(tmp_path / "v/ranking/persistence")).where("mean_rank is not null").count() == 4
+    assert (tmp_path / "v/sensors/latex_all").exists()
+
+
+def test_tables_by_content(spark, tmp_path):
+    (tmp_path / "tables").mkdir()
+    (tmp_path / "tables/city_monthly.csv").write_text("ano,mes,lst_c_media,ndvi_media\n2015,1,20.5,0.3\n")
+    (tmp_path / "tables/per_zone.csv").write_text("ano;mes;zona;lst_media;ndvi_media\n2015;1;Sul;20,5;0,3\n2015;1;Centro;21,5;0,4\n")
+    assert files.load_city(spark, str(tmp_path)).columns == ["year", "month", "lst_mean", "ndvi_mean"]
+    got = {r.zone_name: (r.zone_id, r.lst_mean) for r in files.load_zones(spark, str(tmp_path)).collect()}
+    assert got == {"Centro": (1, 21.5), "Sul": (2, 20.5)}
+    assert files.raster_suffix("LC08_x_y_NDVI.tif", ["LC08_x", "LC08_x_y"]) == "_NDVI.tif" and files.raster_suffix("q.tif", ["LC08"]) is None
+    with pytest.raises(ValueError):
+        files.scene_files(spark, [str(tmp_path / "none")])
+    with pytest.raises(ValueError, match="coordinate system"):
+        (tmp_path / "z.prj").write_text("PROJCS")
+        vector.layer_crs(spark, str(tmp_path / "z.shp"))
+
+
+def test_geotiff_layouts():
+    """No-data becomes NaN; layouts that are not supported are an error."""
+    body = bytearray(geotiff.encode(np.arange(12, dtype=np.uint16).reshape(3, 4), 0.0, 9.0, 3.0, compress=False, epsg=31983))
+    assert geotiff.place(bytes(body)) == (3, 4, 0.0, 9.0, 3.0, "EPSG:31983")
+    at = body.index(struct.pack("<HHIHH", geotiff.SAMPLES, 3, 1, 1, 0))
+    two = bytes(body[:at]) + struct.pack("<HHIHH", geotiff.SAMPLES, 3, 1, 2, 0) + bytes(body[at + 12 :])
+    with pytest.raises(ValueError, match="2 samples"):
+        geotiff.decode(two)
+    none = bytes(body[:at]) + struct.pack("<HHI4s", geotiff.NODATA, 2, 2, b"5\0") + bytes(body[at + 12 :])
+    band, _ = geotiff.decode(none)
+    assert np.isnan(band[1, 1]) and np.isnan(band).sum() == 1
 
 
 @pytest.mark.parametrize("sep,point", [(",", "."), (";", ",")])
