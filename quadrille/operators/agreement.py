@@ -132,7 +132,7 @@ def reliability(long: DataFrame, pairs: DataFrame) -> DataFrame:
     for end in ("", "_anom"):
         spread, error = F.col(f"sd_signal{end}"), F.col(f"sd_err{end}")
         true = F.greatest(spread * spread - error * error, F.lit(0.0))
-        out = out.withColumns({f"var_true{end}": true, f"snr{end}": F.when(error > 0, F.try_divide(F.sqrt(true), error)), f"lambda{end}": F.when(spread > 0, F.try_divide(true, spread * spread))})
+        out = out.withColumns({f"var_true{end}": true, f"snr{end}": F.when(error > 0, F.try_divide(F.sqrt(true), error)), f"lambda{end or '_abs'}": F.when(spread > 0, F.try_divide(true, spread * spread))})
     out = out.withColumn("attenuation_pct", 100 * (1 - F.col("lambda_anom")))
     return out.withColumn("verdict", F.when(F.col("attenuation_pct") > 25, "strong").when(F.col("attenuation_pct") > 10, "moderate").when(F.col("attenuation_pct").isNotNull(), "slight"))
 

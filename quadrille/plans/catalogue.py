@@ -568,13 +568,13 @@ def pair_concordance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RELIABLE = """SELECT *, CASE WHEN attenuation_pct > 25 THEN 'strong' WHEN attenuation_pct > 10 THEN 'moderate' WHEN attenuation_pct IS NOT NULL THEN 'slight' END AS verdict
-  FROM (SELECT *, sqrt(var_true) / sd_err AS snr, sqrt(var_true_anom) / sd_err_anom AS snr_anom, var_true / pow(sd_signal, 2) AS lambda, var_true_anom / pow(sd_signal_anom, 2) AS lambda_anom, 100 * (1 - var_true_anom / pow(sd_signal_anom, 2)) AS attenuation_pct
+  FROM (SELECT *, sqrt(var_true) / sd_err AS snr, sqrt(var_true_anom) / sd_err_anom AS snr_anom, var_true / pow(sd_signal, 2) AS lambda_abs, var_true_anom / pow(sd_signal_anom, 2) AS lambda_anom, 100 * (1 - var_true_anom / pow(sd_signal_anom, 2)) AS attenuation_pct
     FROM (SELECT *, greatest(pow(sd_signal, 2) - pow(sd_err, 2), 0) AS var_true, greatest(pow(sd_signal_anom, 2) - pow(sd_err_anom, 2), 0) AS var_true_anom
       FROM (SELECT variable, comparison, count(*) AS n, stddev_samp(diff_abs) / sqrt(2e0) AS sd_err, stddev_samp(diff_anom) / sqrt(2e0) AS sd_err_anom FROM pairs GROUP BY ALL)
       LEFT JOIN (SELECT variable, stddev_samp(value) AS sd_signal, stddev_samp(anomaly) AS sd_signal_anom FROM seen GROUP BY variable) USING (variable)))"""
 
 
-@query(_with(PAIRS, RELIABLE), "sd_err sd_err_anom sd_signal sd_signal_anom var_true var_true_anom snr snr_anom lambda lambda_anom attenuation_pct")
+@query(_with(PAIRS, RELIABLE), "sd_err sd_err_anom sd_signal sd_signal_anom var_true var_true_anom snr snr_anom lambda_abs lambda_anom attenuation_pct")
 def pair_reliability(spark: SparkSession, sf: str) -> DataFrame:
     return G.reliability(_long(spark, sf), _pairs(spark, sf))
 
