@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, prefix_sums, word_count
+from .common import heavy_join, materialise, prefix_sums, word_count
 
 #: Weights by rank of the source, repeating; the mix's size as a share of all words; and a source's most epochs.
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
@@ -37,14 +37,14 @@ def random_key(id_col: str, seed: int = 0) -> Column:
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
-    """Targets of ``sources (source, source_size)``: share by weight, stop at ``epochs`` sizes, reshare the excess.
+    """Targets of ``sources (source, source_size, n)``: share by weight, stop at ``epochs`` sizes, reshare the excess.
 
     Each round fixes the sources whose share reaches their stop; the rest share what is left by weight.  Rounds are
     aggregations over the table of sources; they end when no further source stops.
     """
     ranked = prefix_sums(sources.withColumn("one", F.lit(1)), [F.col("source").isNull(), F.col("source")], "one", "rank")
     weight = F.element_at(F.lit([float(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    ranked = materialise(ranked.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * epochs).alias("stop")), "sources")
+    ranked = materialise(ranked.select("source", "source_size", "n", weight.alias("weight"), (F.col("source_size") * epochs).alias("stop")), "sources")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     left, rate, stopped = share * total, 0.0, -1
     while True:
@@ -63,7 +63,7 @@ def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share
     else:
         shared = F.col("weight") * F.lit(float(left)) / F.lit(float(rate))
         target = F.when(shared > F.col("stop"), F.col("stop").cast("double")).otherwise(shared)
-    return ranked.select("source", "source_size", target.alias("target"))
+    return ranked.select("source", "source_size", "n", target.alias("target"))
 
 
 def mix(
@@ -91,15 +91,14 @@ def mix(
         F.xxhash64(text).alias("tie"),
     )
     sized = materialise(sized, "sized")
-    sources = materialise(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    sources = materialise(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
     targets = materialise(source_targets(sources, weights, share, epochs), "targets")
     order = [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("tie")]
     placed = prefix_sums(sized, order, "size", "before")
     starts = prefix_sums(targets, [F.col("source").isNull(), F.col("source")], "source_size", "start")
-    starts = materialise(starts.withColumnRenamed("source", "name"), "starts")
-    few = starts.count() <= 100_000
-    same = F.col("source").eqNullSafe(F.col("name"))
-    joined = placed.join(F.broadcast(starts) if few else starts, same)
+    key = {"__null": F.col("source").isNull(), "__name": F.coalesce("source", F.lit(""))}
+    starts = materialise(starts.withColumns(key).drop("source"), "starts")
+    joined = heavy_join(placed.withColumns(key), starts, list(key), "n")
     at = F.col("before") - F.col("start")
     budget = F.floor(F.col("target")).cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -120,7 +119,7 @@ def copies_taken(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text:
     """Rows of ``docs``, one for each time the ``plan`` that :func:`mix` made of them takes the document.
 
     A document taken in part ends with the last word taken.  Rows equal in id and text share evenly what the plan
-    takes of them.  The text is moved once, by the join; it takes no part in the ordering.
+    takes of them, in whole words: a rest of fewer words than there are rows is left.  The text is moved once, by the join; it takes no part in the ordering.
     """
     total = plan.groupBy(F.col(id_col).alias("__id"), F.col("tie").alias("__tie")).agg(F.max("size").alias("__size"), F.floor(F.sum("taken") / F.count("*")).alias("__taken"))
     same = F.col(id_col).eqNullSafe(F.col("__id")) & F.xxhash64(text).eqNullSafe(F.col("__tie"))

@@ -196,6 +196,20 @@ FROM placed
 """
 
 
+#: Every pair of a label, by brute force.
+OP10_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT u AS node, w AS other FROM l UNION SELECT r.node, l.w FROM reach r JOIN l ON r.other = l.u),
+c AS (SELECT node AS vec_id, least(node, min(other)) AS component_id FROM reach GROUP BY node),
+n AS (SELECT u AS vec_id, count(*) AS n_links FROM l GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM (SELECT vec_id FROM embeddings) LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -206,4 +220,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": OP2_SQL,
         "op3_substring_dedup": OP3_SQL,
         "op6_mixing": OP6_SQL,
+        "op10_embedding_graph": OP10_SQL,
     }
