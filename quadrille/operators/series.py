@@ -19,10 +19,14 @@ from ..functions.statistics import cv_pct, middle, slope, summary, weighted_mean
 VARIABLES = ("ndvi", "lst_c")
 
 
-def scene_stats(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Six statistics of each variable; a group without valid pixels has counts of 0 and nulls."""
+def scene_stats(pixels: DataFrame, by: Sequence[str], attributes: Sequence[str] = ()) -> DataFrame:
+    """Six statistics of each variable; a group without valid pixels has counts of 0 and nulls.
+
+    ``attributes`` are the same in all of a group's pixels; they are no keys, so pixels are dealt and sorted by few.
+    """
     placed = pixels.withColumns({f"__{v}": middle(v, by) for v in VARIABLES})
-    return placed.groupBy(*by).agg(*[c for v in VARIABLES for c in summary(F.col(v), F.col(f"__{v}"), v)])
+    out = placed.groupBy(*by).agg(*[F.first(c).alias(c) for c in attributes], *[c for v in VARIABLES for c in summary(F.col(v), F.col(f"__{v}"), v)])
+    return out.select(*by, *attributes, *[c for c in out.columns if c not in (*by, *attributes)])
 
 
 def complete_zones(stats: DataFrame, zones: DataFrame, zone: str = "zone_id", scene: str = "scene") -> DataFrame:

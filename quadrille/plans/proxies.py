@@ -76,16 +76,16 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
     return Q.with_products(pixels(spark, sf).join(info, "scene"), SETTINGS, F.col("st_scale"), F.col("st_offset"))
 
 
-SCENE_KEYS = ("scene", "sensor", "acq_date", "ano", "mes", "cloud_cover", "sun_elevation")
+SCENE = ("sensor", "acq_date", "ano", "mes", "cloud_cover", "sun_elevation")
 
 
 def scene_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return R.scene_stats(products(spark, sf), SCENE_KEYS)
+    return R.scene_stats(products(spark, sf), ["scene"], SCENE)
 
 
 def zone_scene_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Zones that have pixels in a scene; :func:`series.complete_zones` adds the others."""
-    return R.scene_stats(products(spark, sf), ("scene", "zone_id", *SCENE_KEYS[1:]))
+    return R.scene_stats(products(spark, sf), ["scene", "zone_id"], SCENE)
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +111,7 @@ def campaign(spark: SparkSession, sf: str) -> DataFrame:
     p = products(spark, sf).withColumn("half", F.when(F.dayofmonth("acq_date") <= 15, 1).otherwise(16))
     p = p.withColumn("acq_date", F.make_date("ano", "mes", "half"))
     p = p.withColumn("scene", F.concat_ws("_", "sensor", F.col("acq_date").cast("string")))
-    return R.scene_stats(p, ("scene", "zone_id", "sensor", "acq_date", "ano", "mes"))
+    return R.scene_stats(p, ["scene", "zone_id"], SCENE[:4])
 
 
 #: The same projection as common table expressions of another engine.

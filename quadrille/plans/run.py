@@ -130,7 +130,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
         raise ValueError("no scene passes the quality rules")
     mine = pixels.where("in_area").join(good, "scene_id")
 
-    stats = kept(R.scene_stats(mine, SCENE).withColumn("mes_nome", S.month_name(F.col("data_aq"))), f"{work}/scene_stats")
+    stats = kept(R.scene_stats(mine, ["scene_id"], SCENE[1:]).withColumn("mes_nome", S.month_name(F.col("data_aq"))), f"{work}/scene_stats")
     sinks.write_csv(stats, f"{out}/tables/scenes/ndvi_lst_per_scene", order=["data_aq", "scene_id"])
     monthly = kept(R.monthly(stats, settings, scene="scene_id"), f"{work}/monthly")
     annual = R.annual(monthly)
@@ -139,7 +139,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     reports(spark, stats, monthly, annual, out, settings, area_name)
 
     zoned = _in_zones(mine, spans)
-    zone_stats = R.scene_stats(zoned, ("scene_id", "zone_id", *SCENE[1:]))
+    zone_stats = R.scene_stats(zoned, ["scene_id", "zone_id"], SCENE[1:])
     zone_stats = kept(R.complete_zones(zone_stats, zones, scene="scene_id"), f"{work}/zone_scene_stats")
     names = zones.select("zone_id", "zone_name")
     zone_monthly = kept(R.monthly(zone_stats.drop("cloud_cover", "sun_elevation"), settings, zones, ("zone_id",), scene="scene_id").join(names, "zone_id"), f"{work}/zone_monthly")
