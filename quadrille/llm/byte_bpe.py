@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import mix64, text_bytes, text_slices
 
 #: Longest piece in a matrix, most cells of one matrix, most remembered words.
-LONG, CELLS, WORDS = 256, 1 << 21, 250_000
+LONG, CELLS, WORDS = 256, 1 << 20, 200_000
 NONE = np.int64(1 << 40)
 
 
@@ -224,7 +224,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(rank_file, pattern)
         for batch in batches:
-            for part in text_slices(batch, "body", 4 << 20):
+            for part in text_slices(batch, "body"):
                 ids = coder.encode([b.decode() for b in text_bytes(part["body"])])
                 values = [
                     part["row"],

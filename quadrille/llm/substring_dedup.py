@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import heavy_join, materialise, mix64, text_bytes
+from .common import heavy_join, materialise, mix64, settle, text_bytes
 
 WINDOW, ANCHOR, PERIOD = 20, 8, 13
 #: A perfect difference set modulo 13; every residue is a difference of two of them.
@@ -137,6 +137,7 @@ def _copies(notes: pa.Table) -> tuple[set, pa.Table]:
 
 def _ask_anchors(slices: int):
     def run(key: tuple, table: pa.Table, notes: pa.Table) -> pa.Table:
+        settle()
         batch = Batch(table, _copies(notes)[0])
         _, part, bits = _local(batch, slices)
         order = np.lexsort((bits, part))
@@ -191,6 +192,7 @@ TOLD = "slice int, batch int, settled boolean, body binary"
 def _ask_windows(slices: int, window_slices: int):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         empty = pa.table({"slice": pa.array([], pa.int32()), "batch": pa.array([], pa.int32()), "settled": pa.array([], pa.bool_()), "body": pa.array([], pa.binary())})
+        settle()
         copies, answers = _copies(answers)
         batch = Batch(docs, copies)
         at, part, bits = _local(batch, slices)
@@ -269,6 +271,7 @@ def _cover(length: int, runs: np.ndarray) -> np.ndarray:
 
 def _finish(with_text: bool):
     def run(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
+        settle()
         ids = docs["doc"].to_pylist()
         copies, told = _copies(told)
         runs = np.concatenate([np.frombuffer(b, SPOT) for b in told["body"].to_pylist()]) if told.num_rows else np.zeros(0, SPOT)
