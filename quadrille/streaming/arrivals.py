@@ -13,9 +13,7 @@ def pixel_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 
 def monthly_stream(stream: DataFrame, time: str = "acquired", late: str = "90 days") -> DataFrame:
-    """Weighted means by month and zone; months older than the watermark are final and leave the state."""
-    month = F.date_trunc("month", time)
-    rows = stream.withWatermark(time, late).withColumn("month", month)
-    return rows.groupBy(F.window(time, "1 day"), "month", "zone_id").agg(
-        weighted_mean(F.col("ndvi"), F.col("n")).alias("ndvi"), weighted_mean(F.col("lst_c"), F.col("n")).alias("lst_c"), F.sum("n").alias("n")
-    )
+    """Weighted means, a row for each month and zone; the watermark is on the month, so months older than it are final
+    and leave the state."""
+    rows = stream.withColumn("month", F.date_trunc("month", time)).withWatermark("month", late)
+    return rows.groupBy("month", "zone_id").agg(weighted_mean(F.col("ndvi"), F.col("n")).alias("ndvi"), weighted_mean(F.col("lst_c"), F.col("n")).alias("lst_c"), F.sum("n").alias("n"))

@@ -323,7 +323,7 @@ def test_stream(spark, tmp_path):
     from quadrille.streaming import arrivals
 
     schema = "acquired timestamp, zone_id int, ndvi double, lst_c double, n long"
-    rows = spark.sql("select timestamp'2015-01-05 00:00:00' acquired, 1 zone_id, 0.2D ndvi, 10D lst_c, 1L n union all select timestamp'2015-01-05 00:00:00', 1, 0.6D, 20D, 3L")
+    rows = spark.sql("select timestamp'2015-01-05 00:00:00' acquired, 1 zone_id, 0.2D ndvi, 10D lst_c, 1L n union all select timestamp'2015-01-21 00:00:00', 1, 0.6D, 20D, 3L")
     rows.write.parquet(str(tmp_path / "in"))
     stream = arrivals.monthly_stream(arrivals.pixel_stream(spark, str(tmp_path / "in"), schema))
     q = stream.writeStream.outputMode("complete").format("memory").queryName("months").start()
