@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_graph, importance, mixing, quality_rules, sharding, simhash, substring_dedup, token_store, url_filter
+from . import byte_bpe, centroids, embedding_graph, importance, merkle, mixing, quality_rules, sharding, simhash, substring_dedup, token_store, url_filter, warc
 
 #: Places of the tokenizer files; parameters of the operators.
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,21 @@ def op10_embedding_graph(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_graph.link_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
 
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    rows = centroids.cluster_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.centroid_digest().alias("centroid_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    rows = merkle.manifest(spark.read.parquet(f"{sf}/documents.parquet"), present=merkle.tampered(), with_path=False)
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_warc(spark: SparkSession, sf: str) -> DataFrame:
+    rows = warc.read_archives(warc.write_archives(spark.read.parquet(f"{sf}/pages.parquet")))
+    return rows.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+
+
 OP1_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, url, html,
@@ -210,6 +225,81 @@ FROM (SELECT vec_id FROM embeddings) LEFT JOIN n USING (vec_id) LEFT JOIN c USIN
 """
 
 
+def _op11_sql(rounds: int = 10) -> str:
+    """Every vector against every centroid, a pair of tables a round."""
+    near = """SELECT r, e, k, d, c FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, k) AS n FROM (
+    SELECT v.r, v.e, k, c, list_sum(list_transform(list_zip(v.e, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, {}))
+    WHERE n = 1"""
+    parts = []
+    for i in range(1, rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED ({near.format(f"c{i - 1}")}),
+c{i} AS MATERIALIZED (SELECT k, coalesce(u.c, o.c) AS c FROM c{i - 1} o LEFT JOIN (
+    SELECT k, list((s - ((s % n + n) % n)) // n ORDER BY j) AS c FROM (
+      SELECT k, j, sum(x) AS s, count(*) AS n FROM (SELECT k, unnest(e) AS x, unnest(range(64)) AS j FROM a{i}) GROUP BY k, j) GROUP BY k) u USING (k))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, e) - 1 AS k, e AS c
+  FROM (SELECT sha256('3:' || vec_id) AS h, e FROM v WHERE vec_id IS NOT NULL ORDER BY h, e LIMIT 8)),
+{", ".join(parts)},
+last AS ({near.format(f"c{rounds}")})
+SELECT vec_id, k::INT AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN v USING (r)
+"""
+
+
+def _op12_sql(levels: int = 8) -> str:
+    """Tables of every level, and the rows walking up through them; enough for 8 to the power of ``levels`` leaves a group."""
+
+    def up(name: str, start: str, walkers: str) -> str:
+        """Levels ``name{k}`` over ``start (g, i, h)`` and walkers ``name w{k} (r, g, i, cur, proof)``."""
+        out = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY g) AS m FROM {start}), {name}w0 AS ({walkers})"]
+        for k in range(levels):
+            out.append(f"""{name}r{k} AS MATERIALIZED (SELECT g, i // 8 AS run, max(m) AS m, list(h ORDER BY i) AS hs FROM {name}{k} GROUP BY g, i // 8),
+{name}{k + 1} AS (SELECT g, run AS i, CASE WHEN m = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h, count(*) OVER (PARTITION BY g) AS m FROM {name}r{k}),
+{name}w{k + 1} AS MATERIALIZED (
+  SELECT r, w.g, run AS i, proof || a || b AS proof, CASE WHEN m = 1 THEN cur ELSE sha256(a || cur || b) END AS cur
+  FROM (SELECT w.*, run, m, array_to_string(hs[:w.i % 8], '') AS a, array_to_string(hs[w.i % 8 + 2:], '') AS b
+    FROM {name}w{k} w JOIN {name}r{k} q ON w.g = q.g AND w.i // 8 = q.run) w)""")
+        return ",\n".join(out)
+
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    crc = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"
+    value = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    now = f"CASE WHEN {crc} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+    return f"""
+WITH t AS (SELECT {table}::BIGINT[] AS crc_table),
+l AS (SELECT *, {leaf("text")} AS leaf, {leaf("now")} AS changed FROM (SELECT *, {now} AS now FROM documents, t)),
+d AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS r, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM l),
+{up("x", "(SELECT g, i, leaf AS h FROM d)", "SELECT r, g, i, changed AS cur, '' AS proof FROM d")},
+s AS (SELECT g, h AS subroot FROM x{levels}),
+{up("y", "(SELECT 0 AS g, g AS i, subroot AS h FROM s)", f"SELECT r, 0 AS g, g AS i, cur, proof FROM xw{levels}")}
+SELECT doc_id, leaf, subroot, y{levels}.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = y{levels}.h AS verified
+FROM d JOIN s USING (g) JOIN yw{levels} w USING (r), y{levels}
+"""
+
+
+OP13_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least FROM pages),
+q AS (SELECT *, strlen(body) AS n, strlen(body) >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least AS again, sha256(body) AS digest FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN least END AS refers_to, '<urn:page:' || coalesce(page_id::VARCHAR, 'null') || ':' || digest || '>' AS record_id
+FROM q
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -221,4 +311,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": OP3_SQL,
         "op6_mixing": OP6_SQL,
         "op10_embedding_graph": OP10_SQL,
+        "op11_centroids": _op11_sql(),
+        "op12_merkle": _op12_sql(),
+        "op13_warc": OP13_SQL,
     }

@@ -78,7 +78,7 @@ def test_sql(spark, sf, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", ["op2_quality_rules", "op3_substring_dedup"])
