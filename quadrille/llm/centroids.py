@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, settle, written
+from .common import materialise, scope, settle
 
 #: Vectors of a tree and of a leaf, and the largest component.
 TREE, LEAF, BOUND = 8_192, 32, 1 << 26
@@ -222,29 +222,28 @@ def cluster_vectors(
 
     ``distance`` is squared, in scaled integers; ``centroid`` is the array of the integers of the cluster's centroid.
     """
-    spark, mark = vectors.sparkSession, written()
-    trees = build_trees(vectors, id_col, vector, dims, scale)
-    final = settled_centroids(trees, first_centroids(vectors, id_col, vector, dims, scale, clusters, seed), rounds)
+    with scope(vectors.sparkSession) as own:
+        trees = build_trees(vectors, id_col, vector, dims, scale)
+        final = settled_centroids(trees, first_centroids(vectors, id_col, vector, dims, scale, clusters, seed), rounds)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, tree in _each(batches, dims):
-            ids = batch["ids"][i].values
-            if len(final):
-                k, d = map(pa.array, assign(tree, final))
-            else:
-                k, d = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, k, d], names=["id", "cluster", "distance"])
-
-    placed = materialise(trees.mapInArrow(run, "id long, cluster int, distance long"), "placed")
-    discard(spark, mark, placed)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, i, tree in _each(batches, dims):
+                ids = batch["ids"][i].values
+                if len(final):
+                    k, d = map(pa.array, assign(tree, final))
+                else:
+                    k, d = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, k, d], names=["id", "cluster", "distance"])
+
+        placed = own.keep(materialise(trees.mapInArrow(run, "id long, cluster int, distance long"), "placed"))
     inertia = {r["cluster"]: int(r["d"]) for r in placed.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("d")).collect() if r["d"] is not None}
     if not inertia:
         nothing = {c: F.lit(None).cast("long") for c in ("cluster_inertia", "inertia")} | {"centroid": F.lit(None).cast("array<long>")}
         return placed.select(F.col("id").alias(id_col), "cluster", "distance").withColumns(nothing)
     at = F.col("cluster") + 1
-    own = F.element_at(F.array(*[F.lit(inertia.get(k, 0)).cast("long") for k in range(len(final))]), at)
+    of_cluster = F.element_at(F.array(*[F.lit(inertia.get(k, 0)).cast("long") for k in range(len(final))]), at)
     centre = F.element_at(F.array(*[F.array(*[F.lit(int(x)).cast("long") for x in c]) for c in final]), at)
-    return placed.select(F.col("id").alias(id_col), "cluster", "distance", own.alias("cluster_inertia"), F.lit(sum(inertia.values())).cast("long").alias("inertia"), centre.alias("centroid"))
+    return placed.select(F.col("id").alias(id_col), "cluster", "distance", of_cluster.alias("cluster_inertia"), F.lit(sum(inertia.values())).cast("long").alias("inertia"), centre.alias("centroid"))
 
 
 def centroid_digest(centroid: str = "centroid") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import math
 import re
@@ -21,8 +22,6 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 _LOCAL: dict[str, str] = {}
-#: Folders that :func:`materialise` has written in this process and not yet deleted.
-_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,34 +39,73 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+class Scope:
+    """The tables that one call writes on its way, and which of them outlive it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, with the tables that it reads kept when the scope ends."""
+        names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+        self.kept |= {p for p in self.paths if p.rsplit("/", 1)[-1] in names}
+        return df
+
+    def clear(self, *but: DataFrame) -> None:
+        """Delete now what nothing will read any more: all but what was kept and the tables ``but``."""
+        names = {f.rsplit("/", 2)[-2] for df in but for f in df.inputFiles()}
+        gone = [p for p in self.paths if p not in self.kept and p.rsplit("/", 1)[-1] not in names]
+        self.paths = [p for p in self.paths if p not in gone]
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in gone:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+#: The innermost scope of the present thread; another thread has its own, so no call deletes what another one reads.
+_INNERMOST: contextvars.ContextVar[Scope | None] = contextvars.ContextVar("scope", default=None)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """Own the tables written inside: those not kept are deleted at the end, also when it fails.
+
+    Tables kept pass to the scope around this one; where there is none they stay until the caller clears the folder,
+    as do tables written outside any scope.
+    """
+    own, around = Scope(spark), _INNERMOST.get()
+    token = _INNERMOST.set(own)
+    try:
+        yield own
+    except BaseException:
+        own.kept.clear()
+        raise
+    finally:
+        _INNERMOST.reset(token)
+        own.clear()
+        if around is not None:
+            around.paths += own.paths
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a reader of it, which cuts the lineage.
 
     A lost executor then costs a task that reads a file again, not the whole history of the rows.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if (own := _INNERMOST.get()) is not None:
+        own.paths.append(path)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written() -> int:
-    """A mark for :func:`discard`."""
-    return len(_WRITTEN)
-
-
-def discard(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
-    """Delete what :func:`materialise` wrote since ``mark``, save the tables ``keep``, which it returned.
-
-    Call it only when nothing but ``keep`` is read any more: when a result that was made of the rest has been written.
-    """
-    names = {f.rsplit("/", 2)[-2] for df in keep for f in df.inputFiles()}
-    gone = [path for path in _WRITTEN[mark:] if path.rsplit("/", 1)[-1] not in names]
-    _WRITTEN[mark:] = [path for path in _WRITTEN[mark:] if path not in gone]
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for name in gone:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+def attach(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows``, a written table, with the columns of ``table``, which has one row a ``key``; a hot key is dealt in parts."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("__n"))
+    named = materialise(table.join(counts, key), "named")
+    return heavy_join(rows, named, [key], "__n").drop("__n")
 
 
 #: A key is heavy where it holds more than this share of all rows, so there are fewer heavy keys than its inverse.
@@ -96,6 +134,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()
 
 
+def nullable(kind: pa.DataType) -> pa.DataType:
+    """The type with nullable fields throughout, as declared schemas are."""
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(pa.field(kind.value_field.name, nullable(kind.value_type)))
+    return kind
+
+
 def settle() -> None:
     """Give freed memory back to the machine: a worker lives on from stage to stage, beside others of its executor."""
     pa.default_memory_pool().release_unused()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, heavy_join, materialise, written
+from .common import heavy_join, materialise, scope
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -43,19 +43,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     a null end are left out, and an empty table gives an empty result.  A hub with very many links is aggregated
     before the shuffle, and its links are dealt in parts where they meet their smallest.
     """
-    spark, mark = edges.sparkSession, written()
-    clean = edges.select("u", "v").where("u is not null and v is not null and u <> v")
-    current = materialise(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    now = _digest(current)
-    for _ in range(max_rounds):
-        if not now[0]:
-            break
-        current = _small_star(_large_star(current, now[0]), now[0])
-        was, now = now, _digest(current)
-        discard(spark, mark, current)
-        if was == now:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    with scope(edges.sparkSession) as own:
+        clean = edges.select("u", "v").where("u is not null and v is not null and u <> v")
+        current = materialise(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        now = _digest(current)
+        for _ in range(max_rounds):
+            if not now[0]:
+                break
+            current = _small_star(_large_star(current, now[0]), now[0])
+            was, now = now, _digest(current)
+            own.clear(current)
+            if was == now:
+                break
+        else:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        return own.keep(current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))

@@ -27,7 +27,7 @@ WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 
 
 #: Columns of the result; a carried column of such a name gives way.
-OUT = ("size", "source_size", "target", "taken", "whole", "tie")
+OUT = ("size", "source_size", "target", "taken", "whole")
 
 
 def random_key(id_col: str, seed: int = 0) -> Column:
@@ -93,8 +93,9 @@ def mix(
     sized = materialise(sized, "sized")
     sources = materialise(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
     targets = materialise(source_targets(sources, weights, share, epochs), "targets")
-    order = [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("tie")]
-    placed = prefix_sums(sized, order, "size", "before")
+    # rows alike in all of this are told apart by their place in the written table, so a range can cut them
+    order = [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("tie"), F.col("place")]
+    placed = prefix_sums(sized.withColumn("place", F.monotonically_increasing_id()), order, "size", "before")
     starts = prefix_sums(targets, [F.col("source").isNull(), F.col("source")], "source_size", "start")
     key = {"__null": F.col("source").isNull(), "__name": F.coalesce("source", F.lit(""))}
     starts = materialise(starts.withColumns(key).drop("source"), "starts")
@@ -111,23 +112,21 @@ def mix(
         "target",
         (passes * F.col("size") + part).cast("long").alias("taken"),
         passes.alias("whole"),
-        "tie",
     )
 
 
-def copies_taken(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def copies_taken(docs: DataFrame, plan: DataFrame, row: str, text: str = "text") -> DataFrame:
     """Rows of ``docs``, one for each time the ``plan`` that :func:`mix` made of them takes the document.
 
-    A document taken in part ends with the last word taken.  Rows equal in id and text share evenly what the plan
-    takes of them, in whole words: a rest of fewer words than there are rows is left.  The text is moved once, by the join; it takes no part in the ordering.
+    ``row`` is a column of both that numbers the rows.  A document taken in part ends with the last word taken, so the
+    words here are those that the plan counts.  The text is moved once, by the join; it takes no part in the ordering.
     """
-    total = plan.groupBy(F.col(id_col).alias("__id"), F.col("tie").alias("__tie")).agg(F.max("size").alias("__size"), F.floor(F.sum("taken") / F.count("*")).alias("__taken"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.xxhash64(text).eqNullSafe(F.col("__tie"))
-    rows = docs.join(total.where("__taken > 0"), same)
+    taken = plan.where("taken > 0").select(F.col(row), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+    rows = docs.join(taken.hint("merge"), row)
     whole = F.floor(F.col("__taken") / F.col("__size"))
     each = F.array_repeat(F.col("__size"), whole.cast("int"))
     part = F.col("__taken") - whole * F.col("__size")
     rows = rows.withColumn("__words", F.explode(F.when(part > 0, F.concat(each, F.array(part))).otherwise(each)))
     words = F.split(F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     cut = F.array_join(F.slice(words, 1, F.col("__words").cast("int")), " ")
-    return rows.withColumn(text, F.when(F.col("__words") == F.col("__size"), F.col(text)).otherwise(cut)).select(*docs.columns)
+    return rows.withColumn(text, F.when(F.col("__words") == F.col("__size"), F.col(text)).otherwise(cut)).select(*[F.col(f"`{c}`") for c in docs.columns])

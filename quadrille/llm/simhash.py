@@ -20,7 +20,6 @@ Any length of text is read whole.  An empty table gives an empty result.  Other
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, heavy_join, materialise, mix64, text_bytes, text_slices, written
+from .common import attach, heavy_join, materialise, scope, text_bytes, text_slices
 from .components import connected_components
 
 SHINGLE, SEED, DISTANCE, CROWD = 3, 42, 2, 64
@@ -79,6 +78,14 @@ class Golay:
 GOLAY = Golay()
 
 
+def majority(h: np.ndarray) -> int:
+    """The majority bits of big-endian hashes, as a signed long; 0 of none."""
+    ones = np.zeros(64, np.int64)
+    for a in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[a : a + (1 << 16)].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(h)).view(">i8")[0])
+
+
 def fingerprint(text: bytes) -> int:
     """Majority bits of the XXH64 of all shingles, repeats included; 0 without words."""
     words = text.lower().split()
@@ -93,10 +100,7 @@ def fingerprint(text: bytes) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
         digest = xxhash.xxh64_intdigest
         h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :].tolist(), strict=False)], ">u8")
-    ones = np.zeros(64, np.int64)
-    for a in range(0, len(h), 1 << 16):
-        ones += np.unpackbits(h[a : a + (1 << 16)].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h)).view(">u8")[0])
+    return majority(h)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -106,7 +110,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "body"):
-                fp = np.array([fingerprint(t) for t in text_bytes(part["body"])], np.uint64).view(np.int64)
+                fp = np.array([fingerprint(t) for t in text_bytes(part["body"])], np.int64)
                 yield pa.RecordBatch.from_arrays([part["doc"], pa.array(fp)], names=["doc", "fp"])
 
     return source.mapInArrow(run, "doc long, fp long")
@@ -133,7 +137,6 @@ def links(fps: DataFrame) -> DataFrame:
 
     They come as a written table; what they were made of is deleted.
     """
-    spark, mark = fps.sparkSession, written()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,20 +145,20 @@ def links(fps: DataFrame) -> DataFrame:
                 keys, row = fuzzy_keys(fp)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[row])], names=["key", "fp"])
 
-    keyed = materialise(fps.mapInArrow(run, "key long, fp long"), "keys")
-    counts = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-    shared = materialise(heavy_join(keyed, counts, ["key"], "n"), "shared")
-    few = shared.where(F.col("n") <= CROWD).select("key", "fp")
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE
-    pairs = few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), "key").where(F.col("u") < F.col("v")).where(near).select("u", "v")
-    crowd = shared.where(F.col("n") > CROWD).select("fp").distinct()
-    points = F.explode(F.concat(F.array(F.col("fp")), F.transform(F.lit([1 << i if i < 63 else -(1 << 63) for i in range(64)]), lambda b: F.col("fp").bitwiseXOR(b))))
-    named = materialise(crowd.select("fp", points.alias("point")), "points")
-    least = named.groupBy("point").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = named.join(least, "point").where("fp <> v").select(F.col("fp").alias("u"), "v")
-    found = materialise(pairs.unionByName(stars).distinct(), "links")
-    discard(spark, mark, found)
-    return found
+    with scope(fps.sparkSession) as own:
+        keyed = materialise(fps.mapInArrow(run, "key long, fp long"), "keys")
+        counts = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        shared = materialise(heavy_join(keyed, counts, ["key"], "n"), "shared")
+        few = shared.where(F.col("n") <= CROWD).select("key", "fp")
+        near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE
+        pairs = few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), "key").where(F.col("u") < F.col("v")).where(near).select("u", "v")
+        crowd = shared.where(F.col("n") > CROWD).select("fp").distinct()
+        points = F.explode(F.concat(F.array(F.col("fp")), F.transform(F.lit([1 << i if i < 63 else -(1 << 63) for i in range(64)]), lambda b: F.col("fp").bitwiseXOR(b))))
+        named = materialise(crowd.select("fp", points.alias("point")), "points")
+        least = named.groupBy("point").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
+        stars = named.join(least, "point").where("fp <> v").select(F.col("fp").alias("u"), "v")
+        found = materialise(pairs.unionByName(stars).distinct(), "links")
+        return own.keep(found)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -163,117 +166,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     prints = materialise(fingerprints(docs, id_col, text), "prints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("n")), "nodes")
     classes = materialise(connected_components(links(nodes.select("fp"))), "classes")
-    joined = nodes.join(classes, nodes["fp"] == classes["node"]).select("fp", "component", "least")
+    joined = materialise(nodes.join(classes, nodes["fp"] == classes["node"]).select("fp", "component", "least"), "joined")
     roots = joined.groupBy("component").agg(F.min("least").alias("root"))
-    linked = joined.select("fp", "component").join(roots, "component").select("fp", "root")
+    linked = attach(joined.select("fp", "component"), roots, "component").select("fp", "root")
     named = materialise(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("root", "least").alias("component_id")), "named")
     return heavy_join(prints, named, ["fp"], "n").select(F.col("doc").alias(id_col), "fp", "component_id")
 
 
-# --- near-duplicates by similarity ------------------------------------------------------------------------------------
-
-#: Words of a shingle whose fingerprint gives keys, bits of that fingerprint, and bits of its segments.
-KEY_SHINGLE, KEY_BITS, SEGMENT = 3, 256, 21
-#: Segments behind an exact one that give it codewords, one at a time.
-STEPS = 1
-#: Bits of the fingerprint that tells similarity; two whose first 64 differ in more than ``FIRST_BITS`` are let go.
-WIDE, FIRST_BITS = 1024, 20
-
-
-def wide_fingerprint(words: list[bytes], shingle: int, width: int) -> np.ndarray:
-    """Majority bits, over all shingles, of their hashes of ``width`` bits, in words of 64; zero without words."""
-    if not words:
-        return np.zeros(width // 64, np.uint64)
-    joined = b" ".join(words)
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = [0, *(ends[: n - 1] + 1).tolist()]
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[min(shingle, len(words)) - 1 :].tolist(), strict=True)), np.uint64, n)
-    ones, more = np.zeros(width, np.int64), [np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64)) for k in range(1, width // 64)]
-    for a in range(0, n, 1 << 13):
-        part = h[a : a + (1 << 13)]
-        part = np.stack([part, *(mix64(part + m) for m in more)], axis=1)
-        ones += np.add.reduce(np.unpackbits(part.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint16)
-    return np.packbits(2 * ones > n, bitorder="little").view(np.uint64)
-
-
-def most_bits(similarity: float) -> int:
-    """Bits in which wide fingerprints of shingle sets of this Jaccard similarity differ on the mean."""
-    return int(WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of rows of wide fingerprints, and the row each belongs to: a segment as it is, a following one's codewords."""
-    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
-    count = KEY_BITS // SEGMENT
-    segment = (bits[:, : count * SEGMENT].reshape(len(bits), count, SEGMENT).astype(np.int64) << np.arange(SEGMENT)).sum(axis=2)
-    keys, rows = [], []
-    for j in range(count):
-        code = np.sort(GOLAY.keys(segment[:, j], SEGMENT), axis=1)
-        new = np.ones(code.shape, bool)
-        new[:, 1:] = code[:, 1:] != code[:, :-1]
-        row, column = np.nonzero(new)
-        for step in range(1, STEPS + 1):
-            i = (j - step) % count
-            keys.append((((np.int64(i) * STEPS + step - 1) << SEGMENT | segment[row, i]) << 12) | code[row, column])
-            rows.append(row)
-    return np.concatenate(keys), np.concatenate(rows)
-
-
-def representatives(docs: DataFrame, row: str, id_col: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Return the number ``row`` (a long, another one for every row) of one row of each group of similar texts.
-
-    Similarity is that of the sets of shingles of ``shingle`` words, A-Z lower-cased, as ``WIDE`` bits of SimHash tell
-    it: linked texts differ in at most :func:`most_bits`.  Links are looked for among texts that share a key of their
-    fingerprint of ``KEY_SHINGLE`` words (which differ less than longer shingles do): a segment, and a Golay
-    codeword near one of the ``STEPS`` segments behind it.  All who share a key are compared with the first of them, so rows are in proportion
-    whatever a group's size.  The search may miss a link between texts that are barely similar; it reports none that
-    is not there.
-
-    The row that stays is that of smallest id; a null id comes after all others, and equal ids go by a hash of the
-    text.  Texts without words are alike.  An empty table gives an empty result.
-    """
-    spark, mark = docs.sparkSession, written()
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).cast("string").alias("body"), F.xxhash64(text).alias("hash"), row)
-    keys, told = [f"k{i}" for i in range(KEY_BITS // 64)], [f"s{i}" for i in range(WIDE // 64)]
-    names = [*keys, *told]
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "body"):
-                split = [t.lower().split() for t in text_bytes(part["body"])]
-                prints = np.array([np.concatenate([wide_fingerprint(w, KEY_SHINGLE, KEY_BITS), wide_fingerprint(w, shingle, WIDE)]) for w in split], np.uint64).reshape(-1, len(names)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part["doc"], part["hash"], part[row], *(pa.array(np.ascontiguousarray(c)) for c in prints.T)], names=["doc", "hash", row, *names])
-
-    prints = source.mapInArrow(measure, f"doc long, hash long, {row} long, " + ", ".join(f"{c} long" for c in names))
-    best = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "hash", row)).alias("best")
-    nodes = materialise(prints.withColumn("node", F.xxhash64(*names)).groupBy("node").agg(best, *[F.first(c).alias(c) for c in names]), "nodes")
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 10_000):
-                part = batch.slice(a, 10_000)
-                key, at = wide_keys(np.column_stack([np.asarray(part[c].to_numpy(), np.int64) for c in keys]))
-                yield pa.RecordBatch.from_arrays([pa.array(key), part["node"].take(pa.array(at)), part["s0"].take(pa.array(at))], names=["key", "node", "s0"])
-
-    keyed = materialise(nodes.select("node", *keys, "s0").mapInArrow(emit, "key long, node long, s0 long"), "keys")
-    first = F.min(F.struct("node", "s0")).alias("first")
-    shared = materialise(keyed.groupBy("key").agg(first, F.count("*").alias("n")).where("n > 1"), "shared")
-    differ = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-    pairs = heavy_join(keyed, shared, ["key"], "n").where((F.col("node") != F.col("first.node")) & (differ("s0", "first.s0") <= FIRST_BITS))
-    pairs = pairs.select(F.col("node").alias("u"), F.col("first.node").alias("v")).distinct()
-    end = lambda e: nodes.select(F.col("node").alias(e), *[F.col(c).alias(e + c) for c in told])
-    apart = sum((differ(f"u{c}", f"v{c}") for c in told[1:]), differ("us0", "vs0"))
-    links_ = materialise(pairs.join(end("u"), "u").join(end("v"), "v").where(apart <= most_bits(similarity)).select("u", "v"), "links")
-    classes = materialise(connected_components(links_), "classes")
-    named = nodes.select("node", "best").join(classes, "node", "left")
-    stays = named.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("best").alias("best")).select(f"best.{row}")
-    stays = materialise(stays, "stays")
-    discard(spark, mark, stays)
-    return stays
-
-
 def hex_fingerprint(fp: str = "fp"):
     """Sixteen lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

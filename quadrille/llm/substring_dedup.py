@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import heavy_join, materialise, mix64, settle, text_bytes
+from .common import heavy_join, materialise, mix64, nullable, settle, text_bytes
 
 WINDOW, ANCHOR, PERIOD = 20, 8, 13
 #: A perfect difference set modulo 13; every residue is a difference of two of them.
@@ -293,7 +293,7 @@ def _finish(with_text: bool):
             digest.append(hashlib.sha256(joined).hexdigest())
             if with_text:
                 kept_text.append((text if len(kept) == len(w) else joined).decode())
-        out = {"row": docs["row"], "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
+        out = {"row": docs["row"].cast(nullable(docs["row"].type)), "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
         return pa.table(out | ({"kept_text": pa.array(kept_text, pa.string())} if with_text else {}))
 
     return run

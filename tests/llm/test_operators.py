@@ -125,6 +125,31 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(spark.createDataFrame([(1, "http://t.org/1")], "page_id long, url string"), html=None, redirects=logged).first().verdict == "block"
 
 
+def test_two_calls_at_once(spark):
+    """Each thread deletes only what it wrote itself, and a call that fails leaves nothing behind."""
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quadrille.llm.common import materialise, scope, shared_dir
+
+    def run(k):
+        edges = spark.createDataFrame([(k + i, k + i + 1) for i in range(40)], "u long, v long")
+        return {(r.node, r.component) for r in connected_components(edges).collect()}
+
+    starts = [0, 1000, 2000, 3000]
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(run, starts)) == [{(k + i, k) for i in range(41)} for k in starts]
+    before = set(os.listdir(shared_dir(spark)))
+    with scope(spark) as own:
+        kept = own.keep(materialise(spark.range(3), "kept"))
+        materialise(spark.range(3), "gone")
+    assert kept.count() == 3 and len(set(os.listdir(shared_dir(spark))) - before) == 1
+    with pytest.raises(ZeroDivisionError), scope(spark) as own:
+        own.keep(materialise(spark.range(3), "gone"))
+        raise ZeroDivisionError
+    assert len(set(os.listdir(shared_dir(spark))) - before) == 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + k) for k in range(1, 400)] + [(rng.randint(2000, 2300), rng.randint(2000, 2300)) for _ in range(220)] + [(5, 5), (None, 3)]
@@ -329,11 +354,14 @@ def test_mixing(docs, rows, empty):
     again = mixing.mix(docs.repartition(3), keep=["doc_id", "source"]).collect()
     assert Counter((r.doc_id, r["size"], r.taken) for r in got) == Counter((r.doc_id, r["size"], r.taken) for r in again)
     assert mixing.mix(empty).count() == 0
-    plan = mixing.mix(docs)
-    copies = mixing.copies_taken(docs, plan)
-    assert copies.columns == docs.columns
-    n = sum(len(words(r.text)) for r in copies.collect())
-    assert abs(n - sum(taken.values())) <= 1
+    repeated = docs.unionByName(docs.where("doc_id = 20 or doc_id is null")).withColumn("row", F.monotonically_increasing_id()).persist()
+    plan = mixing.mix(repeated, keep=["row"])
+    copies = mixing.copies_taken(repeated, plan, "row")
+    assert copies.columns == repeated.columns
+    each = Counter()
+    for r in copies.collect():
+        each[r.row] += len(words(r.text))
+    assert each == Counter({r.row: r.taken for r in plan.collect() if r.taken})  # not a word more or less
 
 
 # --- 7 ----------------------------------------------------------------------------------------------------------------

@@ -6,11 +6,11 @@ import base64
 import hashlib
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
-import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quadrille.llm import quality_rules
@@ -25,40 +25,39 @@ def shingles(t):
     return [b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))]
 
 
-def brute_print(t):
-    """Majority of 1,024 bits over shingles of five words, by plain integers."""
-    mask, ones, h = (1 << 64) - 1, [0] * 1024, [xxhash.xxh64_intdigest(s, seed=42) for s in shingles(t)]
-    for x in h:
-        for k in range(16):
-            y = x
-            if k:
-                y = (x + 0x9E3779B97F4A7C15 * k) & mask
-                y = (y ^ y >> 30) * 0xBF58476D1CE4E5B9 & mask
-                y = (y ^ y >> 27) * 0x94D049BB133111EB & mask
-                y ^= y >> 31
-            for b in range(64):
-                ones[64 * k + b] += y >> b & 1
-    return sum(1 << b for b, n in enumerate(ones) if 2 * n > len(h))
+def similarity(a, b):
+    return len(a & b) / len(a | b)
 
 
-def plain(rows, stayed):
+def groups_of(texts, least=0.8):
+    """Number of the first text of each one's group, by all pairs that share a shingle."""
+    sets = [frozenset(shingles(t)) if t.split() else frozenset() for t in texts]
+    root, holders = list(range(len(texts))), defaultdict(list)
+
+    def find(a):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    for i, own in enumerate(sets):
+        near = {j for x in own for j in holders[x]} if own else {j for j in range(i) if not sets[j]}
+        for j in near:
+            if not own or similarity(own, sets[j]) >= least:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+        for x in own:
+            holders[x].append(i)
+    return [find(i) for i in range(len(texts))]
+
+
+def plain(rows):
     words = lambda t: t.encode().split()
     bits = quality_rules.failures(quality_rules.measure([r["text"].encode() for r in rows]))
     rows = [r for r, b in zip(rows, bits, strict=True) if not b]
 
     rows.sort(key=lambda r: r["doc_id"])
-    prints = [brute_print(r["text"]) for r in rows]
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 155:
-                a, b = root[i], root[j]
-                root = [min(a, b) if x in (a, b) else x for x in root]
-    # the search may miss links of barely similar texts, so a few more rows may stay, and none that is alone may go
-    roots, groups = {r["doc_id"] for i, r in enumerate(rows) if root[i] == i}, Counter(root)
-    grouped = {r["doc_id"] for i, r in enumerate(rows) if groups[root[i]] > 1}
-    assert roots <= stayed and stayed - roots <= grouped and len(stayed - roots) <= 0.3 * (len(rows) - len(roots))
-    rows = [r for r in rows if r["doc_id"] in stayed]
+    rows = [r for i, (r, g) in enumerate(zip(rows, groups_of([r["text"] for r in rows]), strict=True)) if i == g]
 
     first = {}
     for r in rows:
@@ -107,35 +106,66 @@ def plain(rows, stayed):
 
 def test_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    stayed = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, corpus_pipeline.quality(spark, docs, sf), sf).collect()}
-    want = plain([r.asDict() for r in docs.collect()], stayed)
+    want = plain([r.asDict() for r in docs.collect()])
     got = corpus_pipeline.run(spark, sf).collect()
     assert Counter((r.doc_id, r.source, r.n_chars, r.ids_sha256) for r in got) == want
 
 
+def test_near_duplicates_on_the_documents(spark, sf):
+    """Whole documents of the next size against all pairs: what goes, and that no group goes wholly."""
+    docs = corpus_pipeline.quality(spark, spark.read.parquet(f"{sf}/../sf0.01/documents.parquet"), sf)
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = {rows[i][0] for i, g in enumerate(groups_of([t for _, t in rows])) if i == g}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()} == want
+
+
 def test_near_copies_go(spark, sf):
-    """Of similar texts one stays, dissimilar ones all stay, and a group of very many is no trouble."""
+    """Pairs in every band of similarity, by scattered changes and by cuts; large groups around one text and around none."""
     rng = random.Random(8)
     make = lambda n: [rng.choice("abcdefghij") + str(rng.randint(0, 400)) for _ in range(n)]
-    rows, similar, far = [], [], []
-    for g in range(60):
-        base = make(rng.randint(120, 400))
+    rows, bands = [], defaultdict(list)
+    while min((len(bands[k]) for k in (70, 75, 80, 85, 90, 95)), default=0) < 40:
+        base, g = make(rng.randint(60, 400)), len(rows) // 2
         changed = list(base)
-        for at in rng.sample(range(len(base)), max(1, len(base) // (100 if g % 2 else 14))):
-            changed[at] = "new" + str(at)
-        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(changed).upper() if g % 4 == 1 else " ".join(changed))]
-        a, b = (set(shingles(t)) for _, t in rows[-2:])
-        j = len(a & b) / len(a | b)
-        (similar if j >= 0.85 else far if j < 0.72 else []).append(g)
-    crowd = make(300)
-    rows += [(1000 + k, " ".join([*crowd[:k], "other", *crowd[k + 1 :]])) for k in range(300)]
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], schema).repartition(3)
+        if g % 2:
+            for at in rng.sample(range(len(base)), rng.randint(1, max(1, len(base) // 14))):
+                changed[at] = "new" + str(at)
+        else:
+            changed = changed[: len(changed) - rng.randint(1, len(changed) // 4)]
+        j = similarity(*(set(shingles(" ".join(t))) for t in (base, changed)))
+        if 0.7 <= j < 1:
+            bands[int(j * 20) * 5].append(g)
+            rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(changed).upper() if g % 4 == 1 else " ".join(changed))]
+    top = len(rows)
+    crowd, common = make(300), make(60)
+    rows += [(top + k, " ".join([*crowd[:k], "other", *crowd[k + 1 :]])) for k in range(300)]
+    # a wide circle: neighbours are alike, those further on are not
+    ring = make(600)
+    rows += [(top + 1000 + k, " ".join((ring + ring)[4 * k : 4 * k + 200])) for k in range(100)]
+    # texts that share a long passage and nothing else
+    rows += [(top + 2000 + k, " ".join(make(100) + common + make(100))) for k in range(200)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], spark.read.parquet(f"{sf}/documents.parquet").schema).repartition(3)
     stays = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
-    assert len(similar) > 20 and len(far) > 20
-    assert sum(2 * g + 1 not in stays for g in similar) >= 0.95 * len(similar)
-    assert all({2 * g, 2 * g + 1} <= stays for g in far) and all(2 * g in stays for g in range(60))
-    assert [i for i in stays if i >= 1000] == [1000]
+    for band, members in bands.items():
+        gone = sum(2 * g + 1 not in stays for g in members)
+        assert gone == 0 if band < 80 else gone >= 0.95 * len(members), (band, gone, len(members))
+    assert all(2 * g in stays for g in range(top // 2))
+    assert [i for i in stays if top <= i < top + 1000] == [top]
+    assert sum(i >= top + 2000 for i in stays) == 200
+    assert 1 <= sum(top + 1000 <= i < top + 2000 for i in stays) <= 2
+
+
+def test_stages_with_clashing_columns(spark, sf):
+    """Columns under the names that operators use come back as they were, whatever is done to the rows."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(120)
+    names = "row row_number n_words n_removed kept_sha256 kept_text fail_bits size taken whole target source_size carried node key fp body batch u v doc hash c0 none"
+    clash = docs.withColumns({c: F.concat(F.lit(c + ":"), F.col("doc_id").cast("string")) for c in names.split()})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain_rows, rows = stage(spark, docs, sf).collect(), stage(spark, clash, sf)
+        assert rows.columns == clash.columns
+        rows = rows.collect()
+        assert Counter((r.doc_id, r.text, r.n_chars) for r in rows) == Counter((r.doc_id, r.text, r.n_chars) for r in plain_rows)
+        assert all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in names.split())
 
 
 def test_stages_keep_the_columns(spark, sf):
