@@ -12,19 +12,24 @@ from ..functions import pixels as P
 from ..functions import scene as S
 
 
-def with_products(pixels: DataFrame, settings: Settings, scale: Column | None = None, offset: Column | None = None) -> DataFrame:
-    """Adds ``clear``, raw and bounded NDVI and surface temperature; ``scale`` and ``offset`` are the scene's own."""
-    factors = {} if scale is None else {"scale": scale, "offset": offset}
+def with_products(pixels: DataFrame, settings: Settings, factors: dict[str, Column] | None = None) -> DataFrame:
+    """Adds ``clear``, raw and bounded NDVI and surface temperature.
+
+    ``factors`` are the scene's own ``sr_scale, sr_offset, st_scale, st_offset``; those not given are the collection's.
+    """
+    own = factors or {}
+    sr = {k: own[f"sr_{k}"] for k in ("scale", "offset") if f"sr_{k}" in own}
+    st = {k: own[f"st_{k}"] for k in ("scale", "offset") if f"st_{k}" in own}
     clear = P.is_clear(F.col("qa"), settings)
-    red, nir = (P.masked(P.reflectance(F.col(f"dn_{b}")), clear) for b in ("red", "nir"))
+    red, nir = (P.masked(P.reflectance(F.col(f"dn_{b}"), **sr), clear) for b in ("red", "nir"))
     out = pixels.withColumns({"clear": clear, "sr_red": red, "sr_nir": nir, "dn_clear": P.masked(F.col("dn_st"), clear)})
     return out.withColumns(
         {
             "ndvi_raw": P.ndvi_raw(F.col("sr_red"), F.col("sr_nir")),
             "ndvi": P.ndvi(F.col("sr_red"), F.col("sr_nir"), settings),
-            "below_sentinel": F.col("dn_clear") < P.sentinel_dn(settings, **factors),
-            "lst_raw": P.celsius(F.col("dn_clear"), **factors),
-            "lst_c": P.lst(F.col("dn_clear"), settings, **factors),
+            "below_sentinel": F.col("dn_clear") < P.sentinel_dn(settings, **st),
+            "lst_raw": P.celsius(F.col("dn_clear"), **st),
+            "lst_c": P.lst(F.col("dn_clear"), settings, **st),
         }
     )
 
@@ -64,9 +69,11 @@ def scene_measures(products: DataFrame, by: Sequence[str], settings: Settings, i
 def cascade(measures: DataFrame, settings: Settings) -> DataFrame:
     """Adds ``pct_valido`` and ``reject``: the first rule that a scene fails, in the order of the run; null if it passes.
 
-    A scene without valid temperatures passes the ratio rule; ``no_lst`` tells of it.
+    ``n_scene`` counts the cells of whole scenes, where the other measures are those of a box.  A scene without valid
+    temperatures passes the ratio rule; ``no_lst`` tells of it.
     """
-    valid = F.round(F.try_divide(100.0 * F.col("n_clear"), F.nullif(F.col("n_total_cena"), F.lit(0))), 2)
+    whole = "n_scene" if "n_scene" in measures.columns else "n_total_cena"
+    valid = F.round(F.try_divide(100.0 * F.col("n_clear"), F.nullif(F.col(whole), F.lit(0))), 2)
     why = F.when(~F.coalesce(F.col("complete"), F.lit(False)), "incomplete") if "complete" in measures.columns else F.when(F.lit(False), "")
     if "overlap" in measures.columns and settings.min_overlap > 0:
         why = why.when(~(F.col("overlap") > settings.min_overlap), "overlap")

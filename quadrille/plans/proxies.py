@@ -73,7 +73,7 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
     the inventory is small enough for Spark to broadcast.
     """
     info = scenes(spark, sf).select("scene", "scene_id", "sensor", "acq_date", F.col("year").alias("ano"), F.col("month").alias("mes"), "cloud_cover", "sun_elevation", "st_scale", "st_offset")
-    return Q.with_products(pixels(spark, sf).join(info, "scene"), SETTINGS, F.col("st_scale"), F.col("st_offset"))
+    return Q.with_products(pixels(spark, sf).join(info, "scene"), SETTINGS, {c: F.col(c) for c in ("st_scale", "st_offset")})
 
 
 SCENE = ("sensor", "acq_date", "ano", "mes", "cloud_cover", "sun_elevation")

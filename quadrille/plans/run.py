@@ -1,7 +1,8 @@
 """A whole run: scene folders and a polygon layer in, tables and reports out.
 
-Files are decoded once; the calibrated pixels around the area are written as a table, by scene, and everything else
-reads that table.  Every table below ``out`` is written by Spark; only settings, paths and reports of bounded size are
+Of a scene only the strips or tiles that the area touches are read, and its quality band whole for the share of clear
+cells; the calibrated pixels of the area's box are written as a table, by scene, and everything else reads that table.
+Scenes with a file that cannot be read are left out and named in the table ``faults``.  Every table below ``out`` is written by Spark; only settings, paths and reports of bounded size are
 on the driver.
 """
 
@@ -19,7 +20,7 @@ from ..operators import quality as Q
 from ..operators import raster as X
 from ..operators import series as R
 from ..operators import spatial as P
-from ..sources import files, geotiff, metadata, sinks, vector
+from ..sources import files, geotiff, metadata, sinks, vector, windows
 
 LOG = logging.getLogger("quadrille")
 SCENE = ("scene_id", "sensor", "data_aq", "ano", "mes", "pathrow", "tier", "cloud_cover", "sun_elevation", "pct_valido")
@@ -51,40 +52,65 @@ def area_grid(zones: DataFrame, size: float, left: float, top: float) -> P.Grid:
 
 
 def _on_grid(cells: DataFrame, grid: P.Grid) -> DataFrame:
-    """Rows and columns of the area's grid, ``in_box`` where a cell lies in it."""
+    """Rows and columns of the area's grid."""
     row, col = F.round((grid.y0 - F.col("y")) / grid.size - 0.5).cast("int"), F.round((F.col("x") - grid.x0) / grid.size - 0.5).cast("int")
-    out = cells.withColumns({"row": row, "col": col})
-    return out.withColumn("in_box", F.col("row").between(0, grid.rows - 1) & F.col("col").between(0, grid.cols - 1))
-
-
-def calibrated(spark: SparkSession, scenes: DataFrame, zones: DataFrame, settings: Settings, grid: P.Grid, crs: str) -> DataFrame:
-    """Products of all cells of scenes on one lattice, with their place in the area's grid."""
-    roles = ("file_qa", "file_red", "file_nir", "file_lst")
-    paths = [r[0] for r in scenes.select(F.explode(F.array(*roles))).collect()]
-    cells = geotiff.scene_pixels(scenes, geotiff.read_bands(spark, paths))
-    products = Q.with_products(cells.join(scenes.select("scene_id", "st_scale", "st_offset"), "scene_id"), settings, F.col("st_scale"), F.col("st_offset"))
-    products = products.select("scene_id", "row", "col", "x", "y", "qa", "dn_st", "clear", "ndvi_raw", "ndvi", "below_sentinel", "lst_raw", "lst_c")
-    if crs == settings.crs:
-        return _on_grid(products, grid)
+    return cells.withColumns({"row": row, "col": col})
+
+
+def _box_in(grid: P.Grid, crs: str, target: str, spark: SparkSession) -> tuple[float, float, float, float]:
+    """``xmin, ymin, xmax, ymax`` of a grid in another system, from points along its border."""
+    right, bottom = grid.x0 + grid.cols * grid.size, grid.y0 - grid.rows * grid.size
+    steps = [k / 32 for k in range(33)]
+    border = [(grid.x0 + t * (right - grid.x0), y) for t in steps for y in (grid.y0, bottom)] + [(x, bottom + t * (grid.y0 - bottom)) for t in steps for x in (grid.x0, right)]
+    x, y = X.project(F.col("x"), F.col("y"), crs, target)
+    return tuple(spark.createDataFrame(border, "x double, y double").select(x.alias("x"), y.alias("y")).agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first())
+
+
+def _asked(scenes: DataFrame, box: tuple[float, float, float, float], margin: int) -> DataFrame:
+    """The rows and columns of each scene that a box touches, and ``margin`` cells around them."""
+    inside = lambda v, most: F.least(F.greatest(v, F.lit(0)), F.col(most)).cast("int")
+    down, across = (lambda y: (F.col("top") - y) / F.col("size")), (lambda x: (x - F.col("left")) / F.col("size"))
+    near = 1e-6  # a border of the box that is one of cells' touches no further cell
+    return scenes.withColumns(
+        {
+            "row_from": inside(F.floor(down(F.lit(box[3])) + near) - margin, "rows"),
+            "row_to": inside(F.ceil(down(F.lit(box[1])) - near) + margin, "rows"),
+            "col_from": inside(F.floor(across(F.lit(box[0])) + near) - margin, "cols"),
+            "col_to": inside(F.ceil(across(F.lit(box[2])) - near) + margin, "cols"),
+        }
+    )
+
+
+FACTORS = ("sr_scale", "sr_offset", "st_scale", "st_offset")
+PRODUCTS = ("scene_id", "row", "col", "x", "y", "qa", "dn_st", "clear", "ndvi_raw", "ndvi", "below_sentinel", "lst_raw", "lst_c")
+
+
+def products(cells: DataFrame, scenes: DataFrame, settings: Settings) -> DataFrame:
+    """Products of cells by the factors of their own scene."""
+    own = cells.drop("path", "error").join(F.broadcast(scenes.select("scene_id", *FACTORS)), "scene_id")  # a row a scene that is read
+    return Q.with_products(own, settings, {c: F.col(c) for c in FACTORS}).select(*PRODUCTS)
+
+
+def calibrated(spark: SparkSession, scenes: DataFrame, settings: Settings, grid: P.Grid, crs: str, work: str) -> tuple[DataFrame, DataFrame]:
+    """Products of the cells in the area's box, on its grid, and the faults of what could not be read."""
+    same = crs == settings.crs
+    box = (grid.x0, grid.y0 - grid.rows * grid.size, grid.x0 + grid.cols * grid.size, grid.y0) if same else _box_in(grid, settings.crs, crs, spark)
+    cells = kept(windows.scene_cells(_asked(scenes, box, 0 if same else 2)), f"{work}/cells")
+    faults = cells.where("error is not null").select("scene_id", "path", "error")
+    made = products(cells.where("error is null"), scenes, settings)
+    if same:
+        return _on_grid(made, grid), faults
     # another system: values are resampled on the area's grid; bits are not, so a cell is clear where it has a value
-    centre = X.cells(spark, grid)
     parts = []
+    size, left, top = scenes.select("size", "left", "top").first()
+    offset = F.round((top - F.col("y")) / size - 0.5).cast("int"), F.round((F.col("x") - left) / size - 0.5).cast("int")  # one lattice for all
     for v in ("ndvi", "lst_c"):
-        source = products.withColumnRenamed(v, "value")
-        shape = source.agg(F.min(F.col("x") - F.col("col") * 1.0), F.max("row"), F.max("col")).first()
-        size, left, top = _lattice(source)
-        moved = X.reproject(source.select("scene_id", "row", "col", "value"), P.Grid(left, top, size, shape[1] + 1, shape[2] + 1), crs, grid, settings.crs)
+        source = made.select("scene_id", offset[0].alias("row"), offset[1].alias("col"), F.col(v).alias("value"))
+        moved = X.reproject(source, P.Grid(left, top, size, 1, 1), crs, grid, settings.crs)
         parts.append(moved.withColumnRenamed("value", v))
-    both = parts[0].join(parts[1], ["scene_id", "row", "col"], "full").join(centre, ["row", "col"])
-    flags = {"qa": F.lit(None).cast("int"), "dn_st": F.lit(None).cast("int"), "clear": F.lit(True), "ndvi_raw": F.col("ndvi"), "below_sentinel": F.lit(False), "lst_raw": F.col("lst_c"), "in_box": F.lit(True)}
-    return both.withColumns(flags).select(*products.columns, "in_box")
-
-
-def _lattice(cells: DataFrame) -> tuple[float, float, float]:
-    a = cells.select("row", "col", "x", "y").first()
-    b = cells.where(F.col("col") != a["col"]).select("col", "x").first()
-    size = (b["x"] - a["x"]) / (b["col"] - a["col"])
-    return size, a["x"] - (a["col"] + 0.5) * size, a["y"] + (a["row"] + 0.5) * size
+    both = parts[0].join(parts[1], ["scene_id", "row", "col"], "full").join(X.cells(spark, grid), ["row", "col"])
+    flags = {"qa": F.lit(None).cast("int"), "dn_st": F.lit(None).cast("int"), "clear": F.lit(True), "ndvi_raw": F.col("ndvi"), "below_sentinel": F.lit(False), "lst_raw": F.col("lst_c")}
+    return both.withColumns(flags).select(*PRODUCTS), faults
 
 
 def process(spark: SparkSession, folders: list[str], area: str, out: str, settings: Settings, area_name: str = "area", zone_label: str = "zone", rasters: bool = True, pixel_tables: bool = False) -> dict[str, int]:
@@ -99,29 +125,39 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     sinks.write_csv(I.without_files(listed), f"{out}/tables/scenes/scene_inventory", order=["acq_date", "scene_id"])
     zones = kept(vector.read_layer(spark, area, settings.zone_column, settings.crs), f"{work}/zones")
 
-    places = geotiff.places(spark, [r[0] for r in listed.where("complete").select("file_lst").collect()])
-    scenes = listed.where("complete").join(places.withColumnRenamed("path", "file_lst"), "file_lst").where("size is not null")
+    placed = kept(windows.places(listed.where("complete")), f"{work}/heads")
+    faults = [placed.where("size is null").select("scene_id", F.col("file_lst").alias("path"), F.lit("the thermal band has no readable head").alias("error"))]
+    scenes = placed.where("size is not null")
     scenes = scenes.withColumn("crs", F.coalesce("crs", F.lit(settings.crs)))
     scenes = kept(_footprints(scenes, settings.crs), f"{work}/places")
     if settings.min_overlap > 0:
         scenes = kept(P.footprint_overlap(scenes, zones), f"{work}/overlap")
         scenes = scenes.where(F.col("overlap") > settings.min_overlap)
+    counts = kept(windows.clear_counts(scenes, settings.qa_mask), f"{work}/clear")
+    faults.append(counts.where("error is not null").select("scene_id", "path", "error"))
     lattices = scenes.select("crs", "size", (F.col("left") % F.col("size")).alias("dx"), (F.col("top") % F.col("size")).alias("dy")).distinct().collect()
     for k, t in enumerate(lattices):
         same = scenes.where((F.col("crs") == t["crs"]) & (F.col("size") == t["size"]) & (F.col("left") % F.col("size") == t["dx"]) & (F.col("top") % F.col("size") == t["dy"]))
         grid = area_grid(zones, t["size"], t["dx"], t["dy"])
-        cells = calibrated(spark, same, zones, settings, grid, t["crs"])
+        cells, bad = calibrated(spark, same, settings, grid, t["crs"], f"{work}/lattice-{k}")
+        faults.append(bad)
         spans = P.spans(zones, grid)
-        mask = P.clip(cells.where("in_box").select("row", "col").distinct(), spans).withColumn("in_area", F.lit(True))
+        mask = P.clip(cells.select("row", "col").distinct(), spans).withColumn("in_area", F.lit(True))
         marked = cells.join(mask, ["row", "col"], "left").withColumn("in_area", F.coalesce("in_area", F.lit(False)))
         marked.write.mode("overwrite").parquet(f"{work}/pixels/lattice={k}")
         kept(spans, f"{work}/spans/lattice={k}")
     if not lattices:
         raise ValueError("no scene overlaps the area: is min_overlap too high for it?")
-    pixels, spans = spark.read.parquet(f"{work}/pixels"), spark.read.parquet(f"{work}/spans")
+    faults = kept(fault_table(faults), f"{out}/faults")
+    broken = faults.count()
+    if broken:
+        LOG.error("%d scenes cannot be read and are left out, see %s/faults", broken, out)
+    pixels, spans = spark.read.parquet(f"{work}/pixels").join(faults.select("scene_id"), "scene_id", "left_anti"), spark.read.parquet(f"{work}/spans")
 
     info = scenes.select("scene_id", "sensor", F.col("acq_date").alias("data_aq"), F.col("year").alias("ano"), F.col("month").alias("mes"), "pathrow", "tier", "cloud_cover", "sun_elevation")
-    measures = Q.scene_measures(pixels, ["scene_id"], settings, F.col("in_area"), F.col("in_box")).join(info, "scene_id")
+    of_area = {c: F.when(F.col("in_area"), F.col(c)) for c in ("ndvi", "ndvi_raw", "lst_c", "lst_raw", "below_sentinel")}
+    measures = Q.scene_measures(pixels.withColumns(of_area), ["scene_id"], settings).drop("n_clear")  # shares are of the box
+    measures = measures.join(counts.select("scene_id", "n_scene", "n_clear"), "scene_id").join(info, "scene_id")
     judged = kept(Q.cascade(measures, settings), f"{work}/judged")
     for r in judged.where("reject is not null").groupBy("reject").agg(F.count("*").alias("n")).collect():
         LOG.warning("%d scenes left out: %s", r["n"], r["reject"])
@@ -149,7 +185,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     anomaly_tables(Q.anomalies(judged.where("reject is null or reject = 'saturated thermal'"), settings), f"{out}/tables/anomalies")
     if rasters:
         for v, name, suffix in (("ndvi", "ndvi", "_NDVI.tif"), ("lst_c", "lst", "_LST_Celsius.tif")):
-            rows = geotiff.write_rasters(pixels.where("in_box").join(good.select("scene_id"), "scene_id").withColumn(v, F.when(F.col("in_area"), F.col(v))), "scene_id", v)
+            rows = geotiff.write_rasters(pixels.join(good.select("scene_id"), "scene_id").withColumn(v, F.when(F.col("in_area"), F.col(v))), "scene_id", v)
             sinks.write_rasters(rows, "scene_id", f"{out}/rasters/{name}", suffix)
     if pixel_tables:
         weighted = R.with_scene_weight(mine, "scene_id")
@@ -162,6 +198,15 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     return {"listed": listed.count(), "tried": judged.count(), "used": stats.count()}
 
 
+def fault_table(parts: list[DataFrame]) -> DataFrame:
+    """A row a scene that cannot be read: its first bad file and error, and how many reads failed."""
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    first = F.min(F.struct("path", "error")).alias("first")
+    return out.groupBy("scene_id").agg(first, F.count("*").alias("n_faults")).select("scene_id", "first.path", "first.error", "n_faults")
+
+
 def _footprints(scenes: DataFrame, crs: str) -> DataFrame:
     """Adds ``xmin, ymin, xmax, ymax`` of a scene's corners in the run's system."""
     right, bottom = F.col("left") + F.col("cols") * F.col("size"), F.col("top") - F.col("rows") * F.col("size")

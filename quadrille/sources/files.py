@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 
 from ..config import SENSORS
 
-# Columns of the tables by the names they are known under.
+# Spellings of the columns of result tables, by the name used here; the first that a table has counts.
 ALIASES = {
-    "year": ("year", "ano", "Year", "ANO"),
-    "month": ("month", "mes", "Month", "MES"),
-    "zone_name": ("zone_name", "zona", "bairro", "nome_zona"),
-    "zone_id": ("zone_id", "id_zona"),
-    "ndvi_mean": ("ndvi_mean", "ndvi_media", "mean_ndvi"),
+    "year": ("year", "ano"),
+    "month": ("month", "mes"),
+    "zone_id": ("zone_id", "bairro_id", "id_bairro"),
+    "zone_name": ("zone_name", "nome_bairro", "bairro", "BAIRRO", "NOME", "Nome", "nome", "NM_BAIRRO", "Bairro_Limpo"),
+    "ndvi_mean": ("ndvi_mean", "ndvi_media"),
     "ndvi_sd": ("ndvi_sd", "ndvi_dp"),
     "ndvi_min": ("ndvi_min",),
     "ndvi_max": ("ndvi_max",),
     "ndvi_n": ("ndvi_n",),
-    "lst_mean": ("lst_mean", "lst_c_media", "lst_media", "mean_lst"),
-    "lst_sd": ("lst_sd", "lst_c_dp"),
+    "lst_mean": ("lst_mean", "lst_c_mean", "lst_c_media", "lst_media"),
+    "lst_sd": ("lst_sd", "lst_c_sd", "lst_c_dp"),
     "lst_min": ("lst_min", "lst_c_min"),
     "lst_max": ("lst_max", "lst_c_max"),
     "lst_n": ("lst_n", "lst_c_n"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,29 +20,64 @@ WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, STRIP_BYTES, PREDICTOR,
 PROJECTED, GEOGRAPHIC = 3072, 2048
 
 
+def _widths() -> np.ndarray:
+    """Width in bits of each code behind a clear code: it grows one code early, up to 12."""
+    n = 258 + np.maximum(0, np.arange(1 << 12) - 1)  # entries in the table when the code is read
+    return np.clip(np.floor(np.log2(n + 1)).astype(int) + 1, 9, 12)
+
+
+CODE_BITS = np.concatenate([[0], np.cumsum(_widths())])
+
+
+def _resolve(pointer: np.ndarray) -> np.ndarray:
+    """Where chains of pointers to earlier places end: places that point to themselves."""
+    while True:
+        further = pointer[pointer]
+        if np.array_equal(further, pointer):
+            return pointer
+        pointer = further
+
+
 def lzw_decode(data: bytes) -> bytes:
-    """TIFF's variant: codes from the most significant bit, widths grow one early."""
-    out, table, width, acc, bits, prev = bytearray(), [bytes([i]) for i in range(256)] + [b"", b""], 9, 0, 0, None
-    for byte in data:
-        acc, bits = acc << 8 | byte, bits + 8
-        while bits >= width:
-            bits -= width
-            code = acc >> bits
-            acc &= (1 << bits) - 1
-            if code == 257:
-                return bytes(out)
-            if code == 256:
-                del table[258:]
-                width, prev = 9, None
-                continue
-            entry = table[code] if code < len(table) else prev + prev[:1]
-            out += entry
-            if prev is not None:
-                table.append(prev + entry[:1])
-            prev = entry
-            if len(table) + 1 >= 1 << width and width < 12:
-                width += 1
-    return bytes(out)
+    """TIFF's variant, a whole run between two clear codes at a time.
+
+    The widths of codes depend on their number alone, so a run's codes are cut out at once.  A code above 257 stands for
+    what an earlier code stood for and one byte more; in the output that is a copy of the earlier place, so lengths and
+    bytes are found by following pointers to all earlier places at the same time.
+    """
+    padded = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(4, np.uint8)]).astype(np.uint32)
+    bit, end, out = 0, 8 * len(data), []
+    while bit + 9 <= end:
+        count = int(np.searchsorted(CODE_BITS, end - bit, side="right")) - 1
+        at = bit + CODE_BITS[:count]
+        width = np.diff(CODE_BITS[: count + 1])
+        byte = at >> 3
+        word = padded[byte] << 16 | padded[byte + 1] << 8 | padded[byte + 2]
+        found = (word >> (24 - width - (at & 7)).astype(np.uint32) & ((1 << width) - 1).astype(np.uint32)).astype(np.int64)
+        stop = np.flatnonzero((found == 256) | (found == 257))
+        n = int(stop[0]) if len(stop) else count
+        codes = found[:n]
+        if n:
+            earlier = np.where(codes < 256, np.arange(n), codes - 258)
+            if (earlier[codes > 257] >= np.flatnonzero(codes > 257)).any():
+                raise ValueError("damaged LZW data")
+            # a copy is one byte longer than what it copies: its length is the length of its chain
+            length, pointer = (codes >= 256).astype(np.int64), earlier
+            while True:
+                more = length[pointer]
+                if not more.any():
+                    break
+                length, pointer = length + more, pointer[pointer]
+            length += 1
+            start = np.cumsum(length) - length
+            owner = np.repeat(np.arange(n), length)
+            place = np.arange(len(owner))
+            source = np.where(codes[owner] < 256, place, start[earlier[owner]] + place - start[owner])
+            out.append(codes[owner[_resolve(source)]].astype(np.uint8))
+        if not len(stop) or found[n] == 257:
+            break
+        bit += int(CODE_BITS[n + 1])
+    return np.concatenate(out).tobytes() if out else b""
 
 
 def lzw_encode(data: bytes) -> bytes:
@@ -84,68 +119,114 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def tags_of(body: bytes) -> tuple[str, dict[int, tuple]]:
-    """Byte order and tags of the first image."""
-    order = {b"II": "<", b"MM": ">"}[body[:2]]
-    magic, at = struct.unpack_from(order + "HI", body, 2)
-    if magic != 42:
-        raise ValueError("not a classic TIFF")
+Read = Callable[[int, int], bytes]
+
+
+def header(read: Read) -> tuple[str, dict[int, tuple]]:
+    """Byte order and tags of the first image of a file, classic or big, of which ``read(place, size)`` gives bytes."""
+    start = read(0, 16)
+    order = {b"II": "<", b"MM": ">"}[start[:2]]
+    magic = struct.unpack_from(order + "H", start, 2)[0]
+    if magic not in (42, 43):
+        raise ValueError("not a TIFF")
+    word, count_code, entry = ("I", "H", 12) if magic == 42 else ("Q", "Q", 20)
+    at = struct.unpack_from(order + word, start, 4 if magic == 42 else 8)[0]
+    size = struct.calcsize(order + count_code)
+    (count,) = struct.unpack(order + count_code, read(at, size))
+    table, inline = read(at + size, entry * count), entry - 4 - struct.calcsize(word)
     tags: dict[int, tuple] = {}
-    (count,) = struct.unpack_from(order + "H", body, at)
     for i in range(count):
-        tag, kind, n = struct.unpack_from(order + "HHI", body, at + 2 + 12 * i)
+        tag, kind, n = struct.unpack_from(f"{order}HH{word}", table, entry * i)
         if kind not in CODES and kind != 2:
             continue
-        size = SIZES[kind] * n
-        where = at + 10 + 12 * i if size <= 4 else struct.unpack_from(order + "I", body, at + 10 + 12 * i)[0]
-        tags[tag] = (body[where : where + n].rstrip(b"\0 "),) if kind == 2 else struct.unpack_from(f"{order}{n}{CODES[kind]}", body, where)
+        length, where = SIZES[kind] * n, entry * i + entry - inline
+        value = table[where : where + length] if length <= inline else read(struct.unpack_from(order + word, table, where)[0], length)
+        tags[tag] = (value.rstrip(b"\0 "),) if kind == 2 else struct.unpack(f"{order}{n}{CODES[kind]}", value)
     return order, tags
 
 
-def place(body: bytes) -> tuple[int, int, float, float, float, str | None]:
-    """``rows, cols, left, top, size, crs`` from the tags alone."""
-    _, tags = tags_of(body)
+def tags_of(body: bytes) -> tuple[str, dict[int, tuple]]:
+    return header(lambda at, size: body[at : at + size])
+
+
+def _place(tags: dict[int, tuple]) -> tuple[int, int, float, float, float, str | None]:
     size, tie, keys = tags.get(SCALE, (1.0,))[0], tags.get(TIE, (0.0,) * 6), tags.get(KEYS, ())
     codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
     code = codes.get(PROJECTED, codes.get(GEOGRAPHIC))
     return tags[HEIGHT][0], tags[WIDTH][0], tie[3] - tie[0] * size, tie[4] + tie[1] * size, size, f"EPSG:{code}" if code else None
 
 
-def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
-    """The band and ``(left, top, cell size)``: strips or tiles, plain, LZW or deflate, predictors 1 and 2.
+def place(body: bytes) -> tuple[int, int, float, float, float, str | None]:
+    """``rows, cols, left, top, size, crs`` from the tags alone."""
+    return _place(tags_of(body)[1])
+
 
-    Cells of the file's no-data value become NaN, and the band a double.  Other layouts are an error, never misread.
+class Band:
+    """A band of which only the strips or tiles are read that a window touches.
+
+    Plain, LZW or deflate; predictors 1, 2 and 3.  Other layouts are an error, never misread.
     """
-    order, tags = tags_of(body)
-    if (samples := tags.get(SAMPLES, (1,))[0]) != 1 or tags.get(PREDICTOR, (1,))[0] not in (1, 2):
-        raise ValueError(f"{samples} samples a cell, predictor {tags.get(PREDICTOR, (1,))[0]}")
-    width, height, bits = tags[WIDTH][0], tags[HEIGHT][0], tags[BITS][0]
-    kind = {1: "u", 2: "i", 3: "f"}[tags.get(FORMAT, (1,))[0]]
-    dtype = np.dtype(f"{order}{kind}{bits // 8}")
-    tiled = TILES in tags
-    bw, bh = (tags[TILE_W][0], tags[TILE_H][0]) if tiled else (width, tags.get(ROWS, (height,))[0])
-    offsets, sizes = (tags[TILES], tags[TILE_BYTES]) if tiled else (tags[STRIPS], tags[STRIP_BYTES])
-    out = np.zeros((height, width), dtype.newbyteorder("="))
-    across = -(-width // bw)
-    for i, (o, s) in enumerate(zip(offsets, sizes, strict=True)):
-        raw = body[o : o + s]
-        compression = tags.get(COMPRESSION, (1,))[0]
-        if compression == 5:
+
+    def __init__(self, read: Read) -> None:
+        self.read = read
+        self.order, self.tags = header(read)
+        tags = self.tags
+        self.samples, self.predictor = tags.get(SAMPLES, (1,))[0], tags.get(PREDICTOR, (1,))[0]
+        if self.samples != 1 or self.predictor not in (1, 2, 3):
+            raise ValueError(f"{self.samples} samples a cell, predictor {self.predictor}")
+        self.rows, self.cols, self.left, self.top, self.size, self.crs = _place(tags)
+        self.compression = tags.get(COMPRESSION, (1,))[0]
+        if self.compression not in (1, 5, 8, 32946):
+            raise ValueError(f"compression {self.compression}")
+        kind = {1: "u", 2: "i", 3: "f"}[tags.get(FORMAT, (1,))[0]]
+        self.dtype = np.dtype(f"{self.order}{kind}{tags[BITS][0] // 8}")
+        self.tiled = TILES in tags
+        self.width, self.height = (tags[TILE_W][0], tags[TILE_H][0]) if self.tiled else (self.cols, min(self.rows, tags.get(ROWS, (self.rows,))[0]))
+        self.offsets, self.sizes = (tags[TILES], tags[TILE_BYTES]) if self.tiled else (tags[STRIPS], tags[STRIP_BYTES])
+        self.nodata = float(tags[NODATA][0]) if NODATA in tags else None
+
+    def block(self, i: int) -> np.ndarray:
+        """The cells of a strip or tile."""
+        raw = self.read(self.offsets[i], self.sizes[i])
+        if self.compression == 5:
             raw = lzw_decode(raw)
-        elif compression in (8, 32946):
+        elif self.compression != 1:
             raw = zlib.decompress(raw)
-        elif compression != 1:
-            raise ValueError(f"compression {compression}")
-        top, left = i // across * bh, i % across * bw
-        rows = bh if tiled else min(bh, height - top)
-        block = np.frombuffer(raw, dtype, rows * bw).reshape(rows, bw).astype(out.dtype)
-        if tags.get(PREDICTOR, (1,))[0] == 2:
-            block = np.cumsum(block, axis=1, dtype=out.dtype)
-        h, w = min(rows, height - top), min(bw, width - left)
-        out[top : top + h, left : left + w] = block[:h, :w]
-    if NODATA in tags:
-        out = np.where(out == float(tags[NODATA][0]), np.nan, out.astype(float))
-    return out, place(body)[2:5]
+        rows = self.height if self.tiled else min(self.height, self.rows - i * self.height)
+        native = self.dtype.newbyteorder("=")
+        if self.predictor == 3:  # bytes of a row stand by significance, each as its difference from the one before
+            planes = np.cumsum(np.frombuffer(raw, np.uint8, rows * self.width * self.dtype.itemsize).reshape(rows, -1), axis=1, dtype=np.uint8)
+            planes = planes.reshape(rows, self.dtype.itemsize, self.width).transpose(0, 2, 1)
+            return np.ascontiguousarray(planes).view(self.dtype.newbyteorder(">")).reshape(rows, self.width).astype(native)
+        cells = np.frombuffer(raw, self.dtype, rows * self.width).reshape(rows, self.width).astype(native)
+        return np.cumsum(cells, axis=1, dtype=native) if self.predictor == 2 else cells
+
+    def window(self, row0: int, row1: int, col0: int, col1: int) -> np.ndarray:
+        """Cells ``[row0, row1) x [col0, col1)`` as doubles; NaN beyond the band and where it has no data."""
+        out = np.full((max(0, row1 - row0), max(0, col1 - col0)), np.nan)
+        across = -(-self.cols // self.width)
+        a, b, c, d = max(row0, 0), min(row1, self.rows), max(col0, 0), min(col1, self.cols)
+        if a >= b or c >= d:
+            return out
+        for br in range(a // self.height, (b - 1) // self.height + 1):
+            for bc in range(c // self.width, (d - 1) // self.width + 1):
+                cells = self.block(br * across + bc)
+                top, left = br * self.height, bc * self.width
+                r0, r1, c0, c1 = max(a, top), min(b, top + len(cells)), max(c, left), min(d, left + self.width)
+                out[r0 - row0 : r1 - row0, c0 - col0 : c1 - col0] = cells[r0 - top : r1 - top, c0 - left : c1 - left]
+        if self.nodata is not None:
+            out[out == self.nodata] = np.nan
+        return out
+
+
+def decode(body: bytes) -> tuple[np.ndarray, tuple[float, float, float]]:
+    """The band and ``(left, top, cell size)``.
+
+    Cells of the file's no-data value become NaN, and the band a double.
+    """
+    band = Band(lambda at, size: body[at : at + size])
+    cells = band.window(0, band.rows, 0, band.cols)
+    return cells if band.nodata is not None else cells.astype(band.dtype.newbyteorder("=")), (band.left, band.top, band.size)
 
 
 def encode(band: np.ndarray, left: float, top: float, size: float, compress: bool = True, epsg: int | None = None) -> bytes:
@@ -204,23 +285,6 @@ def read_bands(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return files.mapInPandas(_long, PIXELS)
 
 
-def places(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, rows, cols, left, top, size, crs`` of files; one that cannot be read has nulls."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for path, body in zip(f["path"], f["content"], strict=True):
-                try:
-                    rows.append((path, *place(bytes(body))))
-                except Exception:  # read_bands gives the error
-                    rows.append((path, *[None] * 6))
-            yield pd.DataFrame(rows, columns=["path", "rows", "cols", "left", "top", "size", "crs"])
-
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInPandas(run, "path string, rows int, cols int, left double, top double, size double, crs string")
-
-
 def scene_pixels(bands: DataFrame, pixels: DataFrame) -> DataFrame:
     """Bands side by side: ``scene_id, row, col, x, y, qa, dn_red, dn_nir, dn_st`` by one aggregation over cells."""
     roles = {"file_qa": "qa", "file_red": "dn_red", "file_nir": "dn_nir", "file_lst": "dn_st"}

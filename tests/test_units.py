@@ -383,50 +383,154 @@ def test_every_zone_in_every_scene(spark):
 
 
 def test_whole_run(spark, tmp_path):
-    """Made-up scenes, from files to tables: the counts, files and recomputed values that a run must give."""
+    """Made scenes, from files to tables: the counts, files and recomputed values that a run must give."""
+    import made_scenes as M
+
     from quadrille.plans import run, validation
-    from quadrille.sources import synthetic
 
-    landsat, layer = synthetic.write(str(tmp_path), cells=60)
-    settings = Settings(year_start=2015, year_end=2016, crs="EPSG:31983", lst_min=5.0, lst_max=70.0, pair_zones=3, top_n=1)
+    folder, layer = M.write(str(tmp_path))
+    settings = Settings(year_start=2010, year_end=2011, crs=M.CRS, lst_min=-20.0, lst_max=70.0, pair_zones=3, top_n=1, hemisphere="north")
     out = str(tmp_path / "out")
-    assert run.process(spark, [landsat, str(tmp_path / "none")], layer, out, settings, pixel_tables=True) == {"listed": 13, "tried": 13, "used": 12}
+    # one scene of the second tier is not listed; one is under cloud; one has a damaged band
+    bad = next((tmp_path / "scenes").glob("LE07*20111111*"))
+    red = next(bad.glob("*SR_B3.TIF"))
+    red.write_bytes(red.read_bytes()[:2000])
+    assert run.process(spark, [folder, str(tmp_path / "none")], layer, out, settings, pixel_tables=True) == {"listed": 10, "tried": 9, "used": 8}
+    faults = spark.read.parquet(f"{out}/faults").collect()
+    assert [(r.scene_id, r.path.rsplit("/", 1)[-1], r.n_faults > 0, bool(r.error)) for r in faults] == [(bad.name, red.name, True, True)]
     read = lambda name: files.read_table(spark, f"{out}/tables/{name}")
     months, zones, scenes = read("monthly/ndvi_lst_monthly"), read("spatial/zones/ndvi_lst_per_zone_monthly"), read("scenes/ndvi_lst_per_scene")
-    assert months.count() == 24 and months.where("ndvi_media is null").count() == 16 and zones.count() == 96
-    listed = spark.read.parquet(f"{out}/_work/inventory")  # second-level factors, not the decoys
-    assert [tuple(r) for r in listed.select("sr_scale", "st_scale", "mtl_source", "complete").distinct().collect()] == [(2.75e-05, 0.00341802, "txt", True)]
-    assert read("scenes/scene_inventory").count() == 13
-    assert len(list((tmp_path / "out/rasters/lst").iterdir())) == 12 and read("anomalies/summary_by_sensor").count() == 2
-    means = {r.mes: r.m for r in scenes.groupBy("mes").agg(F.avg("lst_c_media").alias("m")).collect()}
-    assert means[2] > means[8] and scenes.agg(F.min("lst_c_min")).first()[0] >= 5
-    want = zones.where("ano = 2015 and mes = 5 and zone_name = 'Centro'").first()
-    total = n = 0
-    for scene in [r.scene_id for r in scenes.where("ano = 2015 and mes = 5").collect()]:
-        band, (left, top, size) = geotiff.decode((tmp_path / f"out/rasters/lst/{scene}_LST_Celsius.tif").read_bytes())
-        rows, cols = np.indices(band.shape)
-        x, y = left + (cols + 0.5) * size, top - (rows + 0.5) * size
-        x0, y0 = synthetic.LEFT + synthetic.MARGIN, synthetic.TOP - synthetic.WIDTH + synthetic.MARGIN
-        value = band[(x >= x0) & (x < x0 + 3000) & (y >= y0) & (y < y0 + 3000)]
-        value = value[~np.isnan(value)]
-        total, n = total + value.astype(float).sum(), n + len(value)
-    assert n == want.lst_c_n and abs(total / n - want.lst_c_media) < 1e-5 and want.n_cenas == 2 and want.sensores_usados == "L7x1, L8x1"
+    assert months.count() == 24 and months.where("ndvi_media is null").count() == 18 and zones.count() == 72
+    assert read("scenes/scene_inventory").count() == 10
+    assert len(list((tmp_path / "out/rasters/lst").iterdir())) == 8 and read("anomalies/summary_by_sensor").count() == 3
+    # every scene from its arrays: with factors of its own where it states them, clear share of the whole scene
+    rows = {r.scene_id: r for r in scenes.collect()}
+    judged = {r.scene_id: r for r in spark.read.parquet(f"{out}/_work/judged").collect()}
+    box = np.s_[20:50, 12:52]
+    for k, args in enumerate(M.SCENES):
+        name, made = M.scene(*args, k)
+        if name not in judged:
+            continue
+        f = M.factors(args[4])
+        qa, red, nir, dn = (geotiff.decode(made[f"{name}_{tag}.TIF"])[0].astype(float) for tag in ("QA_PIXEL", *(getattr(M.SENSORS[args[0]], b) for b in ("red", "nir", "thermal"))))
+        clear = (qa.astype(int) & settings.qa_mask) == 0
+        assert judged[name].pct_valido == round(100 * clear.mean(), 2) and judged[name].n_scene == 64 * 64 and judged[name].n_total_cena == 30 * 40
+        assert (name in rows) == (judged[name].reject is None)
+        if name not in rows:
+            continue
+        inside = np.zeros_like(clear)
+        for a, b, c, d in M.ZONES.values():
+            inside[a:c, b:d] = True
+        red, nir = (np.where(clear & (v != 0), v * f["sr_scale"] + f["sr_offset"], np.nan) for v in (red, nir))
+        red, nir = (np.where((v >= 0) & (v <= 1), v, np.nan) for v in (red, nir))
+        ndvi, heat = (nir - red) / (nir + red), np.where(clear, dn * f["st_scale"] + f["st_offset"] - KELVIN, np.nan)
+        for v, got in ((ndvi, rows[name].ndvi_media), (heat, rows[name].lst_c_media)):
+            assert abs(np.nanmean(v[inside]) - got) < 1e-6
+        band, place = geotiff.decode((tmp_path / f"out/rasters/lst/{name}_LST_Celsius.tif").read_bytes())
+        assert place == (M.LEFT + 12 * 30, M.TOP - 20 * 30, 30.0) and np.allclose(band, np.where(inside, heat, np.nan)[box], atol=1e-4, equal_nan=True)
+    assert sum(a[4] for a in M.SCENES) == 2 and any(r.pct_valido < 100 for r in judged.values())
+    may = zones.where("ano = 2010 and mes = 7 and zone_name = 'East'").first()
+    assert may.n_cenas == 2 and may.sensores_usados == "L7x2" and 0 < may.lst_c_n < 2 * 30 * 22
     assert (tmp_path / "out/tables/spatial/pixels/lst_c_annual").exists()
 
-    climate = spark.createDataFrame([(y, m, 20.0 + 5 * math.cos(m - 2)) for y in (2015, 2016) for m in range(1, 13)], "ano int, mes int, temp double")
+    climate = spark.createDataFrame([(y, m, 20.0 + 5 * math.cos(m - 2)) for y in (2010, 2011) for m in range(1, 13)], "ano int, mes int, temp double")
     with pytest.raises(ValueError, match="fewer than 10"):
         validation.tables(spark, f"{out}/tables", settings, climate)
     per_zone = spark.read.parquet(f"{out}/_work/zone_scene_stats").withColumnsRenamed({"scene_id": "scene", "data_aq": "acq_date"})
     made = validation.write(spark, f"{out}/tables", str(tmp_path / "v"), settings, zone_scenes=per_zone)
     assert len(made) == 21 and files.read_table(spark, str(tmp_path / "v/coverage/by_month")).count() == 24
-    assert files.read_table(spark, str(tmp_path / "v/ranking/persistence")).where("mean_rank is not null").count() == 4
+    assert files.read_table(spark, str(tmp_path / "v/ranking/persistence")).where("mean_rank is not null").count() == 3
     assert (tmp_path / "v/sensors/latex_all").exists()
 
 
+def test_windows_read_the_area_only(spark, tmp_path):
+    """Bytes read and cells sent on grow with the area; whatever the layout, cells are those of the whole file."""
+    from quadrille.sources import windows
+
+    rng = np.random.default_rng(3)
+    whole = rng.integers(1, 60000, (900, 700)).astype(np.uint16)
+    path = tmp_path / "b.tif"
+    path.write_bytes(geotiff.encode(whole, 100.0, 90_000.0, 30.0, epsg=32633))
+    taken = []
+    for rows in (10, 200, 900):
+        ranges = windows.Ranges(f"file://{path}")
+        band = geotiff.Band(ranges)
+        assert (band.window(300, min(900, 300 + rows), 50, 80) == whole[300 : 300 + rows, 50:80]).all()
+        taken.append(ranges.taken)
+    assert taken[0] < 0.25 * path.stat().st_size and taken[0] < taken[1] < taken[2]
+    beyond = band.window(-2, 3, 698, 702)
+    assert np.isnan(beyond[:2]).all() and np.isnan(beyond[:, 2:]).all() and (beyond[2:, :2] == whole[:3, 698:]).all()
+
+    scenes = []
+    for k, cut in enumerate((0, 3)):  # bands of other extents on the same lattice
+        paths = {}
+        for file, step in (("file_qa", 0), ("file_red", cut), ("file_nir", 0), ("file_lst", 0)):
+            paths[file] = f"file:{tmp_path}/{k}{file}.tif"
+            (tmp_path / f"{k}{file}.tif").write_bytes(geotiff.encode(whole[step:], 100.0, 90_000.0 - 30 * step, 30.0))
+        scenes.append((f"s{k}", *paths.values(), 900, 700, 100.0, 90_000.0, 30.0, 290, 310, 10, 25))
+    scenes.append(("bad", *[str(tmp_path / "none.tif")] * 4, 900, 700, 100.0, 90_000.0, 30.0, 290, 310, 10, 25))
+    df = spark.createDataFrame(scenes, "scene_id string, file_qa string, file_red string, file_nir string, file_lst string, rows int, cols int, left double, top double, size double, row_from int, row_to int, col_from int, col_to int")
+    got = windows.scene_cells(df).collect()
+    cells = [r for r in got if r.error is None]
+    assert len(cells) == 2 * 20 * 15 and {r.scene_id for r in got if r.error} == {"bad"}
+    assert all(r.qa == r.dn_red == r.dn_nir == r.dn_st == whole[r.row, r.col] and r.x == 100 + 30 * (r.col + 0.5) for r in cells)
+    counts = {r.scene_id: (r.n_scene, r.n_clear) for r in windows.clear_counts(df, 187).collect()}
+    assert counts["s0"] == (900 * 700, int(((whole & 187) == 0).sum())) and counts["bad"] == (None, None)
+
+
+def test_layouts_of_bands():
+    """Tiles, predictors for whole numbers and for fractions, deflate, and big files."""
+    import zlib
+
+    def tiff(band, predictor=1, tile=None, big=False, compress=zlib.compress, code=8):
+        h, w = band.shape
+        th, tw = tile or (h, w)
+        blocks = []
+        for r in range(0, h, th):
+            for c in range(0, w, tw):
+                b = np.zeros((th, tw), band.dtype)
+                part = band[r : r + th, c : c + tw]
+                b[: part.shape[0], : part.shape[1]] = part
+                if predictor == 2:
+                    b = np.diff(b, axis=1, prepend=b.dtype.type(0))
+                raw = b.tobytes()
+                if predictor == 3:
+                    planes = b.astype(b.dtype.newbyteorder(">")).view(np.uint8).reshape(th, tw, -1).transpose(0, 2, 1).reshape(th, -1)
+                    raw = np.diff(planes, axis=1, prepend=np.uint8(0)).tobytes()
+                blocks.append(compress(raw))
+        word, start = ("Q", 16) if big else ("I", 8)
+        offsets = [start + sum(map(len, blocks[:i])) for i in range(len(blocks))]
+        fields = [(256, "I", [w]), (257, "I", [h]), (258, "H", [band.dtype.itemsize * 8]), (259, "H", [code]), (277, "H", [1]), (317, "H", [predictor]), (339, "H", [{"u": 1, "f": 3}[band.dtype.kind]])]
+        fields += [(322, "I", [tw]), (323, "I", [th]), (324, word, offsets), (325, "I", [len(b) for b in blocks])] if tile else [(273, word, offsets), (278, "I", [h]), (279, "I", [len(b) for b in blocks])]
+        at = start + sum(map(len, blocks))
+        entry, inline = (20, 8) if big else (12, 4)
+        tail_at = at + (8 if big else 2) + entry * len(fields) + (8 if big else 4)
+        table, tail = b"", b""
+        for tag, kind, values in sorted(fields):
+            body = struct.pack(f"<{len(values)}{kind}", *values)
+            table += struct.pack(f"<HH{word}", tag, {"H": 3, "I": 4, "Q": 16}[kind], len(values))
+            if len(body) <= inline:
+                table += body.ljust(inline, b"\0")
+            else:
+                table += struct.pack(f"<{word}", tail_at + len(tail))
+                tail += body
+        head = struct.pack("<2sHHHQ", b"II", 43, 8, 0, at) if big else struct.pack("<2sHI", b"II", 42, at)
+        return head + b"".join(blocks) + struct.pack("<Q" if big else "<H", len(fields)) + table + bytes(8 if big else 4) + tail
+
+    rng = np.random.default_rng(5)
+    whole, parts = rng.integers(0, 5000, (70, 90)).astype("<u2"), rng.normal(size=(70, 90)).astype("<f4")
+    for big in (False, True):
+        for tile in (None, (32, 48)):
+            for band, predictor in ((whole, 1), (whole, 2), (parts, 1), (parts, 3)):
+                got, _ = geotiff.decode(tiff(band, predictor, tile, big))
+                assert (got == band).all()
+            assert (geotiff.decode(tiff(whole, 2, tile, big, geotiff.lzw_encode, 5))[0] == whole).all()
+
+
 def test_tables_by_content(spark, tmp_path):
     (tmp_path / "tables").mkdir()
     (tmp_path / "tables/city_monthly.csv").write_text("ano,mes,lst_c_media,ndvi_media\n2015,1,20.5,0.3\n")
-    (tmp_path / "tables/per_zone.csv").write_text("ano;mes;zona;lst_media;ndvi_media\n2015;1;Sul;20,5;0,3\n2015;1;Centro;21,5;0,4\n")
+    (tmp_path / "tables/per_zone.csv").write_text("ano;mes;nome_bairro;lst_media;ndvi_media\n2015;1;Sul;20,5;0,3\n2015;1;Centro;21,5;0,4\n")
     assert files.load_city(spark, str(tmp_path)).columns == ["year", "month", "lst_mean", "ndvi_mean"]
     got = {r.zone_name: (r.zone_id, r.lst_mean) for r in files.load_zones(spark, str(tmp_path)).collect()}
     assert got == {"Centro": (1, 21.5), "Sul": (2, 20.5)}
