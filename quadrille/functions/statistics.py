@@ -25,21 +25,11 @@ def weighted_mean(x: Column, w: Column) -> Column:
     return F.try_divide(F.sum(F.when(ok, x * w)), F.sum(F.when(ok, w)))
 
 
-def middle(x: str, by: Sequence[str]) -> Column:
-    """The value where it is one of the one or two in the middle of its group: their mean is the group's median.
-
-    Places come from a sort, which may spill, and not from a map of the group's values in memory.
-    """
-    group = Window.partitionBy(*by)
-    place, n = F.row_number().over(group.orderBy(F.col(x).asc_nulls_last())), F.count(x).over(group)
-    return F.when((2 * place).between(n, n + 2), F.col(x))
-
-
-def summary(x: Column, middle_: Column, name: str) -> list[Column]:
-    """Mean, median (from :func:`middle`), least, largest, sample deviation and count."""
+def summary(x: Column, median: Column | None, name: str) -> list[Column]:
+    """Mean, median (an aggregate, or none here), least, largest, sample deviation and count."""
     return [
         F.avg(x).alias(f"{name}_media"),
-        F.avg(middle_).alias(f"{name}_mediana"),
+        *([] if median is None else [median.alias(f"{name}_mediana")]),
         F.min(x).alias(f"{name}_min"),
         F.max(x).alias(f"{name}_max"),
         F.stddev_samp(x).alias(f"{name}_dp"),

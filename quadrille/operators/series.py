@@ -14,19 +14,31 @@ from pyspark.sql.window import Window
 
 from ..config import SENSORS, Settings
 from ..functions import scene as S
-from ..functions.statistics import cv_pct, middle, slope, summary, weighted_mean
+from ..functions.statistics import cv_pct, slope, summary, weighted_mean
+from .quantiles import quantiles
 
 VARIABLES = ("ndvi", "lst_c")
 
 
-def scene_stats(pixels: DataFrame, by: Sequence[str], attributes: Sequence[str] = ()) -> DataFrame:
+#: Values of a group that a task may hold to find their median.
+HELD = 1_000_000
+
+
+def scene_stats(pixels: DataFrame, by: Sequence[str], attributes: Sequence[str] = (), most: int | None = None) -> DataFrame:
     """Six statistics of each variable; a group without valid pixels has counts of 0 and nulls.
 
-    ``attributes`` are the same in all of a group's pixels; they are no keys, so pixels are dealt and sorted by few.
+    ``attributes`` are the same in all of a group's pixels; they are no keys.  ``most`` is a number of pixels that no
+    group exceeds: where a task can hold as many, one aggregation finds the median too; beyond it, or where nothing is
+    known, medians come from :func:`quantiles`, which reads the pixels twice and gathers no group.
     """
-    placed = pixels.withColumns({f"__{v}": middle(v, by) for v in VARIABLES})
-    out = placed.groupBy(*by).agg(*[F.first(c).alias(c) for c in attributes], *[c for v in VARIABLES for c in summary(F.col(v), F.col(f"__{v}"), v)])
-    return out.select(*by, *attributes, *[c for c in out.columns if c not in (*by, *attributes)])
+    first = [F.first(c).alias(c) for c in attributes]
+    if most is not None and most <= HELD:
+        out = pixels.groupBy(*by).agg(*first, *[c for v in VARIABLES for c in summary(F.col(v), F.median(v), v)])
+    else:
+        out = quantiles(pixels, by, VARIABLES, also=[*first, *[c for v in VARIABLES for c in summary(F.col(v), None, v)]])
+        out = out.withColumnsRenamed({f"{v}_q0": f"{v}_mediana" for v in VARIABLES})
+    names = [f"{v}_{x}" for v in VARIABLES for x in ("media", "mediana", "min", "max", "dp", "n")]
+    return out.select(*by, *attributes, *names)
 
 
 def complete_zones(stats: DataFrame, zones: DataFrame, zone: str = "zone_id", scene: str = "scene") -> DataFrame:
@@ -145,8 +157,13 @@ def annual(monthly_: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return rolled.withColumn("sensores_usados", merged_mix(F.col("__mixes"))).drop("__mixes")
 
 
-def with_scene_weight(pixels: DataFrame, scene: str = "scene") -> DataFrame:
-    """Adds ``ndvi_n``, the scene's valid pixels, which weigh its part in a composite."""
+def with_scene_weight(pixels: DataFrame, scene: str = "scene", stats: DataFrame | None = None) -> DataFrame:
+    """Adds ``ndvi_n``, the scene's valid pixels, which weigh its part in a composite.
+
+    Where the scenes' statistics are at hand they bring it, a row a scene; else it is counted beside the pixels.
+    """
+    if stats is not None:
+        return pixels.join(stats.select(scene, "ndvi_n"), scene)
     return pixels.withColumn("ndvi_n", F.count("ndvi").over(Window.partitionBy(scene)))
 
 

@@ -76,16 +76,18 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
     return Q.with_products(pixels(spark, sf).join(info, "scene"), SETTINGS, {c: F.col(c) for c in ("st_scale", "st_offset")})
 
 
+#: An order has at most seven lines in this schema, whatever its scale; so has a scene made of one.
+LINES = 7
 SCENE = ("sensor", "acq_date", "ano", "mes", "cloud_cover", "sun_elevation")
 
 
 def scene_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return R.scene_stats(products(spark, sf), ["scene"], SCENE)
+    return R.scene_stats(products(spark, sf), ["scene"], SCENE, LINES)
 
 
 def zone_scene_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Zones that have pixels in a scene; :func:`series.complete_zones` adds the others."""
-    return R.scene_stats(products(spark, sf), ["scene", "zone_id"], SCENE)
+    return R.scene_stats(products(spark, sf), ["scene", "zone_id"], SCENE, LINES)
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:

@@ -166,7 +166,8 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
         raise ValueError("no scene passes the quality rules")
     mine = pixels.where("in_area").join(good, "scene_id")
 
-    stats = kept(R.scene_stats(mine, ["scene_id"], SCENE[1:]).withColumn("mes_nome", S.month_name(F.col("data_aq"))), f"{work}/scene_stats")
+    most = max(r[0] for r in spans.groupBy("lattice").agg(F.sum(F.col("col_to") - F.col("col_from") + 1)).collect())  # cells of all zones
+    stats = kept(R.scene_stats(mine, ["scene_id"], SCENE[1:], most).withColumn("mes_nome", S.month_name(F.col("data_aq"))), f"{work}/scene_stats")
     sinks.write_csv(stats, f"{out}/tables/scenes/ndvi_lst_per_scene", order=["data_aq", "scene_id"])
     monthly = kept(R.monthly(stats, settings, scene="scene_id"), f"{work}/monthly")
     annual = R.annual(monthly)
@@ -175,7 +176,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     reports(spark, stats, monthly, annual, out, settings, area_name)
 
     zoned = _in_zones(mine, spans)
-    zone_stats = R.scene_stats(zoned, ["scene_id", "zone_id"], SCENE[1:])
+    zone_stats = R.scene_stats(zoned, ["scene_id", "zone_id"], SCENE[1:], most)
     zone_stats = kept(R.complete_zones(zone_stats, zones, scene="scene_id"), f"{work}/zone_scene_stats")
     names = zones.select("zone_id", "zone_name")
     zone_monthly = kept(R.monthly(zone_stats.drop("cloud_cover", "sun_elevation"), settings, zones, ("zone_id",), scene="scene_id").join(names, "zone_id"), f"{work}/zone_monthly")
@@ -188,7 +189,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
             rows = geotiff.write_rasters(pixels.join(good.select("scene_id"), "scene_id").withColumn(v, F.when(F.col("in_area"), F.col(v))), "scene_id", v)
             sinks.write_rasters(rows, "scene_id", f"{out}/rasters/{name}", suffix)
     if pixel_tables:
-        weighted = R.with_scene_weight(mine, "scene_id")
+        weighted = R.with_scene_weight(mine, "scene_id", stats)
         for v in R.VARIABLES:
             for name, by in (("monthly", ["ano", "mes"]), ("annual", ["ano"])):
                 composite = R.pixel_composite(weighted, [*by, "x", "y"], v, "ndvi_n")

@@ -382,6 +382,28 @@ def test_every_zone_in_every_scene(spark):
         assert [(may[z].n_cenas, may[z].sensores_usados, may[z].ndvi_n, may[z].lst_c_n) for z in (1, 2, 3)] == [(2, "L7x1, L8x1", 2, 1), (2, "L7x1, L8x1", 1, 1), (2, "L7x1, L8x1", 0, 0)]
 
 
+def test_quantiles(spark, monkeypatch):
+    """Groups of every size, with ties, outliers and nulls, against sorted values."""
+    from quadrille.operators import quantiles as Z
+
+    rng = np.random.default_rng(4)
+    groups = {"big": rng.normal(size=40_000), "ties": rng.integers(0, 3, 30_000).astype(float), "one value": np.full(25_000, 7.0), "far": np.r_[rng.normal(size=20_001), 1e300, -1e300], "two": np.array([1.0, 4.0]), "one": np.array([5.0]), "odd": rng.normal(size=9_999)}
+    groups["cut"] = np.r_[np.zeros(15_000), rng.normal(size=2), np.ones(15_000)]
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("none", None), ("two", None), (None, 3.0), (None, 8.0)]
+    df = spark.createDataFrame(rows, "g string, x double").withColumn("y", -F.col("x")).repartition(5).persist()
+    got = {r.g: r for r in Z.quantiles(df, ["g"], ["x", "y"], (0.5, 0.25, 0.95, 0.0, 1.0), [F.count("*").alias("n")]).collect()}
+    assert len(got) == 10 and got["none"].x_q0 is None and got[None].x_q0 == 5.5 and got["two"].n == 3
+    for g, v in groups.items():
+        for c, values in (("x", v), ("y", -v)):
+            for i, q in enumerate((0.5, 0.25, 0.95, 0.0, 1.0)):
+                assert got[g][f"{c}_q{i}"] == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-12), (g, c, q)
+    mid = Z.quantiles(df.where("g = 'big'"), ["g"], ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in mid
+    px = spark.createDataFrame([(g, float(x), float(2 * x)) for g in ("big", "two", "far") for x in groups[g]], "scene string, ndvi double, lst_c double").withColumn("sensor", F.lit("s"))
+    a, b = ({r.scene: r.asDict() for r in R.scene_stats(px, ["scene"], ["sensor"], most).collect()} for most in (50_000, None))
+    assert a.keys() == b.keys() and all(a[k][c] == pytest.approx(b[k][c], rel=1e-12) if isinstance(a[k][c], float) else a[k][c] == b[k][c] for k in a for c in a[k])
+
+
 def test_whole_run(spark, tmp_path):
     """Made scenes, from files to tables: the counts, files and recomputed values that a run must give."""
     import made_scenes as M
