@@ -18,6 +18,7 @@ from ..operators import climate as K
 from ..operators import coverage as V
 from ..operators import figures as U
 from ..operators import inventory as I
+from ..operators import pairwise as W
 from ..operators import quality as Q
 from ..operators import ranking as N
 from ..operators import raster as X
@@ -524,6 +525,16 @@ KIND = ["variable", "comparison"]
 SUMMARY = "median_gap mean_diff mad sd_diff p95 mad_pct mad_anom reduction"
 
 
+#: The same of real scenes: every order is one.
+SCENE_PAIRS = PAIRS.replace("FROM halves GROUP BY ALL", "FROM products GROUP BY ALL")
+
+
+@query(_with(SCENE_PAIRS, _pair_summary("variable, comparison").replace("SELECT *,", "SELECT * EXCLUDE (mad_pct),", 1)), SUMMARY.replace("mad_pct ", ""))
+def scene_pair_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs of orders of a month and zone, without a row for any."""
+    return W.summary(G.zone_anomalies(D.zone_scene_stats(spark, sf)))
+
+
 @query(_with(PAIRS, _pair_summary("variable, comparison")), SUMMARY)
 def pair_summary(spark: SparkSession, sf: str) -> DataFrame:
     return G.pair_summary(_pairs(spark, sf), KIND)

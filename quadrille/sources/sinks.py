@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,22 @@ from ..functions.statistics import rounded
 LOG = logging.getLogger("quadrille")
 
 
+def parked(df: DataFrame) -> DataFrame:
+    """``df`` written in the folder that ``spark.checkpoint.dir`` names, and read back: a step that later ones share.
+
+    A session on one machine may leave the folder unset; a cluster must name one that all its machines share.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="quadrille-")
+    path = f"{folder.rstrip('/')}/parked-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, digits: int = 6, files: int | None = 1, order: Sequence[str | Column] = ()) -> None:
     """Rows in ``order``, doubles rounded, ``NA`` for null, a header; one file for reports, Spark's own number with ``files=None``."""
     out = rounded(df, digits)

@@ -585,3 +585,45 @@ def test_types_are_judged_by_all_rows(spark, tmp_path, sep, point):
     assert [t for _, t in df.dtypes] == ["bigint", "double", "string", "double", "string", "string"]
     assert tuple(df.where("c = 'later'").first()) == (1, 25.3, "later", 25.0, None, "3f")
     assert df.where("b = 1 and c = '2' and d is null").count() == 1500
+
+
+@pytest.mark.parametrize("block", [4_000, 7])
+def test_pairs_without_listing(spark, monkeypatch, block):
+    """Sums, gaps and the quantile of all pairs, against a list of them: ties, one scene, one instrument, blocks."""
+    from quadrille.operators import agreement as G
+    from quadrille.operators import pairwise as W
+
+    monkeypatch.setattr(W, "BLOCK", block)
+    monkeypatch.setattr(W, "FEW", 20)
+    rng = np.random.default_rng(6)
+    rows = []
+    for month, zone, n in ((1, 1, 60), (1, 2, 1), (2, 1, 2), (3, 3, 25), (4, 1, 30)):
+        for k in range(n):
+            value = float(rng.integers(0, 3)) if month == 3 else float(rng.normal(20, 5))
+            rows.append((f"s{month}{zone}{k:03d}", "L8" if month == 4 else str(rng.choice(["L5", "L7", "L8"])), f"2010-{month:02d}-{rng.integers(1, 29):02d}", 2010, month, zone, "lst_c", value, value - 20 + float(rng.normal())))
+    rows += [("a", "L5", "2010-01-01", 2010, 1, 1, "ndvi", 0.5, 0.5), ("b", "L5", "2010-01-01", 2010, 1, 1, "ndvi", 0.5, 0.1)]
+    long = spark.createDataFrame(rows, "scene string, sensor string, acq_date string, ano int, mes int, zone_id int, variable string, value double, anomaly double").withColumn("acq_date", F.to_date("acq_date"))
+    want = {(r.variable, r.comparison): r.asDict() for r in G.pair_summary(G.scene_pairs(long), ["variable", "comparison"]).drop("mad_pct").collect()}
+    got = {(r.variable, r.comparison): r.asDict() for r in W.summary(long).collect()}
+    assert got.keys() == want.keys() and len(got) == 3
+    for k in want:
+        for c, v in want[k].items():
+            assert got[k][c] == pytest.approx(v, rel=1e-9, abs=1e-12) if isinstance(v, float) else got[k][c] == v, (k, c)
+    assert W.summary(long.where("false")).count() == 0
+
+
+def test_counts_of_differences():
+    """Below every threshold as many differences as a list has, to the last bit."""
+    from quadrille.operators import pairwise as W
+
+    rng = np.random.default_rng(7)
+    for a, b in ((rng.normal(size=40), rng.normal(size=30)), (rng.integers(0, 4, 50) / 10, rng.integers(0, 4, 20) / 10), (np.array([0.1, 0.2, 0.3]), np.array([0.3, 0.7]))):
+        d = np.sort(np.abs(a[:, None] - b[None]).ravel())
+        limits = np.concatenate([[-1.0, 0.0], d[::3], [d.max()]])
+        assert (W.counted(a, b, False, limits) == [(d <= t).sum() for t in limits]).all()
+        i, j = np.triu_indices(len(a), 1)
+        own = np.abs(a[i] - a[j])
+        assert (W.counted(a, a, True, limits) == [(own <= t).sum() for t in limits]).all()
+        low, high = np.quantile(d, [0.3, 0.6])
+        found = W.between(a, b, False, low, high)
+        assert sum(found.values()) == ((d > low) & (d <= high)).sum() and set(found) <= set(d)
