@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .projection import from_lonlat, project, to_lonlat
 from .spatial import Grid
 
+__all__ = ["cells", "from_lonlat", "project", "reproject", "resample", "same_grid", "to_lonlat"]
+
 
 def same_grid(a: Grid, b: Grid) -> bool:
     return a == b
@@ -54,137 +55,6 @@ def resample(pixels: DataFrame, source: Grid, target: Grid, method: str = "bilin
     return joined.groupBy(*keys, "row", "col").agg(F.try_divide(F.sum(F.col(value) * F.col("w")), F.sum("w")).alias(value))
 
 
-# The WGS 84 ellipsoid and the scale of UTM.
-A, FLAT, K0, EAST, NORTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
-_N = FLAT / (2 - FLAT)
-_RADIUS = A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
-_ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
-_BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
-_DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
-
-
-def utm_zone(epsg: str) -> tuple[int, bool]:
-    """Zone number and whether it is in the south, for EPSG 326zz, 327zz and SIRGAS 319zz (south from 77 on)."""
-    code = int(epsg.split(":")[-1])
-    if 32601 <= code <= 32660 or 32701 <= code <= 32760:
-        return code % 100, code >= 32700
-    if 31978 <= code <= 31985:
-        return code - 31960, True
-    raise ValueError(f"not a UTM system: {epsg}")
-
-
-def utm_from_lonlat(lon: Column, lat: Column, epsg: str) -> tuple[Column, Column]:
-    """Easting and northing by Krüger's series, to a millimetre within a zone."""
-    zone, south = utm_zone(epsg)
-    phi, lam = F.radians(lat), F.radians(lon - (zone * 6 - 183))
-    c = 2 * math.sqrt(_N) / (1 + _N)
-    s = F.sin(phi)
-    t = F.sinh(F.atanh(s) - c * F.atanh(c * s))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    e = eta + sum((a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
-    n = xi + sum((a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(_ALPHA, 1)), F.lit(0.0))
-    return EAST + K0 * _RADIUS * e, (NORTH if south else 0.0) + K0 * _RADIUS * n
-
-
-def lonlat_from_utm(x: Column, y: Column, epsg: str) -> tuple[Column, Column]:
-    zone, south = utm_zone(epsg)
-    xi, eta = (y - (NORTH if south else 0.0)) / (K0 * _RADIUS), (x - EAST) / (K0 * _RADIUS)
-    xi1 = xi - sum((b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
-    eta1 = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(_BETA, 1)), F.lit(0.0))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    phi = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate(_DELTA, 1)), F.lit(0.0))
-    return F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))) + (zone * 6 - 183), F.degrees(phi)
-
-
-# Equal-area systems of large regions: standard parallels (one: azimuthal), origin, false easting and northing.
-EQUAL_AREA = {
-    "ESRI:102033": ((-5.0, -42.0), -32.0, -60.0, 0.0, 0.0),
-    "EPSG:5070": ((29.5, 45.5), 23.0, -96.0, 0.0, 0.0),
-    "EPSG:3035": ((52.0,), 52.0, 10.0, 4321000.0, 3210000.0),
-}
-_E2 = FLAT * (2 - FLAT)
-_E = math.sqrt(_E2)
-
-
-def _authalic(sin_phi: float) -> float:
-    """Snyder's q: twice the equal-area ordinate of a latitude."""
-    return (1 - _E2) * (sin_phi / (1 - _E2 * sin_phi**2) + math.atanh(_E * sin_phi) / _E)
-
-
-_QP = _authalic(1.0)
-
-
-def _q(phi: Column) -> Column:
-    s = F.sin(phi)
-    return (1 - _E2) * (s / (1 - _E2 * s * s) + F.atanh(_E * s) / _E)
-
-
-def _latitude(beta: Column) -> Column:
-    """Latitude of an authalic one, by the series to the third power."""
-    e4, e6 = _E2**2, _E2**3
-    terms = (_E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040, 23 * e4 / 360 + 251 * e6 / 3780, 761 * e6 / 45360)
-    return beta + sum((c * F.sin(2 * j * beta) for j, c in enumerate(terms, 1)), F.lit(0.0))
-
-
-def _cone(parallels: tuple[float, float], lat0: float) -> tuple[float, float, float]:
-    m, q = zip(*[(math.cos(p) / math.sqrt(1 - _E2 * math.sin(p) ** 2), _authalic(math.sin(p))) for p in map(math.radians, parallels)], strict=True)
-    n = (m[0] ** 2 - m[1] ** 2) / (q[1] - q[0])
-    c = m[0] ** 2 + n * q[0]
-    return n, c, A * math.sqrt(c - n * _authalic(math.sin(math.radians(lat0)))) / n
-
-
-def _azimuthal(lat0: float) -> tuple[float, float, float]:
-    phi = math.radians(lat0)
-    beta, radius = math.asin(_authalic(math.sin(phi)) / _QP), A * math.sqrt(_QP / 2)
-    d = A * math.cos(phi) / math.sqrt(1 - _E2 * math.sin(phi) ** 2) / (radius * math.cos(beta))
-    return beta, radius, d
-
-
-def from_lonlat(lon: Column, lat: Column, crs: str) -> tuple[Column, Column]:
-    """Coordinates in UTM, an equal-area system of ``EQUAL_AREA``, or degrees (EPSG:4326, EPSG:4674)."""
-    if crs in ("EPSG:4326", "EPSG:4674"):
-        return lon, lat
-    if crs not in EQUAL_AREA:
-        return utm_from_lonlat(lon, lat, crs)
-    parallels, lat0, lon0, east, north = EQUAL_AREA[crs]
-    lam, phi = F.radians(lon - lon0), F.radians(lat)
-    if len(parallels) == 2:
-        n, c, rho0 = _cone(parallels, lat0)
-        rho = A * F.sqrt(c - n * _q(phi)) / n
-        return east + rho * F.sin(n * lam), north + rho0 - rho * F.cos(n * lam)
-    b0, radius, d = _azimuthal(lat0)
-    beta = F.asin(_q(phi) / _QP)
-    b = radius * F.sqrt(2 / (1 + math.sin(b0) * F.sin(beta) + math.cos(b0) * F.cos(beta) * F.cos(lam)))
-    return east + b * d * F.cos(beta) * F.sin(lam), north + b / d * (math.cos(b0) * F.sin(beta) - math.sin(b0) * F.cos(beta) * F.cos(lam))
-
-
-def to_lonlat(x: Column, y: Column, crs: str) -> tuple[Column, Column]:
-    if crs in ("EPSG:4326", "EPSG:4674"):
-        return x, y
-    if crs not in EQUAL_AREA:
-        return lonlat_from_utm(x, y, crs)
-    parallels, lat0, lon0, east, north = EQUAL_AREA[crs]
-    x, y = x - east, y - north
-    if len(parallels) == 2:
-        n, c, rho0 = _cone(parallels, lat0)
-        sign = 1.0 if n > 0 else -1.0
-        rho2 = x * x + (rho0 - y) * (rho0 - y)
-        beta = F.asin((c - rho2 * n * n / (A * A)) / n / _QP)
-        return F.degrees(F.atan2(sign * x, sign * (rho0 - y)) / n) + lon0, F.degrees(_latitude(beta))
-    b0, radius, d = _azimuthal(lat0)
-    rho = F.sqrt((x / d) * (x / d) + (d * y) * (d * y))
-    ce = 2 * F.asin(rho / (2 * radius))
-    away = F.when(rho > 0, d * y * F.sin(ce) / rho).otherwise(0.0)
-    beta = F.asin(F.cos(ce) * math.sin(b0) + away * math.cos(b0))
-    lam = F.atan2(x * F.sin(ce), d * rho * math.cos(b0) * F.cos(ce) - d * d * y * math.sin(b0) * F.sin(ce))
-    return F.degrees(lam) + lon0, F.degrees(_latitude(beta))
-
-
-def project(x: Column, y: Column, source: str, target: str) -> tuple[Column, Column]:
-    """Coordinates of one system in another; the datums are taken as one (they differ by less than a metre)."""
-    return (x, y) if source == target else from_lonlat(*to_lonlat(x, y, source), target)
-
-
 def reproject(pixels: DataFrame, source: Grid, source_crs: str, target: Grid, target_crs: str, value: str = "value") -> DataFrame:
     """Bilinear values on a grid of another system; the same system needs a resampling at most."""
     if source_crs == target_crs:

@@ -20,7 +20,7 @@ from ..operators import quality as Q
 from ..operators import raster as X
 from ..operators import series as R
 from ..operators import spatial as P
-from ..sources import files, geotiff, metadata, sinks, vector, windows
+from ..sources import files, metadata, sinks, tiles, vector, windows
 
 LOG = logging.getLogger("quadrille")
 SCENE = ("scene_id", "sensor", "data_aq", "ano", "mes", "pathrow", "tier", "cloud_cover", "sun_elevation", "pct_valido")
@@ -136,9 +136,11 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     counts = kept(windows.clear_counts(scenes, settings.qa_mask), f"{work}/clear")
     faults.append(counts.where("error is not null").select("scene_id", "path", "error"))
     lattices = scenes.select("crs", "size", (F.col("left") % F.col("size")).alias("dx"), (F.col("top") % F.col("size")).alias("dy")).distinct().collect()
+    grids = []
     for k, t in enumerate(lattices):
         same = scenes.where((F.col("crs") == t["crs"]) & (F.col("size") == t["size"]) & (F.col("left") % F.col("size") == t["dx"]) & (F.col("top") % F.col("size") == t["dy"]))
         grid = area_grid(zones, t["size"], t["dx"], t["dy"])
+        grids.append(grid)
         cells, bad = calibrated(spark, same, settings, grid, t["crs"], f"{work}/lattice-{k}")
         faults.append(bad)
         spans = P.spans(zones, grid)
@@ -186,8 +188,10 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     anomaly_tables(Q.anomalies(judged.where("reject is null or reject = 'saturated thermal'"), settings), f"{out}/tables/anomalies")
     if rasters:
         for v, name, suffix in (("ndvi", "ndvi", "_NDVI.tif"), ("lst_c", "lst", "_LST_Celsius.tif")):
-            rows = geotiff.write_rasters(pixels.join(good.select("scene_id"), "scene_id").withColumn(v, F.when(F.col("in_area"), F.col(v))), "scene_id", v)
-            sinks.write_rasters(rows, "scene_id", f"{out}/rasters/{name}", suffix)
+            shown = pixels.where("in_area").join(good.select("scene_id"), "scene_id")
+            for k, grid in enumerate(grids):
+                made = kept(tiles.tiles(shown.where(F.col("lattice") == k), "scene_id", v, grid), f"{work}/tiles/{name}-{k}")
+                tiles.write_files(tiles.parts(made, "scene_id", grid, settings.crs), "scene_id", f"{out}/rasters/{name}", suffix)
     if pixel_tables:
         weighted = R.with_scene_weight(mine, "scene_id", stats)
         for v in R.VARIABLES:

@@ -1,4 +1,4 @@
-"""GeoTIFF bands as long tables, decoded where the files are read; and a writer."""
+"""GeoTIFF bands: their heads, the strips or tiles that a window touches, and whole bands as long tables."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "
 WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, STRIP_BYTES, PREDICTOR, TILE_W, TILE_H, TILES, TILE_BYTES, FORMAT, SCALE, TIE, KEYS, NODATA = (
     256, 257, 258, 259, 273, 277, 278, 279, 317, 322, 323, 324, 325, 339, 33550, 33922, 34735, 42113,
 )
-PROJECTED, GEOGRAPHIC = 3072, 2048
+PROJECTED, GEOGRAPHIC, OWN, TEXTS = 3072, 2048, 32767, 34737
 
 
 def _widths() -> np.ndarray:
@@ -151,9 +151,18 @@ def tags_of(body: bytes) -> tuple[str, dict[int, tuple]]:
 
 def _place(tags: dict[int, tuple]) -> tuple[int, int, float, float, float, str | None]:
     size, tie, keys = tags.get(SCALE, (1.0,))[0], tags.get(TIE, (0.0,) * 6), tags.get(KEYS, ())
+    return tags[HEIGHT][0], tags[WIDTH][0], tie[3] - tie[0] * size, tie[4] + tie[1] * size, size, _system(tags, keys)
+
+
+def _system(tags: dict[int, tuple], keys: tuple) -> str | None:
+    """The code of a raster's system, or the definition in its texts; nothing where it has neither."""
     codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
     code = codes.get(PROJECTED, codes.get(GEOGRAPHIC))
-    return tags[HEIGHT][0], tags[WIDTH][0], tie[3] - tie[0] * size, tie[4] + tie[1] * size, size, f"EPSG:{code}" if code else None
+    if code and code != OWN:
+        return f"EPSG:{code}"
+    text = tags.get(TEXTS, (b"",))[0].decode("utf-8", "replace")
+    at = min((text.find(k) for k in ("PROJCS[", "GEOGCS[") if k in text), default=-1)
+    return text[at:].split("|")[0] if at >= 0 else None
 
 
 def place(body: bytes) -> tuple[int, int, float, float, float, str | None]:
@@ -291,19 +300,3 @@ def scene_pixels(bands: DataFrame, pixels: DataFrame) -> DataFrame:
     names = bands.select("scene_id", F.explode(F.array(*[F.struct(F.col(f).alias("path"), F.lit(r).alias("role")) for f, r in roles.items()])).alias("b")).select("scene_id", "b.*").where("path is not null")
     cells = pixels.where("error is null").join(names, "path")
     return cells.groupBy("scene_id", "row", "col", "x", "y").agg(*[F.max(F.when(F.col("role") == r, F.col("value"))).cast("int").alias(r) for r in roles.values()])
-
-
-def write_rasters(pixels: DataFrame, key: str, value: str = "value") -> DataFrame:
-    """``key, content``: a float32 GeoTIFF for each key, to be stored as binary; a scene is a task's work."""
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        rows, cols = int(f["row"].max()) + 1, int(f["col"].max()) + 1
-        band = np.full((rows, cols), np.nan, np.float32)
-        band[f["row"], f["col"]] = f[value]
-        xs = np.sort(f["x"].unique())
-        size = float(np.diff(xs).min()) if len(xs) > 1 else 1.0
-        left, top = float((f["x"] - (f["col"] + 0.5) * size).iloc[0]), float((f["y"] + (f["row"] + 0.5) * size).iloc[0])
-        return pd.DataFrame({key: [f[key].iloc[0]], "content": [encode(band, left, top, size)]})
-
-    kind = pixels.schema[key].dataType.simpleString()
-    return pixels.select(key, "row", "col", "x", "y", value).groupBy(key).applyInPandas(run, f"{key} {kind}, content binary")

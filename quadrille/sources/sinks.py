@@ -96,23 +96,6 @@ def latex(df: DataFrame, caption: str, label: str, digits: int = 3) -> str:
     return f"\\begin{{table}}\n\\caption{{{caption}}}\n\\label{{{label}}}\n\\begin{{tabular}}{{{'l' * len(df.columns)}}}\n{body}\n\\end{{tabular}}\n\\end{{table}}\n"
 
 
-def write_rasters(rasters: DataFrame, key: str, folder: str, suffix: str) -> None:
-    """Files ``<key><suffix>`` from rows ``key, content``, each written by the task that made it.
-
-    ``folder`` must be a path that all machines see; in another store, keep the rows as a table.
-    """
-
-    def save(rows) -> None:
-        import os
-
-        os.makedirs(folder, exist_ok=True)
-        for r in rows:
-            with open(f"{folder}/{r[key]}{suffix}", "wb") as f:
-                f.write(r["content"])
-
-    rasters.select(key, "content").foreachPartition(save)
-
-
 def run_summary(stats: DataFrame) -> DataFrame:
     """Scenes, dates and overall means of a run."""
     return stats.agg(F.count("*").alias("n_scenes"), F.min("data_aq").alias("first"), F.max("data_aq").alias("last"), F.avg("ndvi_media").alias("ndvi"), F.avg("lst_c_media").alias("lst_c"))

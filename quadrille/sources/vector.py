@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import sqlite3
 import struct
@@ -10,6 +11,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import exists
+
 ZONES = "zone_id int, zone_name string, rings array<array<struct<x: double, y: double>>>, properties map<string, string>"
 
 
@@ -76,6 +79,10 @@ def read_geopackage(spark: SparkSession, path: str, name: str | None) -> DataFra
     return _frame(spark, rows)
 
 
+def _bytes_if_there(spark: SparkSession, path: str) -> bytes:
+    return _bytes(spark, path) if exists(spark, path) else b""
+
+
 def read_shapefile(spark: SparkSession, path: str, name: str | None) -> DataFrame:
     """``path`` is the ``.shp``; its ``.dbf`` and ``.prj`` lie beside it."""
     shp, dbf = _bytes(spark, path), _bytes(spark, path[:-4] + ".dbf")
@@ -95,6 +102,7 @@ def read_shapefile(spark: SparkSession, path: str, name: str | None) -> DataFram
             shapes.append([])
         at += 8 + 2 * words
     count, head, size = struct.unpack_from("<IHH", dbf, 4)
+    encoding = _encoding(_bytes_if_there(spark, path[:-4] + ".cpg"), dbf[29])
     fields = []
     for i in range((head - 33) // 32):
         f = dbf[32 + 32 * i : 64 + 32 * i]
@@ -103,7 +111,7 @@ def read_shapefile(spark: SparkSession, path: str, name: str | None) -> DataFram
     for i in range(count):
         at, values = head + i * size + 1, {}
         for field, length in fields:
-            values[field] = dbf[at : at + length].decode("utf-8", "replace").strip()
+            values[field] = _text(dbf[at : at + length], encoding)
             at += length
         rows.append((values[name] if name else None, shapes[i], values))
     return _frame(spark, rows)
@@ -119,8 +127,7 @@ def layer_crs(spark: SparkSession, path: str) -> str:
             with sqlite3.connect(f.name) as db:
                 (code,) = db.execute("select srs_id from gpkg_geometry_columns").fetchone()
     elif path.endswith(".shp"):
-        found = re.findall(r'(?:AUTHORITY|ID)\["(\w+)",\s*"?(\d+)"?\]\]?', _bytes(spark, path[:-4] + ".prj").decode("utf-8", "replace"))
-        return ":".join(found[-1]) if found else _refuse(path)
+        return text_crs(_bytes(spark, path[:-4] + ".prj").decode("utf-8", "replace")) or _refuse(path)
     else:  # without a member of its own, a GeoJSON layer is in degrees
         crs = spark.read.schema("crs struct<properties: struct<name: string>>").option("multiLine", True).json(path).first()["crs"]
         name = crs["properties"]["name"] if crs and crs["properties"] else None
@@ -128,10 +135,52 @@ def layer_crs(spark: SparkSession, path: str) -> str:
     return f"EPSG:{code}" if code and code > 0 else _refuse(path)
 
 
+def text_crs(text: str) -> str | None:
+    """The code that well-known text ends with, else the text itself where it defines a system that is known here."""
+    from ..operators import projection
+
+    if found := re.search(r'(?:AUTHORITY|ID)\["(\w+)",\s*"?(\d+)"?\]\s*\]\s*$', text):
+        return ":".join(found.groups())
+    try:
+        projection.from_text(text)
+    except (ValueError, IndexError, TypeError):
+        return None
+    return " ".join(text.split())
+
+
+def _encoding(declared: bytes, mark: int) -> str:
+    """How a table's texts are written: by the file beside it (``.cpg``), else by the table's own mark, else UTF-8."""
+    name = declared.decode("ascii", "replace").strip().lower()
+    digits = re.sub(r"^(ansi|cp|windows-?|oem)\s*", "", name)
+    name = {"utf-8": "utf-8", "utf8": "utf-8", "65001": "utf-8", "88591": "latin-1", "iso-8859-1": "latin-1", "iso8859-1": "latin-1"}.get(name, f"cp{digits}" if digits.isdigit() else name)
+    try:
+        return codecs.lookup(name).name if name else {0x57: "cp1252", 0x03: "cp1252", 0x02: "cp850", 0x01: "cp437"}.get(mark, "utf-8")
+    except LookupError:
+        return "utf-8"
+
+
+def _text(raw: bytes, encoding: str) -> str:
+    """A table's text; where it is not written as told, each byte is a letter of Latin-1, so that none is lost."""
+    try:
+        return raw.decode(encoding).strip("\0 ")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1").strip("\0 ")
+
+
 def _refuse(path: str) -> str:
     raise ValueError(f"{path} has no coordinate system")
 
 
+def _first_text(zones: DataFrame, columns: list[str]) -> str:
+    """The first column whose values are not all numbers; without one, zones have no name."""
+    value = lambda c: F.col("properties")[c]
+    texts = zones.agg(*[F.coalesce(F.bool_or((F.trim(value(c)) != "") & value(c).try_cast("double").isNull()), F.lit(False)).alias(f"t{i}") for i, c in enumerate(columns)]).first()
+    found = next((c for i, c in enumerate(columns) if texts[f"t{i}"]), None)
+    if found is None:
+        raise ValueError("no text column names the zones")
+    return found
+
+
 def read_layer(spark: SparkSession, path: str, name: str | None = None, crs: str | None = None) -> DataFrame:
     """Zones of a layer by its kind, named by ``name`` or a usual column, in ``crs`` if one is asked for."""
     reader = read_geopackage if path.endswith(".gpkg") else read_shapefile if path.endswith(".shp") else read_geojson
@@ -144,6 +193,6 @@ def read_layer(spark: SparkSession, path: str, name: str | None = None, crs: str
         columns = list(first["properties"]) if first else []
         if not columns:
             raise ValueError("no column names the zones")
-        chosen = next((c for c in spatial.NAME_COLUMNS if c in columns), columns[0])
+        chosen = next((c for c in spatial.NAME_COLUMNS if c in columns), None) or _first_text(zones, columns)
         zones = zones.withColumn("zone_name", F.col("properties")[chosen])
     return spatial.transform(zones, source, crs) if crs else zones

@@ -14,6 +14,7 @@ from quadrille.functions import statistics as T
 from quadrille.operators import climate as K
 from quadrille.operators import coverage as V
 from quadrille.operators import inventory as I
+from quadrille.operators import projection as J
 from quadrille.operators import quality as Q
 from quadrille.operators import raster as X
 from quadrille.operators import series as R
@@ -206,8 +207,8 @@ def test_equal_area(spark):
         ring = F.array(*[F.struct(F.lit(r.lon + a).alias("x"), F.lit(r.lat + b).alias("y")) for a, b in ((0, 0), (0.01, 0), (0.01, 0.01), (0, 0.01))])
         zone = one.select(F.lit(1).alias("zone_id"), F.array(ring).alias("rings"))
         area = Z.areas(Z.transform(zone, "EPSG:4326", r.crs)).first().area
-        e2, phi = X.FLAT * (2 - X.FLAT), math.radians(r.lat + 0.005)
-        true = X.A**2 * (1 - e2) * math.cos(phi) / (1 - e2 * math.sin(phi) ** 2) ** 2 * math.radians(0.01) ** 2
+        e2, phi = J.System("degrees").e2, math.radians(r.lat + 0.005)
+        true = 6378137.0**2 * (1 - e2) * math.cos(phi) / (1 - e2 * math.sin(phi) ** 2) ** 2 * math.radians(0.01) ** 2
         assert abs(area / true - 1) < 1e-6
     # Snyder's worked example of the ellipsoidal Albers on another ellipsoid is matched by area; the origin is exact.
     x, y = X.from_lonlat(F.lit(10.0), F.lit(52.0), "EPSG:3035")
@@ -215,10 +216,46 @@ def test_equal_area(spark):
     assert abs(at.x - 4321000) < 1e-6 and abs(at.y - 3210000) < 1e-6
 
 
+CLARKE = 'GEOGCS["GCS",DATUM["D",SPHEROID["Clarke_1866",6378206.4,294.9786982]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
+
+
+def test_systems_from_text(spark):
+    """Worked examples of a textbook on map projections, round trips to a millimetre, and the text of shapefiles."""
+    par = lambda **k: "".join(f',PARAMETER["{n}",{v}]' for n, v in k.items())
+    text = lambda projection, unit=("Meter", 1.0), **k: f'PROJCS["P",{CLARKE},PROJECTION["{projection}"]{par(**k)},UNIT["{unit[0]}",{unit[1]}]]'
+    cone = {"False_Easting": 0.0, "False_Northing": 0.0, "Central_Meridian": -96.0, "Latitude_Of_Origin": 23.0}
+    cases = [
+        (text("Albers", Standard_Parallel_1=29.5, Standard_Parallel_2=45.5, **cone), -75.0, 35.0, 1885472.7, 1535925.0),
+        (text("Lambert_Conformal_Conic", Standard_Parallel_1=33.0, Standard_Parallel_2=45.0, **cone), -75.0, 35.0, 1894410.9, 1564649.5),
+        (text("Transverse_Mercator", Central_Meridian=-75.0, Scale_Factor=0.9996, Latitude_Of_Origin=0.0), -73.5, 40.5, 127106.5, 4484124.4),
+        (text("Lambert_Azimuthal_Equal_Area", Central_Meridian=-100.0, Latitude_Of_Origin=40.0), -110.0, 30.0, -965932.1, -1056814.9),
+        (text("Lambert_Conformal_Conic", ("Foot_US", 0.3048006096012192), Standard_Parallel_1=33.0, Standard_Parallel_2=45.0, **(cone | {"False_Easting": 1000.0})), -75.0, 35.0, 1894410.9 / 0.3048006096012192 + 1000, 1564649.5 / 0.3048006096012192),
+    ]
+    for crs, lon, lat, x, y in cases:
+        one = spark.range(1).select(F.lit(lon).alias("lon"), F.lit(lat).alias("lat"))
+        px, py = J.from_lonlat(F.col("lon"), F.col("lat"), crs)
+        back = J.to_lonlat(F.col("x"), F.col("y"), crs)
+        r = one.select(px.alias("x"), py.alias("y")).select("x", "y", back[0].alias("a"), back[1].alias("b")).first()
+        assert abs(r.x - x) < 0.2 and abs(r.y - y) < 0.2 and abs(r.a - lon) < 1e-8 and abs(r.b - lat) < 1e-8, crs
+    esri = 'PROJCS["SIRGAS_2000_UTM_Zone_23S",GEOGCS["GCS_SIRGAS_2000",DATUM["D_SIRGAS_2000",SPHEROID["GRS_1980",6378137.0,298.257222101]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]],PROJECTION["Transverse_Mercator"],PARAMETER["False_Easting",500000.0],PARAMETER["False_Northing",10000000.0],PARAMETER["Central_Meridian",-45.0],PARAMETER["Scale_Factor",0.9996],PARAMETER["Latitude_Of_Origin",0.0],UNIT["Meter",1.0]]'
+    assert vector.text_crs(esri) == esri and vector.text_crs(esri[:-1] + ',AUTHORITY["EPSG","31983"]]') == "EPSG:31983" and vector.text_crs("PROJCS") is None
+    a, b = (J.from_lonlat(F.lit(-46.3), F.lit(-23.9), c) for c in (esri, "EPSG:31983"))
+    r = spark.range(1).select(a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")).first()
+    assert abs(r.ax - r.bx) < 1e-3 and abs(r.ay - r.by) < 1e-3
+    for wrong in ("", "PROJCS[", 'GEOCCS["x"]', text("Mercator")):
+        with pytest.raises((ValueError, IndexError)):
+            J.from_text(wrong)
+    # a system with an origin of its own, south of the equator
+    odd = J.System("transverse", lat0=-30.0, lon0=20.0, scale=1.0, east=100.0, north=200.0)
+    x, y = J._transverse(odd, F.lit(20.0), F.lit(-30.0))
+    r = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    assert abs(r.x) < 1e-6 and abs(r.y) < 1e-6
+
+
 def test_reprojection_round_trip(spark):
     df = spark.createDataFrame([(-46.3, -23.9), (-43.2, -22.9), (-45.0, -0.5)], "lon double, lat double")
-    x, y = X.utm_from_lonlat(F.col("lon"), F.col("lat"), "EPSG:31983")
-    lon, lat = X.lonlat_from_utm(F.col("x"), F.col("y"), "EPSG:31983")
+    x, y = X.from_lonlat(F.col("lon"), F.col("lat"), "EPSG:31983")
+    lon, lat = X.to_lonlat(F.col("x"), F.col("y"), "EPSG:31983")
     out = df.withColumns({"x": x, "y": y}).withColumns({"a": lon, "b": lat}).collect()
     for r in out:
         assert abs(r.a - r.lon) < 1e-8 and abs(r.b - r.lat) < 1e-8  # a millimetre
@@ -274,9 +311,28 @@ def test_scene_folder_to_pixels(spark, tmp_path):
     assert px.where("error is not null").count() == 1
     out = geotiff.scene_pixels(bands, px)
     assert out.count() == 200 and tuple(out.select("qa", "dn_red", "dn_nir", "dn_st").distinct().first()) == (64, 9000, 20000, 43000)
-    made = geotiff.write_rasters(Q.with_products(out, SET), "scene_id", "lst_c").first()
-    band, place = geotiff.decode(bytes(made.content))
-    assert band.shape == (20, 10) and abs(band[0, 0] - (43000 * 0.00341802 + 149 - KELVIN)) < 1e-4 and place == (0.0, 600.0, 30.0)
+
+
+def test_tiled_rasters(spark, tmp_path):
+    """Files of many tiles, some without cells, whose heads tell place and system, whether by code or definition."""
+    from quadrille.sources import tiles
+
+    rng = np.random.default_rng(8)
+    band = rng.normal(size=(70, 100)).astype(np.float32)
+    band[rng.random(band.shape) < 0.3], band[16:48, 50:] = np.nan, np.nan
+    grid = Z.Grid(500.0, 9000.0, 30.0, 70, 100)
+    rows = [(k, int(r), int(c), float(band[r, c]) * (1 + (k == "b"))) for k in "ab" for r, c in zip(*np.nonzero(~np.isnan(band)), strict=True)]
+    px = spark.createDataFrame([*rows, ("a", 70, 3, 1.0), ("a", -1, 0, 1.0)], "id string, row int, col int, v double").repartition(5)
+    own = 'PROJCS["own",GEOGCS["g",DATUM["d",SPHEROID["s",6378137.0,298.25]],PRIMEM["Greenwich",0],UNIT["Degree",0.0174532925199433]],PROJECTION["Albers"],PARAMETER["Standard_Parallel_1",-5.0],UNIT["Metre",1.0]]'
+    for n, crs in enumerate(("EPSG:31983", "EPSG:4326", own, None)):
+        made = tiles.tiles(px, "id", "v", grid, 16)
+        assert made.groupBy("id").count().where("count = 29").count() == 2 and made.agg(F.max(F.octet_length("body"))).first()[0] < 16 * 16 * 4 + 100
+        assert tiles.write_files(tiles.parts(made, "id", grid, crs, 16), "id", f"{tmp_path}/{n}", "_v.tif") == 2
+        assert sorted(p.name for p in (tmp_path / str(n)).iterdir()) == ["a_v.tif", "b_v.tif"]
+        body = (tmp_path / str(n) / "b_v.tif").read_bytes()
+        assert geotiff.place(body) == (70, 100, 500.0, 9000.0, 30.0, crs)
+        assert np.array_equal(geotiff.decode(body)[0], band.astype(float) * 2, equal_nan=True)
+        assert np.array_equal(geotiff.Band(lambda at, size, b=body: b[at : at + size]).window(10, 35, 40, 70), band[10:35, 40:70].astype(float) * 2, equal_nan=True)
 
 
 def test_layers(spark, tmp_path):
@@ -298,6 +354,12 @@ def test_layers(spark, tmp_path):
     field = b"NM".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([10]) + b"\0" * 15
     (tmp_path / "z.dbf").write_bytes(struct.pack("<4xIHH20x", 1, 65, 11) + field + b"\r" + b" Centro    ")
     (tmp_path / "z.prj").write_text("PROJCS")
+    (tmp_path / "z.dbf").write_bytes((tmp_path / "z.dbf").read_bytes().replace(b"Centro    ", "São João".encode("latin-1").ljust(10)))
+    assert vector.read_shapefile(spark, str(tmp_path / "z.shp"), "NM").first().zone_name == "São João"
+    (tmp_path / "z.dbf").write_bytes((tmp_path / "z.dbf").read_bytes().replace("São João".encode("latin-1").ljust(10), b"\x8eD       "[:10].ljust(10)))
+    (tmp_path / "z.cpg").write_text("OEM 850")
+    assert vector.read_shapefile(spark, str(tmp_path / "z.shp"), "NM").first().zone_name == "ÄD"
+    (tmp_path / "z.dbf").write_bytes((tmp_path / "z.dbf").read_bytes().replace(b"\x8eD       "[:10].ljust(10), b"Centro    "))
     got = vector.read_shapefile(spark, str(tmp_path / "z.shp"), "NM").first()
     assert got.zone_name == "Centro" and len(got.rings[0]) == 4
     assert Z.name_column(spark.createDataFrame([(1, "a")], "id int, bairro string")) == "bairro"
@@ -448,7 +510,9 @@ def test_whole_run(spark, tmp_path):
         ndvi, heat = (nir - red) / (nir + red), np.where(clear, dn * f["st_scale"] + f["st_offset"] - KELVIN, np.nan)
         for v, got in ((ndvi, rows[name].ndvi_media), (heat, rows[name].lst_c_media)):
             assert abs(np.nanmean(v[inside]) - got) < 1e-6
-        band, place = geotiff.decode((tmp_path / f"out/rasters/lst/{name}_LST_Celsius.tif").read_bytes())
+        body = (tmp_path / f"out/rasters/lst/{name}_LST_Celsius.tif").read_bytes()
+        assert geotiff.place(body)[5] == M.CRS
+        band, place = geotiff.decode(body)
         assert place == (M.LEFT + 12 * 30, M.TOP - 20 * 30, 30.0) and np.allclose(band, np.where(inside, heat, np.nan)[box], atol=1e-4, equal_nan=True)
     assert sum(a[4] for a in M.SCENES) == 2 and any(r.pct_valido < 100 for r in judged.values())
     may = zones.where("ano = 2010 and mes = 7 and zone_name = 'East'").first()
