@@ -25,6 +25,7 @@ from ..operators import raster as X
 from ..operators import series as R
 from ..operators import spatial as P
 from ..sources import metadata as M
+from ..sources.sinks import parked
 from . import proxies as D
 from .proxies import SETTINGS, SQL, SQL_MONTHLY, SQL_STATS, annual_sql
 
@@ -294,7 +295,8 @@ def scene_diagnosis(spark: SparkSession, sf: str) -> DataFrame:
 # --- coverage ---------------------------------------------------------------------------------------------------------
 
 COVERAGE = SQL_STATS + """,
-city AS (SELECT ano, mes, avg(ndvi_media) AS ndvi_media, avg(lst_c_media) AS lst_c_media FROM scene_stats GROUP BY ALL),
+city AS (SELECT ano, mes, sum(ndvi_media * ndvi_n) / nullif(sum(CASE WHEN ndvi_media IS NOT NULL THEN ndvi_n END), 0) AS ndvi_media,
+  sum(lst_c_media * lst_c_n) / nullif(sum(CASE WHEN lst_c_media IS NOT NULL THEN lst_c_n END), 0) AS lst_c_media FROM scene_stats GROUP BY ALL),
 calendar AS (
   SELECT *, ndvi_media IS NOT NULL AS has_ndvi, lst_c_media IS NOT NULL AS has_lst, (ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7) AS flagged,
     CASE WHEN ((ano = 1996 AND mes = 3) OR (ano = 1999 AND mes = 7)) AND (ndvi_media IS NOT NULL OR lst_c_media IS NOT NULL) THEN 'Flagged: low quality'
@@ -306,8 +308,8 @@ symbols AS (SELECT *, CASE status WHEN 'NDVI + LST' THEN 'O' WHEN 'NDVI only' TH
 
 
 def _calendar(spark: SparkSession, sf: str) -> DataFrame:
-    means = [F.avg(c).alias(c) for c in ("ndvi_media", "lst_c_media")]
-    return V.calendar(D.scene_stats(spark, sf).groupBy("ano", "mes").agg(*means), SETTINGS)
+    """Of the area's months, whose means are weighted by valid pixels."""
+    return V.calendar(D.monthly(spark, sf).select("ano", "mes", "ndvi_media", "lst_c_media"), SETTINGS)
 
 
 @query(_with(COVERAGE, "SELECT * FROM symbols"), "ndvi_media lst_c_media")
@@ -613,9 +615,11 @@ def gap_dependence(spark: SparkSession, sf: str) -> DataFrame:
   LEFT JOIN (SELECT variable, comparison, n_pairs, spearman_anom_median, ccc_anom_median, sma_anom_median, spearman_median, ccc_median FROM ({CONCORD})) USING (variable, comparison)"""),
        "bias lower upper p95 min_gap max_gap median_gap slope spearman sd_signal_anom sd_err_anom snr_anom lambda_anom attenuation_pct spearman_anom_median ccc_anom_median sma_anom_median spearman_median ccc_median")
 def sensor_validation(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
+    """The table of zones and campaigns is written once; limits, gaps, reliability and concordance all read it."""
+    long = parked(_long(spark, sf))
+    pairs = G.scene_pairs(long)
     concord = G.concordance_summary(G.pair_metrics(pairs, SETTINGS))
-    return G.validation(G.pair_summary(pairs, KIND), G.gap_dependence(pairs), G.reliability(_long(spark, sf), pairs), concord)
+    return G.validation(G.pair_summary(pairs, KIND), G.gap_dependence(pairs), G.reliability(long, pairs), concord)
 
 
 @query(_with(METRICS, f"""SELECT variable, reduction, reduction > 50 AS anomalies_help, same.mad < 0.8 * b.mad AS instrument_effect, rho, CASE WHEN rho > 0.8 THEN 'strong' WHEN rho > 0.5 THEN 'moderate' WHEN rho IS NOT NULL THEN 'weak' END AS rank_agreement,
@@ -623,18 +627,41 @@ def sensor_validation(spark: SparkSession, sf: str) -> DataFrame:
   FROM (SELECT * FROM ({_pair_summary('variable, comparison')}) WHERE comparison LIKE 'Between%') b LEFT JOIN (SELECT variable, mad FROM ({_pair_summary('variable, comparison')}) WHERE comparison LIKE 'Same%') same USING (variable)
   LEFT JOIN (SELECT variable, median(spearman_anom) AS rho, median(sma_anom) AS sma FROM metrics WHERE comparison LIKE 'Between%' GROUP BY variable) USING (variable)"""), "reduction rho sma")
 def sensor_interpretation(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
+    pairs = G.scene_pairs(parked(_long(spark, sf)))
     return G.interpretation(G.pair_summary(pairs, KIND), G.concordance_summary(G.pair_metrics(pairs, SETTINGS)))
 
 
-@query(_with(PAIRS, """SELECT *, bias / nullif(se, 0) AS t FROM (SELECT *, sd / sqrt(n_pairs::DOUBLE) AS se FROM (SELECT variable, direction, count(*) AS n_pairs, avg(m) AS bias, stddev_samp(m) AS sd, avg(m_anom) AS bias_anom FROM (
+DIRECTIONAL = """SELECT *, bias / nullif(se, 0) AS t FROM (SELECT *, sd / sqrt(n_pairs::DOUBLE) AS se FROM (SELECT variable, direction, count(*) AS n_pairs, avg(m) AS bias, stddev_samp(m) AS sd, avg(m_anom) AS bias_anom FROM (
   SELECT variable, direction, scene_a, scene_b, avg(CASE WHEN older_a THEN diff_abs ELSE -diff_abs END) AS m, avg(CASE WHEN older_a THEN diff_anom ELSE -diff_anom END) AS m_anom
-  FROM (SELECT *, replace(CASE WHEN older_a THEN sensor_b || ' - ' || sensor_a ELSE sensor_a || ' - ' || sensor_b END, 'Landsat', 'L') AS direction FROM (SELECT *, right(sensor_a, 1) <= right(sensor_b, 1) AS older_a FROM pairs WHERE comparison = 'Between instruments')) GROUP BY ALL) GROUP BY ALL))"""), "bias sd bias_anom se t")
+  FROM (SELECT *, replace(CASE WHEN older_a THEN sensor_b || ' - ' || sensor_a ELSE sensor_a || ' - ' || sensor_b END, 'Landsat', 'L') AS direction FROM (SELECT *, right(sensor_a, 1) <= right(sensor_b, 1) AS older_a FROM pairs WHERE comparison = 'Between instruments')) GROUP BY ALL) GROUP BY ALL))"""
+
+
+@query(_with(PAIRS, DIRECTIONAL), "bias sd bias_anom se t")
 def directional_bias(spark: SparkSession, sf: str) -> DataFrame:
     return G.directional(_pairs(spark, sf))
 
 
-@query(None, "bias sd bias_anom se t p_value ci_low ci_high")
+def _inside(t: str, n: str) -> str:
+    """The share of Student's distribution within ``t``, for ``n`` whole degrees of freedom, as a finite series."""
+    angle = f"atan(abs({t}) / sqrt({n}))"
+    product = lambda a, b: f"coalesce(list_product(list_transform(range(1, j + 1), lambda i: {a}::DOUBLE / ({b}))), 1)"
+    total = lambda last, of, power: f"coalesce(list_sum(list_transform(range(0, {last} + 1), lambda j: {of} * pow(cos({angle}), {power}))), 0)"
+    even = f"sin({angle}) * {total(f'(({n} - 2) // 2)', product('(2 * i - 1)', '2 * i'), '2 * j')}"
+    odd = f"2 / pi() * ({angle} + CASE WHEN {n} > 1 THEN sin({angle}) * {total(f'greatest(({n} - 3) // 2, 0)', product('(2 * i)', '2 * i + 1'), '2 * j + 1')} ELSE 0 END)"
+    return f"CASE WHEN {n} % 2 = 0 THEN {even} ELSE {odd} END"
+
+
+#: The quantile is found by halving; a hundred times leaves nothing of a double.
+INTERVALS = f"""SELECT d.*, p_value, bias - half * se AS ci_low, bias + half * se AS ci_high FROM directional d LEFT JOIN (
+  SELECT variable, direction, 1 - {_inside("t", "df")} AS p_value FROM (SELECT *, n_pairs - 1 AS df FROM directional WHERE n_pairs > 1 AND t IS NOT NULL)) USING (variable, direction)
+  LEFT JOIN (SELECT variable, direction, low AS half FROM halving WHERE step = 100) USING (variable, direction)"""
+HALVING = f""", directional AS ({DIRECTIONAL}),
+halving AS (SELECT variable, direction, n_pairs - 1 AS df, 0e0 AS low, 1e3 AS high, 0 AS step FROM directional WHERE n_pairs > 1 AND t IS NOT NULL
+  UNION ALL SELECT variable, direction, df, CASE WHEN {_inside("((low + high) / 2)", "df")} < 0.95 THEN (low + high) / 2 ELSE low END,
+    CASE WHEN {_inside("((low + high) / 2)", "df")} < 0.95 THEN high ELSE (low + high) / 2 END, step + 1 FROM halving WHERE step < 100)"""
+
+
+@query("WITH RECURSIVE " + PAIRS + HALVING + "\n" + INTERVALS, "bias sd bias_anom se t p_value ci_low ci_high")
 def directional_bias_intervals(spark: SparkSession, sf: str) -> DataFrame:
     return G.with_p_values(G.directional(_pairs(spark, sf)))
 

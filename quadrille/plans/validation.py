@@ -72,12 +72,29 @@ def sensors(zone_scenes: DataFrame, settings: Settings) -> dict[str, DataFrame]:
 LATEX = {"summary": "Agreement of sensors", "concordance": "Concordance within pairs of scenes", "reliability": "Reliability of the anomaly", "directional_bias": "Newer less older instrument"}
 
 
+#: Tables in the order of their measure, largest first; all others in that of their keys.
+BY_MEASURE = {
+    "climate/correlation_by_zone": ["pearson"],
+    "lst/statistics_by_zone": ["mean"],
+    "ndvi/statistics_by_zone": ["mean"],
+    "ranking/persistence": ["mean_rank"],
+    "sensors/directional_bias": ["variable", "n_pairs"],
+    "sensors/by_pair": ["variable", "n"],
+}
+
+
+def order_of(name: str, df: DataFrame) -> list:
+    """How a table is sorted when it is written; keys break ties of measures."""
+    keys = [c for c in ("variable", "comparison", "pair", "direction", "zone_id", "zone_name", "ano", "mes", "scene_a", "scene_b") if c in df.columns]
+    first = [F.col(c) if c == "variable" else F.col(c).desc_nulls_last() for c in BY_MEASURE.get(name, [])]
+    return [*first, *keys]
+
+
 def write(spark: SparkSession, results: str, out: str, settings: Settings, climate: DataFrame | None = None, zone_scenes: DataFrame | None = None) -> list[str]:
     """Write the set below ``out``; returns the names of its tables."""
     made = tables(spark, results, settings, climate, zone_scenes)
     for name, df in made.items():
-        keys = [c for c in ("variable", "comparison", "pair", "direction", "zone_id", "zone_name", "ano", "mes", "scene_a", "scene_b") if c in df.columns]
-        sinks.write_csv(df, f"{out}/{name}", order=keys)
+        sinks.write_csv(df, f"{out}/{name}", order=order_of(name, df))
     if zone_scenes is not None:
         texts = {n: sinks.latex(made[f"sensors/{n}"].orderBy("variable"), caption, f"tab:{n}") for n, caption in LATEX.items()}
         for n, text in texts.items():

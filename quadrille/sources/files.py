@@ -106,18 +106,27 @@ def numeric(df: DataFrame) -> DataFrame:
     return df.select(*[F.regexp_replace(F.col(c).cast("string"), ",", ".").try_cast("double").alias(c) for c in df.columns])
 
 
-def climate_table(df: DataFrame, temperature: str | None = None) -> DataFrame:
-    """``ano, mes, temp`` from a table whose first two columns are year and month.
+#: Words by which the columns of a climate table are told, in the order in which they are tried.
+TEMPERATURES = {"temp": (("mean", "med", "avg", "méd"), ("temp", "tmp", "tair")), "temp_min": (("min",),), "temp_max": (("max",),)}
 
-    The temperature column is the one named, else the first whose name speaks of a mean, else of a temperature.
+
+def climate_table(df: DataFrame, temperature: str | None = None, minimum: str | None = None, maximum: str | None = None) -> DataFrame:
+    """``ano, mes, temp, temp_min, temp_max`` from a table whose first two columns are year and month.
+
+    Each temperature is the column named, else the first whose name speaks of it (the mean: else of a temperature that
+    is neither lowest nor highest).  The mean must be there; a lowest or highest that is not is null.
     """
-    rest = df.columns[2:]
-    words = (("mean", "med", "avg"), ("temp", "tmp", "tair"))
-    pick = temperature or next((c for w in words for c in rest if any(x in c.lower() for x in w)), None)
-    if pick is None:
-        raise ValueError("no temperature column")
+    rest, named, found = df.columns[2:], {"temp": temperature, "temp_min": minimum, "temp_max": maximum}, {}
+    for target, groups in TEMPERATURES.items():
+        if named[target] is not None and named[target] not in rest:
+            raise ValueError(f"no column {named[target]} among {rest}")
+        free = [c for c in rest if target != "temp" or not any(w in c.lower() for w in ("min", "max"))]
+        found[target] = named[target] or next((c for words in groups for c in free if any(w in c.lower() for w in words)), None)
+    if found["temp"] is None:
+        raise ValueError(f"no temperature column among {rest}")
     n = numeric(df)
-    return n.select(F.col(df.columns[0]).cast("int").alias("ano"), F.col(df.columns[1]).cast("int").alias("mes"), F.col(pick).alias("temp"))
+    values = [F.col(c).alias(t) if c else F.lit(None).cast("double").alias(t) for t, c in found.items()]
+    return n.select(F.col(df.columns[0]).cast("int").alias("ano"), F.col(df.columns[1]).cast("int").alias("mes"), *values)
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -190,12 +199,26 @@ def raster_suffix(name: str, scene_ids: Iterable[str]) -> str | None:
     return None if found is None else name[len(found) :]
 
 
-def find_results(candidates: Iterable[str], exists) -> str | None:
-    """The first folder that has tables, in a sub-folder of either usual name or in itself."""
-    for folder in candidates:
-        for sub in ("/tables", "/tabelas", ""):
-            if exists(folder + sub):
-                return folder + sub
+def find_results(spark: SparkSession, roots: Iterable[str], depth: int = 2) -> str | None:
+    """The first folder with result tables: a root or a folder up to ``depth`` levels below one, breadth first.
+
+    A folder has tables where a sub-folder of either usual name is there, or a CSV file in itself.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    level = [r for r in roots if exists(spark, r)]
+    for _ in range(depth + 1):
+        below = []
+        for folder in level:
+            at = jvm.org.apache.hadoop.fs.Path(folder)
+            entries = sorted((e.getPath().toString(), e.isDirectory()) for e in at.getFileSystem(conf).listStatus(at))
+            names = {p.rsplit("/", 1)[-1]: p for p, is_folder in entries if is_folder}
+            for sub in ("tables", "tabelas"):
+                if sub in names:
+                    return names[sub]
+            if any(p.lower().endswith(".csv") for p, is_folder in entries if not is_folder):
+                return folder
+            below += [p for name, p in names.items() if not name.startswith((".", "_"))]
+        level = below
     return None
 
 

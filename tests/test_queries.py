@@ -50,6 +50,13 @@ def test_pixels_are_read_once(spark, sf, name):
     assert plan.count("l_orderkey#") and sum("Relation" in line and "l_orderkey#" in line for line in plan.splitlines()) == 1
 
 
+@pytest.mark.parametrize("name", ["sensor_validation", "sensor_interpretation"])
+def test_zone_table_is_made_once(spark, sf, name):
+    """What they share is written beforehand: their own plans never touch pixels."""
+    plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_partkey" not in plan
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -381,6 +381,36 @@ def test_tables(spark, tmp_path):
     assert math.isclose(files.climate_table(spark.createDataFrame([("2015", "1", "20,5")], "y string, m string, temp_mean string")).first().temp, 20.5)
 
 
+def test_climate_columns(spark):
+    rows = spark.createDataFrame([("2015", "1", "12,5", "20,5", "30"), ("2015", "2", "x", None, "31,5")], "ano string, mes string, t_min string, t_media string, t_max string")
+    got = [tuple(r) for r in files.climate_table(rows).collect()]
+    assert got == [(2015, 1, 20.5, 12.5, 30.0), (2015, 2, None, None, 31.5)]
+    only = files.climate_table(rows.select("ano", "mes", F.col("t_max").alias("max_temp"), F.col("t_min").alias("air_temp")))
+    assert [tuple(r) for r in only.collect()] == [(2015, 1, 12.5, None, 30.0), (2015, 2, None, None, 31.5)]
+    assert files.climate_table(rows, "t_max").first().temp == 30.0
+    with pytest.raises(ValueError, match="no column"):
+        files.climate_table(rows, minimum="tmin")
+    with pytest.raises(ValueError, match="no temperature"):
+        files.climate_table(rows.select("ano", "mes", "t_max"))
+
+
+def test_results_are_found_below_roots(spark, tmp_path):
+    for p in ("a/empty", "b/.hidden/tables", "b/run2/tabelas", "c/deep/er/still/tables", "d"):
+        (tmp_path / p).mkdir(parents=True)
+    (tmp_path / "d/x.csv").write_text("a\n1\n")
+    find = lambda *roots: files.find_results(spark, [str(tmp_path / r) for r in roots])
+    assert find("none", "a", "b").endswith("b/run2/tabelas") and find("c") is None and find("a") is None
+    assert find("d").endswith("/d") and find("b", "d").endswith("/d")  # the nearest first
+
+
+def test_tables_in_order_of_their_measure(spark):
+    from quadrille.plans import validation
+
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0), (3, "c", None), (4, "d", 3.0)], "zone_id int, zone_name string, mean_rank double")
+    assert [r.zone_id for r in df.orderBy(*validation.order_of("ranking/persistence", df)).collect()] == [2, 4, 1, 3]
+    assert [r.zone_id for r in df.orderBy(*validation.order_of("other", df)).collect()] == [1, 2, 3, 4]
+
+
 def test_stream(spark, tmp_path):
     from quadrille.streaming import arrivals
 
