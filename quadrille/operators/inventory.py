@@ -10,8 +10,14 @@ from ..functions import scene as S
 
 
 def decode(scenes: DataFrame, scene_id: str = "scene_id") -> DataFrame:
+    """Parts of the scene ids.
+
+    They are generated as a row of their own: else the optimiser would put the whole decoding into every filter and
+    column that names a part, and do it again for each.
+    """
     c = F.col(scene_id)
-    out = scenes.withColumns({"sensor_prefix": S.prefix(c), "pathrow": S.path_row(c), "acq_date": S.acquired(c), "tier": S.tier(c)})
+    parts = F.struct(S.prefix(c).alias("sensor_prefix"), S.path_row(c).alias("pathrow"), S.acquired(c).alias("acq_date"), S.tier(c).alias("tier"))
+    out = scenes.select("*", F.inline(F.array(parts)))
     p = F.col("sensor_prefix")
     bands = {"tag_red": S.band(p, "red"), "tag_nir": S.band(p, "nir"), "tag_thermal": S.band(p, "thermal")}
     return out.withColumns({"sensor": S.sensor(p), "year": F.year("acq_date"), "month": F.month("acq_date"), **bands})
