@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import attach, heavy_join, materialise
 from .components import connected_components
 
 
@@ -127,10 +127,10 @@ def class_verdicts(edges: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """
     nodes = connected_components(edges)
     allowed = allows(rule_for(host_of(F.concat(F.lit("://"), "node")), path_of(F.concat(F.lit("://"), "node")), rules), rules)
-    judged = nodes.withColumn("allowed", allowed)
+    judged = materialise(nodes.withColumn("allowed", allowed), "judged")
     classes = judged.groupBy("component").agg(F.max("allowed").alias("any_allowed"))
     verdict = F.when(F.coalesce("any_allowed", F.lit(True)), "allow").otherwise("block")
-    return judged.join(classes, "component").select("node", "component", verdict.alias("class_verdict"))
+    return attach(judged.select("node", "component"), classes, "component").select("node", "component", verdict.alias("class_verdict"))
 
 
 def filter_urls(
@@ -157,7 +157,10 @@ def filter_urls(
     if edges is None:
         rows = rows.withColumns({"component": F.lit(None).cast("string"), "class_verdict": F.lit(None).cast("string")})
     else:
-        rows = rows.join(materialise(class_verdicts(edges, rules), "aliases"), "node", "left")
+        # an address that very many pages have is dealt in parts where it meets its class
+        times = rows.groupBy("node").agg(F.count("*").alias("__pages"))
+        aliases = materialise(class_verdicts(edges, rules).join(times, "node"), "aliases")
+        rows = heavy_join(rows, aliases, ["node"], "__pages", "left")
     own = F.when(allows(F.col("rule"), rules), "allow").when(F.col("rule").isNotNull(), "block")
     return rows.select(
         F.col("page").alias(id_col),
