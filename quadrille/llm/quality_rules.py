@@ -142,6 +142,16 @@ def passes(policy: str = "v1") -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(POLICIES[policy])) == 0
 
 
+def sole_failure(policy: str = "v1") -> Column:
+    """The rule that alone rejects a row under the policy, so that the row would be kept without it; null if none does."""
+    bits = F.col("fail_bits").bitwiseAND(F.lit(POLICIES[policy]))
+    out = F.lit(None).cast("string")
+    for i, name in enumerate(RULES):
+        if POLICIES[policy] >> i & 1:
+            out = F.when(bits == 1 << i, name).otherwise(out)
+    return out
+
+
 def ablations(rows: DataFrame, policy: str = "v1") -> DataFrame:
     """Per rule of the policy: rows it fails, rows it alone rejects, and rows kept if it were dropped.
 

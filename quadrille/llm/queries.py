@@ -24,7 +24,7 @@ def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality_rules.ledger(spark.read.parquet(f"{sf}/documents.parquet"), keep=["doc_id"])
     base, kept = ~quality_rules.passes("base"), quality_rules.passes("v1")
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), kept.alias("kept"), "fail_bits")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), kept.alias("kept"), "fail_bits", quality_rules.sole_failure("v1").alias("sole_rule"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,7 +163,9 @@ f AS (
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, a OR b AS base_failed,
   NOT (a OR b OR c OR d OR e OR g) AS kept,
-  (a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT + 32 * g::INT)::BIGINT AS fail_bits
+  (a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT + 32 * g::INT)::BIGINT AS fail_bits,
+  CASE WHEN a::INT + b::INT + c::INT + d::INT + e::INT + g::INT = 1 THEN
+    CASE WHEN a THEN 'few_words' WHEN b THEN 'repeated_windows' WHEN c THEN 'word_length' WHEN d THEN 'symbols' WHEN e THEN 'duplicate_lines' ELSE 'shouting' END END AS sole_rule
 FROM f
 """
 

@@ -91,7 +91,7 @@ def test_sql_on_hostile_rows(docs, key):
     con.register("documents", unique.toPandas())
     if key.startswith("op2"):
         out = quality_rules.ledger(unique, keep=["doc_id"])
-        out = out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality_rules.passes("base")).alias("base_failed"), quality_rules.passes().alias("kept"), "fail_bits")
+        out = out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality_rules.passes("base")).alias("base_failed"), quality_rules.passes().alias("kept"), "fail_bits", quality_rules.sole_failure().alias("sole_rule"))
     else:
         out = substring_dedup.remove_repeats(unique, with_text=False)
     same_rows(out.collect(), out.columns, con.execute(queries.oracle_sql()[key]))
@@ -177,6 +177,8 @@ def test_quality_ledger(docs, rows, empty):
     out = quality_rules.ledger(clashing(docs))
     assert out.count() == len(rows) and "lang" in out.columns
     table = {r.rule: r for r in quality_rules.ablations(out).collect()}
+    alone = Counter(r.sole for r in out.select(quality_rules.sole_failure().alias("sole")).collect())
+    assert all(alone[rule] == r.failed_alone for rule, r in table.items())
     bits = [r.fail_bits for r in out.collect()]
     for i, name in enumerate(quality_rules.RULES):
         assert table[name].failed == sum(b >> i & 1 for b in bits)
