@@ -37,23 +37,49 @@ class Grid:
         return self.x0 + (col + 0.5) * self.size, self.y0 - (row + 0.5) * self.size
 
 
-def ring_spans(rings: list[np.ndarray], grid: Grid) -> list[tuple[int, int, int]]:
-    """``(row, first column, last column)`` of the cells whose centres lie inside."""
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of columns without overlaps, in order."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(runs):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(out[-1][1], last)
+        else:
+            out.append((first, last))
+    return out
+
+
+def ring_spans(rings: list[np.ndarray], grid: Grid, touched: bool = False) -> list[tuple[int, int, int]]:
+    """``(row, first column, last column)`` of the cells whose centres lie inside.
+
+    With ``touched`` also those that the outline passes through: of every edge, the columns between the ends of its
+    part within the row.  An outline on a border between cells passes through neither.
+    """
     ys = np.concatenate([r[:, 1] for r in rings])
     top = max(0, int(np.floor((grid.y0 - ys.max()) / grid.size)))
     bottom = min(grid.rows - 1, int(np.ceil((grid.y0 - ys.min()) / grid.size)))
     edges = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
+    down = edges[:, 1] > edges[:, 3]
+    upward = np.where(down[:, None], edges[:, [2, 3, 0, 1]], edges)  # the lower end first
     out = []
     for row in range(top, bottom + 1):
         y = grid.y0 - (row + 0.5) * grid.size
         crossing = edges[(edges[:, 1] > y) != (edges[:, 3] > y)]
         x = np.sort(crossing[:, 0] + (y - crossing[:, 1]) * (crossing[:, 2] - crossing[:, 0]) / (crossing[:, 3] - crossing[:, 1]))
-        for a, b in zip(x[::2], x[1::2], strict=False):
-            # centres in [a, b)
-            first = max(0, int(np.ceil((a - grid.x0) / grid.size - 0.5)))
-            last = min(grid.cols - 1, int(np.ceil((b - grid.x0) / grid.size - 0.5)) - 1)
-            if last >= first:
-                out.append((row, first, last))
+        # centres in [a, b)
+        runs = [(int(np.ceil((a - grid.x0) / grid.size - 0.5)), int(np.ceil((b - grid.x0) / grid.size - 0.5)) - 1) for a, b in zip(x[::2], x[1::2], strict=False)]
+        if touched:
+            low, high = y - grid.size / 2, y + grid.size / 2
+            e = upward[((upward[:, 1] < high) & (upward[:, 3] > low))]
+            rise = e[:, 3] - e[:, 1]
+            level = rise == 0
+            slope = np.divide(e[:, 2] - e[:, 0], rise, out=np.zeros(len(e)), where=~level)
+            xa = np.where(level, e[:, 0], e[:, 0] + (np.maximum(low, e[:, 1]) - e[:, 1]) * slope)
+            xb = np.where(level, e[:, 2], e[:, 0] + (np.minimum(high, e[:, 3]) - e[:, 1]) * slope)
+            first = np.floor((np.minimum(xa, xb) - grid.x0) / grid.size).astype(int)
+            last = np.ceil((np.maximum(xa, xb) - grid.x0) / grid.size).astype(int) - 1
+            runs += zip(first.tolist(), last.tolist(), strict=True)
+        inside = [(max(0, first), min(grid.cols - 1, last)) for first, last in runs]
+        out += [(row, first, last) for first, last in _merged([r for r in inside if r[1] >= r[0]])]
     return out
 
 
@@ -61,12 +87,15 @@ def _rings(value) -> list[np.ndarray]:
     return [np.array([(p["x"], p["y"]) for p in ring], float) for ring in value]
 
 
-def spans(zones: DataFrame, grid: Grid) -> DataFrame:
-    """``zone_id, row, col_from, col_to``: the polygons as runs of cells, made where the polygons are."""
+def spans(zones: DataFrame, grid: Grid, touched: bool = False) -> DataFrame:
+    """``zone_id, row, col_from, col_to``: the polygons as runs of cells, made where the polygons are.
+
+    A cell belongs to a polygon that holds its centre, or with ``touched`` to every polygon that it meets.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(z, *s) for z, rings in zip(f["zone_id"], f["rings"], strict=True) for s in ring_spans(_rings(rings), grid)]
+            rows = [(z, *s) for z, rings in zip(f["zone_id"], f["rings"], strict=True) for s in ring_spans(_rings(rings), grid, touched)]
             yield pd.DataFrame(rows, columns=["zone_id", "row", "col_from", "col_to"])
 
     return zones.select("zone_id", "rings").mapInPandas(run, f"zone_id {zones.schema['zone_id'].dataType.simpleString()}, row int, col_from int, col_to int")
@@ -286,3 +315,35 @@ def name_column(df: DataFrame, wanted: str | None = None) -> str:
         if t == "string":
             return c
     raise ValueError("no text column names the zones")
+
+
+def inner_point(rings: list[np.ndarray]) -> tuple[float, float] | None:
+    """A point inside, by the even-odd rule: in the middle of the widest piece of a level line through the middle.
+
+    The line lies between the nearest corners above and below the middle of the heights, so it meets no corner.
+    """
+    ys = np.unique(np.concatenate([r[:, 1] for r in rings])) if rings else np.zeros(0)
+    if len(ys) < 2:
+        return None
+    middle = (ys[0] + ys[-1]) / 2
+    k = min(max(int(np.searchsorted(ys, middle, side="right")), 1), len(ys) - 1)
+    y = (ys[k - 1] + ys[k]) / 2
+    edges = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
+    crossing = edges[(edges[:, 1] > y) != (edges[:, 3] > y)]
+    x = np.sort(crossing[:, 0] + (y - crossing[:, 1]) * (crossing[:, 2] - crossing[:, 0]) / (crossing[:, 3] - crossing[:, 1]))
+    widths = x[1::2] - x[::2]
+    if not len(widths):
+        return None
+    at = int(np.argmax(widths))
+    return float((x[2 * at] + x[2 * at + 1]) / 2), float(y)
+
+
+def label_points(zones: DataFrame) -> DataFrame:
+    """``zone_id, x, y``: a point inside each polygon, where its label goes; nulls for one without an inside."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(z, *(inner_point(_rings(rings)) or (None, None))) for z, rings in zip(f["zone_id"], f["rings"], strict=True)]
+            yield pd.DataFrame(rows, columns=["zone_id", "x", "y"])
+
+    return zones.select("zone_id", "rings").mapInPandas(run, f"zone_id {zones.schema['zone_id'].dataType.simpleString()}, x double, y double")

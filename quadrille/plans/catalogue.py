@@ -518,6 +518,21 @@ def scene_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf)
 
 
+DENSITY = """, s AS (SELECT variable, comparison, count(*) AS k, stddev_samp(diff_abs) AS sd, quantile_cont(diff_abs, 0.75) - quantile_cont(diff_abs, 0.25) AS iqr FROM pairs GROUP BY ALL),
+r AS (SELECT variable, min(diff_abs) AS lo, (max(diff_abs) - min(diff_abs)) / 511 AS step FROM pairs GROUP BY variable),
+b AS (SELECT *, 0.9 * coalesce(nullif(least(sd, iqr / 1.34), 0), nullif(sd, 0), 1) * pow(k, -0.2) AS bw FROM s),
+a AS (SELECT variable, comparison, (diff_abs - lo) / step AS pos FROM pairs JOIN r USING (variable)),
+w AS (SELECT variable, comparison, j, sum(w) AS w FROM (SELECT variable, comparison, least(floor(pos), 511)::INT AS j, 1 - (pos - least(floor(pos), 511)) AS w FROM a
+  UNION ALL SELECT variable, comparison, least(floor(pos)::INT + 1, 511), pos - least(floor(pos), 511) FROM a) GROUP BY ALL)"""
+
+
+@query(_with(PAIRS + DENSITY, """SELECT variable, comparison, i::INT AS i, lo + i * step AS x, sum(w * exp(-pow((j - i) * step / bw, 2) / 2)) / any_value(k * bw * sqrt(2 * pi())) AS density
+  FROM w JOIN b USING (variable, comparison) JOIN r USING (variable), range(0, 512) g(i) GROUP BY variable, comparison, i, lo, step"""), "x density")
+def pair_density(spark: SparkSession, sf: str) -> DataFrame:
+    """How differences within pairs are spread, over the range of each variable."""
+    return U.density(parked(_pairs(spark, sf).select("variable", "comparison", "diff_abs")), "diff_abs", KIND, ["variable"])
+
+
 def _pair_summary(by: str) -> str:
     return f"""SELECT *, 100 * (1 - mad_anom / mad) AS reduction FROM (SELECT {by}, count(*) AS n, count(DISTINCT ano * 100 + mes) AS n_months, median(gap_days)::DOUBLE AS median_gap, avg(diff_abs) AS mean_diff,
   avg(abs(diff_abs)) AS mad, stddev_samp(diff_abs) AS sd_diff, quantile_cont(abs(diff_abs), 0.95) AS p95, avg(abs(diff_pct)) AS mad_pct, avg(abs(diff_anom)) AS mad_anom FROM pairs GROUP BY ALL)"""
@@ -705,6 +720,31 @@ def zone_pixel_mask(spark: SparkSession, sf: str) -> DataFrame:
     return P.clip(_cells(spark, sf), P.spans(_rectangles(spark, sf), GRID)).groupBy("row").agg(F.count("*").alias("n"))
 
 
+#: A square on its corner for each nation; a cell is touched where its nearest point lies within.
+_DIAMOND = "SELECT n_nationkey AS zone_id, n_nationkey % 5 * 20 + 10.3 AS x, n_nationkey // 5 * 20 + 9.7 AS y, 6.25 + n_nationkey % 7 AS r FROM nation"
+
+
+def _diamonds(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    x, y, r = k % 5 * 20 + F.lit(10.3), F.floor(k / 5) * 20 + F.lit(9.7), 6.25 + k % 7
+    corners = [F.struct((x + a * r).alias("x"), (y + b * r).alias("y")) for a, b in ((1, 0), (0, 1), (-1, 0), (0, -1))]
+    return D.table(spark, sf, "nation").select(k.alias("zone_id"), F.array(F.array(*corners)).alias("rings"))
+
+
+@query(f"""WITH z AS ({_DIAMOND}), c AS ({_CELLS})
+SELECT zone_id, count(*) AS n, sum(l_quantity) AS quantity FROM c JOIN z ON abs(greatest(c.col, least(z.x, c.col + 1)) - z.x) + abs(greatest(99 - c.row, least(z.y, 100 - c.row)) - z.y) < z.r GROUP BY zone_id""")
+def zone_touched_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells that a polygon meets at all, not only those whose centre it holds."""
+    hits = P.in_zones(_cells(spark, sf), P.spans(_diamonds(spark, sf), GRID, touched=True))
+    return hits.groupBy("zone_id").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query(f"SELECT zone_id, x0 + 16 AS x, y0 + 8 AS y FROM ({_RECT})")
+def label_points(spark: SparkSession, sf: str) -> DataFrame:
+    """A point inside each rectangle, beside its hole."""
+    return P.label_points(_rectangles(spark, sf, hole=True))
+
+
 @query(f"""{_PIECES}, s AS (SELECT c_custkey, c_custkey % 90 AS xmin, c_custkey % 70 AS ymin, c_custkey % 90 + 25 AS xmax, c_custkey % 70 + 30 AS ymax FROM customer),
   b AS (SELECT xmin, ymin, xmax, ymax, count(q.x) / (SELECT count(*) FROM q)::DOUBLE AS overlap FROM (SELECT DISTINCT xmin, ymin, xmax, ymax FROM s) LEFT JOIN q ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax GROUP BY ALL)
   SELECT c_custkey, overlap, overlap > 0.1 AS enough FROM s JOIN b USING (xmin, ymin, xmax, ymax)""", "overlap")

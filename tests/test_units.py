@@ -196,6 +196,68 @@ def test_footprint(spark):
     assert abs(Z.area_within(t) - 100 * covered.mean()) < 0.5 and abs(Z.area_within(t, *box) - 100 * (covered & within).mean()) < 0.5
 
 
+def test_touched_cells():
+    """Against the intersection of each cell with a polygon cut into fine pieces; borders touch nothing."""
+    rng = np.random.default_rng(9)
+    grid = Z.Grid(0.0, 10.0, 1.0, 10, 12)
+
+    def cells(rings, touched):
+        got = [(r, c) for r, a, b in Z.ring_spans(rings, grid, touched) for c in range(a, b + 1)]
+        assert len(got) == len(set(got))
+        return set(got)
+
+    square = [np.array([(2.0, 3.0), (5.0, 3.0), (5.0, 7.0), (2.0, 7.0)])]
+    assert cells(square, True) == cells(square, False) == {(r, c) for r in range(3, 7) for c in range(2, 5)}
+    thin = [np.array([(1.1, 1.2), (9.9, 8.7), (9.9, 8.75)])]
+    assert not cells(thin, False) <= {(5, 5)} or len(cells(thin, True)) > len(cells(thin, False))
+    for _ in range(30):
+        ring = rng.uniform(-1, 11, (rng.integers(3, 7), 2))
+        t = np.linspace(0, 1, 4001)[:, None]
+        on = np.concatenate([a + t * (b - a) for a, b in zip(ring, np.roll(ring, -1, axis=0), strict=True)])
+        passed = {(int(r), int(c)) for r, c in zip(np.floor(10 - on[:, 1]), np.floor(on[:, 0]), strict=True) if 0 <= r < 10 and 0 <= c < 12}
+        got, centres = cells([ring], True), cells([ring], False)
+        assert centres <= got and passed <= got and len(got - passed - centres) <= 3  # corners that the fine pieces step over
+
+
+def test_inner_points():
+    """Inside by the even-odd rule, whatever the shape."""
+    rng = np.random.default_rng(10)
+
+    def inside(x, y, rings):
+        e = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
+        e = e[(e[:, 1] > y) != (e[:, 3] > y)]
+        return (e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1]) > x).sum() % 2 == 1
+
+    horseshoe = [np.array([(0, 0), (9, 0), (9, 9), (6, 9), (6, 2), (3, 2), (3, 9), (0, 9)], float)]
+    holed = [np.array([(0, 0), (10, 0), (10, 10), (0, 10)], float), np.array([(1, 1), (9, 1), (9, 9), (1, 9)], float)]
+    for rings in (horseshoe, holed, *[[rng.uniform(0, 5, (rng.integers(3, 9), 2))] for _ in range(200)]):
+        assert inside(*Z.inner_point(rings), rings)
+    assert Z.inner_point([]) is None and Z.inner_point([np.array([(0, 1), (5, 1), (9, 1)], float)]) is None
+
+
+def test_density(spark):
+    """Against the sum over all values, and it integrates to nearly one."""
+    from quadrille.operators import figures as U
+
+    rng = np.random.default_rng(11)
+    data = {"a": rng.normal(0, 1, 3000), "b": rng.exponential(2, 500), "same": np.full(40, 1.5), "one": np.array([0.7])}
+    df = spark.createDataFrame([("v", g, float(x)) for g, v in data.items() for x in v] + [("v", "a", None), ("w", "flat", 2.0)], "panel string, kind string, x double")
+    got = {}
+    for r in U.density(df, "x", ["kind"], ["panel"], 256).collect():
+        got.setdefault(r.kind, []).append((r.i, r.x, r.density))
+    low, high = min(map(np.min, data.values())), max(map(np.max, data.values()))
+    for g, v in data.items():
+        at = np.array(sorted(got[g]))
+        assert len(at) == 256 and at[0, 1] == low and abs(at[-1, 1] - high) < 1e-12
+        sd = np.std(v, ddof=1) if len(v) > 1 else None
+        q = np.subtract(*np.quantile(v, [0.75, 0.25])) / 1.34
+        width = 0.9 * (min(sd, q) if sd else 1.0 or 1.0) * len(v) ** -0.2 if sd and min(sd, q) else 0.9 * len(v) ** -0.2
+        want = np.exp(-(((at[:, 1][:, None] - v) / width) ** 2) / 2).sum(axis=1) / (len(v) * width * math.sqrt(2 * math.pi))
+        assert np.abs(at[:, 2] - want).max() < 0.02 * want.max()
+    a = np.array(sorted(got["a"]))
+    assert abs(np.trapezoid(a[:, 2], a[:, 1]) - 1) < 0.01 and len(got["flat"]) == 256
+
+
 def test_equal_area(spark):
     """Areas of a degree cell agree between systems, and points come back."""
     df = spark.createDataFrame([(-55.0, -12.0, "ESRI:102033"), (-100.0, 40.0, "EPSG:5070"), (20.0, 47.0, "EPSG:3035")], "lon double, lat double, crs string")
