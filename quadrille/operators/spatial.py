@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 BROADCAST_SPANS = 1_000_000
 #: Columns of a block: cells and runs meet by row and block, so no row of a wide grid is one key.
 BLOCK = 256
-#: Most vertices of an area that is dissolved: its edges go to every task, 40 bytes each.
-MAX_VERTICES = 200_000
 
 
 @dataclass(frozen=True)
@@ -212,54 +210,105 @@ def areas(zones: DataFrame) -> DataFrame:
     return zones.select("zone_id", "rings").mapInPandas(run, f"zone_id {zones.schema['zone_id'].dataType.simpleString()}, area double")
 
 
-TRAPEZOID = "y0 double, y1 double, left0 double, left1 double, right0 double, right1 double"
+TRAPEZOID = "slab int, y0 double, y1 double, left0 double, left1 double, right0 double, right1 double"
+#: Ends of edges in a slab of heights, about; edges that only pass through come on top.
+SLAB = 1_500
 
 
-def dissolve(zones: DataFrame) -> DataFrame:
-    """The union of all zones as trapezoids.
+def edge_table(zones: DataFrame) -> DataFrame:
+    """``x0, y0, x1, y1, who``: the edges of all rings with the lower end first, and whose they are.  Level ones bound nothing."""
+    numbered = zones.select("rings").withColumn("who", F.monotonically_increasing_id())  # before the rings come apart
+    numbered = numbered.select("who", F.explode("rings").alias("r")).where(F.size("r") > 2)
+    following = F.concat(F.slice("r", 2, F.size("r")), F.slice("r", 1, 1))
+    each = numbered.select("who", F.explode(F.arrays_zip(F.col("r").alias("a"), following.alias("b"))).alias("e")).select("who", "e.a", "e.b")
+    up = F.col("a.y") <= F.col("b.y")
+    low, high = F.when(up, F.col("a")).otherwise(F.col("b")), F.when(up, F.col("b")).otherwise(F.col("a"))
+    return each.where("a.y <> b.y").select(low["x"].alias("x0"), low["y"].alias("y0"), high["x"].alias("x1"), high["y"].alias("y1"), "who")
+
+
+def slab_bounds(edges: DataFrame) -> np.ndarray:
+    """Heights that cut the edges into slabs of about ``SLAB`` ends each; the first and last are the extent's."""
+    ends = edges.select(F.explode(F.array("y0", "y1")).alias("y"))
+    n, low, high = ends.agg(F.count("*"), F.min("y"), F.max("y")).first()
+    if not n:
+        return np.zeros(0)
+    k = max(1, -(-n // SLAB))
+    inner = ends.agg(F.percentile_approx("y", [i / k for i in range(1, k)], max(10_000, 4 * k))).first()[0] if k > 1 else []
+    return np.unique([low, *inner, high])
 
-    Its edges go to every task, so their number is bounded (``MAX_VERTICES``, an error beyond); tasks then find where
-    edges cross, and cut the trapezoids of their heights.
-    """
-    spark = zones.sparkSession
-    size = zones.agg(F.sum(F.aggregate(F.transform("rings", F.size), F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    if size > MAX_VERTICES:
-        raise ValueError(f"the area has {size} vertices, more than {MAX_VERTICES}: simplify it first")
-    e = _edges([_rings(r["rings"]) for r in zones.select("rings").collect()])
-    parts = max(1, min(64, len(e) // 500))
-
-    def cross(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for k in f["id"]:
-                yield pd.DataFrame({"y": _crossings(e[k::parts], e)})
 
-    crossed = [r["y"] for r in spark.range(0, parts, 1, parts).mapInPandas(cross, "y double").distinct().collect()]
-    y = np.unique(np.concatenate([e[:, 1], e[:, 3], crossed]))
+def _dealt(rows: DataFrame, low: str, high: str, bounds: np.ndarray) -> DataFrame:
+    """Each row once for every slab that it reaches into."""
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for k in f["id"]:
-                yield pd.DataFrame(_slabs(y[:-1][k::parts], y[1:][k::parts], e), columns=["y0", "y1", "left0", "left1", "right0", "right1"])
+            first = np.clip(np.searchsorted(bounds, f[low].to_numpy(), side="right") - 1, 0, len(bounds) - 2)
+            last = np.clip(np.searchsorted(bounds, f[high].to_numpy(), side="left") - 1, first, len(bounds) - 2)
+            times = last - first + 1
+            at = np.repeat(np.arange(len(f)), times)
+            out = f.iloc[at].reset_index(drop=True)
+            out["slab"] = (np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + first[at]).astype(np.int32)
+            yield out
 
-    return spark.range(0, parts, 1, parts).mapInPandas(cut, TRAPEZOID)
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", slab int"
+    return rows.mapInPandas(run, schema)
 
 
-def footprint_overlap(scenes: DataFrame, zones: DataFrame) -> DataFrame:
-    """Adds ``overlap``: the share of the dissolved area inside the scene's extent ``xmin, ymin, xmax, ymax``.
+def dissolve(zones: DataFrame, edges: DataFrame | None = None, bounds: np.ndarray | None = None) -> DataFrame:
+    """The union of all zones as trapezoids, slab by slab of height.
 
-    The area's trapezoids, which its bounded number of vertices bounds, go to every task.
+    Edges are dealt to the slabs that they cross; a task finds where those of its slab cross each other and cuts the
+    trapezoids between neighbouring heights.  The driver holds a height a slab.
     """
-    t = np.array([tuple(r) for r in dissolve(zones).collect()], float).reshape(-1, 6)
-    total = area_within(t)
+    edges = edge_table(zones) if edges is None else edges
+    bounds = slab_bounds(edges) if bounds is None else bounds
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            boxes = zip(f["xmin"], f["ymin"], f["xmax"], f["ymax"], strict=True)
-            f["overlap"] = [area_within(t, *b) / total if total else None for b in boxes]
-            yield f
+    def cut(f: pd.DataFrame) -> pd.DataFrame:
+        k = int(f["slab"].iloc[0])
+        low, high = bounds[k], bounds[k + 1]
+        e = np.column_stack([f[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1")] + [pd.factorize(f["who"])[0].astype(float)])
+        crossed = _crossings(e, e)
+        y = np.unique(np.concatenate([e[:, 1], e[:, 3], crossed, [low, high]]))
+        y = y[(y >= low) & (y <= high)]
+        out = pd.DataFrame(_slabs(y[:-1], y[1:], e), columns=["y0", "y1", "left0", "left1", "right0", "right1"])
+        return out.assign(slab=np.int32(k))
+
+    if len(bounds) < 2:
+        return zones.sparkSession.createDataFrame([], TRAPEZOID)
+    return _dealt(edges, "y0", "y1", bounds).groupBy("slab").applyInPandas(cut, TRAPEZOID)
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in scenes.dtypes) + ", overlap double"
-    return scenes.mapInPandas(run, schema)
+
+def footprint_overlap(scenes: DataFrame, zones: DataFrame) -> DataFrame:
+    """Adds ``overlap``: the share of the dissolved area inside the scene's extent ``xmin, ymin, xmax, ymax``.
+
+    Extents, each once, are dealt to the slabs of the area that they reach into, and met there by its trapezoids.
+    """
+    spark, box = scenes.sparkSession, ["xmin", "ymin", "xmax", "ymax"]
+    edges = edge_table(zones)
+    bounds = slab_bounds(edges)
+    t = dissolve(zones, edges, bounds)
+    extents = scenes.select(*[F.col(c).cast("double").alias(c) for c in box]).distinct()
+
+    def measured(traps: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
+        mine = traps[["y0", "y1", "left0", "left1", "right0", "right1"]].to_numpy(float).reshape(-1, 6)
+        asked = boxes[box].to_numpy(float).reshape(-1, 4)
+        rows = [(*b, area_within(mine, *b)) for b in asked.tolist()] + [(np.nan,) * 4 + (area_within(mine),)]
+        return pd.DataFrame(rows, columns=[*box, "area"])
+
+    if len(bounds) < 2:
+        return scenes.withColumn("overlap", F.lit(None).cast("double"))
+    reached = _dealt(extents.where((F.col("ymax") > float(bounds[0])) & (F.col("ymin") < float(bounds[-1]))), "ymin", "ymax", bounds)
+    parts = t.groupBy("slab").cogroup(reached.groupBy("slab")).applyInPandas(measured, "xmin double, ymin double, xmax double, ymax double, area double")
+    summed = parts.groupBy(*box).agg(F.sum("area").alias("area"))  # the row without an extent is the whole area
+    whole = F.col("xmin").isNull() | F.isnan("xmin")
+    total = summed.where(whole).first()
+    share = summed.where(~whole).select(*[F.col(c).alias(f"__{c}") for c in box], (F.col("area") / F.lit(total["area"] if total and total["area"] else None)).alias("overlap"))
+    same = F.lit(True)
+    for c in box:
+        same = same & (F.col(c).cast("double") == F.col(f"__{c}"))
+    joined = scenes.join(share, same, "left").drop(*[f"__{c}" for c in box])
+    known = F.lit(bool(total and total["area"]))
+    return joined.withColumn("overlap", F.when(known & F.col("xmin").isNotNull(), F.coalesce("overlap", F.lit(0.0))))
 
 
 def transform(zones: DataFrame, source: str, target: str) -> DataFrame:

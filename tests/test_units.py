@@ -196,6 +196,37 @@ def test_footprint(spark):
     assert abs(Z.area_within(t) - 100 * covered.mean()) < 0.5 and abs(Z.area_within(t, *box) - 100 * (covered & within).mean()) < 0.5
 
 
+@pytest.mark.parametrize("slab", [1_500, 40])
+def test_dissolve_in_slabs(spark, monkeypatch, slab):
+    """Overlaps, holes, rings that cross themselves: the same union whatever the slabs, and no limit of corners."""
+    monkeypatch.setattr(Z, "SLAB", slab)
+    rng = np.random.default_rng(12)
+    polygons = [[rng.uniform(0, 10, (12, 2))] for _ in range(6)] + [[np.array([(1, 1), (9, 1), (9, 9), (1, 9)], float), np.array([(2, 2), (8, 2), (8, 8), (2, 8)], float)]]
+    df = spark.createDataFrame([(k, [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings]) for k, rings in enumerate(polygons)], "zone_id int, rings array<array<struct<x: double, y: double>>>").repartition(3)
+    want = Z.trapezoids(polygons)
+    t = np.array([tuple(r[c] for c in ("y0", "y1", "left0", "left1", "right0", "right1")) for r in Z.dissolve(df).collect()])
+    assert abs(Z.area_within(t) - Z.area_within(want)) < 1e-9
+    boxes = spark.createDataFrame([(float(a), float(b), float(a + c), float(b + d)) for a, b, c, d in rng.uniform(0, 6, (20, 4))] + [(50.0, 50.0, 60.0, 60.0), (-1.0, -1.0, 20.0, 20.0)], "xmin double, ymin double, xmax double, ymax double")
+    for r in Z.footprint_overlap(boxes, df).collect():
+        assert abs(r.overlap - Z.area_within(want, r.xmin, r.ymin, r.xmax, r.ymax) / Z.area_within(want)) < 1e-9
+    assert [r.overlap for r in Z.footprint_overlap(boxes.limit(1), df.where("false")).collect()] == [None] and Z.dissolve(df.where("false")).count() == 0
+
+
+def test_dissolve_of_a_detailed_layer(spark):
+    """A coast of 210,000 corners beside a square that overlaps it."""
+    n = 210_000
+    turn = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    radius = 100 + 5 * np.sin(40 * turn) + np.sin(977 * turn)
+    x, y = radius * np.cos(turn), radius * np.sin(turn)
+    ring = [{"x": float(a), "y": float(b)} for a, b in zip(x, y, strict=True)]
+    square = [{"x": float(a), "y": float(b)} for a, b in ((-50, -50), (50, -50), (50, 50), (-50, 50))]
+    df = spark.createDataFrame([(1, [ring]), (2, [square])], "zone_id int, rings array<array<struct<x: double, y: double>>>")
+    t = Z.dissolve(df)
+    area = t.agg(F.sum((F.col("y1") - F.col("y0")) * (F.col("right0") - F.col("left0") + F.col("right1") - F.col("left1")) / 2)).first()[0]
+    shoelace = abs((x * np.roll(y, -1) - y * np.roll(x, -1)).sum()) / 2
+    assert abs(area / shoelace - 1) < 1e-9
+
+
 def test_touched_cells():
     """Against the intersection of each cell with a polygon cut into fine pieces; borders touch nothing."""
     rng = np.random.default_rng(9)
