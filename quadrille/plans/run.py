@@ -8,7 +8,10 @@ on the driver.
 
 from __future__ import annotations
 
+import contextlib
+import datetime
 import logging
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,15 +116,45 @@ def calibrated(spark: SparkSession, scenes: DataFrame, settings: Settings, grid:
     return both.withColumns(flags).select(*PRODUCTS), faults
 
 
+@contextlib.contextmanager
+def journal(spark: SparkSession, path: str) -> Iterator[None]:
+    """Whatever is logged meanwhile, with its time and level, is written as text at the end, also of a run that fails."""
+    lines: list[str] = []
+
+    class Keep(logging.Handler):
+        def emit(self, record: logging.LogRecord) -> None:
+            lines.append(f"{datetime.datetime.fromtimestamp(record.created):%Y-%m-%d %H:%M:%S} {record.levelname:<7} {record.getMessage()}")
+
+    keep, was = Keep(), LOG.level
+    LOG.addHandler(keep)
+    LOG.setLevel(logging.INFO)
+    try:
+        yield
+    except Exception as e:
+        LOG.error("the run ends: %s", " ".join(str(e).split())[:500])
+        raise
+    finally:
+        LOG.removeHandler(keep)
+        LOG.setLevel(was)
+        sinks.write_lines(spark, lines, path)
+
+
 def process(spark: SparkSession, folders: list[str], area: str, out: str, settings: Settings, area_name: str = "area", zone_label: str = "zone", rasters: bool = True, pixel_tables: bool = False) -> dict[str, int]:
     """Run all stages and write the result folder; returns how many scenes were listed, tried and used.
 
-    Scenes of one lattice (system, cell size and origin) are processed together.
+    What happened, stage by stage, is in the text ``run_log``.
     """
+    with journal(spark, f"{out}/run_log"):
+        return _process(spark, folders, area, out, settings, area_name, zone_label, rasters, pixel_tables)
+
+
+def _process(spark: SparkSession, folders: list[str], area: str, out: str, settings: Settings, area_name: str, zone_label: str, rasters: bool, pixel_tables: bool) -> dict[str, int]:
+    """Scenes of one lattice (system, cell size and origin) are processed together."""
     work = f"{out}/_work"
     listed = kept(inventory(spark, folders, settings), f"{work}/inventory")
     if listed.isEmpty():
         raise ValueError("no scene passes the filters of period, months and tier")
+    LOG.info("%d scenes listed, %d of them with all bands", *listed.agg(F.count("*"), F.count_if("complete")).first())
     sinks.write_csv(I.without_files(listed), f"{out}/tables/scenes/scene_inventory", order=["acq_date", "scene_id"])
     zones = kept(vector.read_layer(spark, area, settings.zone_column, settings.crs), f"{work}/zones")
 
@@ -148,6 +181,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
         marked = cells.join(mask, ["row", "col"], "left").withColumn("in_area", F.coalesce("in_area", F.lit(False)))
         marked.write.mode("overwrite").parquet(f"{work}/pixels/lattice={k}")
         kept(spans, f"{work}/spans/lattice={k}")
+    LOG.info("%d scenes over the area, on %d lattices; %d zones", scenes.count(), len(lattices), zones.count())
     if not lattices:
         raise ValueError("no scene overlaps the area: is min_overlap too high for it?")
     faults = kept(fault_table(faults), f"{out}/faults")
@@ -166,6 +200,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     good = judged.where("reject is null").select(*SCENE)
     if good.isEmpty():
         raise ValueError("no scene passes the quality rules")
+    LOG.info("%d scenes pass the quality rules", good.count())
     mine = pixels.where("in_area").join(good, "scene_id")
 
     most = max(r[0] for r in spans.groupBy("lattice").agg(F.sum(F.col("col_to") - F.col("col_from") + 1)).collect())  # cells of all zones
@@ -177,6 +212,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     sinks.write_csv(annual, f"{out}/tables/monthly/ndvi_lst_annual", order=["ano"])
     reports(spark, stats, monthly, annual, out, settings, area_name)
 
+    LOG.info("tables of the area are written")
     zoned = _in_zones(mine, spans)
     zone_stats = R.scene_stats(zoned, ["scene_id", "zone_id"], SCENE[1:], most)
     zone_stats = kept(R.complete_zones(zone_stats, zones, scene="scene_id"), f"{work}/zone_scene_stats")
@@ -186,6 +222,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
     zone_tables(zone_monthly, zone_annual, f"{out}/tables/spatial/zones", area_name, zone_label)
 
     anomaly_tables(Q.anomalies(judged.where("reject is null or reject = 'saturated thermal'"), settings), f"{out}/tables/anomalies")
+    LOG.info("tables of zones and anomalies are written")
     if rasters:
         for v, name, suffix in (("ndvi", "ndvi", "_NDVI.tif"), ("lst_c", "lst", "_LST_Celsius.tif")):
             shown = pixels.where("in_area").join(good.select("scene_id"), "scene_id")
@@ -200,6 +237,7 @@ def process(spark: SparkSession, folders: list[str], area: str, out: str, settin
                 if "mes" not in by:
                     composite = composite.withColumn("mes", F.lit(None).cast("int"))
                 sinks.write_pixels(composite, f"{out}/tables/spatial/pixels/{v}_{name}")
+    LOG.info("done")
     return {"listed": listed.count(), "tried": judged.count(), "used": stats.count()}
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .geotiff import Band
 
 #: Rows of a window, and bytes of a file's head that are read at once.
-ROWS, HEAD = 256, 1 << 16
+ROWS, HEAD = 512, 1 << 16
 ROLES = {"file_qa": "qa", "file_red": "dn_red", "file_nir": "dn_nir", "file_lst": "dn_st"}
 
 

@@ -603,6 +603,11 @@ def test_whole_run(spark, tmp_path):
     red = next(bad.glob("*SR_B3.TIF"))
     red.write_bytes(red.read_bytes()[:2000])
     assert run.process(spark, [folder, str(tmp_path / "none")], layer, out, settings, pixel_tables=True) == {"listed": 10, "tried": 9, "used": 8}
+    log = "\n".join(r.value for r in spark.read.text(f"{out}/run_log").collect())
+    assert "10 scenes listed, 10 of them with all bands" in log and "ERROR" in log and "1 scenes cannot be read" in log and log.rstrip().endswith("done")
+    with pytest.raises(ValueError, match="no scene passes"):
+        run.process(spark, [folder], layer, str(tmp_path / "failed"), settings.with_values(year_start=1990, year_end=1991))
+    assert "the run ends: no scene passes" in spark.read.text(str(tmp_path / "failed/run_log")).first().value
     faults = spark.read.parquet(f"{out}/faults").collect()
     assert [(r.scene_id, r.path.rsplit("/", 1)[-1], r.n_faults > 0, bool(r.error)) for r in faults] == [(bad.name, red.name, True, True)]
     read = lambda name: files.read_table(spark, f"{out}/tables/{name}")
