@@ -24,20 +24,22 @@ VARIABLES = ("ndvi", "lst_c")
 HELD = 1_000_000
 
 
-def scene_stats(pixels: DataFrame, by: Sequence[str], attributes: Sequence[str] = (), most: int | None = None) -> DataFrame:
-    """Six statistics of each variable; a group without valid pixels has counts of 0 and nulls.
+def scene_stats(pixels: DataFrame, by: Sequence[str], attributes: Sequence[str] = (), most: int | None = None, medians: bool = True) -> DataFrame:
+    """Six statistics of each variable (five without ``medians``); a group without valid pixels has counts of 0 and nulls.
 
     ``attributes`` are the same in all of a group's pixels; they are no keys.  ``most`` is a number of pixels that no
     group exceeds: where a task can hold as many, one aggregation finds the median too; beyond it, or where nothing is
     known, medians come from :func:`quantiles`, which reads the pixels twice and gathers no group.
     """
     first = [F.first(c).alias(c) for c in attributes]
-    if most is not None and most <= HELD:
+    if not medians:
+        out = pixels.groupBy(*by).agg(*first, *[c for v in VARIABLES for c in summary(F.col(v), None, v)])
+    elif most is not None and most <= HELD:
         out = pixels.groupBy(*by).agg(*first, *[c for v in VARIABLES for c in summary(F.col(v), F.median(v), v)])
     else:
         out = quantiles(pixels, by, VARIABLES, also=[*first, *[c for v in VARIABLES for c in summary(F.col(v), None, v)]])
         out = out.withColumnsRenamed({f"{v}_q0": f"{v}_mediana" for v in VARIABLES})
-    names = [f"{v}_{x}" for v in VARIABLES for x in ("media", "mediana", "min", "max", "dp", "n")]
+    names = [f"{v}_{x}" for v in VARIABLES for x in ("media", *["mediana"] * medians, "min", "max", "dp", "n")]
     return out.select(*by, *attributes, *names)
 
 

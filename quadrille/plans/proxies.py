@@ -109,11 +109,14 @@ def station(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign(spark: SparkSession, sf: str) -> DataFrame:
-    """Zone statistics of campaigns: a sensor's half month is one scene, so a month has ten scenes at any scale."""
+    """Zone statistics of campaigns: a sensor's half month is one scene, so a month has ten scenes at any scale.
+
+    What pairs are made of needs no medians, so groups of any size are one aggregation.
+    """
     p = products(spark, sf).withColumn("half", F.when(F.dayofmonth("acq_date") <= 15, 1).otherwise(16))
     p = p.withColumn("acq_date", F.make_date("ano", "mes", "half"))
     p = p.withColumn("scene", F.concat_ws("_", "sensor", F.col("acq_date").cast("string")))
-    return R.scene_stats(p, ["scene", "zone_id"], SCENE[:4])
+    return R.scene_stats(p, ["scene", "zone_id"], SCENE[:4], medians=False)
 
 
 #: The same projection as common table expressions of another engine.
