@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, heavy_join, materialise, scope, text_bytes, text_slices
@@ -132,6 +132,11 @@ def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def points(fp: str) -> Column:
+    """The fingerprint itself and its one-bit neighbours; any two within two bits of each other have one in common."""
+    return F.concat(F.array(F.col(fp)), F.transform(F.lit([1 << i if i < 63 else -(1 << 63) for i in range(64)]), lambda b: F.col(fp).bitwiseXOR(b)))
+
+
 def links(fps: DataFrame) -> DataFrame:
     """Edges ``(u, v)`` between distinct fingerprints ``fp`` whose components are those of all links within two bits.
 
@@ -153,8 +158,7 @@ def links(fps: DataFrame) -> DataFrame:
         near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE
         pairs = few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), "key").where(F.col("u") < F.col("v")).where(near).select("u", "v")
         crowd = shared.where(F.col("n") > CROWD).select("fp").distinct()
-        points = F.explode(F.concat(F.array(F.col("fp")), F.transform(F.lit([1 << i if i < 63 else -(1 << 63) for i in range(64)]), lambda b: F.col("fp").bitwiseXOR(b))))
-        named = materialise(crowd.select("fp", points.alias("point")), "points")
+        named = materialise(crowd.select("fp", F.explode(points("fp")).alias("point")), "points")
         least = named.groupBy("point").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
         stars = named.join(least, "point").where("fp <> v").select(F.col("fp").alias("u"), "v")
         found = materialise(pairs.unionByName(stars).distinct(), "links")

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quadrille.llm import quality_rules
+from quadrille.llm import quality_rules, similar_texts
 
 
 def lower_words(t):
@@ -194,3 +194,55 @@ def test_one_row_of_a_group_stays(spark, sf):
     for _, stage in corpus_pipeline.STAGES[1:3]:
         copies = stage(spark, copies, sf)
     assert Counter((r.doc_id, r.text) for r in copies.collect()) == Counter([(1, a), (1, b), (2, e), (None, c), (None, d)])
+
+
+def grouped(links):
+    """The groups of two or more that links make."""
+    root = {}
+
+    def find(a):
+        while root.setdefault(a, a) != a:
+            a = root[a]
+        return a
+
+    for u, v in links:
+        root[find(u)] = find(v)
+    out = defaultdict(set)
+    for a in list(root):
+        out[find(a)].add(a)
+    return {frozenset(g) for g in out.values()}
+
+
+def test_no_partner_under_a_key_is_lost(spark, monkeypatch):
+    """Pairs that share a crowded key or a fingerprint with texts that they are unlike, in lists and in several blocks."""
+    rng = random.Random(3)
+    texts, pairs = {}, set()
+    for g in range(120):
+        words = [f"{g}w{rng.randint(0, 10**6)}" for _ in range(60 + g % 30)]
+        texts[3 * g], texts[3 * g + 1] = " ".join(words), " ".join([*words, "more"])
+        texts[3 * g + 2] = " ".join(f"{g}v{k}" for k in range(60 + g % 30))
+        pairs.add(frozenset((3 * g, 3 * g + 1)))
+    bodies = spark.createDataFrame(sorted(texts.items()), "node long, body string")
+    size = {n: len(set(shingles(t))) for n, t in texts.items()}
+    own = lambda n: [1000 * n + k for k in range(similar_texts.BANDS)]
+
+    def found(fp, keys):
+        nodes = spark.createDataFrame([(n, size[n], fp(n), keys(n)) for n in texts], "node long, size long, fp long, keys array<long>")
+        return grouped((r.u, r.v) for r in similar_texts.links(nodes, bodies, 5, 0.8).collect())
+
+    far = lambda n: int.from_bytes(hashlib.md5(str(n).encode()).digest()[:8], "big", signed=True)
+    monkeypatch.setattr(similar_texts, "HASHES", 5_000)
+    monkeypatch.setattr(similar_texts, "AT_ONCE", 32)
+    assert found(lambda n: 5, own) == pairs
+    assert found(far, lambda n: [7, *own(n)[1:]]) == pairs
+    # thirty texts a key, and fingerprints one bit from their group's
+    assert found(far, lambda n: [n // 30, *own(n)[1:]]) == pairs
+    assert found(lambda n: far(n // 30) ^ 1 << n % 30, own) == pairs
+    assert found(far, own) == set()
+
+
+def test_common_hashes():
+    rng = np.random.default_rng(1)
+    a, b = ([np.unique(rng.integers(0, 9_000, n)) for n in sizes] for sizes in ((0, 5, 4_000), (7_000, 1, 300, 2)))
+    assert similar_texts.common(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert similar_texts.common([np.array([1])], [np.array([2])]).tolist() == [[0]]
