@@ -70,3 +70,15 @@ def test_plans_are_native(spark, sf):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
     assert "l_extendedprice" not in plan
+
+
+def test_tasks_grow_with_the_pixels(spark, sf, monkeypatch):
+    """A table of more pixels than the session's partitions are to hold is dealt over more, once and for all steps by scene."""
+    want = catalogue.QUERIES["zone_monthly"](spark, sf).collect()
+    monkeypatch.setattr(catalogue.D, "PIXELS", 500)
+    df = catalogue.QUERIES["zone_monthly"](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    parts = math.ceil(spark.read.parquet(f"{sf}/lineitem.parquet").count() / 500)
+    assert parts > 4 and f", {parts}), REPARTITION_BY_NUM" in plan
+    got = df.collect()
+    assert len(got) == len(want) and all(a[:2] == b[:2] and a.ndvi_n == b.ndvi_n and a.n_cenas == b.n_cenas for a, b in zip(sorted(got, key=lambda r: (r.zone_id, r.ano, r.mes)), sorted(want, key=lambda r: (r.zone_id, r.ano, r.mes)), strict=True))
